@@ -17,7 +17,9 @@ def with_class(df: DataFrame, *, semantics: str = "string", out: str = "cls") ->
         dislikes = zero_guard_numeric("dislikes")
     else:
         raise ValueError(f"unknown semantics {semantics!r}")
-    return df.withColumn(out, classify(ratio("likes", dislikes)))
+    # The ratio gets its own projection: it is referenced by every branch of
+    # the class expression and must be computed once per row, not per branch.
+    return df.withColumn("_ratio", ratio("likes", dislikes)).withColumn(out, classify("_ratio")).drop("_ratio")
 
 
 def summarize_fixed_classes(df: DataFrame, *, cls: str = "cls", value: str = "comments") -> DataFrame:

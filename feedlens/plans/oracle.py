@@ -27,8 +27,10 @@ select
        else cast(cast(round(l_discount * 100) as integer) as varchar) end as dislikes,
   case when l_linenumber = 6 then null else cast(l_partkey as varchar) end as comment_count,
   'thumb/' || cast(l_orderkey as varchar) || '.jpg' as thumbnail_link,
-  case when l_returnflag = 'R' then 'True' else 'False' end as comments_disabled,
-  case when l_linestatus = 'F' and l_linenumber = 1 then 'True' else 'False' end as ratings_disabled,
+  case when l_returnflag = 'R' then 'True'
+       when l_returnflag = 'A' and l_linenumber = 3 then 'false' else 'False' end as comments_disabled,
+  case when l_linestatus = 'F' and l_linenumber = 1 then 'True'
+       when l_linestatus = 'F' and l_linenumber = 2 then null else 'False' end as ratings_disabled,
   'False' as video_error_or_removed,
   p_type as description
 from lineitem join part on l_partkey = p_partkey
@@ -208,3 +210,216 @@ def top_words_sql() -> str:
     words = "select lang, lower(unnest(string_split(text, ' '))) as tag from documents"
     counts = f"select lang, tag, count(*) as n from ({words}) w group by lang, tag"
     return render_hash("lang", top_sql("lang", counts), out="top10_words")
+
+
+# --------------------------------------------------------------------------- operator-level queries
+
+NAMED_TAG_COUNTS = tag_count_sql("category", NAMED_FEED)
+ID_TAG_COUNTS = tag_count_sql("category_id", "feed")
+STR_RATIO = ratio_sql("likes", DISLIKES_STR_GUARD)
+
+
+def feed_select(cols: str, where: str | None = None) -> str:
+    return with_ctes(f"select {cols} from feed" + (f" where {where}" if where else ""))
+
+
+def scan_csv_dropmalformed_sql() -> str:
+    # Well-formed lines only: a missing dislikes field ('n/a' rows) or two extra
+    # fields (tags ending in '||') make a line malformed.
+    return feed_select("video_id, likes", "dislikes <> 'n/a' and not suffix(tags, '||')")
+
+
+def scan_csv_quoted_sql() -> str:
+    return feed_select(
+        "video_id, replace(tags, '|', ',') as tag_text, title || ' \"' || category_id || '\"' as quoted_title, likes"
+    )
+
+
+def scan_text_schema_sql() -> str:
+    return (
+        "select 's_suppkey' as s_suppkey, 's_name' as s_name, 's_nationkey' as s_nationkey, "
+        "'s_acctbal' as s_acctbal union all "
+        "select cast(s_suppkey as varchar), s_name, cast(s_nationkey as varchar), cast(s_acctbal as varchar) "
+        "from supplier"
+    )
+
+
+def scan_json_lines_sql() -> str:
+    return "select cast(p_partkey as varchar) as id, p_brand as category from part"
+
+
+def scan_key_value_sql() -> str:
+    return with_ctes(f"select category_id as key, tag || chr(9) || cast(n as varchar) as value from ({ID_TAG_COUNTS}) c")
+
+
+def sink_text_kv_sql() -> str:
+    return with_ctes(
+        f"select tag, count(*) as n from ({tag_rows('category_id', 'feed')}) t group by tag"
+    )
+
+
+def local_rows_sql() -> str:
+    counts = f"select {class_sql(STR_RATIO)} as cls, count(*) as n from feed where {FLAGS_FALSE} group by 1"
+    body = (
+        "select k.Classification, k.position, coalesce(c.n, 0) as VideosNumber "
+        "from (values ('neutral', 1), ('good', 2), ('bad', 3)) k(Classification, position) "
+        "left join counts c on c.cls = k.Classification"
+    )
+    return with_ctes(body, counts=counts)
+
+
+def project_rename_sql() -> str:
+    return feed_select("video_id as video, category_id, tags as tag_list")
+
+
+def sort_multi_key_sql() -> str:
+    return with_ctes(f"select category, tag, n from ({NAMED_TAG_COUNTS}) c")
+
+
+def class_count_sql() -> str:
+    """Per class row counts under string semantics, all three classes."""
+    return local_rows_sql().replace("k.Classification, k.position, ", "k.Classification, ")
+
+
+def filter_sql(where: str) -> str:
+    return feed_select("video_id, comments_disabled, ratings_disabled, likes", where)
+
+
+def filter_parsable_sql() -> str:
+    return feed_select("video_id, dislikes, comment_count", f"{int_ok('dislikes')} and {int_ok('comment_count')}")
+
+
+def filter_ratio_range_sql() -> str:
+    return feed_select(f"video_id, likes, dislikes, {STR_RATIO} as ratio", f"{STR_RATIO} between 4 and 6")
+
+
+def zero_guard_string_sql() -> str:
+    return feed_select(f"video_id, dislikes, {DISLIKES_STR_GUARD} as dislikes_guarded")
+
+
+def zero_guard_numeric_sql() -> str:
+    return feed_select(f"video_id, dislikes, {DISLIKES_NUM_GUARD} as dislikes_guarded")
+
+
+def ratio_expr_sql() -> str:
+    return feed_select(f"video_id, likes, dislikes, {STR_RATIO} as ratio")
+
+
+def ratio_classify_sql() -> str:
+    return feed_select(f"video_id, {class_sql(STR_RATIO)} as cls")
+
+
+def agg_count_by_class_sql() -> str:
+    cls = class_sql(STR_RATIO)
+    return feed_select(
+        f"count(*) as enabled, count_if({cls} = 'neutral') as neutral, count_if({cls} = 'good') as good, "
+        f"count_if({cls} = 'bad') as bad, count_if({cls} is null) as unclassified",
+        FLAGS_FALSE,
+    )
+
+
+def agg_sum_over_count_sql() -> str:
+    rows = f"select {class_sql(STR_RATIO)} as cls, {dbl('comment_count')} as comments from feed where {FLAGS_FALSE}"
+    body = (
+        "select cls as Classification, sum(comments) / count(*) as sum_over_count, avg(comments) as avg_parsed "
+        "from rows where cls is not null group by cls"
+    )
+    return with_ctes(body, rows=rows)
+
+
+def join_broadcast_inner_sql() -> str:
+    return with_ctes("select f.video_id, f.category_id, d.category from feed f join dict d on f.category_id = d.id")
+
+
+def join_left_default_name_sql() -> str:
+    return with_ctes(
+        "select c.category_id, coalesce(d.category, '') as category, c.n from "
+        "(select category_id, count(*) as n from feed group by category_id) c "
+        "left join dict d on c.category_id = d.id"
+    )
+
+
+def join_dedup_dictionary_sql() -> str:
+    repeats = "select * from dict union all select cast(n_nationkey as varchar) as id, n_name as category from nation"
+    body = (
+        "select c.category_id, d.category, c.n from "
+        "(select category_id, count(*) as n from feed group by category_id) c "
+        "join (select id, max(category) as category from repeats group by id) d on c.category_id = d.id"
+    )
+    return with_ctes(body, repeats=repeats)
+
+
+def explode_sql(keep_trailing: bool) -> str:
+    return with_ctes(tag_rows("category_id", "feed", keep_trailing))
+
+
+def string_lower_concat_sql() -> str:
+    return with_ctes(f"select category_id, tag || '#' || cast(n as varchar) as item from ({ID_TAG_COUNTS}) c")
+
+
+def split_limit_sql() -> str:
+    def head_rest(col: str, sep: str, head: str, rest: str) -> str:
+        pos = f"strpos({col}, '{sep}')"
+        return (
+            f"case when {pos} > 0 then substr({col}, 1, {pos} - 1) else {col} end as {head}, "
+            f"case when {pos} > 0 then substr({col}, {pos} + 1) end as {rest}"
+        )
+
+    return (
+        f"select p_partkey, {head_rest('p_brand', '#', 'brand_head', 'brand_rest')}, "
+        f"{head_rest('p_name', ' ', 'name_head', 'name_rest')} from part"
+    )
+
+
+def string_contains_sql() -> str:
+    return feed_select("video_id, tags, contains(tags, '||') as has_empty_tail, contains(tags, 'Brand#') as has_brand")
+
+
+def json_extract_field_sql() -> str:
+    return "select event_id, json_extract_string(props, '$.k') as k from events"
+
+
+def agg_group_count_sql() -> str:
+    return with_ctes(f"select category, tag, n from ({NAMED_TAG_COUNTS}) c")
+
+
+def window_row_number_sql() -> str:
+    return with_ctes(f"select category, tag, n, rn from ({ranked_sql('category', NAMED_TAG_COUNTS)}) r")
+
+
+def topk_per_group_sql() -> str:
+    return with_ctes(top_sql("category", NAMED_TAG_COUNTS))
+
+
+def topk_by_category_id_sql() -> str:
+    return with_ctes(top_sql("category_id", tag_count_sql("category_id", "feed", keep_trailing=False)))
+
+
+def window_running_list_sql() -> str:
+    top = f"select *, row_number() over (partition by category order by n desc, tag) as rn from ({top_sql('category', NAMED_TAG_COUNTS)}) t"
+    body = (
+        "select a.category, a.tag, a.n, string_agg(b.tag || '#' || cast(b.n as varchar), ',' order by b.rn) as running "
+        "from top a join top b on a.category = b.category and b.rn <= a.rn group by a.category, a.tag, a.n"
+    )
+    return with_ctes(body, top=top)
+
+
+def agg_max_array_sql() -> str:
+    return p3_sql()
+
+
+def agg_ordered_list_sql() -> str:
+    return with_ctes(render_bracket("category", top_sql("category", NAMED_TAG_COUNTS)))
+
+
+def union_all_feeds_sql() -> str:
+    return feed_select(FEED_COLS)
+
+
+def first_per_key_feed_sql() -> str:
+    rest = ", ".join(c.strip() for c in FEED_COLS.split(",") if c.strip() != "video_id")
+    return with_ctes(first_per_key_sql("feed", "video_id", rest))
+
+
+def cache_reuse_sql() -> str:
+    return class_count_sql()

@@ -70,10 +70,14 @@ def feed_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         "comment_count": F.when(c("l_linenumber") == 6, F.lit(None).cast("string")).otherwise(_s(c("l_partkey"))),
         "thumbnail_link": F.concat(F.lit("thumb/"), _s(c("l_orderkey")), F.lit(".jpg")),
-        "comments_disabled": F.when(c("l_returnflag") == "R", F.lit("True")).otherwise(F.lit("False")),
-        "ratings_disabled": F.when((c("l_linestatus") == "F") & (c("l_linenumber") == 1), F.lit("True")).otherwise(
-            F.lit("False")
-        ),
+        # Flags: mostly 'True'/'False', plus lower-case text and NULLs, on
+        # which "equals 'False'" and "not equal to 'True'" disagree.
+        "comments_disabled": F.when(c("l_returnflag") == "R", F.lit("True"))
+        .when((c("l_returnflag") == "A") & (c("l_linenumber") == 3), F.lit("false"))
+        .otherwise(F.lit("False")),
+        "ratings_disabled": F.when((c("l_linestatus") == "F") & (c("l_linenumber") == 1), F.lit("True"))
+        .when((c("l_linestatus") == "F") & (c("l_linenumber") == 2), F.lit(None).cast("string"))
+        .otherwise(F.lit("False")),
         "video_error_or_removed": F.lit("False"),
         "description": c("p_type"),
     }
