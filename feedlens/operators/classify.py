@@ -22,45 +22,57 @@ def with_class(df: DataFrame, *, semantics: str = "string", out: str = "cls") ->
     return df.withColumn("_ratio", ratio("likes", dislikes)).withColumn(out, classify("_ratio")).drop("_ratio")
 
 
-def summarize_fixed_classes(df: DataFrame, *, cls: str = "cls", value: str = "comments") -> DataFrame:
-    """Exactly one row per class, in the fixed order neutral, good, bad.
+def _class_totals(df: DataFrame, cls: str, value: str) -> DataFrame:
+    """One row: per class ``n_<class>`` (rows) and ``s_<class>`` (sum of value).
 
-    ``VideosNumber`` counts the class rows, ``AverageComments`` is
-    ``sum(value) / count(*)``: rows with a NULL value still count in the
-    divisor; an empty class gives ``0, NULL``. One global aggregate with
-    conditional sums does all classes in a single pass (partial aggregate
-    per task, one tiny final merge), then the single row is unpacked into
-    three rows, so no join or sort is needed to keep empty classes.
+    A single global aggregate with conditional sums does all classes in one
+    pass: a partial aggregate per task and one tiny final merge, no shuffle
+    by class. The class column is computed once in the projection below the
+    aggregate; nothing filters on it, so Catalyst never copies the class
+    expression into a pushed-down predicate.
     """
     aggs = []
     for name in CLASS_ORDER:
         hit = F.col(cls) == F.lit(name)
         aggs.append(F.count_if(hit).alias(f"n_{name}"))
         aggs.append(F.sum(F.when(hit, F.col(value))).alias(f"s_{name}"))
-    one = df.agg(*aggs)
+    return df.agg(*aggs)
+
+
+def _class_rows(totals: DataFrame, value_type: str) -> DataFrame:
     rows = F.array(
         *[
             F.struct(
                 F.lit(name).alias(CLASSIFICATION),
                 F.col(f"n_{name}").alias(VIDEOS_NUMBER),
-                (F.col(f"s_{name}") / F.nullif(F.col(f"n_{name}"), F.lit(0))).cast("double").alias(AVERAGE_COMMENTS),
+                (F.col(f"s_{name}").cast(value_type) / F.nullif(F.col(f"n_{name}"), F.lit(0)))
+                .cast("double")
+                .alias(AVERAGE_COMMENTS),
             )
             for name in CLASS_ORDER
         ]
     )
-    return one.select(F.inline(rows))
+    return totals.select(F.inline(rows))
+
+
+def summarize_fixed_classes(df: DataFrame, *, cls: str = "cls", value: str = "comments") -> DataFrame:
+    """Exactly one row per class, in the fixed order neutral, good, bad.
+
+    ``VideosNumber`` counts the class rows, ``AverageComments`` is
+    ``sum(value) / count(*)``: rows with a NULL value still count in the
+    divisor; an empty class gives ``0, NULL``.
+    """
+    return _class_rows(_class_totals(df, cls, value), "double")
 
 
 def summarize_by_class(df: DataFrame, *, cls: str = "cls", value: str = "comments") -> DataFrame:
-    """One row per non-empty class: count and mean of ``value`` (NULL class dropped)."""
-    return (
-        df.filter(F.col(cls).isNotNull())
-        .groupBy(F.col(cls).alias(CLASSIFICATION))
-        .agg(
-            F.count(F.lit(1)).alias(VIDEOS_NUMBER),
-            (F.sum(F.col(value).cast("bigint")) / F.count(F.lit(1))).cast("double").alias(AVERAGE_COMMENTS),
-        )
-    )
+    """One row per non-empty class: count and ``sum(value) / count`` (NULL class dropped).
+
+    ``value`` is integral; its sum is exact (BIGINT) before the division.
+    Empty classes are removed after the aggregate, on the aggregated rows.
+    """
+    totals = df.select(cls, F.col(value).cast("bigint").alias(value))
+    return _class_rows(_class_totals(totals, cls, value), "double").filter(F.col(VIDEOS_NUMBER) > 0)
 
 
 def class_rows_string(feed: DataFrame) -> DataFrame:

@@ -80,7 +80,7 @@ def q_trending_union_first(spark, sf_dir):
 
 @register("top_words_by_lang", O.top_words_sql())
 def q_top_words_by_lang(spark, sf_dir):
-    return A.top_words_by_lang(testbed.table(spark, sf_dir, "documents"))
+    return A.top_words_by_lang(testbed.documents(spark, sf_dir))
 
 
 # --------------------------------------------------------------------------- helpers
@@ -149,6 +149,12 @@ def _write_region_feeds(spark, sf_dir) -> list[str]:
     return [f"{root}/region={r}" for r in testbed.REGIONS]
 
 
+def _table_name(prefix: str) -> str:
+    import uuid
+
+    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+
+
 def _expect_failure(action, what: str) -> None:
     try:
         action()
@@ -265,7 +271,9 @@ def q_sink_csv_errorifexists(spark, sf_dir):
 @register("sink_table_overwrite", O.p2_sql())
 def q_sink_table_overwrite(spark, sf_dir):
     result = A.classification_nonempty(testbed.feed(spark, sf_dir))
-    name = "feedlens_comments_classification"
+    # A fresh name per call: a managed table of an earlier session may have
+    # left its folder in the warehouse without being in this session's catalog.
+    name = _table_name("feedlens_comments_classification")
     sinks.write_table(result, name)
     sinks.write_table(result, name)  # overwrite replaces
     return spark.table(name)
@@ -274,8 +282,7 @@ def q_sink_table_overwrite(spark, sf_dir):
 @register("sink_ctas", O.p4_sql())
 def q_sink_ctas(spark, sf_dir):
     result = A.top_tags_by_category_id(testbed.feed(spark, sf_dir), testbed.dictionary(spark, sf_dir))
-    name = "feedlens_tags_by_category"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    name = _table_name("feedlens_tags_by_category")
     sinks.create_table_as(result, name)
     _expect_failure(lambda: sinks.create_table_as(result, name), "second CREATE TABLE AS SELECT")
     return spark.table(name)

@@ -1,0 +1,21 @@
+"""Spreading an input that arrives in too few splits.
+
+A large input arrives in many splits (files, row groups), one task each, and
+needs nothing. A small input stored as one unsplittable chunk (a single
+parquet row group, one gzip file) is read by one task, and all per-row work
+planned on top of the scan then runs on one core. ``spread_if_undersplit``
+hash-partitions such an input by a high-cardinality key into as many
+partitions as the cluster has cores; when the scan already has at least that
+many splits it returns the input unchanged, so it adds no shuffle at scale.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_if_undersplit(df: DataFrame, *keys: str) -> DataFrame:
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= parallelism:
+        return df
+    return df.repartition(parallelism, *keys)

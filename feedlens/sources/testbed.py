@@ -19,69 +19,79 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import FEED_COLUMNS
+from .splits import spread_if_undersplit
 
 REGIONS = ("CA", "GB", "US")
 
 
+_TABLES: dict[str, tuple[SparkSession, DataFrame]] = {}
+
+# The feed mapping, as SQL expressions over ``lineitem`` joined with ``part``.
+FEED_EXPRESSIONS = {
+    "region": "CASE l_suppkey % 3 WHEN 0 THEN 'CA' WHEN 1 THEN 'GB' ELSE 'US' END",
+    "video_id": "CAST(l_orderkey AS STRING)",
+    "trending_date": "date_format(l_shipdate, 'yy.dd.MM')",
+    "title": "p_name",
+    "channel_title": "concat('channel ', CAST(l_suppkey AS STRING))",
+    "category_id": "CAST(l_suppkey % 30 AS STRING)",  # ids 25..29 have no dictionary entry
+    "publish_time": "date_format(l_shipdate, \"yyyy-MM-dd'T'HH:mm:ss\")",
+    # '[none]' cells, trailing empty tags on line 7, upper case and '#' from the brand
+    "tags": "CASE WHEN l_tax = 0 THEN '[none]' "
+    "WHEN l_linenumber = 7 THEN concat(replace(p_name, ' ', '|'), '|', p_brand, '||') "
+    "ELSE concat(replace(p_name, ' ', '|'), '|', p_brand) END",
+    "views": "CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING)",
+    "likes": "CAST(CAST(l_quantity AS INT) AS STRING)",
+    "dislikes": "CASE WHEN l_partkey % 97 = 0 THEN 'n/a' "
+    "ELSE CAST(CAST(round(l_discount * 100) AS INT) AS STRING) END",  # 0..10 and unparsable
+    "comment_count": "CASE WHEN l_linenumber = 6 THEN NULL ELSE CAST(l_partkey AS STRING) END",
+    "thumbnail_link": "concat('thumb/', CAST(l_orderkey AS STRING), '.jpg')",
+    # Flags: mostly 'True'/'False', plus lower-case text and NULLs, on which
+    # "equals 'False'" and "not equal to 'True'" disagree.
+    "comments_disabled": "CASE WHEN l_returnflag = 'R' THEN 'True' "
+    "WHEN l_returnflag = 'A' AND l_linenumber = 3 THEN 'false' ELSE 'False' END",
+    "ratings_disabled": "CASE WHEN l_linestatus = 'F' AND l_linenumber = 1 THEN 'True' "
+    "WHEN l_linestatus = 'F' AND l_linenumber = 2 THEN NULL ELSE 'False' END",
+    "video_error_or_removed": "'False'",
+    "description": "p_type",
+}
+
+LINEITEM_COLUMNS = (
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_linestatus",
+    "l_shipdate",
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, resolved once per session (file listing and footers read once)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    hit = _TABLES.get(path)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    df = spark.read.parquet(path)
+    _TABLES[path] = (spark, df)
+    return df
 
 
-def _s(c):
-    return c.cast("string")
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``documents`` table, spread over the cores when it arrives in too few splits."""
+    return spread_if_undersplit(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
 
 
 def feed_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole feed (all regions) plus a ``region`` column."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_partkey",
-        "l_suppkey",
-        "l_linenumber",
-        "l_quantity",
-        "l_extendedprice",
-        "l_discount",
-        "l_tax",
-        "l_returnflag",
-        "l_linestatus",
-        "l_shipdate",
-    )
+    li = spread_if_undersplit(table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS), "l_orderkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     j = li.join(part, li.l_partkey == part.p_partkey, "inner")
-    c = F.col
-    tag_base = F.concat(F.regexp_replace(c("p_name"), " ", "|"), F.lit("|"), c("p_brand"))
-    cols = {
-        "region": F.when(c("l_suppkey") % 3 == 0, F.lit("CA"))
-        .when(c("l_suppkey") % 3 == 1, F.lit("GB"))
-        .otherwise(F.lit("US")),
-        "video_id": _s(c("l_orderkey")),
-        "trending_date": F.date_format(c("l_shipdate"), "yy.dd.MM"),
-        "title": c("p_name"),
-        "channel_title": F.concat(F.lit("channel "), _s(c("l_suppkey"))),
-        "category_id": _s(c("l_suppkey") % 30),
-        "publish_time": F.date_format(c("l_shipdate"), "yyyy-MM-dd'T'HH:mm:ss"),
-        "tags": F.when(c("l_tax") == 0, F.lit("[none]"))
-        .when(c("l_linenumber") == 7, F.concat(tag_base, F.lit("||")))
-        .otherwise(tag_base),
-        "views": _s(F.floor(c("l_extendedprice")).cast("bigint")),
-        "likes": _s(c("l_quantity").cast("int")),
-        "dislikes": F.when(c("l_partkey") % 97 == 0, F.lit("n/a")).otherwise(
-            _s(F.round(c("l_discount") * 100).cast("int"))
-        ),
-        "comment_count": F.when(c("l_linenumber") == 6, F.lit(None).cast("string")).otherwise(_s(c("l_partkey"))),
-        "thumbnail_link": F.concat(F.lit("thumb/"), _s(c("l_orderkey")), F.lit(".jpg")),
-        # Flags: mostly 'True'/'False', plus lower-case text and NULLs, on
-        # which "equals 'False'" and "not equal to 'True'" disagree.
-        "comments_disabled": F.when(c("l_returnflag") == "R", F.lit("True"))
-        .when((c("l_returnflag") == "A") & (c("l_linenumber") == 3), F.lit("false"))
-        .otherwise(F.lit("False")),
-        "ratings_disabled": F.when((c("l_linestatus") == "F") & (c("l_linenumber") == 1), F.lit("True"))
-        .when((c("l_linestatus") == "F") & (c("l_linenumber") == 2), F.lit(None).cast("string"))
-        .otherwise(F.lit("False")),
-        "video_error_or_removed": F.lit("False"),
-        "description": c("p_type"),
-    }
-    return j.select(*[v.alias(k) for k, v in cols.items()])
+    return j.selectExpr(*[f"{expr} AS {name}" for name, expr in FEED_EXPRESSIONS.items()])
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,13 +110,13 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        _s(F.col("n_nationkey")).alias("id"), F.col("r_name").alias("category")
+        F.col("n_nationkey").cast("string").alias("id"), F.col("r_name").alias("category")
     )
 
 
 def dictionary_with_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dictionary plus a second name per id (the nation name): every id repeats."""
     nation = table(spark, sf_dir, "nation").select(
-        _s(F.col("n_nationkey")).alias("id"), F.col("n_name").alias("category")
+        F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("category")
     )
     return dictionary(spark, sf_dir).unionByName(nation)
