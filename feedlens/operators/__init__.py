@@ -9,7 +9,7 @@ from .classify import (
 )
 from .dictionary import BROADCAST_MAX_ROWS, attach_name, dedupe_dictionary, row_count_at_most
 from .feed import first_per_key, keep_enabled, parsable_rows, union_feeds
-from .tags import explode_tags, ranked_lists, render_top, tag_counts, top_k, with_rank
+from .tags import explode_tags, ranked_lists, render_top, tag_counts, top_k
 from .windows import longest_list, running_list
 
 __all__ = [
@@ -33,5 +33,4 @@ __all__ = [
     "top_k",
     "union_feeds",
     "with_class",
-    "with_rank",
 ]

@@ -10,7 +10,9 @@ Scale notes
   ``WindowGroupLimit`` that keeps at most k rows per group on the map side
   before the shuffle on the group key, so a category holding most of the
   tags sends at most ``k`` rows per map task to its reducer.
-* ``render_top`` collects lists only after the cut to k rows.
+* every list-building operator (``ranked_lists``, ``render_top``, and
+  ``windows.running_list``) applies the top-k cut itself, so no group is
+  ever collected whole.
 """
 
 from __future__ import annotations
@@ -55,34 +57,44 @@ def tag_counts(df: DataFrame, keys: Sequence[str], *, tag: str = "tag", out: str
     return df.groupBy(*keys, tag).agg(F.count(F.lit(1)).alias(out))
 
 
-def rank_window(keys: Sequence[str], *, n: str = "n", tag: str = "tag"):
+def _rank_window(keys: Sequence[str], *, n: str = "n", tag: str = "tag"):
     """Per-group order: count descending, then tag ascending (a total order)."""
     return Window.partitionBy(*keys).orderBy(F.col(n).desc(), F.col(tag).asc())
 
 
-def with_rank(df: DataFrame, keys: Sequence[str], *, n: str = "n", tag: str = "tag", out: str = "rn") -> DataFrame:
-    """Add the 1-based position of each row within its group."""
-    return df.withColumn(out, F.row_number().over(rank_window(keys, n=n, tag=tag)))
-
-
 def top_k(
     df: DataFrame, keys: Sequence[str], k: int = TOP_K, *, n: str = "n", tag: str = "tag", keep_rank: bool = False
 ) -> DataFrame:
-    """The k most frequent tags per group (ties broken by tag text)."""
-    ranked = with_rank(df, keys, n=n, tag=tag).filter(F.col("rn") <= F.lit(k))
+    """The k most frequent tags per group (ties broken by tag text); ``rn`` is the 1-based rank.
+
+    ``row_number`` followed by ``rn <= k`` is planned as ``WindowGroupLimit``
+    (partial, before the shuffle on the group key, and final): no task ever
+    holds more than k rows of a group per upstream partition, however large
+    the group.
+    """
+    ranked = df.withColumn("rn", F.row_number().over(_rank_window(keys, n=n, tag=tag)))
+    ranked = ranked.filter(F.col("rn") <= F.lit(int(k)))
     return ranked if keep_rank else ranked.drop("rn")
 
 
-def render_top(
-    df: DataFrame, keys: Sequence[str], *, fmt: str = "hash", n: str = "n", tag: str = "tag", out: str = "top10_tags"
+def ranked_lists(
+    df: DataFrame, keys: Sequence[str], k: int = TOP_K, *, n: str = "n", tag: str = "tag", out: str = "entries"
 ) -> DataFrame:
-    """One row per group with its (already cut) ranked list rendered as text."""
-    lists = df.groupBy(*keys).agg(ranked_entries(n, tag).alias("_entries"))
-    return lists.select(*keys, render_entries("_entries", fmt).alias(out))
+    """One row per group: its top-k ``array<struct<n, tag>>`` in rank order (at most k entries)."""
+    top = top_k(df, keys, k, n=n, tag=tag)
+    return top.groupBy(*keys).agg(ranked_entries(n, tag).alias(out))
 
 
-def ranked_lists(
-    df: DataFrame, keys: Sequence[str], *, n: str = "n", tag: str = "tag", out: str = "entries"
+def render_top(
+    df: DataFrame,
+    keys: Sequence[str],
+    k: int = TOP_K,
+    *,
+    fmt: str = "hash",
+    n: str = "n",
+    tag: str = "tag",
+    out: str = "top10_tags",
 ) -> DataFrame:
-    """One row per group with the ordered ``array<struct<n, tag>>`` (bounded input only)."""
-    return df.groupBy(*keys).agg(ranked_entries(n, tag).alias(out))
+    """One row per group with its top-k list rendered as text (see ``functions.RENDERINGS``)."""
+    lists = ranked_lists(df, keys, k, n=n, tag=tag, out="_entries")
+    return lists.select(*keys, render_entries("_entries", fmt).alias(out))

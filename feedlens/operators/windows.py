@@ -8,17 +8,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import tag_with_count
+from ..schema import TOP_K
+from .tags import top_k
 
 
 def running_list(
-    df: DataFrame, keys: Sequence[str], *, n: str = "n", tag: str = "tag", out: str = "running"
+    df: DataFrame, keys: Sequence[str], k: int = TOP_K, *, n: str = "n", tag: str = "tag", out: str = "running"
 ) -> DataFrame:
-    """Per row: the list of ``tag#n`` of all rows ranked up to and including it.
+    """Per top-k row: the list of ``tag#n`` of all rows ranked up to and including it.
 
     Rank = count descending, tag ascending, so the order is total and the
-    frame ``UNBOUNDED PRECEDING .. CURRENT ROW`` holds no peers. Meant for
-    groups already cut to top-k; the list length is bounded by the rank.
+    frame ``UNBOUNDED PRECEDING .. CURRENT ROW`` holds no peers. The group is
+    cut to its top k first, so a list never holds more than k entries.
     """
+    df = top_k(df, keys, k, n=n, tag=tag)
     w = (
         Window.partitionBy(*keys)
         .orderBy(F.col(n).desc(), F.col(tag).asc())

@@ -36,7 +36,6 @@ from ..operators import (
     summarize_by_class,
     summarize_fixed_classes,
     tag_counts,
-    top_k,
     union_feeds,
 )
 from ..schema import FEED_COLUMNS, TOP_K
@@ -77,13 +76,13 @@ def top_tags_by_category_name(
     else:
         named = attach_name(feed, dictionary, how="inner")
         counts = tag_counts(explode_tags(named, ["category"]), ["category"])
-    return render_top(top_k(counts, ["category"], k), ["category"], fmt=fmt, out="top10_tags")
+    return render_top(counts, ["category"], k, fmt=fmt, out="top10_tags")
 
 
 def _top_tags_by_id(feeds, dictionary: DataFrame, k: int, fmt: str) -> DataFrame:
     feed = union_feeds(feeds).select("category_id", "tags")
     tags = explode_tags(feed, ["category_id"], keep_trailing_empty=False)
-    lists = render_top(top_k(tag_counts(tags, ["category_id"]), ["category_id"], k), ["category_id"], fmt=fmt)
+    lists = render_top(tag_counts(tags, ["category_id"]), ["category_id"], k, fmt=fmt)
     named = attach_name(lists, dedupe_dictionary(dictionary), how="left", default="")
     return named.select("category_id", "category", "top10_tags")
 
@@ -113,4 +112,4 @@ def top_words_by_lang(documents: DataFrame, *, k: int = TOP_K) -> DataFrame:
     """Top words per language over whole texts (split on single spaces, lower-cased)."""
     words = explode_tags(documents.select("lang", "text"), ["lang"], col="text", pattern=" ", drop_value=None)
     counts = tag_counts(words, ["lang"])
-    return render_top(top_k(counts, ["lang"], k), ["lang"], fmt="hash", out="top10_words")
+    return render_top(counts, ["lang"], k, fmt="hash", out="top10_words")

@@ -68,14 +68,18 @@ def q_top_tags_count_first(spark, sf_dir):
     return A.top_tags_count_first(testbed.feed(spark, sf_dir), testbed.dictionary(spark, sf_dir))
 
 
+# The testbed feed is already the union of the three regional feeds, read in
+# one scan; slicing it per region and unioning back would read it three times.
+
+
 @register("trending_union", O.p6_sql())
 def q_trending_union(spark, sf_dir):
-    return A.trending_union(testbed.feeds_by_region(spark, sf_dir))
+    return A.trending_union(testbed.feed(spark, sf_dir))
 
 
 @register("trending_union_first", O.p7_sql())
 def q_trending_union_first(spark, sf_dir):
-    return A.trending_union_first(testbed.feeds_by_region(spark, sf_dir))
+    return A.trending_union_first(testbed.feed(spark, sf_dir))
 
 
 @register("top_words_by_lang", O.top_words_sql())
@@ -114,7 +118,6 @@ from ..operators import (  # noqa: E402
     top_k,
     union_feeds,
     with_class,
-    with_rank,
 )
 from ..functions import render_entries  # noqa: E402
 from ..schema import CLASS_ORDER, CLASSIFICATION, CLASSIFICATION_SCHEMA, FEED_COLUMNS, VIDEOS_NUMBER  # noqa: E402
@@ -494,7 +497,7 @@ def q_json_extract_field(spark, sf_dir):
 
 @register("window_row_number", O.window_row_number_sql())
 def q_window_row_number(spark, sf_dir):
-    return with_rank(_named_tag_counts(spark, sf_dir), ["category"])
+    return top_k(_named_tag_counts(spark, sf_dir), ["category"], keep_rank=True)
 
 
 @register("topk_per_group", O.topk_per_group_sql())
@@ -509,7 +512,7 @@ def q_topk_by_category_id(spark, sf_dir):
 
 
 def _running(spark, sf_dir):
-    return running_list(top_k(_named_tag_counts(spark, sf_dir), ["category"]), ["category"])
+    return running_list(_named_tag_counts(spark, sf_dir), ["category"])
 
 
 @register("window_running_list", O.window_running_list_sql())
@@ -525,7 +528,7 @@ def q_agg_max_array(spark, sf_dir):
 
 @register("agg_ordered_list", O.agg_ordered_list_sql())
 def q_agg_ordered_list(spark, sf_dir):
-    lists = ranked_lists(top_k(_named_tag_counts(spark, sf_dir), ["category"]), ["category"])
+    lists = ranked_lists(_named_tag_counts(spark, sf_dir), ["category"])
     return lists.select("category", render_entries("entries", "bracket").alias("top10_tags"))
 
 
@@ -545,3 +548,24 @@ def q_first_per_key(spark, sf_dir):
 @register("top_tags_sql", O.p3_sql())
 def q_top_tags_sql(spark, sf_dir):
     return SQL.top_tags_by_category_name(spark, testbed.feed(spark, sf_dir), testbed.dictionary(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- streaming
+
+
+@register("top_tags_streaming", O.p3_sql())
+def q_top_tags_streaming(spark, sf_dir):
+    """P3 through Structured Streaming: the feed arrives as CSV files, several per micro-batch."""
+    from ..schema import all_string_schema
+    from ..streaming import read_feed_stream, start_top_tags
+
+    inbox = scratch_path(spark, "feed-inbox")
+    sinks.write_csv(testbed.feed(spark, sf_dir), inbox)
+    out = scratch_path(spark, "top-tags-stream")
+    stream = read_feed_stream(spark, inbox, max_files_per_trigger=4)
+    query = start_top_tags(stream, testbed.dictionary(spark, sf_dir), out, available_now=True)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    result = S.read_feed(spark, out, schema=all_string_schema(["category", "top10_tags", "epoch"]))
+    return result.select("category", "top10_tags")

@@ -384,7 +384,7 @@ def agg_group_count_sql() -> str:
 
 
 def window_row_number_sql() -> str:
-    return with_ctes(f"select category, tag, n, rn from ({ranked_sql('category', NAMED_TAG_COUNTS)}) r")
+    return with_ctes(f"select category, tag, n, rn from ({ranked_sql('category', NAMED_TAG_COUNTS)}) r where rn <= 10")
 
 
 def topk_per_group_sql() -> str:
