@@ -6,13 +6,56 @@ from them) in full, so its work grows with the data.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
+from .. import sinks
+from .. import sources as S
+from ..functions import (
+    contains,
+    in_range,
+    json_field,
+    ratio,
+    render_entries,
+    split_first,
+    tag_with_count,
+    zero_guard_numeric,
+    zero_guard_string,
+)
+from ..operators import (
+    attach_name,
+    class_rows_string,
+    dedupe_dictionary,
+    explode_tags,
+    first_per_key,
+    keep_enabled,
+    longest_list,
+    parsable_rows,
+    ranked_lists,
+    running_list,
+    tag_counts,
+    top_k,
+    union_feeds,
+    with_class,
+)
+from ..schema import (
+    CLASS_ORDER,
+    CLASSIFICATION,
+    CLASSIFICATION_SCHEMA,
+    FEED_COLUMNS,
+    VIDEOS_NUMBER,
+    all_string_schema,
+)
+from ..session import scratch_path
 from ..sources import testbed
+from ..streaming import read_feed_stream, start_top_tags
 from . import analytics as A
 from . import oracle as O
+from . import sql as SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,41 +132,6 @@ def q_top_words_by_lang(spark, sf_dir):
 
 # --------------------------------------------------------------------------- helpers
 
-from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql.utils import AnalysisException  # noqa: E402
-
-from .. import sinks  # noqa: E402
-from .. import sources as S  # noqa: E402
-from ..functions import (  # noqa: E402
-    contains,
-    json_field,
-    ratio,
-    split_first,
-    tag_with_count,
-    zero_guard_numeric,
-    zero_guard_string,
-)
-from ..operators import (  # noqa: E402
-    attach_name,
-    class_rows_string,
-    dedupe_dictionary,
-    explode_tags,
-    first_per_key,
-    keep_enabled,
-    longest_list,
-    parsable_rows,
-    ranked_lists,
-    running_list,
-    tag_counts,
-    top_k,
-    union_feeds,
-    with_class,
-)
-from ..functions import render_entries  # noqa: E402
-from ..schema import CLASS_ORDER, CLASSIFICATION, CLASSIFICATION_SCHEMA, FEED_COLUMNS, VIDEOS_NUMBER  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from . import sql as SQL  # noqa: E402
-
 
 def _named_tag_counts(spark, sf_dir):
     feed = testbed.feed(spark, sf_dir).select("category_id", "tags")
@@ -153,8 +161,6 @@ def _write_region_feeds(spark, sf_dir) -> list[str]:
 
 
 def _table_name(prefix: str) -> str:
-    import uuid
-
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
 
 
@@ -192,8 +198,6 @@ def q_scan_csv_dropmalformed(spark, sf_dir):
     path = scratch_path(spark, "malformed")
     feed.select(line.alias("value")).write.text(path)
     names = ["video_id", "category_id", "likes", "dislikes", "comments_disabled"]
-    from ..schema import all_string_schema
-
     df = S.read_feed(spark, path, schema=all_string_schema(names), header=False)
     return df.select("video_id", "likes")  # a pruned projection must still drop malformed lines
 
@@ -207,8 +211,6 @@ def q_scan_csv_quoted(spark, sf_dir):
     line = F.concat_ws(",", c("video_id"), quoted_tags, quoted_title, c("likes"))
     path = scratch_path(spark, "quoted")
     feed.select(line.alias("value")).write.text(path)
-    from ..schema import all_string_schema
-
     schema = all_string_schema(["video_id", "tag_text", "quoted_title", "likes"])
     return S.read_feed(spark, path, schema=schema, header=False)
 
@@ -266,8 +268,6 @@ def q_sink_csv_errorifexists(spark, sf_dir):
     path = scratch_path(spark, "top-tags-csv")
     sinks.write_csv(result, path, mode="errorifexists", single_file=True)
     _expect_failure(lambda: sinks.write_csv(result, path, mode="errorifexists"), "second write")
-    from ..schema import all_string_schema
-
     return S.read_feed(spark, path, schema=all_string_schema(["category", "top10_tags"]))
 
 
@@ -359,8 +359,6 @@ def _str_ratio(feed):
 
 @register("filter_ratio_range", O.filter_ratio_range_sql())
 def q_filter_ratio_range(spark, sf_dir):
-    from ..functions import in_range
-
     rows = _str_ratio(testbed.feed(spark, sf_dir))
     return rows.filter(in_range("ratio")).select("video_id", "likes", "dislikes", "ratio")
 
@@ -556,9 +554,6 @@ def q_top_tags_sql(spark, sf_dir):
 @register("top_tags_streaming", O.p3_sql())
 def q_top_tags_streaming(spark, sf_dir):
     """P3 through Structured Streaming: the feed arrives as CSV files, several per micro-batch."""
-    from ..schema import all_string_schema
-    from ..streaming import read_feed_stream, start_top_tags
-
     inbox = scratch_path(spark, "feed-inbox")
     sinks.write_csv(testbed.feed(spark, sf_dir), inbox)
     out = scratch_path(spark, "top-tags-stream")

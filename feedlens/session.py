@@ -44,9 +44,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if jdir.isDefined():
-        return jdir.get()
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
     local = tempfile.mkdtemp(prefix="feedlens-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -15,7 +15,11 @@ from pyspark.sql import DataFrame
 
 
 def spread_if_undersplit(df: DataFrame, *keys: str) -> DataFrame:
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= parallelism:
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no SparkContext on this client (e.g. Spark Connect): leave it to Spark
+        return df
+    if splits >= parallelism:
         return df
     return df.repartition(parallelism, *keys)
