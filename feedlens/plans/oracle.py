@@ -312,8 +312,9 @@ def ratio_classify_sql() -> str:
 def agg_count_by_class_sql() -> str:
     cls = class_sql(STR_RATIO)
     return feed_select(
-        f"count(*) as enabled, count_if({cls} = 'neutral') as neutral, count_if({cls} = 'good') as good, "
-        f"count_if({cls} = 'bad') as bad, count_if({cls} is null) as unclassified",
+        f"count(*) as enabled, cast(count_if({cls} = 'neutral') as bigint) as neutral, "
+        f"cast(count_if({cls} = 'good') as bigint) as good, cast(count_if({cls} = 'bad') as bigint) as bad, "
+        f"cast(count_if({cls} is null) as bigint) as unclassified",
         FLAGS_FALSE,
     )
 
@@ -384,7 +385,10 @@ def agg_group_count_sql() -> str:
 
 
 def window_row_number_sql() -> str:
-    return with_ctes(f"select category, tag, n, rn from ({ranked_sql('category', NAMED_TAG_COUNTS)}) r where rn <= 10")
+    return with_ctes(
+        f"select category, tag, n, cast(rn as integer) as rn from ({ranked_sql('category', NAMED_TAG_COUNTS)}) r "
+        "where rn <= 10"
+    )
 
 
 def topk_per_group_sql() -> str:

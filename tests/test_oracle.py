@@ -25,6 +25,9 @@ def duck():
     return con
 
 
+SPARK_TO_DUCKDB = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
 def norm(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else repr(round(v, 9))
@@ -46,6 +49,9 @@ def test_query_matches_oracle(spark, duck, name):
     idx = [ocols.index(c) for c in cols]
     want = sorted(tuple(norm(r[i]) for i in idx) for r in rel.fetchall())
     assert got == want
+    types = {f.name: SPARK_TO_DUCKDB.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
+    duck_types = {r[0]: r[1] for r in duck.execute(f"describe {E.oracle_sql()[name]}").fetchall()}
+    assert types == duck_types
 
 
 def test_entry_smoke(spark):
