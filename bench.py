@@ -2,7 +2,7 @@
 
 Runs each headline query on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1)
 with ``local[$BENCH_CPUS]`` (default 8): one warm-up pass over all queries,
-then ``$BENCH_REPEATS`` (default 3) interleaved rounds; the median per query
+then ``$BENCH_REPEATS`` (default 5) interleaved rounds; the median per query
 is reported. A timed run covers building the plan and executing it. A run executes the whole plan and
 discards the rows through the ``noop`` sink, so no time goes into moving
 rows to the driver. Prints one JSON line.
@@ -45,7 +45,7 @@ def _pre_aggregated_top_tags(spark, sf_dir):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "5"))
     conf = {"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"}
     spark = get_session(f"local[{cpus}]", app="feedlens-bench", shuffle_partitions=cpus * 2, conf=conf)
 

@@ -17,9 +17,22 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 
 
+_CHECKED: dict[tuple[int, int], tuple[DataFrame, bool]] = {}
+
+
 def row_count_at_most(df: DataFrame, bound: int) -> bool:
-    """True when ``df`` has at most ``bound`` rows; reads at most ``bound + 1`` rows."""
-    return df.limit(bound + 1).count() <= bound
+    """True when ``df`` has at most ``bound`` rows; reads at most ``bound + 1`` rows.
+
+    The answer is remembered per DataFrame object (a DataFrame is an
+    immutable plan over a fixed file listing), so building several plans on
+    the same dictionary runs the check once.
+    """
+    hit = _CHECKED.get((id(df), bound))
+    if hit is not None and hit[0] is df:
+        return hit[1]
+    ok = df.limit(bound + 1).count() <= bound
+    _CHECKED[(id(df), bound)] = (df, ok)
+    return ok
 
 
 def dedupe_dictionary(dictionary: DataFrame, *, id_col: str = "id", name: str = "category") -> DataFrame:
@@ -45,7 +58,7 @@ def attach_name(
     ``broadcast_max_rows=None`` never broadcasts explicitly.
     """
     names = dictionary.select(F.col(id_col).alias(on), F.col(name))
-    if broadcast_max_rows is not None and row_count_at_most(names, broadcast_max_rows):
+    if broadcast_max_rows is not None and row_count_at_most(dictionary, broadcast_max_rows):
         names = F.broadcast(names)
     out = df.join(names, on=on, how=how)
     if default is not None:

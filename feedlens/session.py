@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Python call-site capture for error messages costs several py4j round
+    # trips per DataFrame/Column call while a plan is built; batch jobs skip it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

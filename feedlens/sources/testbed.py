@@ -106,12 +106,18 @@ def feeds_by_region(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(id, category)``: nation key -> region name (25 ids, 5 names)."""
+    """``(id, category)``: nation key -> region name (25 ids, 5 names); one plan per session."""
+    key = f"{sf_dir.rstrip('/')}#dictionary"
+    hit = _TABLES.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+    df = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         F.col("n_nationkey").cast("string").alias("id"), F.col("r_name").alias("category")
     )
+    _TABLES[key] = (spark, df)
+    return df
 
 
 def dictionary_with_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
