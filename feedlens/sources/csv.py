@@ -32,18 +32,26 @@ def read_feed(
     spark: SparkSession,
     paths: str | Sequence[str],
     *,
-    schema: T.StructType = FEED_SCHEMA,
+    schema: T.StructType | None = FEED_SCHEMA,
     header: bool = True,
     sep: str = ",",
     mode: str = "DROPMALFORMED",
     quote: str = '"',
     escape: str = '"',
     multi_line: bool = False,
+    enforce_schema: bool = True,
 ) -> DataFrame:
-    """Read one or more CSV feed files as all-string columns."""
+    """Read one or more CSV feed files as all-string columns.
+
+    With ``schema`` the columns are named by position. ``enforce_schema=False``
+    checks the header line of every file against the schema names and fails
+    on a mismatch instead. ``schema=None`` takes the names from the header
+    (all columns strings, no type inference); read files whose column order
+    differs one by one and combine them with ``union_feeds`` (by name).
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema).option("enforceSchema", enforce_schema)
     reader = (
-        spark.read.schema(schema)
-        .option("header", header)
+        reader.option("header", header)
         .option("sep", sep)
         .option("mode", mode)
         .option("quote", quote)

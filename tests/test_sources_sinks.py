@@ -138,3 +138,29 @@ def test_key_value_sink_roundtrip(spark, tmp_dir):
     sinks.write_key_value(df, out, "tag", "n")
     back = read_key_value(spark, out, key="tag", value="n")
     assert sorted(tuple(r) for r in back.collect()) == [("pop", "1"), ("rock", "4")]
+
+
+def test_header_names_and_union_by_name(spark, tmp_dir):
+    from feedlens.operators import union_feeds
+
+    a = os.path.join(tmp_dir, "a.csv")
+    b = os.path.join(tmp_dir, "b.csv")
+    with open(a, "w") as f:
+        f.write("video_id,likes,tags\nv1,5,x|y\n")
+    with open(b, "w") as f:
+        f.write("tags,video_id,likes\nz,v2,7\n")
+    frames = [read_feed(spark, p, schema=None) for p in (a, b)]
+    rows = sorted(tuple(r) for r in union_feeds(frames).select("video_id", "likes", "tags").collect())
+    assert rows == [("v1", "5", "x|y"), ("v2", "7", "z")]
+    # positional union would mix the columns up
+    mixed = sorted(tuple(r) for r in union_feeds(frames, by_name=False).collect())
+    assert ("z", "v2", "7") in mixed
+
+
+def test_enforce_schema_rejects_reordered_header(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "reordered.csv")
+    with open(p, "w") as f:
+        f.write("cat,id,tags,likes,flag\n10,1,a,5,False\n")
+    with pytest.raises(Exception):
+        read_feed(spark, p, schema=SCHEMA, enforce_schema=False).collect()
+    assert read_feed(spark, p, schema=SCHEMA).first().id == "10"  # positional by default
