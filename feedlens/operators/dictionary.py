@@ -3,8 +3,9 @@
 A broadcast join is used only behind a size check: the dictionary is
 counted with ``limit(bound + 1)`` (a job that stops after ``bound + 1`` rows)
 and broadcast only when it holds at most ``bound`` rows. Beyond that the join
-is left to Spark (sort-merge, with adaptive skew splitting), and callers
-aggregate before joining so the large side is already reduced.
+is a shuffle join; callers aggregate before joining so the large side is
+already reduced, and can salt the join key so a hot id is split over several
+tasks (adaptive skew splitting stays on as well).
 """
 
 from __future__ import annotations
@@ -50,17 +51,30 @@ def attach_name(
     how: str = "inner",
     default: str | None = None,
     broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
+    salt_buckets: int = 0,
 ) -> DataFrame:
     """Join ``dictionary.name`` onto ``df`` by ``df[on] == dictionary[id_col]``.
 
     ``how='inner'`` drops rows with an unknown id (and fans out on repeated
     ids); ``how='left'`` keeps them, with ``default`` as their name when given.
     ``broadcast_max_rows=None`` never broadcasts explicitly.
+
+    ``salt_buckets > 1`` applies to the shuffle join only (a dictionary over
+    the broadcast bound): every row of ``df`` gets a salt in
+    ``[0, salt_buckets)`` from a hash of its own values, and the dictionary is
+    replicated once per salt value with a generator, so one id holding a
+    large share of ``df`` is spread over ``salt_buckets`` tasks. The salt is
+    deterministic, so a retried task sends every row where it went before.
     """
     names = dictionary.select(F.col(id_col).alias(on), F.col(name))
     if broadcast_max_rows is not None and row_count_at_most(dictionary, broadcast_max_rows):
-        names = F.broadcast(names)
-    out = df.join(names, on=on, how=how)
+        out = df.join(F.broadcast(names), on=on, how=how)
+    elif salt_buckets > 1:
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salt_buckets)))
+        copies = names.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>")))
+        out = salted.join(copies, on=[on, "_salt"], how=how).drop("_salt")
+    else:
+        out = df.join(names, on=on, how=how)
     if default is not None:
         out = out.withColumn(name, F.coalesce(F.col(name), F.lit(default)))
     return out

@@ -40,6 +40,11 @@ from ..operators import (
 )
 from ..schema import FEED_COLUMNS, TOP_K
 
+# Salt values for the shuffle join of pre-aggregated counts with a dictionary
+# too large to broadcast: a category id holding a large share of the distinct
+# (id, tag) pairs is spread over this many join tasks.
+SALT_BUCKETS = 32
+
 
 def avg_comments_classification(feeds) -> DataFrame:
     """Classification with string semantics; always the three classes."""
@@ -64,14 +69,15 @@ def top_tags_by_category_name(
     is too large to broadcast (or ``pre_aggregate=True``), tags are counted
     per ``(category_id, tag)`` first and the much smaller counts are joined
     and re-summed by name; repeated ids multiply the counts exactly as they
-    multiply rows in the join-first plan.
+    multiply rows in the join-first plan. That join is salted on the id
+    (``SALT_BUCKETS``), so a hot category does not land in one task.
     """
     feed = union_feeds(feeds).select("category_id", "tags")
     if pre_aggregate is None:
         pre_aggregate = not row_count_at_most(dictionary, BROADCAST_MAX_ROWS)
     if pre_aggregate:
         by_id = tag_counts(explode_tags(feed, ["category_id"]), ["category_id"])
-        named = attach_name(by_id, dictionary, how="inner", broadcast_max_rows=None)
+        named = attach_name(by_id, dictionary, how="inner", broadcast_max_rows=None, salt_buckets=SALT_BUCKETS)
         counts = named.groupBy("category", "tag").agg(F.sum("n").alias("n"))
     else:
         named = attach_name(feed, dictionary, how="inner")

@@ -70,3 +70,17 @@ def test_no_python_in_any_plan(spark, name):
     df = catalog.queries()[name](spark, SF_SMALL)
     p = plan_of(df)
     assert not any(node in p for node in PYTHON_NODES), name
+
+
+def test_salted_join_equals_plain_join(spark):
+    from feedlens.operators import explode_tags, tag_counts
+
+    feed = testbed.feed(spark, SF_SMALL).select("category_id", "tags")
+    counts = tag_counts(explode_tags(feed, ["category_id"]), ["category_id"])
+    dictionary = testbed.dictionary_with_repeats(spark, SF_SMALL)
+    plain = attach_name(counts, dictionary, broadcast_max_rows=None)
+    salted = attach_name(counts, dictionary, broadcast_max_rows=None, salt_buckets=7)
+    left = attach_name(counts, dictionary, broadcast_max_rows=None, salt_buckets=7, how="left", default="")
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
+    assert left.count() == counts.join(dictionary.withColumnRenamed("id", "category_id"), "category_id", "left").count()
+    assert "_salt" not in salted.columns
