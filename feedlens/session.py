@@ -61,9 +61,4 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/feedlens-scratch/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for local-only helpers in tests)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["checkpoint_root", "get_session", "local_path", "scratch_path"]
+__all__ = ["checkpoint_root", "get_session", "scratch_path"]
