@@ -64,6 +64,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--out", required=True, help="output folder (CSV with header)")
         s.add_argument("--mode", default="overwrite", choices=("overwrite", "errorifexists"))
         s.add_argument("--table", help="also save the result as this table")
+        s.add_argument("--no-show", dest="show", action="store_false", help="do not print bounded results")
         if name == "classify":
             s.add_argument("--semantics", default="string", choices=("string", "numeric"))
         if name == "top-tags":
@@ -90,10 +91,17 @@ def run(argv: Sequence[str] | None = None, spark: SparkSession | None = None) ->
         bounded = True  # at most one row per category
     else:
         result, bounded = union(spark, args.feeds, first_per_key=args.first_per_key), False
+    if bounded:
+        result = result.cache()  # a few rows: computed once for every output below
     write_csv(result, args.out, mode=args.mode, single_file=bounded)
     if args.table:
+        # The table is filled from the files just written (bounded results
+        # come from the cache), so the whole plan never runs twice.
+        source = result if bounded else read_feed(spark, args.out, schema=result.schema)
         if args.mode == "errorifexists":
-            create_table_as(result, args.table)
+            create_table_as(source, args.table)
         else:
-            write_table(result, args.table)
+            write_table(source, args.table)
+    if bounded and args.show:
+        result.show(truncate=False)
     return result

@@ -53,3 +53,12 @@ def test_union_job_first_per_key(spark, files):
     jobs.run(["union", "--feeds", *feeds, "--out", out, "--first-per-key"], spark=spark)
     ids = sorted(r.video_id for r in read_feed(spark, out, schema=FEED_SCHEMA).collect())
     assert ids == ["v1", "v2", "v3", "v4", "v5"]
+
+
+def test_union_job_with_table_reads_back_written_files(spark, files):
+    feeds, _, root = files
+    out = os.path.join(root, "union-table")
+    table = f"union_{uuid.uuid4().hex[:8]}"
+    jobs.run(["union", "--feeds", *feeds, "--out", out, "--table", table], spark=spark)
+    assert spark.table(table).count() == 6
+    assert sorted(spark.table(table).columns) == sorted(FEED_SCHEMA.fieldNames())
