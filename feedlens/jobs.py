@@ -27,8 +27,14 @@ from .sinks import create_table_as, write_csv, write_table
 from .sources import read_dictionary, read_feed
 
 
-def classify(spark: SparkSession, feeds: Sequence[str], *, semantics: str = "string") -> DataFrame:
-    frames = [read_feed(spark, p) for p in feeds]
+def _frames(spark: SparkSession, feeds: Sequence[str], read_options: dict | None) -> list[DataFrame]:
+    return [read_feed(spark, p, **(read_options or {})) for p in feeds]
+
+
+def classify(
+    spark: SparkSession, feeds: Sequence[str], *, semantics: str = "string", read_options: dict | None = None
+) -> DataFrame:
+    frames = _frames(spark, feeds, read_options)
     if semantics == "string":
         return A.avg_comments_classification(frames)
     if semantics == "numeric":
@@ -37,9 +43,16 @@ def classify(spark: SparkSession, feeds: Sequence[str], *, semantics: str = "str
 
 
 def top_tags(
-    spark: SparkSession, feeds: Sequence[str], dictionary: str, *, by: str = "name", render: str = "bracket", k: int = 10
+    spark: SparkSession,
+    feeds: Sequence[str],
+    dictionary: str,
+    *,
+    by: str = "name",
+    render: str = "bracket",
+    k: int = 10,
+    read_options: dict | None = None,
 ) -> DataFrame:
-    frames = [read_feed(spark, p) for p in feeds]
+    frames = _frames(spark, feeds, read_options)
     names = read_dictionary(spark, dictionary)
     if by == "name":
         return A.top_tags_by_category_name(frames, names, k=k)
@@ -50,8 +63,10 @@ def top_tags(
     raise ValueError(f"unknown grouping {by!r}")
 
 
-def union(spark: SparkSession, feeds: Sequence[str], *, first_per_key: bool = False) -> DataFrame:
-    frames = [read_feed(spark, p) for p in feeds]
+def union(
+    spark: SparkSession, feeds: Sequence[str], *, first_per_key: bool = False, read_options: dict | None = None
+) -> DataFrame:
+    frames = _frames(spark, feeds, read_options)
     return A.trending_union_first(frames) if first_per_key else A.trending_union(frames)
 
 
@@ -65,6 +80,8 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--mode", default="overwrite", choices=("overwrite", "errorifexists"))
         s.add_argument("--table", help="also save the result as this table")
         s.add_argument("--no-show", dest="show", action="store_false", help="do not print bounded results")
+        s.add_argument("--multi-line", action="store_true", help="quoted cells may contain line breaks")
+        s.add_argument("--escape", default='"', help="escape character inside quoted cells (default: \")")
         if name == "classify":
             s.add_argument("--semantics", default="string", choices=("string", "numeric"))
         if name == "top-tags":
@@ -84,13 +101,17 @@ def run(argv: Sequence[str] | None = None, spark: SparkSession | None = None) ->
         from .session import get_session
 
         spark = get_session(app=f"feedlens-{args.job}")
+    opts = {"multi_line": args.multi_line, "escape": args.escape}
     if args.job == "classify":
-        result, bounded = classify(spark, args.feeds, semantics=args.semantics), True
+        result, bounded = classify(spark, args.feeds, semantics=args.semantics, read_options=opts), True
     elif args.job == "top-tags":
-        result = top_tags(spark, args.feeds, args.dictionary, by=args.by, render=args.render, k=args.k)
+        result = top_tags(
+            spark, args.feeds, args.dictionary, by=args.by, render=args.render, k=args.k, read_options=opts
+        )
         bounded = True  # at most one row per category
     else:
-        result, bounded = union(spark, args.feeds, first_per_key=args.first_per_key), False
+        result = union(spark, args.feeds, first_per_key=args.first_per_key, read_options=opts)
+        bounded = False
     if bounded:
         result = result.cache()  # a few rows: computed once for every output below
     write_csv(result, args.out, mode=args.mode, single_file=bounded)

@@ -187,3 +187,43 @@ def test_by_name_equals_by_id_when_names_are_unique(spark, rows):
     }
     # no generated tag contains ', ', so the bracket rendering maps back to the hash rendering
     assert by_name == by_id
+
+
+def strict_int(s):
+    if s is None:
+        return None
+    body = s[1:] if s[:1] in "+-" else s
+    if not body.isdigit() or not body.isascii():
+        return None
+    v = int(s)
+    return v if -(2**31) <= v < 2**31 else None
+
+
+def ref_p2(rows):
+    out = {}
+    for r in rows:
+        if r["comments_disabled"] == "True" or r["ratings_disabled"] == "True":
+            continue
+        lk, dk = num(r["likes"]), num(r["dislikes"])
+        cc, vw = strict_int(r["comment_count"]), strict_int(r["views"])
+        if lk is None or dk is None or cc is None or vw is None:
+            continue
+        c = klass(lk / (1.0 if dk == 0 else dk))
+        out.setdefault(c, []).append(cc)
+    return sorted((c, len(v), sum(v) / len(v)) for c, v in out.items() if c)
+
+
+@SETTINGS
+@given(feed_rows())
+def test_numeric_classification_and_union_match_reference(spark, rows):
+    df = to_df(spark, rows)
+    got = sorted((r.Classification, r.VideosNumber, r.AverageComments) for r in A.classification_nonempty(df).collect())
+    assert got == ref_p2(rows)
+    kept = [
+        r for r in rows
+        if r["comments_disabled"] != "True" and r["ratings_disabled"] != "True"
+        and strict_int(r["dislikes"]) is not None and strict_int(r["comment_count"]) is not None
+    ]
+    parts = [to_df(spark, rows[0::2]), to_df(spark, rows[1::2])]
+    union = sorted((tuple(r) for r in A.trending_union(parts).collect()), key=repr)
+    assert union == sorted((tuple(r.get(c) for c in FEED_COLUMNS) for r in kept), key=repr)
