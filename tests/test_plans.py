@@ -84,3 +84,19 @@ def test_salted_join_equals_plain_join(spark):
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
     assert left.count() == counts.join(dictionary.withColumnRenamed("id", "category_id"), "category_id", "left").count()
     assert "_salt" not in salted.columns
+
+
+def test_sql_twin_has_the_same_plan_shape(spark):
+    df = catalog.queries()["top_tags_sql"](spark, SF_SMALL)
+    p = plan_of(df)
+    assert "WindowGroupLimit" in p and "BroadcastHashJoin" in p and "partial_count" in p
+
+
+def test_top_k_lists_never_collect_before_the_cut(spark):
+    df = catalog.queries()["agg_ordered_list"](spark, SF_SMALL)
+    p = plan_of(df)
+    # collect_list runs above the window filter (rn <= 10), never directly on the counts
+    lines = p.splitlines()
+    collect = max(i for i, line in enumerate(lines) if "collect_list" in line)
+    cut = min(i for i, line in enumerate(lines) if "rn <= 10" in line)
+    assert collect < cut
