@@ -17,11 +17,15 @@ def write_csv(
 ) -> None:
     """Write CSV with RFC 4180 quoting (``escape='"'``), readable by ``read_feed``.
 
-    ``single_file`` coalesces to one task first; use it only for bounded
-    results (a summary, a top-k list), never for a fact table.
+    ``single_file`` moves the rows to one writer task first; use it only for
+    bounded results (a summary, a top-k list), never for a fact table. It is
+    a ``repartition(1)``, not a ``coalesce(1)``: a coalesce is narrow and
+    would pull the stage that computes the result (e.g. the final top-k
+    stage) into that one task as well, while the repartition keeps that
+    stage parallel and shuffles only the finished rows.
     ``mode='errorifexists'`` fails when the path exists.
     """
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df
     (
         out.write.mode(mode)
         .option("header", header)
