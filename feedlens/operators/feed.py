@@ -21,17 +21,21 @@ def as_list(feeds) -> list[DataFrame]:
     return out
 
 
-def union_feeds(feeds: DataFrame | Iterable[DataFrame], *, by_name: bool = True) -> DataFrame:
+def union_feeds(
+    feeds: DataFrame | Iterable[DataFrame], *, by_name: bool = True, allow_missing_columns: bool = False
+) -> DataFrame:
     """Bag union of several feeds (duplicates kept).
 
     ``by_name`` matches columns by name, so feeds whose files order the
     columns differently still line up; ``by_name=False`` is the positional
-    union. A union is a narrow operation: no shuffle, the scans run side by side.
+    union. ``allow_missing_columns`` fills a column absent from some feeds
+    with NULL instead of failing. A union is a narrow operation: no shuffle,
+    the scans run side by side.
     """
     dfs = as_list(feeds)
     out = dfs[0]
     for df in dfs[1:]:
-        out = out.unionByName(df) if by_name else out.union(df)
+        out = out.unionByName(df, allowMissingColumns=allow_missing_columns) if by_name else out.union(df)
     return out
 
 

@@ -164,3 +164,14 @@ def test_enforce_schema_rejects_reordered_header(spark, tmp_dir):
     with pytest.raises(Exception):
         read_feed(spark, p, schema=SCHEMA, enforce_schema=False).collect()
     assert read_feed(spark, p, schema=SCHEMA).first().id == "10"  # positional by default
+
+
+def test_union_with_missing_columns(spark):
+    from feedlens.operators import union_feeds
+
+    a = spark.createDataFrame([("v1", "x")], "video_id string, tags string")
+    b = spark.createDataFrame([("v2",)], "video_id string")
+    with pytest.raises(Exception):
+        union_feeds([a, b]).collect()
+    rows = sorted(tuple(r) for r in union_feeds([a, b], allow_missing_columns=True).collect())
+    assert rows == [("v1", "x"), ("v2", None)]
