@@ -9,7 +9,8 @@ Layout
 ``sources``    CSV feeds, JSON-lines dictionary, text lines, driver-table testbed
 ``sinks``      CSV, managed tables, CTAS, key/value text
 ``plans``      end-to-end analytics, the SQL twin, the query catalogue and oracle
-``streaming``  the same aggregates over a file stream
+``streaming``  the top-tags analytic over a stream of feed files
+``jobs``       command-line jobs over real files (``python -m feedlens``)
 """
 
 __version__ = "0.1.0"
