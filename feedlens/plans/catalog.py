@@ -111,6 +111,14 @@ def q_top_tags_count_first(spark, sf_dir):
     return A.top_tags_count_first(testbed.feed(spark, sf_dir), testbed.dictionary(spark, sf_dir))
 
 
+@register("top_tags_preaggregated", O.p3_sql())
+def q_top_tags_preaggregated(spark, sf_dir):
+    """P3 through its large-dictionary plan: count by (id, tag), salted shuffle join, re-sum by name."""
+    return A.top_tags_by_category_name(
+        testbed.feed(spark, sf_dir), testbed.dictionary(spark, sf_dir), pre_aggregate=True
+    )
+
+
 # The testbed feed is already the union of the three regional feeds, read in
 # one scan; slicing it per region and unioning back would read it three times.
 
