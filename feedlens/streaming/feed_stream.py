@@ -8,8 +8,16 @@ handed to ``foreachBatch``, where the batch top-k operator cuts and renders
 each category's list and the result replaces the previous one at ``out_path``.
 
 Window functions cannot run on a streaming DataFrame, which is why the
-ranking happens in ``foreachBatch`` on the (bounded) aggregate table, not on
-the stream itself.
+ranking happens in ``foreachBatch`` on the aggregate table, not on the
+stream itself.
+
+Cost per trigger: complete mode hands the whole count table (one row per
+distinct ``(category, tag)``) to ``foreachBatch``, where the top-k is a
+distributed batch job (partial ``WindowGroupLimit``), so the work per
+trigger grows with the number of distinct tags, not with the new data. As
+counts only grow, an update-mode variant could rank just the previous top
+k per category together with the keys updated in the batch; it needs a
+small versioned state table and is not built here.
 """
 
 from __future__ import annotations
