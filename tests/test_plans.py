@@ -101,3 +101,9 @@ def test_top_k_lists_never_collect_before_the_cut(spark):
     collect = max(i for i, line in enumerate(lines) if "collect_list" in line)
     cut = min(i for i, line in enumerate(lines) if re.search(r"\(rn#\d+ <= 10\)", line))
     assert collect < cut
+
+
+def test_sort_multi_key_orders_rows(spark):
+    rows = [tuple(r) for r in catalog.queries()["sort_multi_key"](spark, SF_SMALL).collect()]
+    assert rows == sorted(rows, key=lambda r: (r[0], -r[2], r[1]))  # category asc, n desc, tag asc
+    assert len(rows) > 10
