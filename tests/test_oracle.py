@@ -1,8 +1,12 @@
-"""Every registered query against its DuckDB SQL twin (same parquet tables)."""
+"""Every registered query against its DuckDB SQL twin (same parquet tables).
+
+Runs on sf0.001 by default; ``FEEDLENS_ORACLE_SF=/root/testdata/sf0.1`` picks another data folder.
+"""
 
 from __future__ import annotations
 
 import math
+import os
 
 import pytest
 
@@ -10,6 +14,8 @@ import __spark_entry__ as E
 
 from .conftest import SF_SMALL
 
+SF_DIR = os.environ.get("FEEDLENS_ORACLE_SF", SF_SMALL)
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
@@ -21,7 +27,7 @@ def duck():
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
+        con.execute(f"create view {t} as select * from read_parquet('{SF_DIR}/{t}.parquet')")
     return con
 
 
@@ -40,7 +46,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = E.queries()[name](spark, SF_DIR)
     cols = sorted(df.columns)
     got = sorted(tuple(norm(x) for x in r) for r in df.select(*cols).collect())
     rel = duck.execute(E.oracle_sql()[name])
