@@ -51,7 +51,7 @@ def test_split_examples(spark):
     assert got[None] == (None, None)
 
 
-@settings(max_examples=5, deadline=None)
+@settings(max_examples=5, deadline=None, derandomize=True)
 @given(st.lists(st.text(alphabet="ab|#,", max_size=8), min_size=1, max_size=30))
 def test_split_matches_reference(spark, values):
     out = one_col(spark, values).select(

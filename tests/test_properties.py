@@ -108,7 +108,9 @@ NAMES = collections.defaultdict(list)
 for _i, _n in DICTIONARY:
     NAMES[_i].append(_n)
 
-SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SETTINGS = settings(
+    max_examples=6, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
 
 
 @SETTINGS
