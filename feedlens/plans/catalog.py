@@ -59,6 +59,8 @@ from . import sql as SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+STREAM_TIMEOUT_SEC = 3600
+
 _QUERIES: dict[str, Query] = {}
 _ORACLE: dict[str, str] = {}
 
@@ -567,7 +569,9 @@ def q_top_tags_streaming(spark, sf_dir):
     out = scratch_path(spark, "top-tags-stream")
     stream = read_feed_stream(spark, inbox, max_files_per_trigger=4)
     query = start_top_tags(stream, testbed.dictionary(spark, sf_dir), out, available_now=True)
-    query.awaitTermination()
+    if not query.awaitTermination(STREAM_TIMEOUT_SEC):  # available-now ends by itself; this is a guard
+        query.stop()
+        raise TimeoutError(f"streaming query did not finish within {STREAM_TIMEOUT_SEC} s")
     if query.exception() is not None:
         raise query.exception()
     result = S.read_feed(spark, out, schema=all_string_schema(["category", "top10_tags", "epoch"]))
