@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from .plans import analytics as A
-from .sinks import create_table_as, write_csv, write_table
+from .sinks import create_table_as, write_csv, write_key_value, write_table
 from .sources import read_dictionary, read_feed
 
 
@@ -89,6 +89,9 @@ def _parser() -> argparse.ArgumentParser:
             s.add_argument("--by", default="name", choices=("name", "id"))
             s.add_argument("--render", default="bracket", choices=("bracket", "count_first"))
             s.add_argument("--k", type=int, default=10)
+            s.add_argument(
+                "--format", default="csv", choices=("csv", "kv"), help="kv: one 'category<TAB>list' line per category"
+            )
         if name == "union":
             s.add_argument("--first-per-key", action="store_true")
     return p
@@ -114,7 +117,10 @@ def run(argv: Sequence[str] | None = None, spark: SparkSession | None = None) ->
         bounded = False
     if bounded:
         result = result.cache()  # a few rows: computed once for every output below
-    write_csv(result, args.out, mode=args.mode, single_file=bounded)
+    if getattr(args, "format", "csv") == "kv":
+        write_key_value(result.repartition(1), args.out, "category", "top10_tags", mode=args.mode)
+    else:
+        write_csv(result, args.out, mode=args.mode, single_file=bounded)
     if args.table:
         # The table is filled from the files just written (bounded results
         # come from the cache), so the whole plan never runs twice.

@@ -62,3 +62,15 @@ def test_union_job_with_table_reads_back_written_files(spark, files):
     jobs.run(["union", "--feeds", *feeds, "--out", out, "--table", table], spark=spark)
     assert spark.table(table).count() == 6
     assert sorted(spark.table(table).columns) == sorted(FEED_SCHEMA.fieldNames())
+
+
+def test_top_tags_job_key_value_lines(spark, files):
+    feeds, dictionary, root = files
+    out = os.path.join(root, "kv")
+    jobs.run(["top-tags", "--feeds", *feeds, "--dictionary", dictionary, "--out", out, "--by", "id",
+              "--format", "kv", "--no-show"], spark=spark)
+    lines = sorted(open(p).read() for p in glob.glob(os.path.join(out, "part-*")))
+    text = "".join(lines).splitlines()
+    assert "Music\t[rock#4, live#1, pop#1]" in text
+    assert "\t[lost#1, pop#1]" in text  # unknown id: empty name
+    assert len(text) == 5
