@@ -22,7 +22,7 @@ def with_class(df: DataFrame, *, semantics: str = "string", out: str = "cls") ->
     return df.withColumn("_ratio", ratio("likes", dislikes)).withColumn(out, classify("_ratio")).drop("_ratio")
 
 
-def _class_totals(df: DataFrame, cls: str, value: str) -> DataFrame:
+def class_totals(df: DataFrame, cls: str, value: str) -> DataFrame:
     """One row: per class ``n_<class>`` (rows) and ``s_<class>`` (sum of value).
 
     A single global aggregate with conditional sums does all classes in one
@@ -39,7 +39,8 @@ def _class_totals(df: DataFrame, cls: str, value: str) -> DataFrame:
     return df.agg(*aggs)
 
 
-def _class_rows(totals: DataFrame, value_type: str) -> DataFrame:
+def rows_from_totals(totals: DataFrame, value_type: str = "double") -> DataFrame:
+    """The one-row output of ``class_totals`` as one row per class (fixed order)."""
     rows = F.array(
         *[
             F.struct(
@@ -62,7 +63,7 @@ def summarize_fixed_classes(df: DataFrame, *, cls: str = "cls", value: str = "co
     ``sum(value) / count(*)``: rows with a NULL value still count in the
     divisor; an empty class gives ``0, NULL``.
     """
-    return _class_rows(_class_totals(df, cls, value), "double")
+    return rows_from_totals(class_totals(df, cls, value), "double")
 
 
 def summarize_by_class(df: DataFrame, *, cls: str = "cls", value: str = "comments") -> DataFrame:
@@ -72,7 +73,7 @@ def summarize_by_class(df: DataFrame, *, cls: str = "cls", value: str = "comment
     Empty classes are removed after the aggregate, on the aggregated rows.
     """
     totals = df.select(cls, F.col(value).cast("bigint").alias(value))
-    return _class_rows(_class_totals(totals, cls, value), "double").filter(F.col(VIDEOS_NUMBER) > 0)
+    return rows_from_totals(class_totals(totals, cls, value), "double").filter(F.col(VIDEOS_NUMBER) > 0)
 
 
 def class_rows_string(feed: DataFrame) -> DataFrame:

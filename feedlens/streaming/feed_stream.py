@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import attach_name, explode_tags, render_top, tag_counts
+from ..operators import attach_name, class_rows_string, explode_tags, keep_enabled, render_top, tag_counts
+from ..operators.classify import class_totals, rows_from_totals
 from ..schema import FEED_SCHEMA, TOP_K
 from ..session import scratch_path
 from ..sinks import write_csv
@@ -83,3 +84,31 @@ def start_top_tags(
     )
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
+
+
+def start_classification(
+    feed_stream: DataFrame,
+    out_path: str,
+    *,
+    checkpoint: str | None = None,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """P1 over a stream of feed files: after each batch ``out_path`` holds the three class rows.
+
+    The per-class counts and sums are one global streaming aggregate (its
+    state is a single row); ``foreachBatch`` unpacks it into the three rows
+    and replaces the previous result.
+    """
+    spark = feed_stream.sparkSession
+    totals = class_totals(class_rows_string(keep_enabled(feed_stream, semantics="string")), "cls", "comments")
+
+    def publish(batch: DataFrame, epoch_id: int) -> None:
+        write_csv(rows_from_totals(batch, "double"), out_path, mode="overwrite", single_file=True)
+
+    writer = (
+        totals.writeStream.outputMode("complete")
+        .option("checkpointLocation", checkpoint or scratch_path(spark, "classification-stream-ckpt"))
+        .foreachBatch(publish)
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start()

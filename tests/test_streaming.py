@@ -39,3 +39,20 @@ def test_stream_matches_batch(spark, tmp_dir):
     want = {r.category: r.top10_tags
             for r in A.top_tags_by_category_name([read_feed(spark, p) for p in paths], dictionary).collect()}
     assert final == want
+
+
+def test_classification_stream(spark, tmp_dir):
+    from feedlens.schema import CLASSIFICATION_SCHEMA
+    from feedlens.streaming import start_classification
+
+    paths = golden.write_feeds(os.path.join(tmp_dir, "src"))
+    inbox = os.path.join(tmp_dir, "inbox")
+    os.makedirs(inbox)
+    for p in paths:
+        shutil.copy(p, inbox)
+    out = os.path.join(tmp_dir, "out")
+    q = start_classification(read_feed_stream(spark, inbox, max_files_per_trigger=1), out,
+                             checkpoint=os.path.join(tmp_dir, "ckpt"), available_now=True)
+    q.awaitTermination()
+    rows = [tuple(r) for r in read_feed(spark, out, schema=CLASSIFICATION_SCHEMA).collect()]
+    assert rows == [("neutral", 3, 4.0), ("good", 2, 5.5), ("bad", 2, 1.0)]
