@@ -47,4 +47,9 @@ def top_tags_by_category_name(
     feed.createOrReplaceTempView(feed_view)
     dictionary.createOrReplaceTempView(dict_view)
     hint = "/*+ BROADCAST(d) */" if row_count_at_most(dictionary, BROADCAST_MAX_ROWS) else ""
-    return spark.sql(TOP_TAGS_SQL.format(hint=hint, feed=feed_view, dictionary=dict_view, k=int(k)))
+    try:
+        # spark.sql analyzes at once: the result keeps the resolved plan, not the view names.
+        return spark.sql(TOP_TAGS_SQL.format(hint=hint, feed=feed_view, dictionary=dict_view, k=int(k)))
+    finally:
+        spark.catalog.dropTempView(feed_view)
+        spark.catalog.dropTempView(dict_view)
