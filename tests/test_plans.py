@@ -79,12 +79,20 @@ def test_salted_join_equals_plain_join(spark):
     feed = testbed.feed(spark, SF_SMALL).select("category_id", "tags")
     counts = tag_counts(explode_tags(feed, ["category_id"]), ["category_id"])
     dictionary = testbed.dictionary_with_repeats(spark, SF_SMALL)
-    plain = attach_name(counts, dictionary, broadcast_max_rows=None)
-    salted = attach_name(counts, dictionary, broadcast_max_rows=None, salt_buckets=7)
-    left = attach_name(counts, dictionary, broadcast_max_rows=None, salt_buckets=7, how="left", default="")
-    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
-    assert left.count() == counts.join(dictionary.withColumnRenamed("id", "category_id"), "category_id", "left").count()
-    assert "_salt" not in salted.columns
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # a real shuffle join, as for a big dictionary
+    try:
+        plain = attach_name(counts, dictionary, broadcast_max_rows=None)
+        salted = attach_name(counts, dictionary, broadcast_max_rows=None, salt_buckets=7)
+        left = attach_name(counts, dictionary, broadcast_max_rows=None, salt_buckets=7, how="left", default="")
+        p = plan_of(salted)
+        assert "SortMergeJoin [category_id, _salt]" in re.sub(r"#\d+L?", "", p)
+        assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
+        want = counts.join(dictionary.withColumnRenamed("id", "category_id"), "category_id", "left").count()
+        assert left.count() == want
+        assert "_salt" not in salted.columns
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_sql_twin_has_the_same_plan_shape(spark):
