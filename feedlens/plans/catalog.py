@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from .. import sinks
+from .. import jobs, sinks
 from .. import sources as S
 from ..functions import (
     contains,
@@ -576,3 +576,32 @@ def q_top_tags_streaming(spark, sf_dir):
         raise query.exception()
     result = S.read_feed(spark, out, schema=all_string_schema(["category", "top10_tags", "epoch"]))
     return result.select("category", "top10_tags")
+
+
+# --------------------------------------------------------------------------- the jobs over files
+
+
+def _write_dictionary_json(spark, sf_dir) -> str:
+    path = scratch_path(spark, "dictionary-json")
+    testbed.dictionary(spark, sf_dir).write.json(path)
+    return path
+
+
+@register("classification_from_files", O.p1_sql())
+def q_classification_from_files(spark, sf_dir):
+    """P1 as the job runs it: three CSV feed files (one per country) read and unioned."""
+    return jobs.classify(spark, _write_region_feeds(spark, sf_dir))
+
+
+@register("top_tags_from_files", O.p3_sql())
+def q_top_tags_from_files(spark, sf_dir):
+    """P3 as the job runs it: three CSV feed files and a JSON-lines dictionary."""
+    return jobs.top_tags(spark, _write_region_feeds(spark, sf_dir), _write_dictionary_json(spark, sf_dir))
+
+
+@register("top_tags_by_id_from_files", O.p4_sql())
+def q_top_tags_by_id_from_files(spark, sf_dir):
+    """P4 as the job runs it: three CSV feed files and a JSON-lines dictionary, grouped by id."""
+    return jobs.top_tags(
+        spark, _write_region_feeds(spark, sf_dir), _write_dictionary_json(spark, sf_dir), by="id"
+    )
