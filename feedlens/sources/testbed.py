@@ -84,8 +84,22 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread_if_undersplit(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
 
 
+def _memo(spark: SparkSession, key: str, build) -> DataFrame:
+    """One DataFrame per session and key (plans are immutable; listing and checks run once)."""
+    hit = _TABLES.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    df = build()
+    _TABLES[key] = (spark, df)
+    return df
+
+
 def feed_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole feed (all regions) plus a ``region`` column."""
+    return _memo(spark, f"{sf_dir.rstrip('/')}#feed_with_region", lambda: _feed_with_region(spark, sf_dir))
+
+
+def _feed_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = spread_if_undersplit(table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS), "l_orderkey")
     # Per-part values are built on the part side, once per part instead of once per line item.
     part = table(spark, sf_dir, "part").selectExpr(
@@ -97,7 +111,8 @@ def feed_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole feed (the union of all regions) with the sixteen feed columns."""
-    return feed_with_region(spark, sf_dir).select(*FEED_COLUMNS)
+    key = f"{sf_dir.rstrip('/')}#feed"
+    return _memo(spark, key, lambda: feed_with_region(spark, sf_dir).select(*FEED_COLUMNS))
 
 
 def feeds_by_region(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
