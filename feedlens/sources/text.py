@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,5 +18,5 @@ def read_key_value(
     separators stay inside the value.
     """
     lines = spark.read.text(list(paths) if not isinstance(paths, str) else paths)
-    parts = F.split(F.col("value"), sep, 2)
+    parts = F.split(F.col("value"), re.escape(sep), 2)  # a literal separator, not a pattern
     return lines.select(F.get(parts, 0).alias(key), F.coalesce(F.get(parts, 1), F.lit("")).alias(value))

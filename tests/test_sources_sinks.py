@@ -175,3 +175,11 @@ def test_union_with_missing_columns(spark):
         union_feeds([a, b]).collect()
     rows = sorted(tuple(r) for r in union_feeds([a, b], allow_missing_columns=True).collect())
     assert rows == [("v1", "x"), ("v2", None)]
+
+
+def test_key_value_literal_separator(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "pipes.txt")
+    with open(p, "w") as f:
+        f.write("10|rock|4\n")
+    rows = [tuple(r) for r in read_key_value(spark, p, sep="|").collect()]
+    assert rows == [("10", "rock|4")]
