@@ -24,11 +24,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .plans import analytics as A
 from .sinks import create_table_as, write_csv, write_key_value, write_table
-from .sources import read_dictionary, read_feed
+from .schema import FEED_COLUMNS
+from .sources import read_dictionary, read_feed, read_positional
 
 
 def _frames(spark: SparkSession, feeds: Sequence[str], read_options: dict | None) -> list[DataFrame]:
-    return [read_feed(spark, p, **(read_options or {})) for p in feeds]
+    opts = dict(read_options or {})
+    if opts.pop("reader", "csv") == "positional":
+        # plain text split on commas by position; the header line stays a data row
+        return [read_positional(spark, p, FEED_COLUMNS) for p in feeds]
+    return [read_feed(spark, p, **opts) for p in feeds]
 
 
 def classify(
@@ -82,6 +87,12 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--no-show", dest="show", action="store_false", help="do not print bounded results")
         s.add_argument("--multi-line", action="store_true", help="quoted cells may contain line breaks")
         s.add_argument("--escape", default='"', help="escape character inside quoted cells (default: \")")
+        s.add_argument(
+            "--reader",
+            default="csv",
+            choices=("csv", "positional"),
+            help="positional: split lines on commas by position, no quoting, header line kept as data",
+        )
         if name == "classify":
             s.add_argument("--semantics", default="string", choices=("string", "numeric"))
         if name == "top-tags":
@@ -104,7 +115,7 @@ def run(argv: Sequence[str] | None = None, spark: SparkSession | None = None) ->
         from .session import get_session
 
         spark = get_session(app=f"feedlens-{args.job}")
-    opts = {"multi_line": args.multi_line, "escape": args.escape}
+    opts = {"multi_line": args.multi_line, "escape": args.escape, "reader": args.reader}
     if args.job == "classify":
         result, bounded = classify(spark, args.feeds, semantics=args.semantics, read_options=opts), True
     elif args.job == "top-tags":
