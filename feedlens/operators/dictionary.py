@@ -79,6 +79,8 @@ def attach_name(
     large share of ``df`` is spread over ``salt_buckets`` tasks. The salt is
     deterministic, so a retried task sends every row where it went before.
     """
+    if name in df.columns:
+        raise ValueError(f"input already has a {name!r} column; rename it before attaching names")
     names = dictionary.select(F.col(id_col).alias(on), F.col(name))
     if broadcast_max_rows is not None and row_count_at_most(dictionary, broadcast_max_rows):
         out = df.join(F.broadcast(names), on=on, how=how)

@@ -115,3 +115,10 @@ def test_sort_multi_key_orders_rows(spark):
     rows = [tuple(r) for r in catalog.queries()["sort_multi_key"](spark, SF_SMALL).collect()]
     assert rows == sorted(rows, key=lambda r: (r[0], -r[2], r[1]))  # category asc, n desc, tag asc
     assert len(rows) > 10
+
+
+def test_attach_name_rejects_existing_name_column(spark):
+    df = spark.createDataFrame([("10", "x")], "category_id string, category string")
+    dictionary = spark.createDataFrame([("10", "Music")], "id string, category string")
+    with pytest.raises(ValueError):
+        attach_name(df, dictionary)
