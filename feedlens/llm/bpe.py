@@ -45,7 +45,7 @@ from . import common
 
 CHUNK_BYTES = 1024
 BLOOM_BITS = 1 << 24
-MEMORY_WORDS = 200_000
+MEMORY_WORDS = 300_000
 LONGEST_KEPT = 64
 
 _SPACE = np.zeros(256, bool)
@@ -106,12 +106,15 @@ class WordMemory(dict):
         if ids is None:
             ids = b" ".join(b"%d" % i for i in self.encode(word.decode(), add_special_tokens=False).ids)
         if len(word) <= LONGEST_KEPT:
-            if len(self) >= self.size:
-                self.old = dict(self)
-                self.clear()
-            self[word] = ids
+            self.keep(word, ids)
         return ids
 
+    def keep(self, word: bytes, ids: bytes) -> None:
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
+
 
 class Codec:
     """A tokenizer inside a worker."""
@@ -126,16 +129,48 @@ class Codec:
         self.token = {b"%d" % i: t.encode() for t, i in vocabulary.items()}
         self.kind = np.dtype("<u2" if max(vocabulary.values(), default=0) < 1 << 16 else "<u4")
         self.memory = WordMemory(self.tokenizer.encode, memory_words)
+        size = max(vocabulary.values(), default=-1) + 1
+        self.decimal = [b"%d" % i for i in range(size)]
+        self.ends = np.zeros(size, bool)  # tokens that end a pre-token
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         probe = self.tokenizer.encode("a1 b", add_special_tokens=False)
         if [*probe.ids] != [i for w in ("a1", "b") for i in self.tokenizer.encode(w, add_special_tokens=False).ids] or (
             self.tokenizer.decode(probe.ids, skip_special_tokens=False) != " ".join(probe.tokens)
         ):
             raise ValueError("this tokenizer keeps white space, or decodes by more than joining its tokens by a space")
 
+    def learn(self, words: list[bytes]) -> None:
+        """Encode the plain words not yet in memory by one call.
+
+        Letters make one pre-token, marks after them one more, and a pre-token
+        has one ending token at least: if the endings of all words add up to
+        these numbers, each word has just its own, and they part the ids.
+        Else the words are left to be encoded singly.
+        """
+        fresh, endings = [], []
+        for w in dict.fromkeys(words):
+            if len(w) <= LONGEST_KEPT and w not in self.memory and w not in self.memory.old:
+                text = w.decode()
+                core = text.rstrip(".,;:!?%$#&*")
+                if core.isalpha():
+                    fresh.append(w)
+                    endings.append(1 + (core != text))
+        if len(fresh) < 2:
+            return
+        ids = self.tokenizer.encode_batch_fast([b" ".join(fresh).decode()], add_special_tokens=False)[0].ids
+        at = np.flatnonzero(self.ends[ids])
+        if len(at) == sum(endings):
+            last = (at[np.cumsum(endings) - 1] + 1).tolist()
+            numbers = [self.decimal[i] for i in ids]
+            for w, a, b in zip(fresh, [0, *last[:-1]], last, strict=True):
+                self.memory.keep(w, b" ".join(numbers[a:b]))
+
     def encode(self, text: bytes) -> bytes:
         """Ids of a text that begins and ends at checked joins: decimal, joined by one space."""
-        memory = self.memory
-        return b" ".join([x for w in text.split() if (x := memory[w])])
+        memory, words = self.memory, text.split()
+        for i in range(0, len(words), 10_000):  # no more at once than memory holds
+            self.learn(words[i : i + 10_000])
+        return b" ".join([x for w in words if (x := memory[w])])
 
     def decode(self, ids: bytes) -> bytes:
         return b" ".join(map(self.token.__getitem__, ids.split(b" "))) if ids else b""
@@ -162,6 +197,18 @@ class Codec:
         return out
 
 
+_CODEC: dict[tuple[str, int], Codec] = {}
+
+
+def worker_codec(json: str, memory_words: int) -> Codec:
+    """The codec of this worker process, with its memory, kept from task to task; one tokenizer at a time."""
+    key = (json, memory_words)
+    if key not in _CODEC:
+        _CODEC.clear()
+        _CODEC[key] = Codec(json, memory_words)
+    return _CODEC[key]
+
+
 def _bloom_places(digests: np.ndarray, bits: int) -> np.ndarray:
     """Three bit numbers per 16-byte digest."""
     halves = digests.reshape(-1, 16).view("<u8")
@@ -226,7 +273,7 @@ def encode(documents: DataFrame, tokenizer: str, *, digests: bool = False, chunk
     sent = spark.sparkContext.broadcast((json, shared_filter(rows, chunk_bytes, bloom_bits)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, bloom, seen = Codec(sent.value[0], memory_words), sent.value[1], set()
+        codec, bloom, seen = worker_codec(sent.value[0], memory_words), sent.value[1], set()
 
         def is_shared(ds: list[bytes]) -> list[bool]:
             places = _bloom_places(np.frombuffer(b"".join(ds), np.uint8), bloom_bits)
@@ -267,7 +314,7 @@ def encode(documents: DataFrame, tokenizer: str, *, digests: bool = False, chunk
     parts = common.written(numbered.mapInArrow(cut, _PART), "bpe-parts")
 
     def encode_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(sent.value[0], memory_words)
+        codec = worker_codec(sent.value[0], memory_words)
         for batch in batches:
             own = [np.array(codec.encode(c).split(), codec.kind).tobytes() for c in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["digest", "ids"])
@@ -278,7 +325,7 @@ def encode(documents: DataFrame, tokenizer: str, *, digests: bool = False, chunk
     names = "doc_id bigint, n_tokens bigint, ids_out binary, decoded_out binary"
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, held, of = Codec(sent.value[0], memory_words), [], None
+        codec, held, of = worker_codec(sent.value[0], memory_words), [], None
 
         def close() -> tuple:
             numbers = np.frombuffer(b"".join(held), codec.kind).tolist()
