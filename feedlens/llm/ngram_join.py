@@ -217,6 +217,10 @@ def tile_links(sets: list[np.ndarray], side: np.ndarray, bands: Bands) -> list[t
     return out
 
 
+def set_digest(a: np.ndarray) -> bytes:
+    return hashlib.blake2b(a.tobytes(), digest_size=16).digest()
+
+
 def features(documents: DataFrame, *, size: int, bands: Bands) -> DataFrame:
     """``node, doc_id, n, digest, keys``, written: one row per document; ``keys`` where a task meets its set first."""
 
@@ -227,7 +231,7 @@ def features(documents: DataFrame, *, size: int, bands: Bands) -> DataFrame:
             for i, j in common.slices(off):
                 n, digests, keys = [], [], []
                 for a in shingle_sets(raw, off[i : j + 1], size):
-                    d = hashlib.blake2b(a.tobytes(), digest_size=16).digest() if len(a) else None
+                    d = set_digest(a) if len(a) else None
                     first = d is not None and d not in seen
                     if first:
                         seen.add(d)
@@ -287,48 +291,30 @@ def _tiles(members: DataFrame, bands: Bands, rows: int, size_bytes: int) -> Data
 def verified_links(documents: DataFrame, members: DataFrame, *, size: int, bands: Bands, tile_rows: int, tile_bytes: int) -> DataFrame:
     """``a, b``: links (as nodes) found by comparing the tiles of ``members`` (component, node, n, doc_id, digest)."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()  # rows of one id are in one task, or few: a repeated row is sent once
-        for batch in batches:
-            raw, off = common.utf8(batch.column(4))
-            nodes, digests = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i, j in common.slices(off):
-                rows, out = [], []
-                for r, a in zip(range(i, j), shingle_sets(raw, off[i : j + 1], size), strict=True):
-                    data = a.tobytes()
-                    # Rows that only share the id of a member have another digest.
-                    if nodes[r] not in done and hashlib.blake2b(data, digest_size=16).digest() == digests[r]:
-                        done.add(nodes[r])
-                        rows.append(r)
-                        out.append(data)
-                kept = pa.array(rows, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(k).take(kept) for k in (0, 2, 3)), pa.array(out, pa.binary())], names=["node", "component", "pairs", "shingles"]
-                )
-
     tiles = _tiles(members, bands, tile_rows, tile_bytes).hint("shuffle_hash")  # the hash side; texts are not sorted
     text = documents.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
-    fetched = text.join(tiles, F.col("id").eqNullSafe(F.col("doc_id"))).select("node", "digest", "component", "pairs", "text")
-    arrays = fetched.mapInArrow(
-        sets, "node bigint, component bigint, pairs array<struct<low:int,x:int,high:int,y:int,side:int>>, shingles binary"
-    )
     keys = ["component", "low", "x", "high", "y"]
-    dealt = arrays.select("component", "node", "shingles", F.explode("pairs").alias("p")).select(
-        "component", "p.low", "p.x", "p.high", "p.y", "p.side", "node", "shingles"
-    ).repartition(*keys).sortWithinPartitions(*keys)
+    dealt = text.join(tiles, F.col("id").eqNullSafe(F.col("doc_id"))).select("component", "node", "digest", "text", F.explode("pairs").alias("p"))
+    # Texts travel, not their hashes: they compress, and take a third of the room.
+    dealt = dealt.select("component", "p.low", "p.x", "p.high", "p.y", "p.side", "node", "digest", "text").repartition(*keys).sortWithinPartitions(*keys)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple[int, int]]:
             for run in streams.key_runs(batches, len(keys)):
-                nodes = run.column("node").to_numpy()
-                _, once = np.unique(nodes, return_index=True)
-                if len(once) < 2:
+                if run.num_rows < 2:
                     continue
-                shingles = run.column("shingles").take(pa.array(once)).to_pylist()
-                arrays = [np.frombuffer(x, np.uint64) for x in shingles]
+                nodes, sides, digests = run.column("node").to_pylist(), run.column("side").to_pylist(), run.column("digest").to_pylist()
+                raw, off = common.utf8(run.column("text"))
+                own: dict[int, tuple[int, np.ndarray]] = {}
+                for i, j in common.slices(off):
+                    for r, a in zip(range(i, j), shingle_sets(raw, off[i : j + 1], size), strict=True):
+                        # Rows that only share the id of a member have another digest.
+                        if nodes[r] not in own and set_digest(a) == digests[r]:
+                            own[nodes[r]] = sides[r], a
+                ids, of_tile = list(own), np.array([s for s, _ in own.values()])
                 # Only a pair of two different tiles has sides.
-                for i, j in tile_links(arrays, run.column("side").to_numpy()[once], bands):
-                    yield int(nodes[once[i]]), int(nodes[once[j]])
+                for i, j in tile_links([a for _, a in own.values()], of_tile, bands) if len(ids) > 1 else ():
+                    yield ids[i], ids[j]
 
         def batch(rows: list[tuple[int, int]]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["a", "b"])
