@@ -29,13 +29,13 @@ def to_bigint(c) -> Column:
 
 
 def to_int(c) -> Column:
-    """String to INT; NULL unless the text is a plain signed integer in range."""
+    """String to BIGINT; NULL unless the text is a plain signed integer in 64-bit range."""
     c = col_of(c)
-    return F.when(c.rlike(_INT_PATTERN), c.try_cast("int"))
+    return F.when(c.rlike(_INT_PATTERN), c.try_cast("bigint"))
 
 
 def int_parsable(c) -> Column:
-    """True when the text is a plain integer that fits an INT (never NULL)."""
+    """True when the text is a plain integer that fits a BIGINT (never NULL)."""
     return F.coalesce(to_int(c).isNotNull(), F.lit(False))
 
 

@@ -85,6 +85,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--mode", default="overwrite", choices=("overwrite", "errorifexists"))
         s.add_argument("--table", help="also save the result as this table")
         s.add_argument("--no-show", dest="show", action="store_false", help="do not print bounded results")
+        s.add_argument("--single-file", action="store_true", help="one output file (always so for classify)")
         s.add_argument("--multi-line", action="store_true", help="quoted cells may contain line breaks")
         s.add_argument("--escape", default='"', help="escape character inside quoted cells (default: \")")
         s.add_argument(
@@ -122,24 +123,30 @@ def run(argv: Sequence[str] | None = None, spark: SparkSession | None = None) ->
         result = top_tags(
             spark, args.feeds, args.dictionary, by=args.by, render=args.render, k=args.k, read_options=opts
         )
-        bounded = True  # at most one row per category
+        bounded = False  # one row per category of the feed, known or not
     else:
         result = union(spark, args.feeds, first_per_key=args.first_per_key, read_options=opts)
         bounded = False
     if bounded:
-        result = result.cache()  # a few rows: computed once for every output below
-    if getattr(args, "format", "csv") == "kv":
-        write_key_value(result.repartition(1), args.out, "category", "top10_tags", mode=args.mode)
-    else:
-        write_csv(result, args.out, mode=args.mode, single_file=bounded)
-    if args.table:
-        # The table is filled from the files just written (bounded results
-        # come from the cache), so the whole plan never runs twice.
-        source = result if bounded else read_feed(spark, args.out, schema=result.schema)
-        if args.mode == "errorifexists":
-            create_table_as(source, args.table)
+        result = result.cache()  # three rows: computed once for every output below
+    try:
+        source = result
+        if args.table:
+            # The table first, then the text files from it: the plan runs once,
+            # and the table never depends on what text can hold.
+            if args.mode == "errorifexists":
+                create_table_as(result, args.table)
+            else:
+                write_table(result, args.table)
+            source = spark.table(args.table)
+        single = bounded or args.single_file
+        if getattr(args, "format", "csv") == "kv":
+            write_key_value(source.repartition(1) if single else source, args.out, "category", "top10_tags", mode=args.mode)
         else:
-            write_table(source, args.table)
-    if bounded and args.show:
-        result.show(truncate=False)
+            write_csv(source, args.out, mode=args.mode, single_file=single)
+        if args.job != "union" and args.show:
+            source.show(truncate=False)
+    finally:
+        if bounded:
+            result.unpersist()
     return result

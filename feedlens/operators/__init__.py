@@ -7,7 +7,7 @@ from .classify import (
     summarize_fixed_classes,
     with_class,
 )
-from .dictionary import BROADCAST_MAX_ROWS, attach_name, dedupe_dictionary, row_count_at_most
+from .dictionary import BROADCAST_MAX_ROWS, attach_name, dedupe_dictionary, fits_broadcast
 from .feed import first_per_key, keep_enabled, parsable_rows, union_feeds
 from .tags import explode_tags, ranked_lists, render_top, tag_counts, top_k
 from .windows import longest_list, running_list
@@ -20,12 +20,12 @@ __all__ = [
     "dedupe_dictionary",
     "explode_tags",
     "first_per_key",
+    "fits_broadcast",
     "keep_enabled",
     "longest_list",
     "parsable_rows",
     "ranked_lists",
     "render_top",
-    "row_count_at_most",
     "running_list",
     "summarize_by_class",
     "summarize_fixed_classes",

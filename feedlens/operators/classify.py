@@ -82,5 +82,5 @@ def class_rows_string(feed: DataFrame) -> DataFrame:
 
 
 def class_rows_numeric(feed: DataFrame) -> DataFrame:
-    """(cls, comments) per row under numeric semantics; comments parse as INT."""
+    """(cls, comments) per row under numeric semantics; comments parse as BIGINT."""
     return with_class(feed, semantics="numeric").select("cls", to_int("comment_count").alias("comments"))

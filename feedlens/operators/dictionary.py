@@ -1,11 +1,10 @@
 """Attaching category names from an ``(id, category)`` dictionary.
 
-A broadcast join is used only behind a size check: the dictionary is
-counted with ``limit(bound + 1)`` (a job that stops after ``bound + 1`` rows)
-and broadcast only when it holds at most ``bound`` rows. Beyond that the join
-is a shuffle join; callers aggregate before joining so the large side is
-already reduced, and can salt the join key so a hot id is split over several
-tasks (adaptive skew splitting stays on as well).
+A broadcast join is used only behind a size check: one partial aggregate
+counts the dictionary's rows and bytes, and it is broadcast only within both
+bounds. Beyond that the join is a shuffle join with a salted key, so a hot id
+is split over several tasks (adaptive skew splitting stays on as well);
+callers that can aggregate first do so.
 """
 
 from __future__ import annotations
@@ -13,45 +12,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dictionary broadcast to every task. At ~100 bytes per (id, name)
-# row this is ~20 MB, well under the default broadcast size limits.
+# Largest dictionary broadcast to every task, in rows and in bytes of its cells.
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 32 << 20
 
+# Salt values of the shuffle join beyond that bound: an id that holds a large
+# share of the rows is spread over this many join tasks.
+SALT_BUCKETS = 32
 
-_CHECKED: dict[tuple[int, int], tuple[DataFrame, bool]] = {}
 
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` is within the broadcast bound in rows and in bytes of its cells.
 
-def row_count_at_most(df: DataFrame, bound: int) -> bool:
-    """True when ``df`` has at most ``bound`` rows; reads at most ``bound + 1`` rows.
-
-    The answer is remembered per DataFrame object (a DataFrame is an
-    immutable plan over a fixed file listing), so building several plans on
-    the same dictionary runs the check once.
+    One aggregate with a partial result per task: nothing but counts is shuffled.
     """
-    hit = _CHECKED.get((id(df), bound))
-    if hit is not None and hit[0] is df:
-        return hit[1]
-    ok = df.limit(bound + 1).count() <= bound
-    _CHECKED[(id(df), bound)] = (df, ok)
-    return ok
-
-
-_DEDUPED: dict[tuple[int, str, str], tuple[DataFrame, DataFrame]] = {}
+    cell = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)).cast("bigint") for c in df.columns]
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(sum(cell[1:], cell[0])), F.lit(0)).alias("b")).first()
+    return size["n"] <= max_rows and size["b"] <= max_bytes
 
 
 def dedupe_dictionary(dictionary: DataFrame, *, id_col: str = "id", name: str = "category") -> DataFrame:
     """One name per id (the greatest), so repeated ids cannot fan a join out.
 
-    A partial ``max`` per task before the shuffle on the id. The same input
-    DataFrame always gives the same output object, so its size check runs once.
+    A partial ``max`` per task before the shuffle on the id.
     """
-    key = (id(dictionary), id_col, name)
-    hit = _DEDUPED.get(key)
-    if hit is not None and hit[0] is dictionary:
-        return hit[1]
-    out = dictionary.groupBy(id_col).agg(F.max(name).alias(name))
-    _DEDUPED[key] = (dictionary, out)
-    return out
+    return dictionary.groupBy(id_col).agg(F.max(name).alias(name))
 
 
 def attach_name(
@@ -64,7 +49,7 @@ def attach_name(
     how: str = "inner",
     default: str | None = None,
     broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
-    salt_buckets: int = 0,
+    salt_buckets: int = SALT_BUCKETS,
 ) -> DataFrame:
     """Join ``dictionary.name`` onto ``df`` by ``df[on] == dictionary[id_col]``.
 
@@ -82,7 +67,7 @@ def attach_name(
     if name in df.columns:
         raise ValueError(f"input already has a {name!r} column; rename it before attaching names")
     names = dictionary.select(F.col(id_col).alias(on), F.col(name))
-    if broadcast_max_rows is not None and row_count_at_most(dictionary, broadcast_max_rows):
+    if broadcast_max_rows is not None and fits_broadcast(dictionary, broadcast_max_rows):
         out = df.join(F.broadcast(names), on=on, how=how)
     elif salt_buckets > 1:
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salt_buckets)))

@@ -22,17 +22,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import (
-    BROADCAST_MAX_ROWS,
     attach_name,
     class_rows_numeric,
     class_rows_string,
     dedupe_dictionary,
     explode_tags,
     first_per_key,
+    fits_broadcast,
     keep_enabled,
     parsable_rows,
     render_top,
-    row_count_at_most,
     summarize_by_class,
     summarize_fixed_classes,
     tag_counts,
@@ -40,11 +39,6 @@ from ..operators import (
 )
 from ..schema import FEED_COLUMNS, TOP_K
 
-# Salt values for the shuffle join of pre-aggregated counts with a dictionary
-# too large to broadcast: a category id holding a large share of the distinct
-# (id, tag) pairs is spread over this many join tasks.
-SALT_BUCKETS = 32
-
 
 def avg_comments_classification(feeds) -> DataFrame:
     """Classification with string semantics; always the three classes."""
@@ -53,9 +47,9 @@ def avg_comments_classification(feeds) -> DataFrame:
 
 
 def classification_nonempty(feeds) -> DataFrame:
-    """Classification with numeric semantics over fully parsable rows; non-empty classes."""
+    """Classification with numeric semantics over rows whose used cells parse; non-empty classes."""
     rows = keep_enabled(union_feeds(feeds), semantics="not_true")
-    rows = parsable_rows(rows, doubles=("likes", "dislikes"), ints=("comment_count", "views"))
+    rows = parsable_rows(rows, doubles=("likes", "dislikes"), ints=("comment_count",))
     return summarize_by_class(class_rows_numeric(rows))
 
 
@@ -74,10 +68,10 @@ def top_tags_by_category_name(
     """
     feed = union_feeds(feeds).select("category_id", "tags")
     if pre_aggregate is None:
-        pre_aggregate = not row_count_at_most(dictionary, BROADCAST_MAX_ROWS)
+        pre_aggregate = not fits_broadcast(dictionary)
     if pre_aggregate:
         by_id = tag_counts(explode_tags(feed, ["category_id"]), ["category_id"])
-        named = attach_name(by_id, dictionary, how="inner", broadcast_max_rows=None, salt_buckets=SALT_BUCKETS)
+        named = attach_name(by_id, dictionary, how="inner", broadcast_max_rows=None)
         counts = named.groupBy("category", "tag").agg(F.sum("n").alias("n"))
     else:
         named = attach_name(feed, dictionary, how="inner")

@@ -21,11 +21,11 @@ select
   case when l_tax = 0 then '[none]'
        when l_linenumber = 7 then replace(p_name, ' ', '|') || '|' || p_brand || '||'
        else replace(p_name, ' ', '|') || '|' || p_brand end as tags,
-  cast(cast(floor(l_extendedprice) as bigint) as varchar) as views,
+  cast(cast(floor(l_extendedprice) as bigint) + case when l_suppkey % 7 = 0 then 3000000000 else 0 end as varchar) as views,
   cast(cast(trunc(l_quantity) as integer) as varchar) as likes,
   case when l_partkey % 97 = 0 then 'n/a'
        else cast(cast(round(l_discount * 100) as integer) as varchar) end as dislikes,
-  case when l_linenumber = 6 then null else cast(l_partkey as varchar) end as comment_count,
+  case when l_linenumber = 6 then null when l_linenumber = 5 then cast(l_partkey + 3000000000 as varchar) else cast(l_partkey as varchar) end as comment_count,
   'thumb/' || cast(l_orderkey as varchar) || '.jpg' as thumbnail_link,
   case when l_returnflag = 'R' then 'True'
        when l_returnflag = 'A' and l_linenumber = 3 then 'false' else 'False' end as comments_disabled,
@@ -55,7 +55,7 @@ def dbl(c: str) -> str:
 
 
 def int_ok(c: str) -> str:
-    return f"(coalesce(regexp_full_match({c}, '[+-]?[0-9]+'), false) and try_cast({c} as integer) is not null)"
+    return f"(coalesce(regexp_full_match({c}, '[+-]?[0-9]+'), false) and try_cast({c} as bigint) is not null)"
 
 
 def dbl_ok(c: str) -> str:
@@ -153,10 +153,10 @@ def p1_sql() -> str:
 
 
 def p2_rows_sql() -> str:
-    ok = " and ".join([dbl_ok("likes"), dbl_ok("dislikes"), int_ok("comment_count"), int_ok("views")])
+    ok = " and ".join([dbl_ok("likes"), dbl_ok("dislikes"), int_ok("comment_count")])
     return (
         f"select {class_sql(ratio_sql('likes', DISLIKES_NUM_GUARD))} as cls, "
-        f"cast(comment_count as integer) as comments from feed where {FLAGS_NOT_TRUE} and {ok}"
+        f"cast(comment_count as bigint) as comments from feed where {FLAGS_NOT_TRUE} and {ok}"
     )
 
 

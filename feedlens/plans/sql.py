@@ -2,7 +2,8 @@
 
 Same plan as the DataFrame version (Catalyst produces the same physical
 operators: broadcast join, partial/final count, ``WindowGroupLimit``), kept
-as text for users who work in SQL.
+as text for users who work in SQL. Beyond the broadcast bound the tags are
+counted by id before the join, so the raw feed is never shuffled by id.
 """
 
 from __future__ import annotations
@@ -11,12 +12,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import BROADCAST_MAX_ROWS, row_count_at_most
+from ..operators import fits_broadcast
 from ..schema import TOP_K
 
-TOP_TAGS_SQL = """
+COUNTS_JOIN_FIRST = """
 WITH named AS (
-  SELECT {hint} d.category, f.tags
+  SELECT /*+ BROADCAST(d) */ d.category, f.tags
   FROM {feed} f JOIN {dictionary} d ON f.category_id = d.id
 ), tag_rows AS (
   SELECT category, lower(tag) AS tag
@@ -24,7 +25,21 @@ WITH named AS (
   WHERE tag != '[none]'
 ), counts AS (
   SELECT category, tag, count(*) AS n FROM tag_rows GROUP BY category, tag
-), ranked AS (
+)"""
+
+COUNTS_BY_ID_FIRST = """
+WITH tag_rows AS (
+  SELECT category_id, lower(tag) AS tag
+  FROM {feed} LATERAL VIEW explode(split(tags, '[|]')) t AS tag
+  WHERE tag != '[none]'
+), by_id AS (
+  SELECT category_id, tag, count(*) AS n FROM tag_rows GROUP BY category_id, tag
+), counts AS (
+  SELECT d.category, b.tag, sum(b.n) AS n
+  FROM by_id b JOIN {dictionary} d ON b.category_id = d.id GROUP BY d.category, b.tag
+)"""
+
+RANKED_LISTS = """, ranked AS (
   SELECT category, tag, n, row_number() OVER (PARTITION BY category ORDER BY n DESC, tag ASC) AS rn
   FROM counts
 )
@@ -39,17 +54,19 @@ GROUP BY category
 
 
 def top_tags_by_category_name(
-    spark: SparkSession, feed: DataFrame, dictionary: DataFrame, *, k: int = TOP_K
+    spark: SparkSession, feed: DataFrame, dictionary: DataFrame, *, k: int = TOP_K, pre_aggregate: bool | None = None
 ) -> DataFrame:
     """``category, top10_tags`` (``tag#n,tag#n``) from SQL text over temp views."""
     suffix = uuid.uuid4().hex[:8]
     feed_view, dict_view = f"feed_{suffix}", f"dictionary_{suffix}"
     feed.createOrReplaceTempView(feed_view)
     dictionary.createOrReplaceTempView(dict_view)
-    hint = "/*+ BROADCAST(d) */" if row_count_at_most(dictionary, BROADCAST_MAX_ROWS) else ""
+    if pre_aggregate is None:
+        pre_aggregate = not fits_broadcast(dictionary)
+    text = (COUNTS_BY_ID_FIRST if pre_aggregate else COUNTS_JOIN_FIRST) + RANKED_LISTS
     try:
         # spark.sql analyzes at once: the result keeps the resolved plan, not the view names.
-        return spark.sql(TOP_TAGS_SQL.format(hint=hint, feed=feed_view, dictionary=dict_view, k=int(k)))
+        return spark.sql(text.format(feed=feed_view, dictionary=dict_view, k=int(k)))
     finally:
         spark.catalog.dropTempView(feed_view)
         spark.catalog.dropTempView(dict_view)

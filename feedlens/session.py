@@ -43,13 +43,19 @@ def get_session(master: str | None = None, *, app: str = "feedlens", shuffle_par
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder; set a local one only when none is configured."""
+    """The session's checkpoint folder; a fresh local one only when none is configured on a local master.
+
+    On a cluster a folder of one machine would lose what other machines write: that is refused.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
     local = tempfile.mkdtemp(prefix="feedlens-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -32,6 +32,8 @@ def write_csv(
         .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
@@ -52,8 +54,20 @@ def create_table_as(df: DataFrame, name: str, *, fmt: str = "parquet") -> None:
 
 
 def write_key_value(df: DataFrame, path: str, key: str, value: str, *, sep: str = "\t", mode: str = "overwrite") -> None:
-    """One text line per row: ``key<sep>value`` (values rendered as text)."""
-    line = F.concat_ws(sep, F.col(key).cast("string"), F.col(value).cast("string"))
+    """One text line per row: ``key<sep>value`` (values rendered as text).
+
+    Backslash, line feed and carriage return are written as ``\\\\``, ``\\n`` and
+    ``\\r``, a ``sep`` inside the key as ``\\s`` and NULL as ``\\N``, so that
+    every row is one line that ``read_key_value(..., escaped=True)`` gives back.
+    """
+
+    def cell(c: str, extra: tuple = ()):
+        out = F.col(c).cast("string")
+        for plain, put in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), *extra):
+            out = F.replace(out, F.lit(plain), F.lit(put))
+        return F.coalesce(out, F.lit("\\N"))
+
+    line = F.concat(cell(key, ((sep, "\\s"),)), F.lit(sep), cell(value))
     df.select(line.alias("value")).write.mode(mode).text(path)
 
 

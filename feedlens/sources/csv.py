@@ -12,8 +12,11 @@
 * quoting is RFC 4180 (``quote='"'``, ``escape='"'``): commas inside quotes
   are data and ``""`` inside a quoted cell is one quote character;
 * ``multi_line=False`` keeps files splittable; a quoted line break then
-  splits a record and both pieces are dropped as malformed. ``True`` reads
-  such records whole, at the price of one task per file.
+  splits a record: pieces with the wrong number of fields are dropped, but a
+  break in the last column leaves a first piece that looks whole and is kept
+  with that cell cut. ``True`` reads such records whole, at the price of one
+  task per file;
+* an empty cell is NULL, a quoted empty cell (``""``) is the empty string.
 
 Several paths go to one reader call, which plans them as one scan.
 """
@@ -57,7 +60,8 @@ def read_feed(
         .option("quote", quote)
         .option("escape", escape)
         .option("multiLine", multi_line)
-        .option("columnPruning", False)
+        .option("nullValue", "\0")  # no cell holds it: only an unquoted empty cell is NULL
+        .option("columnPruning", mode != "DROPMALFORMED")
     )
     return reader.csv(list(paths) if not isinstance(paths, str) else paths)
 

@@ -19,13 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import FEED_COLUMNS
-from .splits import spread_if_undersplit
 
 REGIONS = ("CA", "GB", "US")
 
 
-_TABLES: dict[str, tuple[SparkSession, DataFrame]] = {}
-
 # The feed mapping, as SQL expressions over ``lineitem`` joined with ``part``.
 FEED_EXPRESSIONS = {
     "region": "CASE l_suppkey % 3 WHEN 0 THEN 'CA' WHEN 1 THEN 'GB' ELSE 'US' END",
@@ -37,11 +34,13 @@ FEED_EXPRESSIONS = {
     "publish_time": "date_format(l_shipdate, \"yyyy-MM-dd'T'HH:mm:ss\")",
     # '[none]' cells, trailing empty tags on line 7, upper case and '#' from the brand
     "tags": "CASE WHEN l_tax = 0 THEN '[none]' WHEN l_linenumber = 7 THEN concat(p_tags, '||') ELSE p_tags END",
-    "views": "CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING)",
+    # views and comments above 2^31 in bulk
+    "views": "CAST(CAST(floor(l_extendedprice) AS BIGINT) + CASE WHEN l_suppkey % 7 = 0 THEN 3000000000 ELSE 0 END AS STRING)",
     "likes": "CAST(CAST(l_quantity AS INT) AS STRING)",
     "dislikes": "CASE WHEN l_partkey % 97 = 0 THEN 'n/a' "
     "ELSE CAST(CAST(round(l_discount * 100) AS INT) AS STRING) END",  # 0..10 and unparsable
-    "comment_count": "CASE WHEN l_linenumber = 6 THEN NULL ELSE CAST(l_partkey AS STRING) END",
+    "comment_count": "CASE WHEN l_linenumber = 6 THEN NULL WHEN l_linenumber = 5 "
+    "THEN CAST(l_partkey + 3000000000 AS STRING) ELSE CAST(l_partkey AS STRING) END",
     "thumbnail_link": "concat('thumb/', CAST(l_orderkey AS STRING), '.jpg')",
     # Flags: mostly 'True'/'False', plus lower-case text and NULLs, on which
     # "equals 'False'" and "not equal to 'True'" disagree.
@@ -69,38 +68,18 @@ LINEITEM_COLUMNS = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, resolved once per session (file listing and footers read once)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    hit = _TABLES.get(path)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    df = spark.read.parquet(path)
-    _TABLES[path] = (spark, df)
-    return df
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``documents`` table, spread over the cores when it arrives in too few splits."""
-    return spread_if_undersplit(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
-
-
-def _memo(spark: SparkSession, key: str, build) -> DataFrame:
-    """One DataFrame per session and key (plans are immutable; listing and checks run once)."""
-    hit = _TABLES.get(key)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    df = build()
-    _TABLES[key] = (spark, df)
-    return df
+    """The ``documents`` table."""
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
 
 
 def feed_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole feed (all regions) plus a ``region`` column."""
-    return _memo(spark, f"{sf_dir.rstrip('/')}#feed_with_region", lambda: _feed_with_region(spark, sf_dir))
-
-
-def _feed_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread_if_undersplit(table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS), "l_orderkey")
+    li = table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
     # Per-part values are built on the part side, once per part instead of once per line item.
     part = table(spark, sf_dir, "part").selectExpr(
         "p_partkey", "p_name", "p_type", "concat(replace(p_name, ' ', '|'), '|', p_brand) AS p_tags"
@@ -111,8 +90,7 @@ def _feed_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole feed (the union of all regions) with the sixteen feed columns."""
-    key = f"{sf_dir.rstrip('/')}#feed"
-    return _memo(spark, key, lambda: feed_with_region(spark, sf_dir).select(*FEED_COLUMNS))
+    return feed_with_region(spark, sf_dir).select(*FEED_COLUMNS)
 
 
 def feeds_by_region(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -122,18 +100,12 @@ def feeds_by_region(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(id, category)``: nation key -> region name (25 ids, 5 names); one plan per session."""
-    key = f"{sf_dir.rstrip('/')}#dictionary"
-    hit = _TABLES.get(key)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
+    """``(id, category)``: nation key -> region name (25 ids, 5 names)."""
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    df = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         F.col("n_nationkey").cast("string").alias("id"), F.col("r_name").alias("category")
     )
-    _TABLES[key] = (spark, df)
-    return df
 
 
 def dictionary_with_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,10 +97,10 @@ def test_flag_semantics(spark):
 
 
 def test_strict_int_parse(spark):
-    values = ["12", "+5", "-3", "12.0", " 5", "2147483647", "2147483648", "", None, "1e3"]
+    values = ["12", "+5", "-3", "12.0", " 5", "2147483647", "2147483648", "", None, "1e3", "9223372036854775807", "9223372036854775808"]
     rows = one_col(spark, values).select(to_int("v").alias("i"), int_parsable("v").alias("ok")).collect()
-    assert [r.i for r in rows] == [12, 5, -3, None, None, 2147483647, None, None, None, None]
-    assert [r.ok for r in rows] == [True, True, True, False, False, True, False, False, False, False]
+    assert [r.i for r in rows] == [12, 5, -3, None, None, 2147483647, 2147483648, None, None, None, 2**63 - 1, None]
+    assert [r.ok for r in rows] == [True, True, True, False, False, True, True, False, False, False, True, False]
 
 
 def test_split_first(spark):

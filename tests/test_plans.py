@@ -82,7 +82,7 @@ def test_salted_join_equals_plain_join(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # a real shuffle join, as for a big dictionary
     try:
-        plain = attach_name(counts, dictionary, broadcast_max_rows=None)
+        plain = attach_name(counts, dictionary, broadcast_max_rows=None, salt_buckets=0)
         salted = attach_name(counts, dictionary, broadcast_max_rows=None, salt_buckets=7)
         left = attach_name(counts, dictionary, broadcast_max_rows=None, salt_buckets=7, how="left", default="")
         p = plan_of(salted)
@@ -122,3 +122,29 @@ def test_attach_name_rejects_existing_name_column(spark):
     dictionary = spark.createDataFrame([("10", "Music")], "id string, category string")
     with pytest.raises(ValueError):
         attach_name(df, dictionary)
+
+
+def test_no_default_plan_repartitions_by_number(spark):
+    for name in ("trending_union", "top_words_by_lang", "avg_comments_classification", "top_tags_by_category_id"):
+        assert "REPARTITION_BY_NUM" not in plan_of(catalog.queries()[name](spark, SF_SMALL)), name
+
+
+def test_sql_twin_beyond_the_bound_counts_before_the_join(spark):
+    from feedlens.plans import sql
+
+    feed, dictionary = testbed.feed(spark, SF_SMALL), testbed.dictionary(spark, SF_SMALL)
+    first = sql.top_tags_by_category_name(spark, feed, dictionary, pre_aggregate=True)
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, catalog.queries()["top_tags_sql"](spark, SF_SMALL).collect()))
+    assert "partial_count" in plan_of(first)
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    from feedlens.operators import fits_broadcast
+
+    one = spark.createDataFrame([("1", "x" * 1000)], "id string, category string")
+    assert fits_broadcast(one, 1, 1001) and not fits_broadcast(one, 1, 1000) and not fits_broadcast(one, 0)
+
+
+def test_cache_reuse_releases_its_cache(spark):
+    catalog.queries()["cache_reuse"](spark, SF_SMALL).collect()
+    assert not spark.sparkContext._jsc.getPersistentRDDs()

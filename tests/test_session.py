@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from feedlens.session import checkpoint_root, scratch_path
 from feedlens.sources.splits import spread_if_undersplit
 
@@ -20,3 +22,21 @@ def test_spread_only_when_undersplit(spark):
     assert sorted(r.id for r in spread.collect()) == list(range(1000))
     many = spark.range(0, 1000, numPartitions=parallelism)
     assert spread_if_undersplit(many, "id") is many
+
+
+def test_no_local_checkpoint_folder_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())

@@ -183,3 +183,20 @@ def test_key_value_literal_separator(spark, tmp_dir):
         f.write("10|rock|4\n")
     rows = [tuple(r) for r in read_key_value(spark, p, sep="|").collect()]
     assert rows == [("10", "rock|4")]
+
+
+def test_csv_roundtrip_keeps_cells(spark, tmp_dir):
+    rows = [("  lead", "trail  ", ""), ("", None, " "), (None, 'a "q", b', "\ttab\t"), ("line\nbreak", "x", None)]
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    out = os.path.join(tmp_dir, "cells")
+    sinks.write_csv(df, out)
+    back = read_feed(spark, out, schema=df.schema, multi_line=True)
+    assert sorted(map(repr, map(tuple, back.collect()))) == sorted(map(repr, rows))
+
+
+def test_key_value_roundtrip_keeps_every_row(spark, tmp_dir):
+    rows = [(None, "v1"), ("", ""), ("a\tb", "c\td"), ("x\ny", "z\r\n"), ("\\N", "\\n \\\\ \\s"), ("k", None)]
+    out = os.path.join(tmp_dir, "escaped")
+    sinks.write_key_value(spark.createDataFrame(rows, "k string, v string"), out, "k", "v")
+    back = read_key_value(spark, out, escaped=True)
+    assert sorted(map(repr, map(tuple, back.collect()))) == sorted(map(repr, rows))
