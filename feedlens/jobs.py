@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .plans import analytics as A
 from .sinks import create_table_as, write_csv, write_key_value, write_table
 from .schema import FEED_COLUMNS
-from .sources import read_dictionary, read_feed, read_positional
+from .sources import read_dictionary, read_named_feed, read_positional
 
 
 def _frames(spark: SparkSession, feeds: Sequence[str], read_options: dict | None) -> list[DataFrame]:
@@ -33,7 +33,7 @@ def _frames(spark: SparkSession, feeds: Sequence[str], read_options: dict | None
     if opts.pop("reader", "csv") == "positional":
         # plain text split on commas by position; the header line stays a data row
         return [read_positional(spark, p, FEED_COLUMNS) for p in feeds]
-    return [read_feed(spark, p, **opts) for p in feeds]
+    return [read_named_feed(spark, p, **opts) for p in feeds]
 
 
 def classify(

@@ -187,8 +187,11 @@ def _expect_failure(action, what: str, condition: str) -> None:
 
 @register("scan_csv_header", O.union_all_feeds_sql())
 def q_scan_csv_header(spark, sf_dir):
-    paths = _write_region_feeds(spark, sf_dir)
-    return union_feeds([S.read_feed(spark, p) for p in paths])
+    """Names from each feed's header: one region's files hold the columns in another order."""
+    first, *others = _write_region_feeds(spark, sf_dir)
+    turned = scratch_path(spark, "feed-turned")
+    sinks.write_csv(S.read_feed(spark, first).select(*reversed(FEED_COLUMNS)), turned)
+    return union_feeds([S.read_named_feed(spark, p) for p in (*others, turned)])
 
 
 @register("scan_multi_path", O.union_all_feeds_sql())

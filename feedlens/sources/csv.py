@@ -66,6 +66,30 @@ def read_feed(
     return reader.csv(list(paths) if not isinstance(paths, str) else paths)
 
 
+def read_named_feed(
+    spark: SparkSession,
+    path: str,
+    *,
+    sep: str = ",",
+    mode: str = "DROPMALFORMED",
+    quote: str = '"',
+    escape: str = '"',
+    multi_line: bool = False,
+) -> DataFrame:
+    """Read one CSV feed (a file, or a folder of files) as string columns named by its own header.
+
+    The names come from the header of the first file; every further file is
+    checked against them and fails the read when its header differs. Feeds of
+    different column order are read one by one and meet in ``union_feeds``.
+    """
+    first = spark.read.option("header", True).option("sep", sep).option("quote", quote).option("escape", escape)
+    names = first.option("multiLine", multi_line).csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+    return read_feed(
+        spark, path, schema=schema, sep=sep, mode=mode, quote=quote, escape=escape, multi_line=multi_line, enforce_schema=False
+    )
+
+
 def read_positional(
     spark: SparkSession, paths: str | Sequence[str], names: Sequence[str], *, sep: str = ","
 ) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql.utils import AnalysisException
 
 from feedlens import jobs
 from feedlens.schema import CLASSIFICATION_SCHEMA, FEED_SCHEMA, all_string_schema
+from feedlens.sinks import write_csv
 from feedlens.sources import read_feed
 
 from . import golden
@@ -85,3 +86,32 @@ def test_positional_reader(spark, files):
     # rows without quoted commas read as with the CSV reader; the header rows carry no known id
     assert got["Music"] == "rock#4,live#1,pop#1"
     assert "category" not in got
+
+
+def _feed_rows(spark, columns, **cells):
+    base = dict.fromkeys(FEED_SCHEMA.fieldNames(), "x") | {
+        "video_id": "v", "likes": "100", "dislikes": "1", "comment_count": "4", "views": "3000000000",
+        "comments_disabled": "False", "ratings_disabled": "False",
+    } | cells
+    return spark.createDataFrame([tuple(base[c] for c in columns)], all_string_schema(list(columns)))
+
+
+def test_names_come_from_each_header(spark, tmp_dir):
+    names = FEED_SCHEMA.fieldNames()
+    swapped = [{"likes": "dislikes", "dislikes": "likes"}.get(n, n) for n in names]
+    for folder, columns in (("a", names), ("b", swapped)):
+        write_csv(_feed_rows(spark, columns), os.path.join(tmp_dir, folder))
+    rows = jobs.classify(spark, [os.path.join(tmp_dir, f) for f in "ab"]).collect()
+    assert {r.Classification: r.VideosNumber for r in rows} == {"neutral": 0, "good": 2, "bad": 0}
+
+
+def test_union_job_table_keeps_line_breaks_and_large_counts(spark, tmp_dir):
+    feed, out, table = os.path.join(tmp_dir, "feed"), os.path.join(tmp_dir, "out"), f"union_{uuid.uuid4().hex[:8]}"
+    cells = {"title": " two\nlines ", "description": "line1\nline2", "tags": "", "comment_count": "3000000000"}
+    rows = _feed_rows(spark, FEED_SCHEMA.fieldNames(), **cells).union(_feed_rows(spark, FEED_SCHEMA.fieldNames()))
+    write_csv(rows, feed)
+    jobs.run(["union", "--feeds", feed, "--out", out, "--multi-line", "--table", table], spark=spark)
+    want = sorted(map(tuple, rows.collect()))
+    assert sorted(map(tuple, spark.table(table).select(*rows.columns).collect())) == want
+    assert sorted(map(tuple, read_feed(spark, out, multi_line=True).select(*rows.columns).collect())) == want
+    spark.sql(f"DROP TABLE {table}")
