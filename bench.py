@@ -31,6 +31,8 @@ HEADLINE = (
     "trending_union_first",
     "top_tags_sql",
     "top_words_by_lang",
+    "classification_from_files",
+    "top_tags_from_files",
 )
 
 
