@@ -13,8 +13,8 @@ agree.
 The index is divided by document, not by term: a frequent term or passage
 meets no single task, and nothing is shuffled but one count per term and task.
 Test items are worked through in blocks of at most ``BLOCK_TERMS`` words, so
-what is broadcast (terms and phrases of one block) has a fixed bound; each
-block makes one pass over the documents.
+what is broadcast (terms and phrases of one block, one block at a time) has a
+fixed bound; each block makes one pass over the documents.
 
 Defined cases: null or empty texts have no words, hit nothing and are no
 items; an item of fewer words than the window is one phrase; items without an
@@ -240,36 +240,42 @@ def proximity_matches(index: DataFrame, phrases: Phrases, counts: np.ndarray, *,
     return index.mapInArrow(run, "row bigint, doc_id bigint, phrase bigint, position bigint")
 
 
+NO_HITS = "cast(array() as array<struct<start:bigint,`end`:bigint>>)"
+NO_ITEMS = "cast(array() as array<string>)"
+
+
 def find_contamination(documents: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """One row per document: ``doc_id, mark, n_words, hits, items`` over all items of ``benchmark`` (item_id, text).
 
     ``hits`` are disjoint spans of words inside any occurrence of a window,
     ``items`` the sorted ids of the items with an occurring window, ``mark`` the
-    xxhash64 of the text. With one
-    block of items no rows are shuffled; with more, the rows that hit meet by
-    document row.
+    xxhash64 of the text. With one block of items no rows are shuffled; with
+    more, each block's hits are written before the next block goes out, and
+    join the documents' numbers by row.
     """
-    results = []
-    for block in item_blocks(benchmark, block_terms):
+    blocks = item_blocks(benchmark, block_terms)
+    block, following = next(blocks, []), next(blocks, None)
+    every, found = None, None
+    while block is not None:
         phrases = make_phrases(block, window)
         index = build_index(documents, phrases)
-        results.append(phrase_matches(index, phrases, term_counts(index, len(phrases.number))))
-    if not results:
-        phrases = Phrases({}, [], [])
-        index = build_index(documents, phrases)
-        return index.select("doc_id", "mark", "n_words", F.expr("cast(array() as array<struct<start:bigint,`end`:bigint>>)").alias("hits"),
-                            F.expr("cast(array() as array<string>)").alias("items"))
-    if len(results) == 1:
-        return results[0].drop("row")
+        if not block:
+            return index.select("doc_id", "mark", "n_words", F.expr(NO_HITS).alias("hits"), F.expr(NO_ITEMS).alias("items"))
+        matches = phrase_matches(index, phrases, term_counts(index, len(phrases.number)))
+        if every is None and following is None:
+            return matches.drop("row")
+        every = index.select("row", "doc_id", "mark", "n_words") if every is None else every
+        # Written here, so that the terms and phrases of one block at a time are held.
+        hit = common.written(matches.where(F.size("hits") > 0).select("row", "hits", "items"), "block-matches")
+        found = hit if found is None else found.unionByName(hit)
+        block, following = following, next(blocks, None)
     # Row numbers come from the same scan in every block: one document is one number.
-    found = results[0]
-    for more in results[1:]:
-        found = found.unionByName(more)
     found = found.groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"), F.first("mark").alias("mark"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.flatten(F.collect_list("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
+    )
+    return every.join(found.withColumn("hits", merge_spans("hits")), "row", "left").select(
+        "doc_id", "mark", "n_words", F.coalesce("hits", F.expr(NO_HITS)).alias("hits"), F.coalesce("items", F.expr(NO_ITEMS)).alias("items")
     )
-    return found.drop("row").withColumn("hits", merge_spans("hits"))
 
 
 def merge_spans(column: str):

@@ -11,8 +11,9 @@ at a tie it goes on, as an unseen row of equal score may have the smaller id.
 The best k of all blocks of a query meet by query id, k rows a block, after
 each task has merged its own.
 
-Queries go out in blocks of at most ``QUERY_ROWS`` rows (a fixed bound on what is
-broadcast), each answered against all rows.
+Queries go out in blocks of at most ``QUERY_ROWS`` rows, each answered against
+all rows. A block's answers are written and its broadcast destroyed before the
+next goes out, so one block at a time is held, however many queries there are.
 
 Defined cases: vectors that are null, empty, or hold a null or non-finite
 component, and rows without an id, take no part; shorter vectors count as
@@ -154,6 +155,7 @@ def top_k(embeddings: DataFrame, *, k: int, every: int, scale: int = 64, id_colu
 
         return dealt.mapInArrow(run, names)
 
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     out = None
     block: list = []
     for row in [*queries.toLocalIterator(), None]:
@@ -161,11 +163,11 @@ def top_k(embeddings: DataFrame, *, k: int, every: int, scale: int = 64, id_colu
             block.append(row)
         if block and (row is None or len(block) >= query_rows):
             sent = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in block]), _matrix([r["v"] for r in block], width)))
-            part = answers(sent)
+            ranked = answers(sent).withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
+            part = common.written(ranked.select("query_id", "rank", "vec_id", "score"), "top-k")
+            sent.destroy()
             out = part if out is None else out.unionByName(part)
             block = []
     if out is None:
-        out = spark.createDataFrame([], names)
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    ranked = out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        out = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
+    return out
