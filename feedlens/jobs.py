@@ -21,10 +21,11 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .plans import analytics as A
 from .sinks import create_table_as, write_csv, write_key_value, write_table
-from .schema import FEED_COLUMNS
+from .schema import AVERAGE_COMMENTS, CLASSIFICATION, FEED_COLUMNS, VIDEOS_NUMBER
 from .sources import read_dictionary, read_named_feed, read_positional
 
 
@@ -75,6 +76,17 @@ def union(
     return A.trending_union_first(frames) if first_per_key else A.trending_union(frames)
 
 
+def _key_value(result: DataFrame, job: str) -> DataFrame:
+    """``key, value`` of a result's text lines: class and average, category and list, or video id and its CSV record."""
+    if job == "classify":
+        key = F.concat(F.col(CLASSIFICATION), F.lit(" videos:"), F.col(VIDEOS_NUMBER).cast("string"), F.lit(" - average comments: "))
+        return result.select(key.alias("key"), F.col(AVERAGE_COMMENTS).alias("value"))
+    if job == "top-tags":
+        return result.select(F.col("category").alias("key"), F.col("top10_tags").alias("value"))
+    record = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    return result.select(F.col("video_id").alias("key"), F.to_csv(F.struct(*FEED_COLUMNS), record).alias("value"))
+
+
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="feedlens", description=__doc__.splitlines()[0])
     sub = p.add_subparsers(dest="job", required=True)
@@ -87,6 +99,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--no-show", dest="show", action="store_false", help="do not print bounded results")
         s.add_argument("--single-file", action="store_true", help="one output file (always so for classify)")
         s.add_argument("--multi-line", action="store_true", help="quoted cells may contain line breaks")
+        s.add_argument("--format", default="csv", choices=("csv", "kv"), help="kv: one 'key<TAB>value' text line per row")
         s.add_argument("--escape", default='"', help="escape character inside quoted cells (default: \")")
         s.add_argument(
             "--reader",
@@ -101,9 +114,6 @@ def _parser() -> argparse.ArgumentParser:
             s.add_argument("--by", default="name", choices=("name", "id"))
             s.add_argument("--render", default="bracket", choices=("bracket", "count_first"))
             s.add_argument("--k", type=int, default=10)
-            s.add_argument(
-                "--format", default="csv", choices=("csv", "kv"), help="kv: one 'category<TAB>list' line per category"
-            )
         if name == "union":
             s.add_argument("--first-per-key", action="store_true")
     return p
@@ -140,8 +150,9 @@ def run(argv: Sequence[str] | None = None, spark: SparkSession | None = None) ->
                 write_table(result, args.table)
             source = spark.table(args.table)
         single = bounded or args.single_file
-        if getattr(args, "format", "csv") == "kv":
-            write_key_value(source.repartition(1) if single else source, args.out, "category", "top10_tags", mode=args.mode)
+        if args.format == "kv":
+            lines = _key_value(source, args.job)
+            write_key_value(lines.repartition(1) if single else lines, args.out, "key", "value", mode=args.mode)
         else:
             write_csv(source, args.out, mode=args.mode, single_file=single)
         if args.job != "union" and args.show:

@@ -154,7 +154,7 @@ def _id_tag_counts(spark, sf_dir, keep_trailing_empty=True):
 
 
 def _write_region_feeds(spark, sf_dir) -> list[str]:
-    """The feed as one CSV directory per region (single scan, partitioned write)."""
+    """The feed as one CSV directory per region (single scan, partitioned write), in the format of ``write_csv``."""
     root = scratch_path(spark, "feeds")
     (
         testbed.feed_with_region(spark, sf_dir)
@@ -163,6 +163,8 @@ def _write_region_feeds(spark, sf_dir) -> list[str]:
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(root)
     )
     return [f"{root}/region={r}" for r in testbed.REGIONS]
@@ -172,6 +174,14 @@ def _table_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
 
 
+def _taken(spark, name: str) -> DataFrame:
+    """The rows of a table made for one call, from the scratch folder; the table itself is dropped."""
+    path = scratch_path(spark, "table-rows")
+    spark.table(name).write.parquet(path)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(path)
+
+
 def _expect_failure(action, what: str, condition: str) -> None:
     try:
         action()
@@ -203,10 +213,11 @@ def q_scan_multi_path(spark, sf_dir):
 def q_scan_csv_dropmalformed(spark, sf_dir):
     feed = testbed.feed(spark, sf_dir)
     c = F.col
+    c_id = F.coalesce("category_id", F.lit(""))  # an empty field, so the line keeps its length
     # Five fields per line; 'n/a' dislikes are left out (4 fields) and tag
     # cells ending in '||' add two fields (6 or 7): both kinds are malformed.
-    fields = F.when(c("dislikes") == "n/a", F.concat_ws(",", "video_id", "category_id", "likes", "comments_disabled"))
-    fields = fields.otherwise(F.concat_ws(",", "video_id", "category_id", "likes", "dislikes", "comments_disabled"))
+    fields = F.when(c("dislikes") == "n/a", F.concat_ws(",", "video_id", c_id, "likes", "comments_disabled"))
+    fields = fields.otherwise(F.concat_ws(",", "video_id", c_id, "likes", "dislikes", "comments_disabled"))
     line = F.when(F.endswith(c("tags"), F.lit("||")), F.concat(fields, F.lit(",x,y"))).otherwise(fields)
     path = scratch_path(spark, "malformed")
     feed.select(line.alias("value")).write.text(path)
@@ -219,8 +230,10 @@ def q_scan_csv_dropmalformed(spark, sf_dir):
 def q_scan_csv_quoted(spark, sf_dir):
     feed = testbed.feed(spark, sf_dir)
     c = F.col
-    quoted_tags = F.concat(F.lit('"'), F.regexp_replace(c("tags"), r"\|", ","), F.lit('"'))
-    quoted_title = F.concat(F.lit('"'), c("title"), F.lit(' ""'), c("category_id"), F.lit('"""'))
+    # A NULL cell is an unquoted empty field.
+    quoted_tags = F.coalesce(F.concat(F.lit('"'), F.regexp_replace(c("tags"), r"\|", ","), F.lit('"')), F.lit(""))
+    title = F.replace(c("title"), F.lit('"'), F.lit('""'))
+    quoted_title = F.coalesce(F.concat(F.lit('"'), title, F.lit(' ""'), c("category_id"), F.lit('"""')), F.lit(""))
     line = F.concat_ws(",", c("video_id"), quoted_tags, quoted_title, c("likes"))
     path = scratch_path(spark, "quoted")
     feed.select(line.alias("value")).write.text(path)
@@ -266,6 +279,16 @@ def q_sink_text_kv(spark, sf_dir):
     return back.select("tag", F.col("n").cast("bigint").alias("n"))
 
 
+@register("sink_text_kv_escapes", O.sink_text_kv_escapes_sql())
+def q_sink_text_kv_escapes(spark, sf_dir):
+    """NULL keys and line breaks survive the key/value lines."""
+    counts = _id_tag_counts(spark, sf_dir)
+    path = scratch_path(spark, "kv-escapes")
+    value = F.concat_ws("\n", "tag", F.col("n").cast("string"))
+    sinks.write_key_value(counts.select("category_id", value.alias("v")), path, "category_id", "v")
+    return S.read_key_value(spark, path, escaped=True)
+
+
 @register("sink_csv_single_file", O.p1_sql())
 def q_sink_csv_single_file(spark, sf_dir):
     result = A.avg_comments_classification(testbed.feed(spark, sf_dir))
@@ -292,7 +315,7 @@ def q_sink_table_overwrite(spark, sf_dir):
     name = _table_name("feedlens_comments_classification")
     sinks.write_table(result, name)
     sinks.write_table(result, name)  # overwrite replaces
-    return spark.table(name)
+    return _taken(spark, name)
 
 
 @register("sink_ctas", O.p4_sql())
@@ -301,7 +324,7 @@ def q_sink_ctas(spark, sf_dir):
     name = _table_name("feedlens_tags_by_category")
     sinks.create_table_as(result, name)
     _expect_failure(lambda: sinks.create_table_as(result, name), "second CREATE TABLE AS SELECT", "TABLE_OR_VIEW_ALREADY_EXISTS")
-    return spark.table(name)
+    return _taken(spark, name)
 
 
 # --------------------------------------------------------------------------- projections, local rows, sort, cache
@@ -611,3 +634,17 @@ def q_top_tags_by_id_from_files(spark, sf_dir):
     return jobs.top_tags(
         spark, _write_region_feeds(spark, sf_dir), _write_dictionary_json(spark, sf_dir), by="id"
     )
+
+
+@register("union_from_files", O.union_from_files_sql())
+def q_union_from_files(spark, sf_dir):
+    """P6 as the job runs it, with a table: padding, line breaks, '' and NULL survive both outputs."""
+    description = F.when(F.endswith("video_id", F.lit("1")), F.lit("")).when(
+        ~F.endswith("video_id", F.lit("2")), F.concat("description", F.lit("\nmore"))
+    )
+    feed = testbed.feed(spark, sf_dir).withColumn("title", F.concat(F.lit(" "), "title", F.lit("\n ")))
+    inbox, out, name = scratch_path(spark, "union-feed"), scratch_path(spark, "union-csv"), _table_name("feedlens_union")
+    sinks.write_csv(feed.withColumn("description", description), inbox)
+    jobs.run(["union", "--feeds", inbox, "--out", out, "--table", name, "--multi-line"], spark=spark)
+    spark.sql(f"DROP TABLE {name}")
+    return S.read_named_feed(spark, out, multi_line=True)  # the text files were written from the table

@@ -14,15 +14,16 @@ select
   case l_suppkey % 3 when 0 then 'CA' when 1 then 'GB' else 'US' end as region,
   cast(l_orderkey as varchar) as video_id,
   strftime(l_shipdate, '%y.%d.%m') as trending_date,
-  p_name as title,
+  case when l_linenumber = 4 then '  ' || p_name || ', "new" ' else p_name end as title,
   'channel ' || cast(l_suppkey as varchar) as channel_title,
-  cast(l_suppkey % 30 as varchar) as category_id,
+  case when l_partkey % 53 <> 0 then cast(l_suppkey % 30 as varchar) end as category_id,
   strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') as publish_time,
-  case when l_tax = 0 then '[none]'
+  case when l_partkey % 59 = 0 then null when l_partkey % 59 = 1 then '' when l_partkey % 59 = 2 then '[NONE]'
+       when l_tax = 0 then '[none]'
        when l_linenumber = 7 then replace(p_name, ' ', '|') || '|' || p_brand || '||'
        else replace(p_name, ' ', '|') || '|' || p_brand end as tags,
   cast(cast(floor(l_extendedprice) as bigint) + case when l_suppkey % 7 = 0 then 3000000000 else 0 end as varchar) as views,
-  cast(cast(trunc(l_quantity) as integer) as varchar) as likes,
+  case l_partkey % 61 when 0 then 'Infinity' when 1 then 'NaN' else cast(cast(trunc(l_quantity) as integer) as varchar) end as likes,
   case when l_partkey % 97 = 0 then 'n/a'
        else cast(cast(round(l_discount * 100) as integer) as varchar) end as dislikes,
   case when l_linenumber = 6 then null when l_linenumber = 5 then cast(l_partkey + 3000000000 as varchar) else cast(l_partkey as varchar) end as comment_count,
@@ -226,7 +227,7 @@ def feed_select(cols: str, where: str | None = None) -> str:
 def scan_csv_dropmalformed_sql() -> str:
     # Well-formed lines only: a missing dislikes field ('n/a' rows) or two extra
     # fields (tags ending in '||') make a line malformed.
-    return feed_select("video_id, likes", "dislikes <> 'n/a' and not suffix(tags, '||')")
+    return feed_select("video_id, likes", "dislikes <> 'n/a' and not coalesce(suffix(tags, '||'), false)")
 
 
 def scan_csv_quoted_sql() -> str:
@@ -258,6 +259,17 @@ def sink_text_kv_sql() -> str:
     )
 
 
+def sink_text_kv_escapes_sql() -> str:
+    return with_ctes(f"select category_id as key, tag || chr(10) || cast(n as varchar) as value from ({ID_TAG_COUNTS}) c")
+
+
+def union_from_files_sql() -> str:
+    cols = FEED_COLS.replace(" title,", " ' ' || title || chr(10) || ' ' as title,").replace(
+        "description", "case right(video_id, 1) when '1' then '' when '2' then null else description || chr(10) || 'more' end as description"
+    )
+    return with_ctes(f"select {cols} from feed where {p6_where()}")
+
+
 def local_rows_sql() -> str:
     counts = f"select {class_sql(STR_RATIO)} as cls, count(*) as n from feed where {FLAGS_FALSE} group by 1"
     body = (

@@ -5,8 +5,9 @@ dictionary. On the driver tables the feed is ``lineitem`` joined with
 ``part`` (one feed row per line item), and the dictionary maps every nation
 key to its region name, so several ids share one name. The mapping is chosen
 so the edge cases of the analytics occur in bulk: unparsable and zero
-dislikes, NULL comment counts, disabled flags, ``[none]`` cells, trailing
-empty tags, upper-case tags with ``#``, ids without a dictionary entry.
+dislikes, NULL comment counts, disabled flags, ``[none]``, NULL and empty
+cells, trailing empty tags, upper-case tags with ``#``, NULL ids and ids
+without a dictionary entry, infinite likes, padded and quoted titles.
 
 Both scans are read column-pruned; the join is planned by Spark (a broadcast
 of ``part`` only when its statistics say it is small, else a sort-merge join
@@ -28,15 +29,18 @@ FEED_EXPRESSIONS = {
     "region": "CASE l_suppkey % 3 WHEN 0 THEN 'CA' WHEN 1 THEN 'GB' ELSE 'US' END",
     "video_id": "CAST(l_orderkey AS STRING)",
     "trending_date": "date_format(l_shipdate, 'yy.dd.MM')",
-    "title": "p_name",
+    # padded cells with commas and quotes
+    "title": "CASE WHEN l_linenumber = 4 THEN concat('  ', p_name, ', \"new\" ') ELSE p_name END",
     "channel_title": "concat('channel ', CAST(l_suppkey AS STRING))",
-    "category_id": "CAST(l_suppkey % 30 AS STRING)",  # ids 25..29 have no dictionary entry
+    # ids 25..29 have no dictionary entry; some rows have no id at all
+    "category_id": "CASE WHEN l_partkey % 53 <> 0 THEN CAST(l_suppkey % 30 AS STRING) END",
     "publish_time": "date_format(l_shipdate, \"yyyy-MM-dd'T'HH:mm:ss\")",
-    # '[none]' cells, trailing empty tags on line 7, upper case and '#' from the brand
-    "tags": "CASE WHEN l_tax = 0 THEN '[none]' WHEN l_linenumber = 7 THEN concat(p_tags, '||') ELSE p_tags END",
+    # NULL, '', '[NONE]' and '[none]' cells, trailing empty tags on line 7, upper case and '#' from the brand
+    "tags": "CASE WHEN l_partkey % 59 = 0 THEN NULL WHEN l_partkey % 59 = 1 THEN '' WHEN l_partkey % 59 = 2 THEN '[NONE]' "
+    "WHEN l_tax = 0 THEN '[none]' WHEN l_linenumber = 7 THEN concat(p_tags, '||') ELSE p_tags END",
     # views and comments above 2^31 in bulk
     "views": "CAST(CAST(floor(l_extendedprice) AS BIGINT) + CASE WHEN l_suppkey % 7 = 0 THEN 3000000000 ELSE 0 END AS STRING)",
-    "likes": "CAST(CAST(l_quantity AS INT) AS STRING)",
+    "likes": "CASE l_partkey % 61 WHEN 0 THEN 'Infinity' WHEN 1 THEN 'NaN' ELSE CAST(CAST(l_quantity AS INT) AS STRING) END",
     "dislikes": "CASE WHEN l_partkey % 97 = 0 THEN 'n/a' "
     "ELSE CAST(CAST(round(l_discount * 100) AS INT) AS STRING) END",  # 0..10 and unparsable
     "comment_count": "CASE WHEN l_linenumber = 6 THEN NULL WHEN l_linenumber = 5 "

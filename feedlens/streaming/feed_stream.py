@@ -48,6 +48,7 @@ def read_feed_stream(
         .option("quote", '"')
         .option("escape", '"')
         .option("columnPruning", False)
+        .option("nullValue", "\0")  # only an unquoted empty cell is NULL
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

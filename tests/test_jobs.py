@@ -77,6 +77,19 @@ def test_top_tags_job_key_value_lines(spark, files):
     assert len(text) == 5
 
 
+def test_classify_and_union_key_value_lines(spark, files):
+    feeds, _, root = files
+    lines = {}
+    for job in ("classify", "union"):
+        out = os.path.join(root, f"kv-{job}")
+        jobs.run([job, "--feeds", *feeds, "--out", out, "--format", "kv", "--no-show"], spark=spark)
+        lines[job] = [line for p in glob.glob(os.path.join(out, "part-*")) for line in open(p).read().splitlines()]
+    assert sorted(lines["classify"]) == [
+        "bad videos:2 - average comments: \t1.0", "good videos:2 - average comments: \t5.5", "neutral videos:3 - average comments: \t4.0"
+    ]
+    assert len(lines["union"]) == 6 and all(x.split("\t")[1].startswith(x.split("\t")[0] + ",") for x in lines["union"])
+
+
 def test_positional_reader(spark, files):
     feeds, dictionary, root = files
     out = os.path.join(root, "positional")
