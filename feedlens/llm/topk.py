@@ -12,8 +12,9 @@ The best k of all blocks of a query meet by query id, k rows a block, after
 each task has merged its own.
 
 Queries go out in blocks of at most ``QUERY_ROWS`` rows, each answered against
-all rows. A block's answers are written and its broadcast destroyed before the
-next goes out, so one block at a time is held, however many queries there are.
+all rows. The driver reads them one partition at a time; a block's answers are
+written and its broadcast destroyed before the next goes out, so one block at a
+time is held, however many queries there are.
 
 Defined cases: vectors that are null, empty, or hold a null or non-finite
 component, and rows without an id, take no part; shorter vectors count as
@@ -27,6 +28,7 @@ scores whole numbers; both must fit 64 bits.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -156,18 +158,18 @@ def top_k(embeddings: DataFrame, *, k: int, every: int, scale: int = 64, id_colu
         return dealt.mapInArrow(run, names)
 
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    out = None
+    path = None
     block: list = []
-    for row in [*queries.toLocalIterator(), None]:
+    for row in chain(queries.toLocalIterator(), [None]):
         if row is not None:
             block.append(row)
         if block and (row is None or len(block) >= query_rows):
             sent = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in block]), _matrix([r["v"] for r in block], width)))
             ranked = answers(sent).withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
-            part = common.written(ranked.select("query_id", "rank", "vec_id", "score"), "top-k")
+            path = path or common.scratch_path(spark, "top-k")
+            # One table of all blocks, so that the plan does not grow with their number.
+            ranked.select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(path)
             sent.destroy()
-            out = part if out is None else out.unionByName(part)
             block = []
-    if out is None:
-        out = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    return out
+    schema = "query_id bigint, rank int, vec_id bigint, score bigint"
+    return spark.read.schema(schema).parquet(path) if path else spark.createDataFrame([], schema)
