@@ -14,7 +14,8 @@ The index is divided by document, not by term: a frequent term or passage
 meets no single task, and nothing is shuffled but one count per term and task.
 Test items are worked through in blocks of at most ``BLOCK_TERMS`` words, so
 what is broadcast (terms and phrases of one block, one block at a time) has a
-fixed bound; each block makes one pass over the documents.
+fixed bound; each block makes one pass over the documents, which with several
+blocks are numbered and written first, so that a row has one number in all.
 
 Defined cases: null or empty texts have no words, hit nothing and are no
 items; an item of fewer words than the window is one phrase; items without an
@@ -37,6 +38,7 @@ from . import common
 
 WINDOW = 10
 BLOCK_TERMS = 500_000
+PAIRS = 1 << 20  # possible places of phrases looked at together in one document
 
 INDEX_SCHEMA = "row bigint, doc_id bigint, mark bigint, n_words bigint, terms array<int>, counts array<int>, positions array<int>"
 
@@ -77,9 +79,17 @@ def item_blocks(benchmark: DataFrame, block_terms: int) -> Iterator[list[tuple[s
         yield block
 
 
-def build_index(documents: DataFrame, phrases: Phrases) -> DataFrame:
-    """The written index of the terms of ``phrases`` over every text of ``documents`` (doc_id, text)."""
-    number = documents.sparkSession.sparkContext.broadcast(phrases.number)
+def numbered(documents: DataFrame) -> DataFrame:
+    """``row, doc_id, mark, text`` of ``documents`` (doc_id, text): row numbers, and the hash of the text."""
+    text = F.col("text").cast("string")
+    return documents.select(
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text")
+    )
+
+
+def build_index(rows: DataFrame, phrases: Phrases) -> DataFrame:
+    """The written index of the terms of ``phrases`` over every text of ``rows``, as ``numbered`` gives them."""
+    number = rows.sparkSession.sparkContext.broadcast(phrases.number)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = number.value.get
@@ -102,10 +112,6 @@ def build_index(documents: DataFrame, phrases: Phrases) -> DataFrame:
                     _lists(terms), _lists(counts), _lists(positions),
                 ], names=["row", "doc_id", "mark", "n_words", "terms", "counts", "positions"])
 
-    text = F.col("text").cast("string")
-    rows = documents.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text")
-    )
     return common.written(rows.mapInArrow(run, INDEX_SCHEMA), "postings")
 
 
@@ -151,17 +157,19 @@ class Searcher:
         ends = np.cumsum(counts)
         parts = []
         for t in np.flatnonzero(has).tolist():
-            phrase = self.by_rarest[low[t] : high[t]]
             at = positions[ends[t] - counts[t] : ends[t]].astype(np.int64)
-            start = at[None, :] - self.order[phrase, 0][:, None]
-            fits = (start >= 0) & (start + self.lengths[phrase][:, None] <= n_words)
-            p, s = np.repeat(phrase, len(at))[fits.ravel()], start.ravel()[fits.ravel()]
-            for k in range(1, self.terms.shape[1]):  # the next rarest list, shifted by its offset
-                if not len(p):
-                    break
-                same = (self.terms[p, k] == 0) | (term_at[s + self.order[p, k]] == self.terms[p, k])
-                p, s = p[same], s[same]
-            parts.append((p, s))
+            step = max(1, PAIRS // len(at))
+            for i in range(low[t], high[t], step):
+                phrase = self.by_rarest[i : min(i + step, high[t])]
+                start = at[None, :] - self.order[phrase, 0][:, None]
+                fits = (start >= 0) & (start + self.lengths[phrase][:, None] <= n_words)
+                p, s = np.repeat(phrase, len(at))[fits.ravel()], start.ravel()[fits.ravel()]
+                for k in range(1, self.terms.shape[1]):  # the next rarest list, shifted by its offset
+                    if not len(p):
+                        break
+                    same = (self.terms[p, k] == 0) | (term_at[s + self.order[p, k]] == self.terms[p, k])
+                    p, s = p[same], s[same]
+                parts.append((p, s))
         return np.concatenate([p for p, _ in parts]), np.concatenate([s for _, s in parts])
 
     def near(self, terms: np.ndarray, counts: np.ndarray, positions: np.ndarray, span: int) -> list[tuple[int, int]]:
@@ -255,10 +263,12 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, *, window: in
     """
     blocks = item_blocks(benchmark, block_terms)
     block, following = next(blocks, []), next(blocks, None)
-    every, found = None, None
+    # Scanned again after an executor is lost, a table may be split otherwise: with several blocks the numbers are written.
+    rows = numbered(documents) if following is None else common.written(numbered(documents), "numbered")
+    every, path = None, None
     while block is not None:
         phrases = make_phrases(block, window)
-        index = build_index(documents, phrases)
+        index = build_index(rows, phrases)
         if not block:
             return index.select("doc_id", "mark", "n_words", F.expr(NO_HITS).alias("hits"), F.expr(NO_ITEMS).alias("items"))
         matches = phrase_matches(index, phrases, term_counts(index, len(phrases.number)))
@@ -266,11 +276,11 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, *, window: in
             return matches.drop("row")
         every = index.select("row", "doc_id", "mark", "n_words") if every is None else every
         # Written here, so that the terms and phrases of one block at a time are held.
-        hit = common.written(matches.where(F.size("hits") > 0).select("row", "hits", "items"), "block-matches")
-        found = hit if found is None else found.unionByName(hit)
+        path = path or common.scratch_path(rows.sparkSession, "block-matches")
+        hit = matches.where(F.size("hits") > 0).select("row", "hits", "items")
+        hit.write.mode("append").parquet(path)
         block, following = following, next(blocks, None)
-    # Row numbers come from the same scan in every block: one document is one number.
-    found = found.groupBy("row").agg(
+    found = rows.sparkSession.read.schema(hit.schema).parquet(path).groupBy("row").agg(
         F.flatten(F.collect_list("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
     )
     return every.join(found.withColumn("hits", merge_spans("hits")), "row", "left").select(

@@ -51,10 +51,22 @@ def test_items_in_blocks_give_the_same_result(spark):
     same([(r.doc_id, r.text) for r in kept.collect()], [r[:2] for r, h in zip(rows, hit, strict=True) if not h])
 
 
+def test_frequent_words_are_searched_in_pieces(monkeypatch):
+    phrases = [np.array([1, 1, x], np.int32) for x in range(1, 40)]
+    words = np.array(random.Random(2).choices(range(1, 40), [200, *[1] * 38], k=3000))
+    terms, counts = np.unique(words, return_counts=True)
+    positions = np.argsort(words, kind="stable").astype(np.int32)
+    want = {(p, s) for s in range(2998) for p, q in enumerate(phrases) if (words[s : s + 3] == q).all()}
+    for pairs in (1, 1000, 1 << 20):
+        monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+        found = decontaminate.Searcher(phrases, np.arange(40)[::-1]).exact(3000, terms, counts, positions)
+        assert sorted(zip(*(x.tolist() for x in found), strict=True)) == sorted(want)
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "b x a"), (2, "a x x x x b"), (3, "a"), (4, None)], "doc_id bigint, text string")
     phrases = decontaminate.make_phrases([("i", [b"a", b"b"])], 10)
-    index = decontaminate.build_index(docs, phrases)
+    index = decontaminate.build_index(decontaminate.numbered(docs), phrases)
     counts = decontaminate.term_counts(index, 2)
     near = {n: {r.doc_id for r in decontaminate.proximity_matches(index, phrases, counts, span=n).collect()} for n in (1, 2, 5)}
     assert near == {1: set(), 2: {1}, 5: {1, 2}}
@@ -95,6 +107,20 @@ def test_ngram_join_at_other_thresholds_and_tiles(spark, num, den, tile_rows):
     same([tuple(r) for r in got.collect()], brute.similar([r[:2] for r in rows], num, den))
 
 
+def test_many_rows_without_id_or_of_one_id(spark, tmp_path):
+    """Near copies under a null or shared id, and whole rows repeated: each member's text reaches its tiles once."""
+    rows = []
+    for k in range(120):
+        w = [f"w{k % 4}-{i}" for i in range(100)]
+        w[k % 100] = f"edit{k}"
+        rows += [(None if k % 3 else 7, " ".join(w))] * (30 if k == 5 else 2)
+    path = str(tmp_path / "rows")
+    docs_frame(spark, rows).write.parquet(path)  # scanned more than once, like every table
+    docs = spark.read.parquet(path)
+    got = ngram_join.similar_components(docs, tile_rows=4)
+    same([tuple(r) for r in got.collect()], brute.similar(rows))
+
+
 def test_one_of_each_keeps_whole_rows(spark):
     rows, _ = _odd_documents()
     docs = docs_frame(spark, rows)
