@@ -221,13 +221,19 @@ def set_digest(a: np.ndarray) -> bytes:
     return hashlib.blake2b(a.tobytes(), digest_size=16).digest()
 
 
+def _texts(documents: DataFrame, *more) -> DataFrame:
+    """``doc_id, mark, text``: ``mark`` is the hash of the text, which tells rows without an id, or of one id, apart."""
+    text = F.col("text").cast("string")
+    return documents.select(*more, F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+
+
 def features(documents: DataFrame, *, size: int, bands: Bands) -> DataFrame:
-    """``node, doc_id, n, digest, keys``, written: one row per document; ``keys`` where a task meets its set first."""
+    """``node, doc_id, mark, n, digest, keys``, written: one row per document; ``keys`` where a task meets its set first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
-            raw, off = common.utf8(batch.column(2))
+            raw, off = common.utf8(batch.column(3))
             for i, j in common.slices(off):
                 n, digests, keys = [], [], []
                 for a in shingle_sets(raw, off[i : j + 1], size):
@@ -239,14 +245,12 @@ def features(documents: DataFrame, *, size: int, bands: Bands) -> DataFrame:
                     digests.append(d)
                     keys.append(bands.keys(a).view(np.int64) if first else None)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                     pa.array(keys, pa.list_(pa.int64()))], names=["node", "doc_id", "n", "digest", "keys"],
+                    [*(batch.column(c).slice(i, j - i) for c in range(3)), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
+                     pa.array(keys, pa.list_(pa.int64()))], names=["node", "doc_id", "mark", "n", "digest", "keys"],
                 )
 
-    rows = documents.select(
-        F.monotonically_increasing_id().alias("node"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
-    )
-    return common.written(rows.mapInArrow(run, "node bigint, doc_id bigint, n bigint, digest binary, keys array<bigint>"), "shingle-keys")
+    rows = _texts(documents, F.monotonically_increasing_id().alias("node"))
+    return common.written(rows.mapInArrow(run, "node bigint, doc_id bigint, mark bigint, n bigint, digest binary, keys array<bigint>"), "shingle-keys")
 
 
 def candidate_pairs(feature_rows: DataFrame) -> DataFrame:
@@ -261,7 +265,7 @@ def candidate_pairs(feature_rows: DataFrame) -> DataFrame:
 
 
 def _tiles(members: DataFrame, bands: Bands, rows: int, size_bytes: int) -> DataFrame:
-    """``members`` (component, node, n, doc_id, digest) with ``pairs``: the pairs of tiles each is compared in, and its side."""
+    """``members`` (component, node, n, doc_id, mark, digest) with ``pairs``: the pairs of tiles each is compared in, and its side."""
     ratio = bands.den / bands.num
     # Bands of ratio den/num: sets that link are in one band or in neighbouring ones.
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(ratio + 1e-9))).cast("int") if bands.num < bands.den else F.lit(0)
@@ -285,16 +289,25 @@ def _tiles(members: DataFrame, bands: Bands, rows: int, size_bytes: int) -> Data
         " transform(filter(sequence(0, subs_up), t -> t < subs_up), t -> named_struct('low', band, 'x', tile, 'high', band + 1, 'y', t, 'side', 0)),"
         " transform(filter(sequence(0, subs_down), t -> t < subs_down), t -> named_struct('low', band - 1, 'x', t, 'high', band, 'y', tile, 'side', 1)))"
     )
-    return dealt.select("component", "node", "doc_id", "digest", pairs.alias("pairs"))
+    return dealt.select("component", "node", "doc_id", "mark", "digest", pairs.alias("pairs"))
 
 
 def verified_links(documents: DataFrame, members: DataFrame, *, size: int, bands: Bands, tile_rows: int, tile_bytes: int) -> DataFrame:
-    """``a, b``: links (as nodes) found by comparing the tiles of ``members`` (component, node, n, doc_id, digest)."""
+    """``a, b``: links (as nodes) found by comparing the tiles of ``members`` (component, node, n, doc_id, mark, digest)."""
 
     tiles = _tiles(members, bands, tile_rows, tile_bytes).hint("shuffle_hash")  # the hash side; texts are not sorted
-    text = documents.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
+    text = _texts(documents).withColumnsRenamed({"doc_id": "id", "mark": "of_text"})
     keys = ["component", "low", "x", "high", "y"]
-    dealt = text.join(tiles, F.col("id").eqNullSafe(F.col("doc_id"))).select("component", "node", "digest", "text", F.explode("pairs").alias("p"))
+    own = text.join(tiles, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("of_text") == F.col("mark"))).select("component", "node", "digest", "text", "pairs")
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of rows that repeat a whole document one goes on: they meet in one task of the join, or few where it is split."""
+        seen: set[int] = set()
+        for batch in batches:
+            at = [r for r, node in enumerate(batch.column(1).to_pylist()) if not (node in seen or seen.add(node))]
+            yield batch if len(at) == batch.num_rows else batch.take(pa.array(at, pa.int64()))
+
+    dealt = own.mapInArrow(once, own.schema).select("component", "node", "digest", "text", F.explode("pairs").alias("p"))
     # Texts travel, not their hashes: they compress, and take a third of the room.
     dealt = dealt.select("component", "p.low", "p.x", "p.high", "p.y", "p.side", "node", "digest", "text").repartition(*keys).sortWithinPartitions(*keys)
 
@@ -308,7 +321,7 @@ def verified_links(documents: DataFrame, members: DataFrame, *, size: int, bands
                 own: dict[int, tuple[int, np.ndarray]] = {}
                 for i, j in common.slices(off):
                     for r, a in zip(range(i, j), shingle_sets(raw, off[i : j + 1], size), strict=True):
-                        # Rows that only share the id of a member have another digest.
+                        # A row of a member's id and mark that is another text has another digest.
                         if nodes[r] not in own and set_digest(a) == digests[r]:
                             own[nodes[r]] = sides[r], a
                 ids, of_tile = list(own), np.array([s for s, _ in own.values()])
@@ -331,15 +344,15 @@ def similar_components(documents: DataFrame, *, size: int = SIZE, num: int = NUM
     rows = features(documents, size=size, bands=bands)
     # One node per set: the smallest of its emitters.
     sets = common.written(rows.where("digest is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("doc_id"), F.min(F.when(F.col("keys").isNotNull(), F.struct("node", F.col("doc_id").alias("doc_id"), "n"))).alias("e")
-    ).select("digest", "doc_id", F.col("e.node").alias("node"), F.col("e.doc_id").alias("node_doc_id"), F.col("e.n").alias("n")), "sets")
+        F.min("doc_id").alias("doc_id"), F.min(F.when(F.col("keys").isNotNull(), F.struct("node", F.col("doc_id").alias("doc_id"), "mark", "n"))).alias("e")
+    ).select("digest", "doc_id", F.col("e.node").alias("node"), F.col("e.doc_id").alias("node_doc_id"), F.col("e.mark").alias("mark"), F.col("e.n").alias("n")), "sets")
     other = rows.where("keys is not null").select("digest", F.col("node").alias("from")).join(sets.select("digest", "node"), "digest").where(F.col("from") != F.col("node"))
     other = common.written(other.select("from", F.col("node").alias("to")), "set-nodes")
     pairs = candidate_pairs(rows)
     for end in ("a", "b"):
         pairs = pairs.join(other, F.col(end) == F.col("from"), "left").withColumn(end, F.coalesce("to", end)).drop("from", "to")
     candidates = common.written(graph.components(pairs.where("a <> b")), "candidates")
-    members = candidates.join(sets, "node").select("component", "node", "n", F.col("node_doc_id").alias("doc_id"), "digest")
+    members = candidates.join(sets, "node").select("component", "node", "n", F.col("node_doc_id").alias("doc_id"), "mark", "digest")
     members = common.written(members, "members")
     links = verified_links(documents, members, size=size, bands=bands, tile_rows=tile_rows, tile_bytes=tile_bytes)
     labels = graph.components(links)
