@@ -5,14 +5,13 @@ all but the last return the columns of ``documents``. ``run`` writes each
 stage's result to the shared folder and reads it back.
 
 1. language ID drops what it rejects: documents that are ``und`` (null, or no letter).
-2. n-gram join keeps one document of each group: the one whose doc_id names
-   the component; of rows that repeat that doc_id, one.
+2. n-gram join keeps one row of each group of linked texts: the first by doc_id
+   (null last), then by the hash of its text; rows without words stay.
 3. decontamination drops every document with a word in a benchmark window.
 4. secret scans replace each secret in the text and set ``n_chars`` anew.
 5. BPE returns doc_id, the number of tokens, and the sha256 of ids and decoded text.
 
-Rows without a doc_id are judged by 1 and 3 to 5 like any other; 2 keeps
-them, as they name no group.
+Rows without a doc_id, or of one doc_id, are judged by every stage like any other.
 """
 
 from __future__ import annotations

@@ -337,15 +337,19 @@ def verified_links(documents: DataFrame, members: DataFrame, *, size: int, bands
     return dealt.mapInArrow(compare, "a bigint, b bigint")
 
 
-def similar_components(documents: DataFrame, *, size: int = SIZE, num: int = NUM, den: int = DEN, tile_rows: int = TILE_ROWS,
-                       tile_bytes: int = TILE_BYTES) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``documents`` (doc_id, text)."""
+def _named_sets(documents: DataFrame, *, size: int, num: int, den: int, tile_rows: int, tile_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``features``, and ``digest, doc_id, first_mark, component`` of every set.
+
+    ``doc_id`` and ``first_mark`` are those of the set's first row: by doc_id (null last), then mark.
+    """
     bands = Bands(num, den)
     rows = features(documents, size=size, bands=bands)
     # One node per set: the smallest of its emitters.
     sets = common.written(rows.where("digest is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("doc_id"), F.min(F.when(F.col("keys").isNotNull(), F.struct("node", F.col("doc_id").alias("doc_id"), "mark", "n"))).alias("e")
-    ).select("digest", "doc_id", F.col("e.node").alias("node"), F.col("e.doc_id").alias("node_doc_id"), F.col("e.mark").alias("mark"), F.col("e.n").alias("n")), "sets")
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("first"),
+        F.min(F.when(F.col("keys").isNotNull(), F.struct("node", F.col("doc_id").alias("doc_id"), "mark", "n"))).alias("e"),
+    ).select("digest", F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias("first_mark"),
+             F.col("e.node").alias("node"), F.col("e.doc_id").alias("node_doc_id"), F.col("e.mark").alias("mark"), F.col("e.n").alias("n")), "sets")
     other = rows.where("keys is not null").select("digest", F.col("node").alias("from")).join(sets.select("digest", "node"), "digest").where(F.col("from") != F.col("node"))
     other = common.written(other.select("from", F.col("node").alias("to")), "set-nodes")
     pairs = candidate_pairs(rows)
@@ -356,26 +360,42 @@ def similar_components(documents: DataFrame, *, size: int = SIZE, num: int = NUM
     members = common.written(members, "members")
     links = verified_links(documents, members, size=size, bands=bands, tile_rows=tile_rows, tile_bytes=tile_bytes)
     labels = graph.components(links)
-    named = sets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")).select("digest", "doc_id", "component")
+    named = sets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return rows, named.select("digest", "doc_id", "first_mark", "component")
+
+
+def similar_components(documents: DataFrame, *, size: int = SIZE, num: int = NUM, den: int = DEN, tile_rows: int = TILE_ROWS,
+                       tile_bytes: int = TILE_BYTES) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row of ``documents`` (doc_id, text)."""
+    rows, named = _named_sets(documents, size=size, num=num, den=den, tile_rows=tile_rows, tile_bytes=tile_bytes)
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = named.join(smallest, "component").select("digest", "component_id")
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(named, "digest", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def one_of_each(documents: DataFrame, *, size: int = SIZE, num: int = NUM, den: int = DEN) -> DataFrame:
-    """``documents`` with one row of each component: the one with its smallest doc_id; all columns kept.
+def one_of_each(documents: DataFrame, *, size: int = SIZE, num: int = NUM, den: int = DEN, tile_rows: int = TILE_ROWS,
+                tile_bytes: int = TILE_BYTES) -> DataFrame:
+    """``documents`` with one row of each component, and every row without shingles; all columns kept.
 
-    Of rows that repeat that doc_id one stays (the first in the order of its
-    columns). Rows without a doc_id cannot be named and all stay.
+    The row is the first by doc_id (null last), then by the hash of its text,
+    then in the order of its columns. Components are those of the sets: one
+    doc_id may stand for several, and rows without a doc_id are judged as well.
     """
-    found = similar_components(documents, size=size, num=num, den=den).where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    found = common.written(found.select(F.col("doc_id").alias("_kept"), "n"), "kept")
-    same = F.col("doc_id").cast("bigint") == F.col("_kept")
+    rows, named = _named_sets(documents, size=size, num=num, den=den, tile_rows=tile_rows, tile_bytes=tile_bytes)
+    first = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "first_mark")).alias("first"))
+    first = first.select(F.col("first.doc_id").alias("_kept"), F.col("first.first_mark").alias("_mark"))
+    copies = rows.where("digest is not null").groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("n"))
+    found = first.join(copies, F.col("_kept").eqNullSafe(F.col("doc_id")) & (F.col("_mark") == F.col("mark")))
+    found = common.written(found.select("_kept", "_mark", "n"), "kept")
+    text = F.col("text").cast("string")
+    doc_id, mark = F.col("doc_id").cast("bigint"), F.xxhash64(text)
+    same = doc_id.eqNullSafe(F.col("_kept")) & (mark == F.col("_mark"))
+    worded = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
 
     def kept(condition: str) -> DataFrame:
-        return documents.join(found.where(condition).select("_kept").hint("shuffle_hash"), same, "left_semi")
+        return documents.where(worded).join(found.where(condition).select("_kept", "_mark").hint("shuffle_hash"), same, "left_semi")
 
     order = F.min(F.struct(*[F.col(c).alias(c) for c in ("text", *[c for c in documents.columns if c != "text"])]))
-    repeated = kept("n > 1").groupBy(F.col("doc_id").alias("_id")).agg(order.alias("row")).select("row.*").select(*documents.columns)
-    return kept("n = 1").unionByName(repeated).unionByName(documents.where("doc_id is null"))
+    repeated = kept("n > 1").groupBy(doc_id.alias("_id"), mark.alias("_of_text")).agg(order.alias("row")).select("row.*").select(*documents.columns)
+    return kept("n = 1").unionByName(repeated).unionByName(documents.where(~worded))

@@ -130,6 +130,20 @@ def test_one_of_each_keeps_whole_rows(spark):
     assert set(kept) <= set(docs.collect())
 
 
+def test_one_of_each_judges_rows_without_id_or_of_one_id(spark):
+    """Unlinked texts of one id both stay, a linked one goes, and rows without an id are judged like any other."""
+    a, b, c, d, e = (" ".join(f"{k}{i}" for i in range(60)) for k in "abcde")
+    near = " ".join(["edit", *b.split()[1:]])
+    rows = [(5, a), (5, c), (3, b), (5, near), (None, b), (None, d), (None, d), (None, d + " more"), (7, e), (7, e), (None, e),
+            (None, None), (None, None), (9, " \n"), (9, " \n")]
+    kept = ngram_join.one_of_each(docs_frame(spark, rows))
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    of_d = [x for x in got if x[0] is None and x[1] is not None]
+    assert len(of_d) == 1 and of_d[0] in [(None, d), (None, d + " more")]
+    same([x for x in got if x not in of_d], [(5, a), (5, c), (3, b), (7, e), (None, None), (None, None), (9, " \n"), (9, " \n")])
+
+
 def test_components(spark):
     r = random.Random(1)
     edges = [(r.randint(0, 300), r.randint(0, 300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1060)] + [(5, 5)]
