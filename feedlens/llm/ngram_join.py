@@ -14,15 +14,16 @@ one pair each. The components of these pairs hold every link.
 Tiles. A component of up to ``TILE_ROWS`` sets is one tile. A larger one is
 dealt into size bands (ratio den/num, so that links stay within a band or its neighbour) and
 within a band by hash; every two tiles whose bands may link are compared by
-one task. Within a task, sets already joined are not compared again; for the rest the bit counts of two
+one task. Within a task the bit counts of two
 bitmaps bound the overlap from above (a bit set on one side only is an element
-missing on the other), and pairs whose bound is too low are left out; the others are decided by
-intersecting the sorted arrays. A task gives at most one link per set it
-merges, not all pairs.
+missing on the other), and pairs whose bound is too low are left out; all others are decided by
+intersecting the sets. A task gives one link per set it merges and, per set,
+the number of rows it links with there, not all pairs; each pair of sets is in
+one pair of tiles, so these numbers add up. Where only the groups are wanted
+(``one_of_each``), sets already joined are not compared again.
 
 Equal sets are found by a digest of the whole set before, so a large group of
-copies is one set. Exact: every link between different sets is decided, directly or
-because both ends were already connected.
+copies is one set, weighed by its rows. Exact: every link between different sets is decided and counted.
 
 Defined cases: fewer than ``size`` words make one shingle of all; null, empty
 and wordless texts have no shingles and are their own component; documents with
@@ -47,6 +48,7 @@ SIZE = 3
 NUM, DEN = 90, 100
 TILE_ROWS = 512
 TILE_BYTES = 16 << 20
+DENSE_ROWS, DENSE_ELEMENTS = 16, 8192
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -186,20 +188,64 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def tile_links(sets: list[np.ndarray], side: np.ndarray, bands: Bands) -> list[tuple[int, int]]:
-    """Links that connect what linked sets connect; ``side`` 0 and 1: pairs across, all 0: pairs within."""
+class Overlaps:
+    """Elements that one set of a tile shares with many, by numbers of the tile's elements made at first need.
+
+    Where few elements are in two sets or more, as among near copies, all
+    overlaps come from one product of 0/1 rows (whole numbers, exact).
+    """
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sets, self.numbers, self.own, self.all = sets, None, None, None
+        if len(sets) >= DENSE_ROWS:
+            elements = np.concatenate(sets)
+            found, number, count = np.unique(elements, return_inverse=True, return_counts=True)
+            shared = np.flatnonzero(count > 1)
+            if len(shared) <= DENSE_ELEMENTS:
+                column = np.full(len(found), len(shared), np.int64)
+                column[shared] = np.arange(len(shared))
+                rows = np.zeros((len(sets), len(shared) + 1), np.float32)
+                rows[np.repeat(np.arange(len(sets)), [len(s) for s in sets]), column[number]] = 1
+                rows = rows[:, :-1]
+                self.all = (rows @ rows.T).astype(np.int64)
+
+    def of(self, i: int, others: np.ndarray) -> np.ndarray:
+        if self.all is not None:
+            return self.all[i, others]
+        if len(others) < 8:
+            return np.array([overlap(self.sets[i], self.sets[j]) for j in others.tolist()], np.int64)
+        if self.numbers is None:
+            elements, number = np.unique(np.concatenate(self.sets), return_inverse=True)
+            self.numbers = np.split(number.astype(np.int32), np.cumsum([len(s) for s in self.sets])[:-1])
+            self.own = np.zeros(len(elements), np.uint8)
+        self.own[self.numbers[i]] = 1
+        rows = [self.numbers[j] for j in others.tolist()]
+        starts = np.concatenate(([0], np.cumsum([len(r) for r in rows])[:-1]))
+        out = np.add.reduceat(self.own[np.concatenate(rows)], starts, dtype=np.int64)
+        self.own[self.numbers[i]] = 0
+        return out
+
+
+def tile_links(sets: list[np.ndarray], side: np.ndarray, bands: Bands, *, across: bool, copies: np.ndarray | None = None) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links that connect what linked sets connect, and the rows that each set links with; ``across``: pairs of two sides only.
+
+    ``copies`` is the number of rows of each set; without it sets already
+    connected are not compared again, and the numbers stay 0.
+    """
     order = np.argsort([len(s) for s in sets], kind="stable")
     sizes = np.array([len(sets[k]) for k in order])
-    across = bool(side.any())
     sides = side[order]
     label = np.arange(len(sets))
-    bits = bitmaps([sets[k] for k in order]) if len(sets) > 2 else None
+    many = Overlaps([sets[k] for k in order]) if copies is not None else None
+    dense = many is not None and many.all is not None
+    bits = bitmaps([sets[k] for k in order]) if len(sets) > 2 and not dense else None
     # Sets no larger than the size rule allows, as order is by size.
     upto = np.searchsorted(sizes * bands.num, sizes * bands.den, "right")
-    out = []
+    out, counts = [], np.zeros(len(sets), np.int64)
     for i in range(len(sets)):
         others = np.arange(i + 1, upto[i])
-        others = others[label[others] != label[i]]
+        if copies is None:
+            others = others[label[others] != label[i]]
         if across:
             others = others[sides[others] != sides[i]]
         if bits is not None and len(others):
@@ -207,14 +253,18 @@ def tile_links(sets: list[np.ndarray], side: np.ndarray, bands: Bands) -> list[t
             miss_o = np.bitwise_count(bits[others] & ~bits[i]).sum(1, dtype=np.int64)
             bound = np.minimum(sizes[i] - miss_i, sizes[others] - miss_o)
             others = others[bands.links(bound, sizes[i], sizes[others])]
+        if copies is not None and len(others):
+            others = others[bands.links(many.of(i, others), sizes[i], sizes[others])]
+            counts[order[i]] += copies[order[others]].sum()
+            counts[order[others]] += copies[order[i]]
         a = sets[order[i]]
-        for j in others.tolist():
+        for j in others[label[others] != label[i]].tolist():
             if label[j] != label[i]:
                 b = sets[order[j]]
-                if bands.links(overlap(a, b), len(a), len(b)):
+                if copies is not None or bands.links(overlap(a, b), len(a), len(b)):
                     label[label == label[j]] = label[i]
                     out.append((int(order[i]), int(order[j])))
-    return out
+    return out, counts
 
 
 def set_digest(a: np.ndarray) -> bytes:
@@ -265,7 +315,7 @@ def candidate_pairs(feature_rows: DataFrame) -> DataFrame:
 
 
 def _tiles(members: DataFrame, bands: Bands, rows: int, size_bytes: int) -> DataFrame:
-    """``members`` (component, node, n, doc_id, mark, digest) with ``pairs``: the pairs of tiles each is compared in, and its side."""
+    """``members`` (component, node, n, doc_id, mark, digest, copies) with ``pairs``: the pairs of tiles each is compared in, and its side."""
     ratio = bands.den / bands.num
     # Bands of ratio den/num: sets that link are in one band or in neighbouring ones.
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(ratio + 1e-9))).cast("int") if bands.num < bands.den else F.lit(0)
@@ -289,16 +339,20 @@ def _tiles(members: DataFrame, bands: Bands, rows: int, size_bytes: int) -> Data
         " transform(filter(sequence(0, subs_up), t -> t < subs_up), t -> named_struct('low', band, 'x', tile, 'high', band + 1, 'y', t, 'side', 0)),"
         " transform(filter(sequence(0, subs_down), t -> t < subs_down), t -> named_struct('low', band - 1, 'x', t, 'high', band, 'y', tile, 'side', 1)))"
     )
-    return dealt.select("component", "node", "doc_id", "mark", "digest", pairs.alias("pairs"))
+    return dealt.select("component", "node", "doc_id", "mark", "digest", "copies", pairs.alias("pairs"))
 
 
-def verified_links(documents: DataFrame, members: DataFrame, *, size: int, bands: Bands, tile_rows: int, tile_bytes: int) -> DataFrame:
-    """``a, b``: links (as nodes) found by comparing the tiles of ``members`` (component, node, n, doc_id, mark, digest)."""
+def verified_links(documents: DataFrame, members: DataFrame, *, size: int, bands: Bands, tile_rows: int, tile_bytes: int, counted: bool) -> DataFrame:
+    """``a, b, n``: links (as nodes) found by comparing the tiles of ``members`` (component, node, n, doc_id, mark, digest, copies).
+
+    ``n`` is null. Where ``counted``, rows without ``b`` hold the number of
+    rows ``n`` that ``a`` links with in one pair of tiles.
+    """
 
     tiles = _tiles(members, bands, tile_rows, tile_bytes).hint("shuffle_hash")  # the hash side; texts are not sorted
     text = _texts(documents).withColumnsRenamed({"doc_id": "id", "mark": "of_text"})
     keys = ["component", "low", "x", "high", "y"]
-    own = text.join(tiles, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("of_text") == F.col("mark"))).select("component", "node", "digest", "text", "pairs")
+    own = text.join(tiles, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("of_text") == F.col("mark"))).select("component", "node", "digest", "copies", "text", "pairs")
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of rows that repeat a whole document one goes on: they meet in one task of the join, or few where it is split."""
@@ -307,48 +361,54 @@ def verified_links(documents: DataFrame, members: DataFrame, *, size: int, bands
             at = [r for r, node in enumerate(batch.column(1).to_pylist()) if not (node in seen or seen.add(node))]
             yield batch if len(at) == batch.num_rows else batch.take(pa.array(at, pa.int64()))
 
-    dealt = own.mapInArrow(once, own.schema).select("component", "node", "digest", "text", F.explode("pairs").alias("p"))
+    dealt = own.mapInArrow(once, own.schema).select("component", "node", "digest", "copies", "text", F.explode("pairs").alias("p"))
     # Texts travel, not their hashes: they compress, and take a third of the room.
-    dealt = dealt.select("component", "p.low", "p.x", "p.high", "p.y", "p.side", "node", "digest", "text").repartition(*keys).sortWithinPartitions(*keys)
+    dealt = dealt.select("component", "p.low", "p.x", "p.high", "p.y", "p.side", "node", "digest", "copies", "text").repartition(*keys).sortWithinPartitions(*keys)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found() -> Iterator[tuple[int, int]]:
+        def found() -> Iterator[tuple[int, int | None, int | None]]:
             for run in streams.key_runs(batches, len(keys)):
                 if run.num_rows < 2:
                     continue
-                nodes, sides, digests = run.column("node").to_pylist(), run.column("side").to_pylist(), run.column("digest").to_pylist()
+                nodes, sides, digests, copies = (run.column(c).to_pylist() for c in ("node", "side", "digest", "copies"))
                 raw, off = common.utf8(run.column("text"))
-                own: dict[int, tuple[int, np.ndarray]] = {}
+                own: dict[int, tuple[int, int, np.ndarray]] = {}
                 for i, j in common.slices(off):
                     for r, a in zip(range(i, j), shingle_sets(raw, off[i : j + 1], size), strict=True):
                         # A row of a member's id and mark that is another text has another digest.
                         if nodes[r] not in own and set_digest(a) == digests[r]:
-                            own[nodes[r]] = sides[r], a
-                ids, of_tile = list(own), np.array([s for s, _ in own.values()])
-                # Only a pair of two different tiles has sides.
-                for i, j in tile_links([a for _, a in own.values()], of_tile, bands) if len(ids) > 1 else ():
-                    yield ids[i], ids[j]
+                            own[nodes[r]] = sides[r], copies[r], a
+                if len(own) < 2:
+                    continue
+                ids, of_tile, weights = list(own), np.array([s for s, _, _ in own.values()]), np.array([c for _, c, _ in own.values()])
+                # A tile of two may be empty, so the key says whether it is one or two.
+                across = any(run.column(x)[0] != run.column(y)[0] for x, y in (("low", "high"), ("x", "y")))
+                links, counts = tile_links([a for *_, a in own.values()], of_tile, bands, across=across, copies=weights if counted else None)
+                yield from ((ids[i], ids[j], None) for i, j in links)
+                yield from ((ids[i], None, int(counts[i])) for i in np.flatnonzero(counts).tolist())
 
-        def batch(rows: list[tuple[int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["a", "b"])
+        def batch(rows: list[tuple[int, int | None, int | None]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["a", "b", "n"])
 
         yield from streams.in_batches(found(), batch, 4096)
 
-    return dealt.mapInArrow(compare, "a bigint, b bigint")
+    return common.written(dealt.mapInArrow(compare, "a bigint, b bigint, n bigint"), "links")
 
 
-def _named_sets(documents: DataFrame, *, size: int, num: int, den: int, tile_rows: int, tile_bytes: int) -> tuple[DataFrame, DataFrame]:
-    """The rows of ``features``, and ``digest, doc_id, first_mark, component`` of every set.
+def _named_sets(documents: DataFrame, *, size: int, num: int, den: int, tile_rows: int, tile_bytes: int, counted: bool) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``features``, and ``digest, doc_id, first_mark, component, n_links`` of every set.
 
     ``doc_id`` and ``first_mark`` are those of the set's first row: by doc_id (null last), then mark.
+    ``n_links``: the other rows that a row of the set links with, if ``counted``.
     """
     bands = Bands(num, den)
     rows = features(documents, size=size, bands=bands)
     # One node per set: the smallest of its emitters.
     sets = common.written(rows.where("digest is not null").groupBy("digest").agg(
+        F.count(F.lit(1)).alias("copies"),
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("first"),
         F.min(F.when(F.col("keys").isNotNull(), F.struct("node", F.col("doc_id").alias("doc_id"), "mark", "n"))).alias("e"),
-    ).select("digest", F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias("first_mark"),
+    ).select("digest", "copies", F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias("first_mark"),
              F.col("e.node").alias("node"), F.col("e.doc_id").alias("node_doc_id"), F.col("e.mark").alias("mark"), F.col("e.n").alias("n")), "sets")
     other = rows.where("keys is not null").select("digest", F.col("node").alias("from")).join(sets.select("digest", "node"), "digest").where(F.col("from") != F.col("node"))
     other = common.written(other.select("from", F.col("node").alias("to")), "set-nodes")
@@ -356,22 +416,34 @@ def _named_sets(documents: DataFrame, *, size: int, num: int, den: int, tile_row
     for end in ("a", "b"):
         pairs = pairs.join(other, F.col(end) == F.col("from"), "left").withColumn(end, F.coalesce("to", end)).drop("from", "to")
     candidates = common.written(graph.components(pairs.where("a <> b")), "candidates")
-    members = candidates.join(sets, "node").select("component", "node", "n", F.col("node_doc_id").alias("doc_id"), "mark", "digest")
+    members = candidates.join(sets, "node").select("component", "node", "n", F.col("node_doc_id").alias("doc_id"), "mark", "digest", "copies")
     members = common.written(members, "members")
-    links = verified_links(documents, members, size=size, bands=bands, tile_rows=tile_rows, tile_bytes=tile_bytes)
-    labels = graph.components(links)
-    named = sets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return rows, named.select("digest", "doc_id", "first_mark", "component")
+    links = verified_links(documents, members, size=size, bands=bands, tile_rows=tile_rows, tile_bytes=tile_bytes, counted=counted)
+    labels = graph.components(links.where("b is not null").select("a", "b"))
+    linked = links.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("linked"))
+    named = sets.join(labels, "node", "left").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    n_links = F.col("copies") - 1 + F.coalesce("linked", F.lit(0))
+    return rows, named.select("digest", "doc_id", "first_mark", "component", (n_links if counted else F.lit(None).cast("bigint")).alias("n_links"))
 
 
-def similar_components(documents: DataFrame, *, size: int = SIZE, num: int = NUM, den: int = DEN, tile_rows: int = TILE_ROWS,
-                       tile_bytes: int = TILE_BYTES) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``documents`` (doc_id, text)."""
-    rows, named = _named_sets(documents, size=size, num=num, den=den, tile_rows=tile_rows, tile_bytes=tile_bytes)
+def linked_documents(documents: DataFrame, *, size: int = SIZE, num: int = NUM, den: int = DEN, tile_rows: int = TILE_ROWS,
+                     tile_bytes: int = TILE_BYTES) -> DataFrame:
+    """``doc_id, n_shingles, component_id, n_links`` of every row of ``documents`` (doc_id, text).
+
+    ``n_links`` is the number of other rows whose set links with the row's own, copies among them.
+    """
+    rows, named = _named_sets(documents, size=size, num=num, den=den, tile_rows=tile_rows, tile_bytes=tile_bytes, counted=True)
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(smallest, "component").select("digest", "component_id")
+    named = named.join(smallest, "component").select("digest", "component_id", "n_links")
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(named, "digest", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    component_id = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "n_shingles", component_id.alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+
+
+def similar_components(documents: DataFrame, *, size: int = SIZE, num: int = NUM, den: int = DEN, tile_rows: int = TILE_ROWS,
+                       tile_bytes: int = TILE_BYTES) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of ``linked_documents``."""
+    return linked_documents(documents, size=size, num=num, den=den, tile_rows=tile_rows, tile_bytes=tile_bytes).drop("n_links")
 
 
 def one_of_each(documents: DataFrame, *, size: int = SIZE, num: int = NUM, den: int = DEN, tile_rows: int = TILE_ROWS,
@@ -382,7 +454,7 @@ def one_of_each(documents: DataFrame, *, size: int = SIZE, num: int = NUM, den:
     then in the order of its columns. Components are those of the sets: one
     doc_id may stand for several, and rows without a doc_id are judged as well.
     """
-    rows, named = _named_sets(documents, size=size, num=num, den=den, tile_rows=tile_rows, tile_bytes=tile_bytes)
+    rows, named = _named_sets(documents, size=size, num=num, den=den, tile_rows=tile_rows, tile_bytes=tile_bytes, counted=False)
     first = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "first_mark")).alias("first"))
     first = first.select(F.col("first.doc_id").alias("_kept"), F.col("first.first_mark").alias("_mark"))
     copies = rows.where("digest is not null").groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("n"))

@@ -121,6 +121,23 @@ def test_many_rows_without_id_or_of_one_id(spark, tmp_path):
     same([tuple(r) for r in got.collect()], brute.similar(rows))
 
 
+@pytest.mark.parametrize("tile_rows", [512, 3])
+def test_every_link_is_counted(spark, tile_rows):
+    """A family of near copies with exact copies among them: links that merge nothing are counted too, in one tile or many."""
+    rows = []
+    for k in range(30):
+        w = [f"w{i}" for i in range(200)]
+        for at in range(k % 5):
+            w[(k * 7 + at * 31) % 200] = f"edit{k}"
+        rows += [(None if k % 5 == 0 else k // 2, " ".join(w))] * (1 + k % 4)
+    rows += [(100, "alone " * 3), (101, None), (102, " ")]
+    sets = [brute.shingles(t) for _, t in rows]
+    want = [(i, len(a), sum(bool(a and b) and 100 * len(a & b) >= 90 * len(a | b) for b in sets) - bool(a)) for (i, _), a in zip(rows, sets, strict=True)]
+    assert max(x[2] for x in want) > 20
+    got = ngram_join.linked_documents(docs_frame(spark, rows), tile_rows=tile_rows)
+    same([(r.doc_id, r.n_shingles, r.n_links) for r in got.collect()], want)
+
+
 def test_one_of_each_keeps_whole_rows(spark):
     rows, _ = _odd_documents()
     docs = docs_frame(spark, rows)
