@@ -4,16 +4,17 @@ Features of a text are the blended spectrum of its n-grams (n = 1..3, over the
 UTF-8 bytes of the text with A-Z lower-cased, and digits, punctuation and white
 space as one separator byte), as presence: a set, not counts. The kernel of two
 texts is the size of the intersection over the root of the product of the
-sizes, on the ``vocabulary`` n-grams that occur in the most texts of the fit
-sample. ``landmarks`` sample texts per language span the Nyström space;
+sizes, on a vocabulary of n-grams: those that rank first, by the texts of a language that
+hold them, in any language of the fit sample; ``vocabulary`` of them, or ``language_grams`` a
+language if that is more. ``landmarks`` sample texts per language span the Nyström space;
 one-versus-rest ridge regression in that space gives one score per language.
 Scoring is two matrix products per block of rows: presence times landmark
 presence (whole numbers, exact), then kernel values times weights.
 
-Fit sample (documented bounds): per language the ``per_language`` rows with
-the smallest hash of doc_id, at most ``max_languages`` languages (those with the most
-rows). Prediction covers every row and whole texts. What reaches the driver
-is bounded by ``vocabulary``, ``per_language`` and ``max_languages``.
+Fit sample (documented bound): per language the rows of the ``per_language`` doc_ids with
+the smallest hash, of rows whose text has a letter; every language is learned.
+Prediction covers every row and whole texts. What reaches the driver
+follows the number of languages: ``per_language`` rows of one bit an n-gram each.
 
 Defined cases: null text, or text without a letter: ``und`` with score 0; ties
 between languages go to the alphabetically first; rows without a doc_id are
@@ -38,7 +39,8 @@ from . import common
 PER_LANGUAGE = 200
 LANDMARKS = 24
 VOCABULARY = 8192
-MAX_LANGUAGES = 64
+LANGUAGE_GRAMS = 128
+FIT_ROWS = 2048
 RIDGE = 1e-2
 NONE = "und"
 
@@ -66,12 +68,13 @@ def text_grams(raw: np.ndarray) -> np.ndarray:
 
 
 class Vocabulary:
-    """n-gram codes to columns, by a table over all codes of up to three bytes (32 MB a worker)."""
+    """n-gram codes to columns, by a table over all codes of up to three bytes (32 MB a worker, 64 MB for 65,536 columns or more)."""
 
     def __init__(self, codes: np.ndarray):
         self.size = len(codes)
-        self.column = np.full(1 << 24, self.size, np.uint16)
-        self.column[codes] = np.arange(self.size, dtype=np.uint16)
+        kind = np.uint16 if self.size < 1 << 16 else np.uint32
+        self.column = np.full(1 << 24, self.size, kind)
+        self.column[codes] = np.arange(self.size, dtype=kind)
 
     def presence(self, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
         """0/1 matrix of the rows of ``off`` over the vocabulary."""
@@ -92,54 +95,67 @@ def kernel(rows: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
     return np.divide(rows @ landmarks.T, norm, out=np.zeros(norm.shape), where=norm > 0)
 
 
-def fit_ridge(presence: np.ndarray, labels: np.ndarray, languages: list[str], landmarks: int, ridge: float):
-    """(landmark rows, weights from landmark kernel values to one score per language)."""
+def fit_ridge(bits: np.ndarray, width: int, labels: np.ndarray, languages: list[str], landmarks: int, ridge: float):
+    """(landmark rows, weights from landmark kernel values to one score per language); ``bits``: presence, packed by row."""
+
+    def presence(rows) -> np.ndarray:
+        return np.unpackbits(bits[rows], axis=1)[:, :width].astype(np.float32)
+
     marks = np.sort(np.concatenate([np.flatnonzero(labels == k)[:landmarks] for k in range(len(languages))]))
-    chosen = presence[marks]
+    chosen = presence(marks)
     values, vectors = np.linalg.eigh(kernel(chosen, chosen))
     keep = values > 1e-8 * values.max()
     to_space = vectors[:, keep] / np.sqrt(values[keep])
-    z = np.column_stack([kernel(presence, chosen) @ to_space, np.ones(len(presence))])
-    target = (labels[:, None] == np.arange(len(languages))[None, :]).astype(np.float64)
     # Each language weighs the same, however many of its rows were sampled.
-    weight = 1.0 / np.maximum(1, target.sum(0))[labels]
-    a = (z * weight[:, None]).T @ z + ridge / len(languages) * np.eye(z.shape[1])
-    solved = np.linalg.solve(a, (z * weight[:, None]).T @ target)
+    weight = 1.0 / np.maximum(1, np.bincount(labels, minlength=len(languages)))[labels]
+    left, right = ridge / len(languages) * np.eye(to_space.shape[1] + 1), np.zeros((to_space.shape[1] + 1, len(languages)))
+    for i in range(0, len(labels), FIT_ROWS):
+        own = slice(i, i + FIT_ROWS)
+        z = np.column_stack([kernel(presence(own), chosen) @ to_space, np.ones(len(labels[own]))])
+        weighted = (z * weight[own, None]).T
+        left += weighted @ z
+        right += weighted @ (labels[own, None] == np.arange(len(languages))[None, :])
+    solved = np.linalg.solve(left, right)
     return chosen, to_space @ solved[:-1], solved[-1]
 
 
-def _sample(labelled: DataFrame, per_language: int, max_languages: int) -> DataFrame:
+def _sample(labelled: DataFrame, per_language: int) -> DataFrame:
     """The fit sample's (doc_id, lang, order): bounded per language before any shuffle of rows.
 
     ``row_number`` below a bound keeps the smallest rows of each task first, so
     a language that holds most rows sends ``per_language`` rows a task.
     """
     ids = labelled.where("lang is not null and doc_id is not null").select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).distinct()
-    kept = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(max_languages).select("lang")
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    top = ids.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language)
-    return top.join(kept, "lang", "left_semi").select("doc_id", "lang", "h")
+    return ids.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language).select("doc_id", "lang", "h")
 
 
 def fit(labelled: DataFrame, *, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS, vocabulary: int = VOCABULARY,
-        max_languages: int = MAX_LANGUAGES, ridge: float = RIDGE) -> dict | None:
+        language_grams: int = LANGUAGE_GRAMS, ridge: float = RIDGE) -> dict | None:
     """The model learned from ``labelled`` (doc_id, text, lang); None with nothing to learn from."""
-    if not 0 < vocabulary < 1 << 16:
-        raise ValueError("vocabulary must fit 16 bits")
+    if vocabulary < 1 or language_grams < 1:
+        raise ValueError("need a vocabulary")
     labelled = labelled.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text", "cast(lang as string) lang")
-    ids = _sample(labelled, per_language, max_languages)
-    # At most per_language * max_languages rows of three numbers: a bounded broadcast.
+    # Other texts teach nothing, and would take the places of those that do.
+    labelled = labelled.where(F.col("text").rlike(r"\p{L}"))
+    ids = _sample(labelled, per_language)
+    # At most per_language rows of three columns a language: a bounded broadcast.
     sample = common.written(
-        labelled.where("text is not null").join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", "h", "text"), "langid-sample"
+        labelled.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", "h", "text"), "langid-sample"
     )
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in common.texts(batch.column(0)):
-                yield pa.RecordBatch.from_arrays([pa.array(text_grams(np.frombuffer(text, np.uint8)), pa.int32())], names=["gram"])
-
-    grams = sample.select("text").mapInArrow(distinct, "gram int").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    top = grams.orderBy(F.col("n").desc(), "gram").limit(vocabulary).toPandas()
+            for text, lang in zip(common.texts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                grams = text_grams(np.frombuffer(text, np.uint8))
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.int32())], names=["lang", "gram"])
+
+    grams = sample.select("text", "lang").mapInArrow(distinct, "lang string, gram int").groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram"))
+    grams = common.written(grams.withColumn("rank", rank).groupBy("gram").agg(F.min("rank").alias("rank"), F.sum("n").alias("n")), "langid-grams")
+    n_languages = sample.select("lang").distinct().count()
+    # Room for the first language_grams of every language, whatever the others hold.
+    top = grams.orderBy("rank", F.col("n").desc(), "gram").limit(max(vocabulary, language_grams * n_languages)).toPandas()
     if not len(top):
         return None
     codes = np.sort(top["gram"].to_numpy())
@@ -157,9 +173,9 @@ def fit(labelled: DataFrame, *, per_language: int = PER_LANGUAGE, landmarks: int
     rows = sample.select("text", "lang", "h", "doc_id").mapInArrow(packed, "bits binary, lang string, h bigint, doc_id bigint")
     rows = rows.toPandas().sort_values(["h", "doc_id", "lang", "bits"], kind="stable")
     languages = sorted(rows["lang"].unique())
-    presence = np.stack([np.unpackbits(np.frombuffer(b, np.uint8))[: len(codes)] for b in rows["bits"]]).astype(np.float32)
+    bits = np.stack([np.frombuffer(b, np.uint8) for b in rows["bits"]])
     labels = np.searchsorted(languages, rows["lang"].to_numpy().astype(str))
-    chosen, weights, bias = fit_ridge(presence, labels, languages, landmarks, ridge)
+    chosen, weights, bias = fit_ridge(bits, len(codes), labels, languages, landmarks, ridge)
     return {"codes": codes, "languages": languages, "landmarks": np.packbits(chosen > 0, axis=1), "weights": weights, "bias": bias}
 
 

@@ -257,6 +257,19 @@ def test_nothing_to_learn_from(spark):
     assert {r.lang_pred for r in langid.predict(docs, model).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    """More languages than 64; one of few rows and a script of its own, whose smallest ids have no text; a small vocabulary."""
+    r = random.Random(6)
+    words = {f"l{k:02}": ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(6)] for k in range(70)}
+    rows = [(100 * k + i, " ".join(r.choices(words[lang], k=30)), lang) for k, lang in enumerate(words) for i in range(4)]
+    rows += [(10000 + i, None if i % 2 else "... 12", "own") for i in range(60)] + [(20000, "дом лес река", "own"), (20001, "река дом лес", "own")]
+    model = langid.fit(docs_frame(spark, rows), per_language=4, vocabulary=300)
+    assert model["languages"] == [*words, "own"]
+    asked = [(k, " ".join(w), None) for k, w in enumerate(words.values())] + [(70, "лес дом", None)]
+    got = {x.doc_id: x.lang_pred for x in langid.predict(docs_frame(spark, asked), model).collect()}
+    assert [got[k] for k in range(71)] == model["languages"]
+
+
 def test_pipeline_stages(spark, tmp_path):
     rows, items = _odd_documents()
     folder = brute.make_tables(
