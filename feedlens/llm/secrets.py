@@ -11,9 +11,9 @@ it, each class with its own threshold (bits per character):
 - ``mixed``: digits and letters of both cases, or with symbols.
 
 Windows without a digit, or without a letter, are words, rules or numbers and
-never count. Windows over the threshold are merged to spans of the kind
-``entropy``; a span is suppressed when the candidate string holds an entry of
-the allow-list (any case). Three base kinds are found by their patterns and are never suppressed.
+never count, nor do windows that overlap an entry of the allow-list (any case);
+the rest of their candidate string counts as ever. Windows over the threshold
+are merged to spans of the kind ``entropy``. Three base kinds are found by their patterns and are never suppressed.
 
 Each text is scanned whole in the task that reads it: no shuffle.
 
@@ -61,9 +61,23 @@ def _runs(member: np.ndarray, least: int) -> np.ndarray:
     return np.stack([start[keep], end[keep]], axis=1)
 
 
-def entropy_spans(run: bytes, window: int = WINDOW, thresholds: dict[str, float] = THRESHOLDS) -> list[tuple[int, int]]:
+def allowed_bytes(low: bytes, allowed: tuple) -> bytearray | None:
+    """1 for every byte of a lower-cased run inside an entry of the allow-list; None with no entry in it."""
+    out = None
+    for entry in filter(None, allowed):
+        at = low.find(entry)
+        while at >= 0:
+            out = out or bytearray(len(low))
+            out[at : at + len(entry)] = b"\1" * len(entry)
+            at = low.find(entry, at + 1)
+    return out
+
+
+def entropy_spans(run: bytes, window: int = WINDOW, thresholds: dict[str, float] = THRESHOLDS, barred: bytearray | None = None) -> list[tuple[int, int]]:
     """Merged spans of the windows of ``run`` whose entropy exceeds their class's threshold.
 
+    Windows that hold a byte set in ``barred`` do not count.
+
     Counts are kept per character, ``total = sum(c * log2(c))``; the entropy of
     a window of ``w`` characters is ``log2(w) - total / w``. Totals come from
     a table of ``c * log2(c)``, one exit and one entry a step.
@@ -71,8 +85,10 @@ def entropy_spans(run: bytes, window: int = WINDOW, thresholds: dict[str, float]
     plogp = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
     counts = [0] * 256
     hexes = digits = lower = upper = 0  # per class; the rest are symbols
-    total, spans = 0.0, []
+    total, spans, held = 0.0, [], 0
     for i, b in enumerate(run):
+        if barred:
+            held += barred[i] - (barred[i - window] if i >= window else 0)
         for x, step in ((b, 1), (run[i - window] if i >= window else None, -1)):
             if x is None:
                 continue
@@ -83,7 +99,7 @@ def entropy_spans(run: bytes, window: int = WINDOW, thresholds: dict[str, float]
             lower += step * (97 <= x <= 122)
             upper += step * (65 <= x <= 90)
             hexes += step * (48 <= x <= 57 or 97 <= x <= 102 or 65 <= x <= 70)
-        if i < window - 1 or not digits or not (lower or upper):
+        if i < window - 1 or held or not digits or not (lower or upper):
             continue
         if hexes == window and not (lower and upper):
             kind = "hex"
@@ -117,9 +133,7 @@ def find_spans(text: bytes, data: np.ndarray, *, window: int, thresholds: dict,
     for s, e in _runs(_CANDIDATE[data], window).tolist():
         run = text[s:e]
         if _over_window(run):
-            spans = entropy_spans(run, window, thresholds)
-            if spans and not any(a in low[s:e] for a in allowed):
-                found += [(s + a, 3, s + b) for a, b in spans]
+            found += [(s + a, 3, s + b) for a, b in entropy_spans(run, window, thresholds, allowed_bytes(low[s:e], allowed))]
     return sorted(found)
 
 

@@ -200,6 +200,18 @@ def test_entropy_of_windows():
     assert got == over
 
 
+def test_allow_list_suppresses_only_what_it_overlaps(spark):
+    key = "k9JxQ2mZ7pLw4RtV8bNc3HsDk2Yf6GqW1uXo5TzA"
+    texts = [f"EXAMPLE_CREDENTIAL={key}", f"utm_source={key}", f"{key}/0123456789abcdef/{key}", "a/" * 20 + "example/" + key, f"plain {key}", "zq-example-7k 1placeholder9"]
+    rows = {r.doc_id: [x for x in r.spans if x.kind == "entropy"] for r in secrets.scan_secrets(docs_frame(spark, list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        inside = {at for s in rows[i] for at in range(s.start, s.end)}
+        keys = [at for at in range(len(text)) if text.startswith(key, at)]
+        assert all(set(range(at, at + len(key))) <= inside for at in keys)
+        assert not any(text.lower().startswith(entry, at) and inside & set(range(at, at + len(entry))) for entry in secrets.ALLOWED for at in range(len(text)))
+    assert rows[5] == []
+
+
 def test_top_k_in_blocks(spark):
     r = random.Random(3)
     rows = [(i, [r.uniform(-1, 1) for _ in range(6)]) for i in range(400)]
