@@ -1,8 +1,8 @@
 """DuckDB SQL of the queries that SQL can express over whole tables.
 
 Not here, and tested against brute force instead: op1 (template automata),
-op2 (a learned model), op5 (a tokenizer), op7 (no CRC-32 in that SQL),
-op10 (no positions of matches in that SQL), and the pipeline, which ends in op5.
+op2 and op12 (learned models), op5 (a tokenizer), op7 and op11 (no CRC-32 in
+that SQL), op10 (no positions of matches in that SQL), and the pipeline, which ends in op5.
 """
 
 from __future__ import annotations
@@ -90,6 +90,48 @@ FROM p LEFT JOIN fits USING (r) LEFT JOIN repeated ON p.host = repeated.host AND
 """
 
 
+OP13 = rf"""
+WITH p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+  )
+),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+places AS (
+  SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS g
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (VALUES (1), (2), (3), (4)) x(m) WHERE len(w) >= m)
+),
+f AS (SELECT lang, m, g, count(*) AS f FROM places GROUP BY lang, m, g HAVING count(*) >= 30),
+c AS (SELECT lang, m, g, f, string_split(g, ' ') AS w FROM f WHERE m > 1),
+cuts AS (
+  SELECT c.lang, c.g, c.f AS a, c.k, l.f AS l, r.f AS r, CAST((CAST(c.f AS HUGEINT) * 2000000) // (l.f + r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c
+  JOIN f l ON l.lang = c.lang AND l.m = c.k AND l.g = array_to_string(c.w[1 : c.k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.m = c.m - c.k AND r.g = array_to_string(c.w[c.k + 1 : c.m], ' ')
+),
+weakest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS o FROM cuts) WHERE o = 1),
+inner_phrases AS (
+  SELECT lang, f, array_to_string(w[i : i + s - 1], ' ') AS g
+  FROM (SELECT lang, f, w, s, unnest(range(1, m - s + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS s FROM c))
+),
+dropped AS (SELECT DISTINCT c.lang, c.g FROM c JOIN inner_phrases x ON x.lang = c.lang AND x.g = c.g WHERE 100 * x.f >= 80 * c.f),
+ranked AS (
+  SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY w.score DESC, w.a DESC, w.g) AS rank
+  FROM weakest w ANTI JOIN dropped d ON d.lang = w.lang AND d.g = w.g
+),
+ends AS (
+  SELECT lang, g, sum(is_left) AS n_left, sum(1 - is_left) AS n_right
+  FROM (SELECT lang, array_to_string(w[2 : m], ' ') AS g, 1 AS is_left FROM c UNION ALL SELECT lang, array_to_string(w[1 : m - 1], ' ') AS g, 0 AS is_left FROM c)
+  GROUP BY lang, g
+)
+SELECT r.lang, CAST(r.rank AS BIGINT) AS rank, r.g AS phrase, CAST(r.a AS BIGINT) AS a, CAST(r.l AS BIGINT) AS l, CAST(r.r AS BIGINT) AS r, n.n, r.score,
+  CAST(coalesce(e.n_left, 0) AS BIGINT) AS n_left, CAST(coalesce(e.n_right, 0) AS BIGINT) AS n_right
+FROM ranked r JOIN n ON n.lang = r.lang LEFT JOIN ends e ON e.lang = r.lang AND e.g = r.g WHERE r.rank <= 2000
+"""
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -132,4 +174,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_top_k": OP6,
         "op8_ngram_join": OP8,
         "op9_url_filter": OP9,
+        "op13_phrase_collocations": OP13,
     }

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, licenses, ngram_join, secrets, sharding, topk, urlfilter, warc
-from .common import table
+from . import bpe, decontaminate, langid, licenses, ngram_join, phrases, quality, runs, secrets, sharding, topk, urlfilter, warc
+from .common import table, written
 
 TOKENIZER = "word_bpe_49k.json"
 TOP_K, QUERY_EVERY, SCALE = 20, 20, 64
@@ -113,6 +115,41 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def periodic_words(doc_id: int, n: int) -> np.ndarray | None:
+    """The word numbers of op11's contract: for one id in ten (by CRC-32) the words from a place on repeat with a period."""
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    period = 1 + (n - a) // (3 + g % 8)
+    return np.concatenate([np.arange(a), a + np.arange(n - a) % period])
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = runs.find_runs(table(spark, sf_dir, "documents"), arranged=periodic_words)
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    rows = rows.withColumn("longest", longest)
+    return rows.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("longest.start").alias("start"), (-F.col("longest.l")).alias("length"),
+        F.col("longest.period").alias("period"), F.expr("(-1000 * longest.l) div longest.period").alias("exponent_milli"),
+        _sha(lines).alias("runs_sha256"), _sha(F.col("collapsed")).alias("collapsed_sha256"), "n_words",
+    )
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = written(quality.statistics(table(spark, sf_dir, "documents")), "statistics")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").alias("label"))
+    model = quality.fit(rows.where(~held_out()).join(labels, "doc_id"))
+    scored = rows.select("doc_id", held_out().alias("held_out"), model.column().alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -131,5 +168,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ngram_join": op8_ngram_join,
         "op9_url_filter": op9_url_filter,
         "op10_secret_scans": op10_secret_scans,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_quality_classifier": op12_quality_classifier,
+        "op13_phrase_collocations": op13_phrase_collocations,
         "pipeline": pipeline,
     }
