@@ -9,9 +9,9 @@ their weights and the intercept are compiled into one column expression, so scor
 is part of the plan and runs over statistics without any model object.
 
 Fit sample (documented bound): about ``sample_rows`` rows of each label, by the
-smallest hashes of their ids; each label keeps its weight in the whole. Trees and weights
-are fitted by Spark over that sample; what reaches the driver are trees and weights, whose number
-the parameters fix.
+hashes of their ids; each label keeps its weight in the whole. Spark grows the trees over that
+sample; what reaches the driver are the trees, whose size the parameters fix, and the distinct patterns of
+rules that hold in rows of the sample, with their weights.
 
 Defined cases: null text counts as empty, and has a score like any other; rows without an
 id are scored and never learned from; labels other than 0 and 1, or null, are not learned
@@ -25,7 +25,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+import numpy as np
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +38,8 @@ TREES = 24
 DEPTH = 3
 BINS = 64
 LASSO = 5e-4
-PASSES = 100
+PASSES = 5000
+TOLERANCE = 1e-6
 SEED = 12
 THRESHOLD = 0.7
 
@@ -135,25 +137,49 @@ def tree_rules(root, names: tuple[str, ...]) -> list[Rule]:
     return [r for r in out if not (len(r.bounds) == 1 and r.bounds[0][1] == float("-inf"))]
 
 
-def _sample(labelled: DataFrame, rows: int) -> tuple[DataFrame | None, dict[int, int]]:
-    """Rows of both labels by hash, about ``rows`` of each, with ``weight``; and the number of each label."""
-    counts = {int(r["label"]): r["n"] for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+def _sample(labelled: DataFrame, rows: int) -> tuple[DataFrame | None, dict[int, float]]:
+    """Rows of both labels by hash, about ``rows`` of each, with ``weight``; and the share of each label.
+
+    Rows that repeat an id, its statistics and its label are one row of more
+    weight, and the hash is over all of these: an id of very many rows does not break the bound.
+    """
+    held = common.written(labelled.groupBy("doc_id", "label", *STATISTICS).agg(F.count(F.lit(1)).alias("n")), "quality-labelled")
+    counts = {int(r["label"]): r for r in held.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n")).collect()}  # two rows
+    shares = {k: r["n"] / sum(x["n"] for x in counts.values()) for k, r in counts.items()}
     if len(counts) < 2:
-        return None, counts
-    part = {k: min(1.0, rows / n) for k, n in counts.items()}
-    chosen = []
-    for k, p in part.items():
-        below = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(p * (1 << 30))
-        own = labelled.where(F.col("label") == k) if p == 1.0 else labelled.where((F.col("label") == k) & below)
-        chosen.append(own.withColumn("weight", F.lit(1.0 / p)))
-    return chosen[0].unionByName(chosen[1]), counts
+        return None, shares
+    part = {k: min(1.0, rows / r["rows"]) for k, r in counts.items()}
+    of_label = F.when(F.col("label") == 1, F.lit(part[1])).otherwise(F.lit(part[0]))
+    below = F.pmod(F.xxhash64("doc_id", *STATISTICS), F.lit(1 << 30)) < of_label * (1 << 30)
+    return held.where(below).withColumn("weight", F.col("n") / of_label), shares
+
+
+def lasso_logistic(x: np.ndarray, label: np.ndarray, weight: np.ndarray, lasso: float, passes: int = PASSES) -> tuple[np.ndarray, float]:
+    """Weights and intercept with the least mean log loss plus ``lasso`` times the weights' absolute sum (accelerated proximal steps)."""
+    weight = weight / weight.sum()
+    x = np.column_stack([x, np.ones(len(x))])
+    step = 4.0 / np.linalg.eigvalsh((x * weight[:, None]).T @ x)[-1]
+    shrink = np.append(np.full(x.shape[1] - 1, step * lasso), 0.0)
+    now = ahead = np.zeros(x.shape[1])
+    pace = 1.0
+    for _ in range(passes):
+        slope = x.T @ (weight * (1.0 / (1.0 + np.exp(-np.clip(x @ ahead, -500, 500))) - label))
+        then = ahead - step * slope
+        then = np.sign(then) * np.maximum(np.abs(then) - shrink, 0.0)
+        faster = (1.0 + np.sqrt(1.0 + 4.0 * pace * pace)) / 2.0
+        ahead = then + (pace - 1.0) / faster * (then - now)
+        done = np.abs(then - now).max() < TOLERANCE
+        now, pace = then, faster
+        if done:
+            break
+    return now[:-1], now[-1]
 
 
 def fit(labelled: DataFrame, *, sample_rows: int = SAMPLE_ROWS, trees: int = TREES, depth: int = DEPTH, lasso: float = LASSO) -> Model:
     """The model of ``labelled``: rows of ``statistics`` with ``label`` (0 or 1; others are left out)."""
-    rows, counts = _sample(labelled.where("doc_id is not null and label in (0, 1)").withColumn("label", F.col("label").cast("double")), sample_rows)
+    rows, shares = _sample(labelled.where("doc_id is not null and label in (0, 1)").withColumn("label", F.col("label").cast("double")), sample_rows)
     if rows is None:
-        return Model(constant=float(next(iter(counts), 0.5)))
+        return Model(constant=float(next(iter(shares), 0.5)))
     rows = common.written(rows.withColumn("stats", array_to_vector(F.array(*STATISTICS))), "quality-sample").cache()
     try:
         # Every tree sees all rows and some of the statistics at each node: no draw that depends on how rows are dealt.
@@ -161,12 +187,13 @@ def fit(labelled: DataFrame, *, sample_rows: int = SAMPLE_ROWS, trees: int = TRE
                                         bootstrap=False, featureSubsetStrategy="onethird", seed=SEED).fit(rows)
         rules = sorted({r for tree in forest.trees for r in tree_rules(tree._call_java("rootNode"), STATISTICS)}, key=lambda r: r.bounds)
         if not rules:
-            return Model(constant=counts.get(1, 0) / sum(counts.values()))
-        fired = F.array(*[F.when(r.column(), F.lit(1.0)).otherwise(F.lit(0.0)) for r in rules])
-        table = rows.select("label", "weight", array_to_vector(fired).alias("fired"))  # the fit keeps its own copy
-        fitted = LogisticRegression(featuresCol="fired", labelCol="label", weightCol="weight", elasticNetParam=1.0, regParam=lasso, maxIter=PASSES,
-                                    standardization=False, family="binomial").fit(table)
+            return Model(constant=shares[1])
+        # Rows in which the same rules hold are one row of the fit.
+        pattern = F.concat(*[F.when(r.column(), F.lit("1")).otherwise(F.lit("0")) for r in rules])
+        held = rows.groupBy(pattern.alias("pattern"), "label").agg(F.sum("weight").alias("weight")).toPandas()
     finally:
         rows.unpersist()
-    weights = [float(w) for w in fitted.coefficients]
-    return Model(tuple((r, w) for r, w in zip(rules, weights, strict=True) if w), float(fitted.intercept))
+    held = held.sort_values(["pattern", "label"])
+    fired = np.frombuffer("".join(held["pattern"]).encode(), np.uint8).reshape(len(held), len(rules)) == ord("1")
+    weights, intercept = lasso_logistic(fired.astype(np.float64), held["label"].to_numpy(), held["weight"].to_numpy(), lasso)
+    return Model(tuple((r, float(w)) for r, w in zip(rules, weights, strict=True) if w), float(intercept))
