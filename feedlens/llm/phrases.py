@@ -11,9 +11,10 @@ extended together, and each extension comes with its count.
 
 Counts are summed across shards one length at a time: phrases of fewer than
 ``min_count`` places in all shards together are not extended, and an extension is only counted
-where the phrase at its other end is frequent as well, as no other one can be. Each shard
-gets back what it holds itself of the frequent phrases, so nothing is
-broadcast by this code. Lengths alternate between right and left extension.
+where the phrase at its other end is frequent as well, as no other one can be. The rows of a phrase, at
+most one a shard, meet once: their sum is taken there, and those of frequent phrases go back to
+their shards, so nothing is broadcast by this code. The shards themselves are stored in buckets
+and do not move. Lengths alternate between right and left extension.
 
 A phrase is scored by its weakest cut, floor(``SCALE`` * a / (l + r)) in exact decimals.
 It is dropped where an extension by one word keeps ``keep_percent`` per cent of its places;
@@ -28,6 +29,7 @@ is never cut, so memory follows the longest one); input columns beside
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import scratch_path
 from . import common
 
 SHARD_WORDS = 1 << 20
@@ -51,7 +54,7 @@ _ENDS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d", b"\n" * 10)
 _END = b"."
 
 SHARD_SCHEMA = "shard bigint, lang string, n_words bigint, words array<string>, counts array<bigint>, size bigint, forward binary, backward binary"
-STEP_SCHEMA = "shard bigint, lo bigint, other bigint, n bigint, ids array<bigint>"
+STEP_COLUMNS = ("shard", "lo", "other", "n")  # and the phrase, one column a word: the fewest bytes for what most rows are, met once
 
 
 def words_and_ends(text: bytes) -> list[bytes]:
@@ -69,14 +72,20 @@ def transform(numbers: np.ndarray, depth: int) -> np.ndarray:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    return pa.compress(np.ascontiguousarray(values, np.int32), codec="zstd", asbytes=True)
+    """Numbers byte by byte (all low bytes first), compressed: half of what they take number by number."""
+    return pa.compress(np.ascontiguousarray(values.astype("<i4").view(np.uint8).reshape(-1, 4).T), codec="zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(blob, size * 4, codec="zstd", asbytes=True), np.uint8).reshape(4, size)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel().astype(np.int32)
 
 
 class Index:
     """One transform: symbols by row, and the row that a backward step leads to."""
 
     def __init__(self, blob: bytes, size: int):
-        self.symbols = np.frombuffer(pa.decompress(blob, size * 4, codec="zstd", asbytes=True), np.int32)
+        self.symbols = _unpacked(blob, size)
         self.step = np.empty(size, np.int64)
         self.step[np.argsort(self.symbols, kind="stable")] = np.arange(size)
 
@@ -135,7 +144,7 @@ def cut(words: list[bytes], room: int) -> int:
 
 
 def shards(documents: DataFrame, *, depth: int = LONGEST, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """The written shards of ``documents`` (lang, text): words with their counts, and both transforms."""
+    """The shards of ``documents`` (lang, text): words with their counts, and both transforms."""
     partition = F.spark_partition_id().cast("bigint").alias("part")
     rows = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.col("text").cast("string").alias("text"), partition)
 
@@ -174,24 +183,27 @@ def shards(documents: DataFrame, *, depth: int = LONGEST, shard_words: int = SHA
         for lang in list(open_shards):
             yield closed(lang)
 
-    return common.written(rows.mapInArrow(run, SHARD_SCHEMA), "fm-shards")
+    return rows.mapInArrow(run, SHARD_SCHEMA)
+
 
+def _words(length: int) -> list[str]:
+    return [f"w{i + 1}" for i in range(length)]
 
-def _extended(index: DataFrame, words: DataFrame, phrases: DataFrame | None, *, length: int, parts: int) -> DataFrame:
-    """``STEP_SCHEMA`` rows: each shard's phrases of ``length`` words, extended from its frequent ones of one word less.
+
+def _extended(index: DataFrame, words: DataFrame, phrases: DataFrame | None, *, length: int) -> DataFrame:
+    """``shard, lo, other, n, w1, w2 ...``: each shard's phrases of ``length`` words, extended from its frequent ones of one word less.
 
     ``words`` (shard, lo, ids) are a shard's frequent words, ``lo`` their number there; ``phrases`` are rows of the last step.
     """
     right = length % 2 == 0
+    names = [*STEP_COLUMNS, *_words(length)]
 
     def run(shard: pa.Table, given: pa.Table) -> pa.Table:
-        names = ["shard", "lo", "other", "n", "ids"]
         if not shard.num_rows or not given.num_rows:
-            return pa.table([pa.array([], t) for t in (*[pa.int64()] * 4, pa.list_(pa.int64()))], names=names)
+            return pa.table([pa.array([], pa.int64())] * len(names), names=names)
         number, size = shard.column("shard")[0].as_py(), shard.column("size")[0].as_py()
         index = Index(shard.column("transform")[0].as_py(), size)
         lists = given.column("ids").combine_chunks()
-        width = np.diff(lists.offsets.to_numpy())
         flat, at = lists.values.to_numpy(), lists.offsets.to_numpy()[:-1]
         lo, other, n = (given.column(c).to_numpy() for c in ("lo", "other", "n"))
         is_word = n == 0  # word rows carry the number of the word in place of an interval
@@ -206,22 +218,23 @@ def _extended(index: DataFrame, words: DataFrame, phrases: DataFrame | None, *,
             own = np.flatnonzero(~is_word)
             ids = flat[at[own][:, None] + np.arange(length - 1)[None, :]]
             lo, other, n = lo[own], other[own], n[own]
-            del width
         here, there = (other, lo) if right else (lo, other)
         phrase, symbol, here, n, there = index.extend(here, n, there, identity >= 0, both_ends=length > 2)
         word = identity[symbol][:, None]
         ids = np.hstack([ids[phrase], word] if right else [word, ids[phrase]])
         lo, other = (there, here) if right else (here, there)
-        offsets = pa.array(np.arange(len(ids) + 1, dtype=np.int32) * length)
-        columns = [pa.array(np.full(len(ids), number)), pa.array(lo), pa.array(other), pa.array(n), pa.ListArray.from_arrays(offsets, pa.array(ids.ravel()))]
-        return pa.table(columns, names=names)
+        return pa.table([pa.array(c) for c in (np.full(len(ids), number), lo, other, n, *ids.T)], names=names)
 
     given = words.select("shard", "lo", F.lit(0).cast("bigint").alias("other"), F.lit(0).cast("bigint").alias("n"), "ids")
     if phrases is not None:
-        given = given.unionByName(phrases.select("shard", "lo", "other", "n", "ids"))
+        given = given.unionByName(phrases.select(*STEP_COLUMNS, F.array(*_words(length - 1)).alias("ids")))
     blob = index.select("shard", "size", F.col("backward" if right else "forward").alias("transform"))
-    sides = [x.repartition(parts, "shard").groupBy("shard") for x in (blob, given)]
-    return common.written(sides[0].cogroup(sides[1]).applyInArrow(run, STEP_SCHEMA), f"phrases-{length}")
+    return blob.groupBy("shard").cogroup(given.groupBy("shard")).applyInArrow(run, ", ".join(f"{c} bigint" for c in names))
+
+
+def _frequent(rows: DataFrame, keys: list[str], min_count: int) -> DataFrame:
+    """``rows`` of frequent phrases, with their number of places ``a`` in all shards; a phrase has at most one row a shard."""
+    return rows.withColumn("a", F.sum("n").over(Window.partitionBy(*keys))).where(F.col("a") >= min_count)
 
 
 def frequent_phrases(documents: DataFrame, *, longest: int = LONGEST, min_count: int = MIN_COUNT,
@@ -229,24 +242,32 @@ def frequent_phrases(documents: DataFrame, *, longest: int = LONGEST, min_count:
     """(``lang, n``: words of each language; ``id, lang, word``: frequent words; ``ids, a``: frequent phrases of 1 to ``longest`` words)."""
     if longest < 2 or min_count < 1:
         raise ValueError("need longest >= 2 and min_count >= 1")
-    index = shards(documents, depth=longest, shard_words=shard_words)
     spark = documents.sparkSession
-    sizes = index.groupBy("lang").agg(F.sum("n_words").alias("n"))
-    n_shards, cores = index.count(), spark.sparkContext.defaultParallelism
-    parts = max(1, min(n_shards, 4 * cores), -(-n_shards // 32))
-    own = index.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("k", "w"))
-    own = own.select("shard", "lang", F.col("w.words").alias("word"), (F.col("k") + 1).cast("bigint").alias("lo"), F.col("w.counts").alias("n"))
-    totals = own.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= min_count)
-    totals = common.written(totals.select(F.monotonically_increasing_id().alias("id"), "lang", "word", "a"), "frequent-words")
-    words = own.join(totals.select("lang", "word", "id"), ["lang", "word"]).select("shard", "lo", F.array("id").alias("ids"))
-    words = common.written(words, "shard-words")
-    found, phrases = [totals.select(F.array("id").alias("ids"), "a")], None
-    for length in range(2, longest + 1):
-        rows = _extended(index, words, phrases, length=length, parts=parts)
-        frequent = rows.groupBy("ids").agg(F.sum("n").alias("a")).where(F.col("a") >= min_count)
-        found.append(common.written(frequent, f"frequent-{length}"))
-        if length < longest:
-            phrases = rows.join(found[-1].select("ids"), "ids")
+    # Buckets by shard: the transforms are written once and read where they are, at every length.
+    name, buckets = f"fm_shards_{uuid.uuid4().hex}", 4 * spark.sparkContext.defaultParallelism
+    shards(documents, depth=longest, shard_words=shard_words).write.format("parquet").option("path", scratch_path(spark, "fm-shards")).bucketBy(
+        buckets, "shard").saveAsTable(name)
+    try:
+        index = spark.table(name)
+        sizes = common.written(index.groupBy("lang").agg(F.sum("n_words").alias("n")), "language-words")
+        own = index.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("k", "w"))
+        own = own.select("shard", "lang", F.col("w.words").alias("word"), (F.col("k") + 1).cast("bigint").alias("lo"), F.col("w.counts").alias("n"))
+        own = common.written(_frequent(own, ["lang", "word"], min_count), "shard-words")
+        totals = own.groupBy("lang", "word").agg(F.max("a").alias("a"))
+        totals = common.written(totals.select(F.monotonically_increasing_id().alias("id"), "lang", "word", "a"), "frequent-words")
+        words = own.join(totals.select("lang", "word", "id"), ["lang", "word"]).select("shard", "lo", F.array("id").alias("ids"))
+        words = common.written(words, "shard-word-ids")
+        found, phrases = [totals.select(F.array("id").alias("ids"), "a")], None
+        for length in range(2, longest + 1):
+            rows, keys = _extended(index, words, phrases, length=length), _words(length)
+            if length < longest:
+                phrases = common.written(_frequent(rows, keys, min_count), f"phrases-{length}")
+                frequent = phrases.groupBy(*keys).agg(F.max("a").alias("a"))
+            else:
+                frequent = rows.groupBy(*keys).agg(F.sum("n").alias("a")).where(F.col("a") >= min_count)
+            found.append(common.written(frequent.select(F.array(*keys).alias("ids"), "a"), f"frequent-{length}"))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
