@@ -16,6 +16,8 @@ from .tags import (
     render_entries,
     split_drop_trailing,
     split_keep_empty,
+    split_stripped,
+    strip_trailing,
     tag_with_count,
 )
 from .text import contains, json_field, split_first
@@ -37,6 +39,8 @@ __all__ = [
     "split_drop_trailing",
     "split_first",
     "split_keep_empty",
+    "split_stripped",
+    "strip_trailing",
     "tag_with_count",
     "to_bigint",
     "to_double",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,9 +33,26 @@ def split_drop_trailing(c, pattern: str = TAG_SEPARATOR) -> Column:
     gives ``[]`` and ``''`` (no separator at all) gives ``['']``.
     """
     c = col_of(c)
-    stripped = F.regexp_replace(c, f"(?:{pattern})+$", "")
+    return split_stripped(c, strip_trailing(c, pattern), pattern)
+
+
+def strip_trailing(c, pattern: str = TAG_SEPARATOR) -> Column:
+    """The cell without the separators at its end.
+
+    A separator of one character (alone, ``[x]`` or ``\\x``) is trimmed; only other patterns need a regex pass.
+    """
+    c = col_of(c)
+    one = re.fullmatch(r"\[([^\\^\]-])\]|\\(\W)|([^\\^$.|?*+()\[\]{}])", pattern)
+    if one:
+        return F.rtrim(c, F.lit(one[1] or one[2] or one[3]))
+    return F.regexp_replace(c, f"(?:{pattern})+$", "")
+
+
+def split_stripped(cell, stripped, pattern: str = TAG_SEPARATOR) -> Column:
+    """``split_drop_trailing`` of ``cell``, of which ``stripped`` is already at hand."""
+    cell, stripped = col_of(cell), col_of(stripped)
     return (
-        F.when(c == F.lit(""), F.array(F.lit("")))
+        F.when(cell == F.lit(""), F.array(F.lit("")))
         .when(stripped == F.lit(""), F.array().cast("array<string>"))
         .otherwise(F.split(stripped, pattern))
     )

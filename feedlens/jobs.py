@@ -23,10 +23,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators import counted
 from .plans import analytics as A
 from .sinks import create_table_as, write_csv, write_key_value, write_table
 from .schema import AVERAGE_COMMENTS, CLASSIFICATION, FEED_COLUMNS, VIDEOS_NUMBER
-from .sources import read_dictionary, read_named_feed, read_positional
+from .sources import read_dictionary, read_feed, read_named_feed, read_positional
 
 
 def _frames(spark: SparkSession, feeds: Sequence[str], read_options: dict | None) -> list[DataFrame]:
@@ -137,27 +138,25 @@ def run(argv: Sequence[str] | None = None, spark: SparkSession | None = None) ->
     else:
         result = union(spark, args.feeds, first_per_key=args.first_per_key, read_options=opts)
         bounded = False
-    if bounded:
-        result = result.cache()  # three rows: computed once for every output below
-    try:
-        source = result
-        if args.table:
-            # The table first, then the text files from it: the plan runs once,
-            # and the table never depends on what text can hold.
-            if args.mode == "errorifexists":
-                create_table_as(result, args.table)
-            else:
-                write_table(result, args.table)
-            source = spark.table(args.table)
-        single = bounded or args.single_file
-        if args.format == "kv":
-            lines = _key_value(source, args.job)
-            write_key_value(lines.repartition(1) if single else lines, args.out, "key", "value", mode=args.mode)
+    # The plan runs once, in its first write; that write also counts its rows.
+    counting, rows = counted(result)
+    source = counting
+    if args.table:
+        # The table first, then the text files from it: the table never depends on what text can hold.
+        if args.mode == "errorifexists":
+            create_table_as(counting, args.table)
         else:
-            write_csv(source, args.out, mode=args.mode, single_file=single)
-        if args.job != "union" and args.show:
-            source.show(truncate=False)
-    finally:
-        if bounded:
-            result.unpersist()
+            write_table(counting, args.table)
+        source = spark.table(args.table)
+    single = bounded or args.single_file
+    if args.format == "kv":
+        lines = _key_value(source, args.job)
+        write_key_value(lines.repartition(1) if single else lines, args.out, "key", "value", mode=args.mode)
+    else:
+        write_csv(source, args.out, mode=args.mode, single_file=single)
+    print(f"{args.job}: {rows.get['rows']} rows written to {args.table or args.out}")
+    if args.job != "union" and args.show:
+        # What was written is read back: showing it does not run the plan again.
+        written = source if args.table else spark.read.text(args.out) if args.format == "kv" else read_feed(spark, args.out, schema=None)
+        written.show(truncate=False)
     return result

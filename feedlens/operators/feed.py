@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import double_parsable, flags_all_false, flags_none_true, int_parsable
@@ -39,6 +39,30 @@ def union_feeds(
     return out
 
 
+def union_of_slices(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
+    """Bag union of the slices of ``df`` where ``column`` equals each value: the rows of all of them in one scan.
+
+    The same rows as filtering once per value and uniting the results, which
+    would read the input as often. A value listed twice gives its rows twice.
+    """
+    times = {v: list(values).count(v) for v in values}
+    kept = df.filter(F.col(column).isin(*times))
+    if all(n == 1 for n in times.values()):
+        return kept
+    copies = F.create_map(*[F.lit(x) for pair in times.items() for x in pair])[F.col(column)]
+    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
+
+
+def counted(df: DataFrame, **metrics) -> tuple[DataFrame, Observation]:
+    """``df``, and the counts that whatever action runs it takes along (no job of its own).
+
+    ``rows`` counts all rows; each further metric is an aggregate expression.
+    The counts are there, in ``.get``, once an action over the returned frame has ended.
+    """
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[expr.alias(name) for name, expr in metrics.items()]), seen
+
+
 def keep_enabled(df: DataFrame, *, semantics: str = "string", flags: Sequence[str] = FLAG_COLUMNS) -> DataFrame:
     """Keep rows whose comments and ratings are enabled.
 

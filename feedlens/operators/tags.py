@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import ranked_entries, render_entries, split_drop_trailing, split_keep_empty
+from ..functions import ranked_entries, render_entries, split_keep_empty, split_stripped, strip_trailing
 from ..schema import NO_TAGS, TAG_SEPARATOR, TOP_K
 
 
@@ -43,8 +43,12 @@ def explode_tags(
     dropped *before* lower-casing (so only the exact marker is removed).
     A NULL cell gives no rows.
     """
-    split = split_keep_empty(col, pattern) if keep_trailing_empty else split_drop_trailing(col, pattern)
-    rows = df.select(*keys, F.explode(split).alias(out))
+    if keep_trailing_empty:
+        rows = df.select(*keys, F.explode(split_keep_empty(col, pattern)).alias(out))
+    else:
+        # Trimmed in a projection of its own: the two uses of the trimmed cell read it there.
+        cells = df.select(*keys, F.col(col).alias("_cell"), strip_trailing(col, pattern).alias("_stripped"))
+        rows = cells.select(*keys, F.explode(split_stripped("_cell", "_stripped", pattern)).alias(out))
     if drop_value is not None:
         rows = rows.filter(F.col(out) != F.lit(drop_value))
     if lower:

@@ -38,6 +38,7 @@ from ..operators import (
     union_feeds,
 )
 from ..schema import FEED_COLUMNS, TOP_K
+from ..session import stored
 
 
 def avg_comments_classification(feeds) -> DataFrame:
@@ -63,18 +64,18 @@ def top_tags_by_category_name(
     is too large to broadcast (or ``pre_aggregate=True``), tags are counted
     per ``(category_id, tag)`` first and the much smaller counts are joined
     and re-summed by name; repeated ids multiply the counts exactly as they
-    multiply rows in the join-first plan. That join is salted on the id
-    (``SALT_BUCKETS``), so a hot category does not land in one task.
+    multiply rows in the join-first plan. The counts are written first, as
+    that join counts the rows of every id to find the hot ones.
     """
     feed = union_feeds(feeds).select("category_id", "tags")
     if pre_aggregate is None:
         pre_aggregate = not fits_broadcast(dictionary)
     if pre_aggregate:
-        by_id = tag_counts(explode_tags(feed, ["category_id"]), ["category_id"])
-        named = attach_name(by_id, dictionary, how="inner", broadcast_max_rows=None)
+        by_id = stored(tag_counts(explode_tags(feed, ["category_id"]), ["category_id"]), "tags-by-id")
+        named = attach_name(by_id, dictionary, how="inner", broadcast=False)
         counts = named.groupBy("category", "tag").agg(F.sum("n").alias("n"))
     else:
-        named = attach_name(feed, dictionary, how="inner")
+        named = attach_name(feed, dictionary, how="inner", broadcast=True)
         counts = tag_counts(explode_tags(named, ["category"]), ["category"])
     return render_top(counts, ["category"], k, fmt=fmt, out="top10_tags")
 
@@ -83,7 +84,9 @@ def _top_tags_by_id(feeds, dictionary: DataFrame, k: int, fmt: str) -> DataFrame
     feed = union_feeds(feeds).select("category_id", "tags")
     tags = explode_tags(feed, ["category_id"], keep_trailing_empty=False)
     lists = render_top(tag_counts(tags, ["category_id"]), ["category_id"], k, fmt=fmt)
-    named = attach_name(lists, dedupe_dictionary(dictionary), how="left", default="")
+    # Measured before the aggregate, which then runs once, in the join: one name an id is no more than that.
+    # A list has one row an id, so no id is hot.
+    named = attach_name(lists, dedupe_dictionary(dictionary), how="left", default="", broadcast=fits_broadcast(dictionary), hot_rows=None)
     return named.select("category_id", "category", "top10_tags")
 
 

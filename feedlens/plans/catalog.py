@@ -40,6 +40,7 @@ from ..operators import (
     tag_counts,
     top_k,
     union_feeds,
+    union_of_slices,
     with_class,
 )
 from ..schema import (
@@ -211,6 +212,22 @@ def q_scan_multi_path(spark, sf_dir):
 
 @register("scan_csv_dropmalformed", O.scan_csv_dropmalformed_sql())
 def q_scan_csv_dropmalformed(spark, sf_dir):
+    path, names = _write_some_malformed(spark, sf_dir)
+    df = S.read_feed(spark, path, schema=all_string_schema(names), header=False)
+    return df.select("video_id", "likes")  # a pruned projection must still drop malformed lines
+
+
+@register("scan_csv_rejected", O.scan_csv_rejected_sql())
+def q_scan_csv_rejected(spark, sf_dir):
+    """The dropped lines as they stand in the file, and (line NULL) how many rows are kept."""
+    path, names = _write_some_malformed(spark, sf_dir)
+    kept, rejected = S.read_feed_checked(spark, path, schema=all_string_schema(names), header=False)
+    lines = rejected.select("line").unionByName(kept.select(F.lit(None).cast("string").alias("line"), "video_id").drop("video_id"))
+    return lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _write_some_malformed(spark, sf_dir) -> tuple[str, list[str]]:
+    """(folder, field names) of a text feed in which some lines are too short or too long."""
     feed = testbed.feed(spark, sf_dir)
     c = F.col
     c_id = F.coalesce("category_id", F.lit(""))  # an empty field, so the line keeps its length
@@ -221,9 +238,7 @@ def q_scan_csv_dropmalformed(spark, sf_dir):
     line = F.when(F.endswith(c("tags"), F.lit("||")), F.concat(fields, F.lit(",x,y"))).otherwise(fields)
     path = scratch_path(spark, "malformed")
     feed.select(line.alias("value")).write.text(path)
-    names = ["video_id", "category_id", "likes", "dislikes", "comments_disabled"]
-    df = S.read_feed(spark, path, schema=all_string_schema(names), header=False)
-    return df.select("video_id", "likes")  # a pruned projection must still drop malformed lines
+    return path, ["video_id", "category_id", "likes", "dislikes", "comments_disabled"]
 
 
 @register("scan_csv_quoted", O.scan_csv_quoted_sql())
@@ -289,11 +304,16 @@ def q_sink_text_kv_escapes(spark, sf_dir):
     return S.read_key_value(spark, path, escaped=True)
 
 
+def _three_rows(spark) -> DataFrame:
+    """What an overwriting write has to replace."""
+    return spark.createDataFrame([("old", 0, 0.0)] * 3, CLASSIFICATION_SCHEMA)
+
+
 @register("sink_csv_single_file", O.p1_sql())
 def q_sink_csv_single_file(spark, sf_dir):
     result = A.avg_comments_classification(testbed.feed(spark, sf_dir))
     path = scratch_path(spark, "classification-csv")
-    sinks.write_csv(result, path, single_file=True)
+    sinks.write_csv(_three_rows(spark), path, single_file=True)
     sinks.write_csv(result, path, single_file=True)  # overwrite replaces
     return S.read_feed(spark, path, schema=CLASSIFICATION_SCHEMA)
 
@@ -313,11 +333,29 @@ def q_sink_table_overwrite(spark, sf_dir):
     # A fresh name per call: a managed table of an earlier session may have
     # left its folder in the warehouse without being in this session's catalog.
     name = _table_name("feedlens_comments_classification")
-    sinks.write_table(result, name)
+    sinks.write_table(_three_rows(spark), name)
     sinks.write_table(result, name)  # overwrite replaces
     return _taken(spark, name)
 
 
+@register("sink_publish", O.p3_sql())
+def q_sink_publish(spark, sf_dir):
+    """P3 published over an earlier result; a publish that fails on its way leaves the last one readable."""
+    root = scratch_path(spark, "published")
+    result = A.top_tags_by_category_name(testbed.feed(spark, sf_dir), testbed.dictionary(spark, sf_dir))
+    sinks.publish(result.limit(0), root)
+    sinks.publish(result, root)
+    broken = testbed.dictionary(spark, sf_dir).select(F.col("category"), F.raise_error(F.lit("stopped")).cast("string").alias("top10_tags"))
+    try:
+        sinks.publish(broken, root)
+    except Exception as e:
+        if "stopped" not in str(e):
+            raise
+    else:
+        raise AssertionError("the broken result should not have been published")
+    return sinks.read_published(spark, root)
+
+
 @register("sink_ctas", O.p4_sql())
 def q_sink_ctas(spark, sf_dir):
     result = A.top_tags_by_category_id(testbed.feed(spark, sf_dir), testbed.dictionary(spark, sf_dir))
@@ -559,6 +597,13 @@ def q_window_running_list(spark, sf_dir):
     return _running(spark, sf_dir).select("category", "tag", "n", F.array_join("running", ",").alias("running"))
 
 
+@register("window_running_list_peers", O.window_running_list_peers_sql())
+def q_window_running_list_peers(spark, sf_dir):
+    """Tags of one count in a category share one list."""
+    lists = running_list(_id_tag_counts(spark, sf_dir), ["category_id"], peers=True)
+    return lists.select("category_id", "tag", "n", F.array_join("running", ",").alias("running"))
+
+
 @register("agg_max_array", O.agg_max_array_sql())
 def q_agg_max_array(spark, sf_dir):
     longest = longest_list(_running(spark, sf_dir), ["category"], col="running")
@@ -576,6 +621,13 @@ def q_agg_ordered_list(spark, sf_dir):
 
 @register("union_all_feeds", O.union_all_feeds_sql())
 def q_union_all_feeds(spark, sf_dir):
+    """The feeds of all regions, which here are slices of one input: one scan, not one a region."""
+    return union_of_slices(testbed.feed_with_region(spark, sf_dir), "region", testbed.REGIONS).select(*FEED_COLUMNS)
+
+
+@register("union_separate_feeds", O.union_all_feeds_sql())
+def q_union_separate_feeds(spark, sf_dir):
+    """Three inputs of their own, one scan each."""
     return union_feeds(testbed.feeds_by_region(spark, sf_dir)).select(*FEED_COLUMNS)
 
 

@@ -230,6 +230,13 @@ def scan_csv_dropmalformed_sql() -> str:
     return feed_select("video_id, likes", "dislikes <> 'n/a' and not coalesce(suffix(tags, '||'), false)")
 
 
+def scan_csv_rejected_sql() -> str:
+    bad = "dislikes = 'n/a' or coalesce(suffix(tags, '||'), false)"
+    fields = "concat_ws(',', video_id, coalesce(category_id, ''), likes, case when dislikes <> 'n/a' then dislikes end, comments_disabled)"
+    line = f"case when {bad} then {fields} || case when suffix(tags, '||') then ',x,y' else '' end end"
+    return with_ctes(f"select line, count(*) as n from (select {line} as line from feed) t group by line")
+
+
 def scan_csv_quoted_sql() -> str:
     return feed_select(
         "video_id, replace(tags, '|', ',') as tag_text, title || ' \"' || category_id || '\"' as quoted_title, likes"
@@ -420,6 +427,14 @@ def window_running_list_sql() -> str:
     return with_ctes(body, top=top)
 
 
+def window_running_list_peers_sql() -> str:
+    body = (
+        "select a.category_id, a.tag, a.n, string_agg(b.tag || '#' || cast(b.n as varchar), ',' order by b.n desc, b.tag) as running "
+        "from top a join top b on a.category_id is not distinct from b.category_id and b.n >= a.n group by a.category_id, a.tag, a.n"
+    )
+    return with_ctes(body, top=top_sql("category_id", tag_count_sql("category_id", "feed")))
+
+
 def agg_max_array_sql() -> str:
     return p3_sql()
 

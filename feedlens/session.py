@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -67,4 +67,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/feedlens-scratch/{label}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["checkpoint_root", "get_session", "scratch_path"]
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the scratch folder and read back: for a result that several later steps read."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+__all__ = ["checkpoint_root", "get_session", "scratch_path", "stored"]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -71,4 +73,34 @@ def write_key_value(df: DataFrame, path: str, key: str, value: str, *, sep: str
     df.select(line.alias("value")).write.mode(mode).text(path)
 
 
-__all__ = ["create_table_as", "write_csv", "write_key_value", "write_table"]
+def publish(df: DataFrame, root: str, *, fmt: str = "parquet") -> str:
+    """Write ``df`` as a new version under ``root`` and make it the current one; returns its folder.
+
+    The rows go to a folder of their own; only when they are all there is the
+    file ``root/current``, which names that folder, replaced by an atomic rename. Until then, and after a
+    failure, readers see the version before, whole. Earlier versions stay where they are.
+    """
+    spark = df.sparkSession
+    root = root.rstrip("/")
+    version = f"version-{uuid.uuid4().hex}"
+    df.write.format(fmt).save(f"{root}/{version}")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs
+    fresh, current = hadoop.Path(f"{root}/.{version}"), hadoop.Path(f"{root}/current")
+    out = fresh.getFileSystem(conf).create(fresh, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    how = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    how[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    hadoop.FileContext.getFileContext(fresh.getFileSystem(conf).getUri(), conf).rename(fresh, current, how)
+    return f"{root}/{version}"
+
+
+def read_published(spark: SparkSession, root: str, *, fmt: str = "parquet") -> DataFrame:
+    """The current version under ``root``."""
+    root = root.rstrip("/")
+    version = spark.read.text(f"{root}/current").first()["value"]
+    return spark.read.format(fmt).load(f"{root}/{version}")
+
+
+__all__ = ["create_table_as", "publish", "read_published", "write_csv", "write_key_value", "write_table"]

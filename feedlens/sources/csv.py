@@ -26,6 +26,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import FEED_SCHEMA
@@ -66,6 +67,46 @@ def read_feed(
     return reader.csv(list(paths) if not isinstance(paths, str) else paths)
 
 
+def read_feed_checked(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    *,
+    schema: T.StructType = FEED_SCHEMA,
+    header: bool = True,
+    sep: str = ",",
+    quote: str = '"',
+    escape: str = '"',
+    multi_line: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """``(kept, rejected)``: the rows ``read_feed`` keeps, and the lines it drops.
+
+    ``kept`` has the columns of ``schema``. ``rejected`` has ``file`` (the path),
+    ``line`` (the record as it stands in the file) and ``cells`` (what was
+    parsed of it, by column). Every record is in one of them. The records of a
+    scan are counted beside any action with ``operators.counted``.
+    """
+    corrupt = "_rejected_line"
+    if corrupt in schema.names:
+        raise ValueError(f"{corrupt!r} is the name of the reader's own column")
+    parsed = (
+        spark.read.schema(T.StructType([*schema.fields, T.StructField(corrupt, T.StringType(), True)]))
+        .option("header", header)
+        .option("sep", sep)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", corrupt)
+        .option("quote", quote)
+        .option("escape", escape)
+        .option("multiLine", multi_line)
+        .option("nullValue", "\0")
+        .option("columnPruning", False)
+        .csv(list(paths) if not isinstance(paths, str) else paths)
+    )
+    cells = [F.col(f"`{n}`") for n in schema.names]
+    kept = parsed.where(F.col(corrupt).isNull()).select(*cells)
+    bad = parsed.where(F.col(corrupt).isNotNull())
+    return kept, bad.select(F.col("_metadata.file_path").alias("file"), F.col(corrupt).alias("line"), F.struct(*cells).alias("cells"))
+
+
 def read_named_feed(
     spark: SparkSession,
     path: str,

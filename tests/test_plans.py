@@ -73,24 +73,30 @@ def test_no_python_in_any_plan(spark, name):
     assert not any(node in p for node in PYTHON_NODES), name
 
 
-def test_salted_join_equals_plain_join(spark):
-    from feedlens.operators import explode_tags, tag_counts
+def test_dealt_join_equals_plain_join(spark):
+    from feedlens.operators import hot_ids
 
-    feed = testbed.feed(spark, SF_SMALL).select("category_id", "tags")
-    counts = tag_counts(explode_tags(feed, ["category_id"]), ["category_id"])
+    counts = testbed.feed(spark, SF_SMALL).select("category_id", "tags", "video_id")
     dictionary = testbed.dictionary_with_repeats(spark, SF_SMALL)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # a real shuffle join, as for a big dictionary
     try:
-        plain = attach_name(counts, dictionary, broadcast_max_rows=None, salt_buckets=0)
-        salted = attach_name(counts, dictionary, broadcast_max_rows=None, salt_buckets=7)
-        left = attach_name(counts, dictionary, broadcast_max_rows=None, salt_buckets=7, how="left", default="")
-        p = plan_of(salted)
-        assert "SortMergeJoin [category_id, _salt]" in re.sub(r"#\d+L?", "", p)
-        assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
+        sizes = {r["category_id"]: r["count"] for r in counts.groupBy("category_id").count().collect()}
+        limit = sorted(sizes.values())[len(sizes) // 2]  # the larger half of the ids is hot
+        hot = {r["hot_id"]: r["copies"] for r in hot_ids(counts, "category_id", hot_rows=limit).collect()}
+        assert hot == {k: -(-n // limit) for k, n in sizes.items() if n > limit} and 0 < len(hot) < len(sizes)
+        assert hot_ids(counts, "category_id") is None  # none has a million rows
+        assert len(hot_ids(counts, "category_id", hot_rows=1, max_ids=3).collect()) == 3
+        plain = attach_name(counts, dictionary, broadcast=False, hot_rows=None)
+        dealt = attach_name(counts, dictionary, broadcast=False, hot_rows=limit)
+        left = attach_name(counts, dictionary, broadcast=False, hot_rows=limit, how="left", default="")
+        p = re.sub(r"#\d+L?", "", plan_of(dealt))
+        assert "SortMergeJoin [category_id, _salt]" in p and "BroadcastHashJoin" in p  # the hot ids' list is what is broadcast
+        assert "_salt" not in plan_of(plain) and "_salt" not in plan_of(attach_name(counts, dictionary, broadcast=False))
+        assert sorted(map(repr, plain.collect())) == sorted(map(repr, dealt.collect()))
         want = counts.join(dictionary.withColumnRenamed("id", "category_id"), "category_id", "left").count()
         assert left.count() == want
-        assert "_salt" not in salted.columns
+        assert "_salt" not in dealt.columns
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
@@ -135,7 +141,51 @@ def test_sql_twin_beyond_the_bound_counts_before_the_join(spark):
     feed, dictionary = testbed.feed(spark, SF_SMALL), testbed.dictionary(spark, SF_SMALL)
     first = sql.top_tags_by_category_name(spark, feed, dictionary, pre_aggregate=True)
     assert sorted(map(tuple, first.collect())) == sorted(map(tuple, catalog.queries()["top_tags_sql"](spark, SF_SMALL).collect()))
-    assert "partial_count" in plan_of(first)
+    assert "partial_count" in plan_of(first) or "tags-by-id" in plan_of(first)
+    dealt = sql.top_tags_by_category_name(spark, feed, dictionary, pre_aggregate=True, hot_rows=20)
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, first.collect()))
+
+
+def test_only_names_of_hot_ids_are_copied(spark):
+    from feedlens.operators.dictionary import _join_dealt, hot_ids
+
+    df = spark.createDataFrame([("1", i) for i in range(90)] + [(None, i) for i in range(50)] + [("2", 1), ("3", 2)], "category_id string, v int")
+    names = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "c"), ("9", "d")], "category_id string, category string")
+    hot = hot_ids(df, "category_id", hot_rows=40)
+    assert sorted(map(tuple, hot.collect()), key=str) == [("1", 3), (None, 2)]
+    out = _join_dealt(df, names, hot, on="category_id", how="left")
+    assert out.count() == 180 + 50 + 1 + 1
+    copied = [line for line in plan_of(out, "extended").splitlines() if "Generate explode" in line]
+    assert copied  # a generator, no cross join
+    assert "CartesianProduct" not in plan_of(out)
+
+
+def test_slices_of_one_input_are_one_scan(spark):
+    from feedlens.operators import union_of_slices
+
+    p = plan_of(catalog.queries()["union_all_feeds"](spark, SF_SMALL))
+    assert sum("lineitem.parquet" in line for line in p.splitlines()) == 1 and "Union" not in p
+    feed = testbed.feed_with_region(spark, SF_SMALL)
+    n = {r: feed.where(feed.region == r).count() for r in testbed.REGIONS}
+    assert union_of_slices(feed, "region", ["CA", "US", "CA", "none"]).count() == 2 * n["CA"] + n["US"]
+
+
+def test_trailing_separators_are_trimmed_without_a_regex(spark):
+    p = plan_of(catalog.queries()["top_tags_by_category_id"](spark, SF_SMALL))
+    assert "regexp_replace" not in p and "rtrim" in p.lower() or "trim(trailing" in p.lower()
+
+
+def test_plan_building_measures_the_dictionary_once(spark):
+    from feedlens.plans import analytics
+
+    feed, dictionary = testbed.feed(spark, SF_SMALL), testbed.dictionary(spark, SF_SMALL)
+    for build in (analytics.top_tags_by_category_name, analytics.top_tags_by_category_id):
+        group = f"jobs-{build.__name__}"
+        spark.sparkContext.setJobGroup(group, group)
+        build(feed, dictionary)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert len(jobs) <= 3, (build.__name__, len(jobs))  # one query: its broadcast, its aggregate and the result
 
 
 def test_broadcast_bound_counts_bytes(spark):

@@ -207,8 +207,8 @@ def ref_p2(rows):
         if r["comments_disabled"] == "True" or r["ratings_disabled"] == "True":
             continue
         lk, dk = num(r["likes"]), num(r["dislikes"])
-        cc, vw = strict_int(r["comment_count"]), strict_int(r["views"])
-        if lk is None or dk is None or cc is None or vw is None:
+        cc = strict_int(r["comment_count"])
+        if lk is None or dk is None or cc is None:
             continue
         c = klass(lk / (1.0 if dk == 0 else dk))
         out.setdefault(c, []).append(cc)

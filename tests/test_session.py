@@ -1,11 +1,10 @@
-"""Scratch locations and the under-split spread."""
+"""Scratch locations."""
 
 from __future__ import annotations
 
 import pytest
 
 from feedlens.session import checkpoint_root, scratch_path
-from feedlens.sources.splits import spread_if_undersplit
 
 
 def test_scratch_under_checkpoint_dir(spark):
@@ -14,16 +13,6 @@ def test_scratch_under_checkpoint_dir(spark):
     assert a.startswith(root.rstrip("/") + "/") and a != b
 
 
-def test_spread_only_when_undersplit(spark):
-    parallelism = spark.sparkContext.defaultParallelism
-    one = spark.range(0, 1000, numPartitions=1)
-    spread = spread_if_undersplit(one, "id")
-    assert spread.rdd.getNumPartitions() == parallelism
-    assert sorted(r.id for r in spread.collect()) == list(range(1000))
-    many = spark.range(0, 1000, numPartitions=parallelism)
-    assert spread_if_undersplit(many, "id") is many
-
-
 def test_no_local_checkpoint_folder_on_a_cluster():
     class Context:
         master = "spark://host:7077"
