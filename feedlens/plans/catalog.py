@@ -154,7 +154,7 @@ def _id_tag_counts(spark, sf_dir, keep_trailing_empty=True):
     return tag_counts(tags, ["category_id"])
 
 
-def _write_region_feeds(spark, sf_dir) -> list[str]:
+def write_region_feeds(spark, sf_dir) -> list[str]:
     """The feed as one CSV directory per region (single scan, partitioned write), in the format of ``write_csv``."""
     root = scratch_path(spark, "feeds")
     (
@@ -199,7 +199,7 @@ def _expect_failure(action, what: str, condition: str) -> None:
 @register("scan_csv_header", O.union_all_feeds_sql())
 def q_scan_csv_header(spark, sf_dir):
     """Names from each feed's header: one region's files hold the columns in another order."""
-    first, *others = _write_region_feeds(spark, sf_dir)
+    first, *others = write_region_feeds(spark, sf_dir)
     turned = scratch_path(spark, "feed-turned")
     sinks.write_csv(S.read_feed(spark, first).select(*reversed(FEED_COLUMNS)), turned)
     return union_feeds([S.read_named_feed(spark, p) for p in (*others, turned)])
@@ -207,7 +207,7 @@ def q_scan_csv_header(spark, sf_dir):
 
 @register("scan_multi_path", O.union_all_feeds_sql())
 def q_scan_multi_path(spark, sf_dir):
-    return S.read_feed(spark, _write_region_feeds(spark, sf_dir))
+    return S.read_feed(spark, write_region_feeds(spark, sf_dir))
 
 
 @register("scan_csv_dropmalformed", O.scan_csv_dropmalformed_sql())
@@ -222,7 +222,7 @@ def q_scan_csv_rejected(spark, sf_dir):
     """The dropped lines as they stand in the file, and (line NULL) how many rows are kept."""
     path, names = _write_some_malformed(spark, sf_dir)
     kept, rejected = S.read_feed_checked(spark, path, schema=all_string_schema(names), header=False)
-    lines = rejected.select("line").unionByName(kept.select(F.lit(None).cast("string").alias("line"), "video_id").drop("video_id"))
+    lines = rejected.select("line").unionByName(kept.select(F.lit(None).cast("string").alias("line")))
     return lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -662,7 +662,7 @@ def q_top_tags_streaming(spark, sf_dir):
 # --------------------------------------------------------------------------- the jobs over files
 
 
-def _write_dictionary_json(spark, sf_dir) -> str:
+def write_dictionary_json(spark, sf_dir) -> str:
     path = scratch_path(spark, "dictionary-json")
     testbed.dictionary(spark, sf_dir).write.json(path)
     return path
@@ -671,20 +671,20 @@ def _write_dictionary_json(spark, sf_dir) -> str:
 @register("classification_from_files", O.p1_sql())
 def q_classification_from_files(spark, sf_dir):
     """P1 as the job runs it: three CSV feed files (one per country) read and unioned."""
-    return jobs.classify(spark, _write_region_feeds(spark, sf_dir))
+    return jobs.classify(spark, write_region_feeds(spark, sf_dir))
 
 
 @register("top_tags_from_files", O.p3_sql())
 def q_top_tags_from_files(spark, sf_dir):
     """P3 as the job runs it: three CSV feed files and a JSON-lines dictionary."""
-    return jobs.top_tags(spark, _write_region_feeds(spark, sf_dir), _write_dictionary_json(spark, sf_dir))
+    return jobs.top_tags(spark, write_region_feeds(spark, sf_dir), write_dictionary_json(spark, sf_dir))
 
 
 @register("top_tags_by_id_from_files", O.p4_sql())
 def q_top_tags_by_id_from_files(spark, sf_dir):
     """P4 as the job runs it: three CSV feed files and a JSON-lines dictionary, grouped by id."""
     return jobs.top_tags(
-        spark, _write_region_feeds(spark, sf_dir), _write_dictionary_json(spark, sf_dir), by="id"
+        spark, write_region_feeds(spark, sf_dir), write_dictionary_json(spark, sf_dir), by="id"
     )
 
 

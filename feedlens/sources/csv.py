@@ -102,6 +102,8 @@ def read_feed_checked(
         .csv(list(paths) if not isinstance(paths, str) else paths)
     )
     cells = [F.col(f"`{n}`") for n in schema.names]
+    # Spark refuses a scan of the rejected line alone; this condition always holds and reads a cell beside it.
+    parsed = parsed.where(F.length(F.coalesce(cells[0], F.lit(""))) >= 0)
     kept = parsed.where(F.col(corrupt).isNull()).select(*cells)
     bad = parsed.where(F.col(corrupt).isNotNull())
     return kept, bad.select(F.col("_metadata.file_path").alias("file"), F.col(corrupt).alias("line"), F.struct(*cells).alias("cells"))

@@ -23,11 +23,13 @@ def files(tmp_path_factory):
     return golden.write_feeds(root), golden.write_dictionary(root), root
 
 
-def test_classify_job(spark, files):
+def test_classify_job(spark, files, capsys):
     feeds, _, root = files
     out = os.path.join(root, "classification")
     table = f"classification_{uuid.uuid4().hex[:8]}"
     jobs.run(["classify", "--feeds", *feeds, "--out", out, "--table", table], spark=spark)
+    shown = capsys.readouterr().out
+    assert f"classify: 3 rows written to {table}" in shown and "neutral" in shown
     assert len(glob.glob(os.path.join(out, "part-*.csv"))) == 1
     rows = [tuple(r) for r in read_feed(spark, out, schema=CLASSIFICATION_SCHEMA).collect()]
     assert rows == [("neutral", 3, 4.0), ("good", 2, 5.5), ("bad", 2, 1.0)]

@@ -6,6 +6,7 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from feedlens import sinks
@@ -200,3 +201,39 @@ def test_key_value_roundtrip_keeps_every_row(spark, tmp_dir):
     sinks.write_key_value(spark.createDataFrame(rows, "k string, v string"), out, "k", "v")
     back = read_key_value(spark, out, escaped=True)
     assert sorted(map(repr, map(tuple, back.collect()))) == sorted(map(repr, rows))
+
+
+def test_rejected_lines_and_kept_rows_are_all_lines(spark, tmp_dir):
+    from feedlens.operators import counted
+    from feedlens.sources import read_feed, read_feed_checked
+
+    lines = ["id,cat,tags", '1,a,"x,y"', "2,b", "3,c,z,extra", '4,"d ""q""",', ",,", "5,e,w"]
+    path = f"{tmp_dir}/feed.csv"
+    with open(path, "w") as f:
+        f.write("\n".join(lines) + "\n")
+    schema = all_string_schema(["id", "cat", "tags"])
+    kept, rejected = read_feed_checked(spark, path, schema=schema)
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, read_feed(spark, path, schema=schema).collect()))
+    assert sorted(r.line for r in rejected.collect()) == ["2,b", "3,c,z,extra"]
+    assert {r.cells.id for r in rejected.collect()} == {"2", "3"} and rejected.select("file").distinct().count() == 1
+    assert kept.count() + rejected.count() == len(lines) - 1
+    assert [r.id for r in kept.select("id").where("id = '5'").collect()] == ["5"]  # a pruned read keeps the same rows
+    whole, seen = counted(kept, with_tags=F.count("tags"))
+    assert len(whole.collect()) == 4 and seen.get == {"rows": 4, "with_tags": 2}
+
+
+def test_publish_switches_whole_versions(spark, tmp_dir):
+    from feedlens.sinks import publish, read_published
+
+    root = f"{tmp_dir}/published"
+    one, two = spark.range(3), spark.range(10, 15)
+    first = publish(one, root)
+    assert sorted(r.id for r in read_published(spark, root).collect()) == [0, 1, 2]
+    reader = read_published(spark, root)
+    publish(two, root)
+    assert sorted(r.id for r in read_published(spark, root).collect()) == [10, 11, 12, 13, 14]
+    assert sorted(r.id for r in reader.collect()) == [0, 1, 2]  # a reader of the earlier version is not disturbed
+    with pytest.raises(Exception, match="stopped"):
+        publish(spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("stopped"))).otherwise(F.col("id").cast("string")).alias("id")), root)
+    assert sorted(r.id for r in read_published(spark, root).collect()) == [10, 11, 12, 13, 14]
+    assert sorted(r.id for r in spark.read.parquet(first).collect()) == [0, 1, 2]
