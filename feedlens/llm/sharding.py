@@ -1,6 +1,9 @@
 """Operator 7, sharding by fixed virtual slots (DataFrame functions only).
 
-Records are hashed into ``slots`` virtual slots; bytes are summed per slot.
+Records are hashed into ``slots`` virtual slots; bytes are summed per slot. Rows that repeat
+one record have one hash; where together they hold more bytes than the mean slot,
+they are dealt over as many hashes as they hold such means, by a written row
+number. There are fewer such records than slots, so their list is bounded.
 A slot-to-shard map has versions: version 1 gives each shard an equal range of
 slots, whatever their bytes; ``rebalanced`` edits a version into the next.
 An edit leaves a slot where it is while its shard, filled from the largest
@@ -14,7 +17,7 @@ slot give each slot's first place, so only records of one virtual slot are sorte
 together, never those of a shard.
 
 Defined cases: a null text has no bytes and the CRC of the empty text; null
-ids are hashed as null; repeated rows take places of their own; with an empty table
+ids are hashed as null; repeated rows take places of their own, and very many of them slots of their own; with an empty table
 the result is empty; columns of the input beside ``doc_id`` and ``text`` are
 not looked at.
 """
@@ -32,13 +35,33 @@ SHARDS = 24
 ROW_BYTES = 8
 
 
-def records(documents: DataFrame, *, slots: int = SLOTS) -> DataFrame:
-    """``doc_id, size, text_crc32, vslot``: what sharding needs of a record, without its text."""
+RECORD = ("doc_id", "text_crc32", "size")
+
+
+def records(documents: DataFrame) -> DataFrame:
+    """``doc_id, size, text_crc32, row``: what sharding needs of a record, without its text, and a number of the row (to be written)."""
     text = F.coalesce(F.encode(F.col("text").cast("string"), "UTF-8"), F.lit(b""))
-    rows = documents.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), (F.length(text) + ROW_BYTES).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32")
+    return documents.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), (F.length(text) + ROW_BYTES).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"),
+        F.monotonically_increasing_id().alias("row"),
     )
-    return rows.withColumn("vslot", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(slots)).cast("int"))
+
+
+def heavy_records(rows: DataFrame, *, slots: int = SLOTS) -> DataFrame:
+    """The records whose rows hold more than the mean slot together, with the number of ``hashes`` to deal them over; fewer than ``slots``."""
+    total = rows.agg(F.sum("size").alias("total")).first()["total"] or 0
+    groups = rows.groupBy(*RECORD).agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+    hashes = F.ceil(F.col("bytes") * F.lit(slots) / F.lit(max(1, total))).cast("bigint")
+    return groups.where((F.col("n") > 1) & (F.col("bytes") * F.lit(slots) > F.lit(total))).select(*RECORD, hashes.alias("hashes"))
+
+
+def slotted(rows: DataFrame, heavy: DataFrame, *, slots: int = SLOTS) -> DataFrame:
+    """Written ``records`` with their virtual slot ``vslot``."""
+    own = F.broadcast(heavy.select(*(F.col(c).alias(f"of_{c}") for c in RECORD), "hashes"))
+    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in RECORD]
+    dealt = rows.join(own, same[0] & same[1] & same[2], "left").withColumn("deal", F.pmod(F.xxhash64("row"), F.coalesce("hashes", F.lit(1))))
+    hashed = F.when(F.col("deal") == 0, F.xxhash64(*RECORD)).otherwise(F.xxhash64(*RECORD, "deal"))
+    return dealt.withColumn("vslot", F.pmod(hashed, F.lit(slots)).cast("int")).select(*rows.columns, "vslot")
 
 
 def slot_totals(rows: DataFrame) -> DataFrame:
@@ -93,7 +116,7 @@ def placed(rows: DataFrame, totals: DataFrame, slot_map: DataFrame) -> DataFrame
     """``rows`` with their shard and place under one version of the map."""
     before = Window.partitionBy("shard").orderBy("vslot").rowsBetween(Window.unboundedPreceding, -1)
     starts = slot_map.join(totals, "vslot").withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0).cast("bigint")))
-    within = Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size")
+    within = Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size", "row")
     ordered = rows.withColumn("place", F.row_number().over(within) - 1)
     # One row per slot: a broadcast of fixed size.
     return ordered.join(F.broadcast(starts.select("vslot", "version", "shard", "first")), "vslot").withColumn("slot", F.col("first") + F.col("place")).drop(
@@ -103,7 +126,8 @@ def placed(rows: DataFrame, totals: DataFrame, slot_map: DataFrame) -> DataFrame
 
 def shard(documents: DataFrame, *, slots: int = SLOTS, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """(records with ``shard`` and ``slot``, the stored map with all versions)."""
-    rows = common.written(records(documents, slots=slots), "records")
+    rows = common.written(records(documents), "records")
+    rows = common.written(slotted(rows, heavy_records(rows, slots=slots), slots=slots), "slotted")
     totals = common.written(slot_totals(rows), "slot-bytes")
     first = first_map(documents.sparkSession, slots=slots, shards=shards)
     versions = common.written(first.unionByName(rebalanced(first, totals, shards=shards)), "slot-map")
