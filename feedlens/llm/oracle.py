@@ -36,17 +36,16 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 
 OP6 = """
 WITH v AS (
-  SELECT vec_id, max([CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding]) AS v
+  SELECT row_number() OVER () AS r, vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
-  GROUP BY vec_id
 ),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([coalesce(p[1], 0) * coalesce(p[2], 0) FOR p IN list_zip(q.v, c.v)]) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_sum([coalesce(p[1], 0) * coalesce(p[2], 0) FOR p IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.r <> c.r
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20
 """
 
 OP8 = rf"""
@@ -65,9 +64,11 @@ links AS (
   SELECT a.r AS x, b.r AS y FROM e a JOIN e b ON a.g = b.g AND a.r <> b.r AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n
   GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
 ),
+degree AS (SELECT x, count(*) AS n_links FROM links GROUP BY x),
 reach AS (SELECT r AS x, r AS y FROM s UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
-SELECT any_value(s.doc_id) AS doc_id, CAST(any_value(s.n) AS BIGINT) AS n_shingles, min(t.doc_id) AS component_id
-FROM s JOIN reach ON s.r = reach.x JOIN s t ON t.r = reach.y GROUP BY s.r
+SELECT any_value(s.doc_id) AS doc_id, CAST(any_value(s.n) AS BIGINT) AS n_shingles, min(t.doc_id) AS component_id,
+  CAST(coalesce(any_value(degree.n_links), 0) AS BIGINT) AS n_links
+FROM s JOIN reach ON s.r = reach.x JOIN s t ON t.r = reach.y LEFT JOIN degree ON degree.x = s.r GROUP BY s.r
 """
 
 _RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)

@@ -1,6 +1,6 @@
 """Operator 6, exact top-k by inner product: Fagin's threshold algorithm.
 
-Candidates are dealt into blocks of at most ``BLOCK_ROWS`` rows; a block holds
+Rows are numbered and dealt into blocks of about ``BLOCK_ROWS`` candidates; a block holds
 one sorted list per dimension. For a query the lists are read in parallel,
 from the top where the query's component is positive and from the bottom
 where it is negative, a doubling number of places at a time. Every row seen
@@ -8,18 +8,19 @@ for the first time is scored in full (random access). The sum of query
 component times the value last read bounds the score of every row not yet
 seen: the search of the block stops once that bound is below the kth score so far;
 at a tie it goes on, as an unseen row of equal score may have the smaller id.
-The best k of all blocks of a query meet by query id, k rows a block, after
-each task has merged its own.
 
-Queries go out in blocks of at most ``QUERY_ROWS`` rows, each answered against
-all rows. The driver reads them one partition at a time; a block's answers are
-written and its broadcast destroyed before the next goes out, so one block at a
-time is held, however many queries there are.
+Queries are a table too, dealt into blocks of about ``QUERY_ROWS``. Every block of queries meets
+every block of candidates as a group of its own, in two rounds: first each
+query searches one block of candidates, and the kth score it finds there goes with the
+query into the search of all others, which may stop, and leave rows out, below it.
+Both blocks of a group are bounded, the number of jobs does not depend on the number of
+queries, and no row passes the driver. The best k of all blocks of a query
+meet by its row number, after each task has cut its own.
 
 Defined cases: vectors that are null, empty, or hold a null or non-finite
 component, and rows without an id, take no part; shorter vectors count as
-padded with zeros; rows that repeat an id are one candidate and one query,
-by the largest vector in list order; a query with fewer than k others gets
+padded with zeros; rows that repeat an id are candidates each and queries each (a query leaves out its own
+row only, so it finds the others of its id); a query with fewer than k others gets
 all; ties go to the smaller id; an empty table gives an empty result; other
 columns of the input are not looked at. Components are floor(scale * x) and
 scores whole numbers; both must fit 64 bits.
@@ -27,9 +28,6 @@ scores whole numbers; both must fit 64 bits.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,28 +42,32 @@ FIRST_DEPTH = 32
 
 
 def whole_vectors(embeddings: DataFrame, *, id_column: str, vector_column: str, scale: int) -> DataFrame:
-    """``vec_id, v``: the vectors that take part, with components floor(scale * x); one per id."""
+    """``row, vec_id, v``: the rows that take part, with a number each (to be written) and components floor(scale * x)."""
     x = F.col(vector_column).cast("array<double>")
     rows = embeddings.select(F.col(id_column).cast("bigint").alias("vec_id"), x.alias("x")).where(
         F.col("vec_id").isNotNull() & F.col("x").isNotNull() & (F.size("x") > 0)
     )
     rows = rows.where(F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))))
-    return rows.select("vec_id", F.transform("x", lambda c: F.floor(c * scale).cast("bigint")).alias("v")).groupBy("vec_id").agg(F.max("v").alias("v"))
+    return rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", F.transform("x", lambda c: F.floor(c * scale).cast("bigint")).alias("v"))
 
 
-def _matrix(lists: list, width: int) -> np.ndarray:
+def _matrix(lists: pa.ChunkedArray, width: int) -> np.ndarray:
+    lists = lists.combine_chunks()
+    off, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+    size = np.diff(off)
     out = np.zeros((len(lists), width), np.int64)
-    for r, v in enumerate(lists):
-        out[r, : len(v)] = v
+    out[np.repeat(np.arange(len(lists)), size), np.arange(off[0], off[-1]) - np.repeat(off[:-1], size)] = values[off[0] : off[-1]]
     return out
 
 
 class Block:
     """Candidates of one block with a sorted list per dimension."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        by = np.argsort(ids)  # rows in id order: a stable choice by score keeps the smaller id
-        self.ids, self.vectors = ids[by], vectors[by]
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, rows: np.ndarray | None = None):
+        """``rows``: a number of each row, by which a query leaves out its own (the ids, if there are no others)."""
+        rows = ids if rows is None else rows
+        by = np.lexsort((rows, ids))  # rows in id order: a stable choice by score keeps the smaller id
+        self.ids, self.vectors, self.rows = ids[by], vectors[by], rows[by]
         order = np.argsort(self.vectors, axis=0, kind="stable")
         self.up = np.ascontiguousarray(order.T.astype(np.int32))  # per dimension, smallest first
         self.sorted = np.ascontiguousarray(np.take_along_axis(self.vectors, order, 0).T)
@@ -74,14 +76,14 @@ class Block:
         self.most = most
         self.quick = self.vectors.astype(np.float64)
 
-    def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(rows, scores) of the k best rows, by score, then id."""
+    def search(self, own: int, query: np.ndarray, k: int, floor: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(places, scores) of the k best rows but the one numbered ``own``, by score, then id; none below ``floor``."""
         n, used = len(self.ids), np.flatnonzero(query)
         exact = self.most * float(np.abs(query).sum()) < 2.0**53
         table, q = (self.quick, query.astype(np.float64)) if exact else (self.vectors, query)
         if not len(used):
             rows = np.arange(min(n, k + 1))  # every score is 0: the smallest ids
-            rows = rows[self.ids[rows] != query_id][:k]
+            rows = rows[self.rows[rows] != own][: 0 if floor is not None and floor > 0 else k]
             return rows, np.zeros(len(rows), np.int64)
         down = query[used] > 0
         seen = np.zeros(n, bool)
@@ -95,16 +97,17 @@ class Block:
             fresh[self.up[low, at:to].ravel()] = True
             rows = np.flatnonzero(fresh & ~seen)
             seen[rows] = True
-            rows = rows[self.ids[rows] != query_id]
+            rows = rows[self.rows[rows] != own]
             best_rows, best = np.concatenate([best_rows, rows]), np.concatenate([best, table[rows] @ q])
             if len(best) > k:
                 keep = np.lexsort((best_rows, -best))[:k] if len(best) < 4 * k else self._top(best_rows, best, k)
                 best_rows, best = best_rows[keep], best[keep]
             bound = (self.sorted[high, n - to] * query[high]).sum() + (self.sorted[low, to - 1] * query[low]).sum()
-            if len(best) >= k and bound < best.min():
+            if (floor is not None and bound < floor) or (len(best) >= k and bound < best.min()):
                 break
             at, depth = to, depth * 2
         order = np.lexsort((best_rows, -best))[:k]
+        order = order if floor is None else order[best[order] >= floor]
         return best_rows[order], best[order].astype(np.int64)
 
     @staticmethod
@@ -118,58 +121,38 @@ class Block:
 def top_k(embeddings: DataFrame, *, k: int, every: int, scale: int = 64, id_column: str = "vec_id", vector_column: str = "embedding",
           block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """``query_id, rank, vec_id, score``: for every id divisible by ``every`` its k best other rows."""
-    spark = embeddings.sparkSession
     rows = common.written(whole_vectors(embeddings, id_column=id_column, vector_column=vector_column, scale=scale), "vectors")
-    shape = rows.agg(F.max(F.size("v")).alias("width"), F.count(F.lit(1)).alias("n")).first()
-    width, n = shape["width"] or 0, shape["n"]
-    queries = rows.where(F.pmod("vec_id", F.lit(every)) == 0)
-    parts = max(1, -(-n // block_rows), spark.sparkContext.defaultParallelism if n > 2 * block_rows else 1)
-    dealt = rows.repartition(parts, "vec_id")
-    names = "query_id bigint, vec_id bigint, score bigint"
-
-    def answers(sent) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            query_ids, matrix = sent.value
-            kept: list = []
-
-            def searched() -> pa.RecordBatch:
-                ids = np.concatenate([b.column(0).to_numpy() for b in kept])
-                block = Block(ids, _matrix([v for b in kept for v in b.column(1).to_pylist()], width))
-                q, r, s = [], [], []
-                for query_id, query in zip(query_ids.tolist(), matrix, strict=True):
-                    found, scores = block.search(query_id, query, k)
-                    q.append(np.full(len(found), query_id))
-                    r.append(block.ids[found])
-                    s.append(scores)
-                return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (q, r, s)], names=["query_id", "vec_id", "score"])
-
-            held = 0
-            for batch in batches:
-                for i in range(0, batch.num_rows, block_rows):
-                    piece = batch.slice(i, min(block_rows, batch.num_rows - i))
-                    if held and held + piece.num_rows > block_rows:
-                        yield searched()
-                        kept, held = [], 0
-                    kept.append(piece)
-                    held += piece.num_rows
-            if held:
-                yield searched()
-
-        return dealt.mapInArrow(run, names)
-
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    path = None
-    block: list = []
-    for row in chain(queries.toLocalIterator(), [None]):
-        if row is not None:
-            block.append(row)
-        if block and (row is None or len(block) >= query_rows):
-            sent = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in block]), _matrix([r["v"] for r in block], width)))
-            ranked = answers(sent).withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
-            path = path or common.scratch_path(spark, "top-k")
-            # One table of all blocks, so that the plan does not grow with their number.
-            ranked.select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(path)
-            sent.destroy()
-            block = []
-    schema = "query_id bigint, rank int, vec_id bigint, score bigint"
-    return spark.read.schema(schema).parquet(path) if path else spark.createDataFrame([], schema)
+    is_query = F.pmod("vec_id", F.lit(every)) == 0
+    shape = rows.agg(F.max(F.size("v")).alias("width"), F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("queries")).first()
+    width, blocks, query_blocks = shape["width"] or 0, max(1, -(-shape["n"] // block_rows)), max(1, -(-shape["queries"] // query_rows))
+    candidates = rows.select(F.col("row").alias("of"), F.col("vec_id").alias("id"), F.col("v").alias("vector"), F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("c"))
+    queries = rows.where(is_query).withColumn("q", F.pmod(F.xxhash64("row", F.lit("q")), F.lit(query_blocks)))
+
+    def run(asked: pa.Table, given: pa.Table) -> pa.Table:
+        found: list[tuple] = []
+        if asked.num_rows and given.num_rows:
+            block = Block(given.column("id").to_numpy(), _matrix(given.column("vector"), width), given.column("of").to_numpy())
+            columns = asked.column("row").to_pylist(), asked.column("vec_id").to_pylist(), asked.column("least").to_pylist()
+            for own, query_id, least, query in zip(*columns, _matrix(asked.column("v"), width), strict=True):
+                at, scores = block.search(own, query, k, least)
+                found.append((np.full(len(at), own), np.full(len(at), query_id), block.ids[at], scores))
+        parts = [np.concatenate(x).astype(np.int64) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 4
+        return pa.table([pa.array(x) for x in parts], names=["row", "query_id", "vec_id", "score"])
+
+    def answers(asked: DataFrame, given: DataFrame) -> DataFrame:
+        """The best rows of every query of ``asked`` (q, c, row, vec_id, v, least) in the block ``c`` of ``given`` (q, c, of, id, vector)."""
+        return asked.groupBy("q", "c").cogroup(given.groupBy("q", "c")).applyInArrow(run, "row bigint, query_id bigint, vec_id bigint, score bigint")
+
+    # Round one: the queries of a block search one block of candidates.
+    chosen = F.pmod(F.col("q"), F.lit(blocks))
+    one = queries.withColumn("c", chosen).withColumn("least", F.lit(None).cast("bigint"))
+    needed = candidates.withColumn("q", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(query_blocks - 1).cast("bigint"))))
+    first = common.written(answers(one, needed.where(F.col("c") == chosen)), "top-k-first")
+    # Round two: all others, from the kth score of round one on.
+    kth = first.groupBy("row").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).where(F.col("n") == k).select("row", "least")
+    others = queries.withColumn("c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))).where(F.col("c") != chosen)
+    second = answers(others.join(kth, "row", "left"), needed.where(F.col("c") != chosen))
+    best = first if blocks == 1 else first.unionByName(common.written(second, "top-k-others"))
+    order = Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
+    ranked = best.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
