@@ -11,8 +11,8 @@ one-versus-rest ridge regression in that space gives one score per language.
 Scoring is two matrix products per block of rows: presence times landmark
 presence (whole numbers, exact), then kernel values times weights.
 
-Fit sample (documented bound): per language the rows of the ``per_language`` doc_ids with
-the smallest hash, of rows whose text has a letter; every language is learned.
+Fit sample (documented bound): per language the ``per_language`` rows with the smallest hash
+of id and text, of rows whose text has a letter (rows that repeat both count once); every language is learned.
 Prediction covers every row and whole texts. What reaches the driver
 follows the number of languages: ``per_language`` rows of one bit an n-gram each.
 
@@ -41,6 +41,7 @@ LANDMARKS = 24
 VOCABULARY = 8192
 LANGUAGE_GRAMS = 128
 FIT_ROWS = 2048
+DEALS = 64
 RIDGE = 1e-2
 NONE = "und"
 
@@ -120,14 +121,18 @@ def fit_ridge(bits: np.ndarray, width: int, labels: np.ndarray, languages: list[
 
 
 def _sample(labelled: DataFrame, per_language: int) -> DataFrame:
-    """The fit sample's (doc_id, lang, order): bounded per language before any shuffle of rows.
+    """The fit sample: ``lang, doc_id, mark, h`` of the ``per_language`` rows of every language with the smallest hashes.
 
-    ``row_number`` below a bound keeps the smallest rows of each task first, so
-    a language that holds most rows sends ``per_language`` rows a task.
+    Rows that repeat an id and a text (``mark``) count once. The smallest of each of
+    ``DEALS`` parts of a language are found first, so no task ranks more than
+    ``DEALS * per_language`` rows of a language, whatever it holds.
     """
-    ids = labelled.where("lang is not null and doc_id is not null").select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).distinct()
-    order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    return ids.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language).select("doc_id", "lang", "h")
+    rows = labelled.where("lang is not null and doc_id is not null").select("lang", "doc_id", "mark").distinct()
+    rows = rows.withColumn("h", F.xxhash64("doc_id", "mark")).withColumn("deal", F.pmod("h", F.lit(DEALS)))
+    for keys in (("lang", "deal"), ("lang",)):
+        order = Window.partitionBy(*keys).orderBy("h", "doc_id", "mark")
+        rows = rows.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language).drop("k")
+    return rows.drop("deal")
 
 
 def fit(labelled: DataFrame, *, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS, vocabulary: int = VOCABULARY,
@@ -137,12 +142,11 @@ def fit(labelled: DataFrame, *, per_language: int = PER_LANGUAGE, landmarks: int
         raise ValueError("need a vocabulary")
     labelled = labelled.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text", "cast(lang as string) lang")
     # Other texts teach nothing, and would take the places of those that do.
-    labelled = labelled.where(F.col("text").rlike(r"\p{L}"))
-    ids = _sample(labelled, per_language)
-    # At most per_language rows of three columns a language: a bounded broadcast.
-    sample = common.written(
-        labelled.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", "h", "text"), "langid-sample"
-    )
+    labelled = labelled.where(F.col("text").rlike(r"\p{L}")).withColumn("mark", F.xxhash64("text"))
+    chosen = _sample(labelled, per_language)
+    # At most per_language rows of four columns a language: a bounded broadcast.
+    sample = labelled.join(F.broadcast(chosen), ["lang", "doc_id", "mark"]).groupBy("lang", "doc_id", "mark", "h").agg(F.min("text").alias("text"))
+    sample = common.written(sample.select("doc_id", "lang", "h", "text"), "langid-sample")
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,14 +209,14 @@ class Predictor:
         return names, scores
 
 
-def predict(documents: DataFrame, model: dict | None, *, column: str = "text") -> DataFrame:
-    """``documents`` with ``lang_pred`` and ``score`` for the whole text of every row.
+def predict(documents: DataFrame, model: dict | None, *, column: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``documents`` with the predicted language and its score (in columns ``names``) for the whole text of every row.
 
     Columns of the input that have these names are replaced.
     """
-    out = documents.drop("lang_pred", "score")
+    out = documents.drop(*names)
     if model is None:
-        return out.withColumn("lang_pred", F.lit(NONE)).withColumn("score", F.lit(0.0))
+        return out.withColumn(names[0], F.lit(NONE)).withColumn(names[1], F.lit(0.0))
     at = out.columns.index(column)
     blob = out.sparkSession.sparkContext.broadcast(pickle.dumps(model))
 
@@ -220,11 +224,11 @@ def predict(documents: DataFrame, model: dict | None, *, column: str = "text") -
         predictor = None
         for batch in batches:
             predictor = predictor or Predictor(pickle.loads(blob.value))
-            names, scores = predictor.predict(batch.column(at))
+            found, scores = predictor.predict(batch.column(at))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names, "lang_pred", "score"],
+                [*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())],
+                names=[*batch.schema.names, *names],
             )
 
-    schema = out.withColumn("lang_pred", F.lit("")).withColumn("score", F.lit(0.0)).schema
+    schema = out.withColumn(names[0], F.lit("")).withColumn(names[1], F.lit(0.0)).schema
     return out.mapInArrow(run, schema)
