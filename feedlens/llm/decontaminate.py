@@ -304,6 +304,7 @@ def without_contaminated(documents: DataFrame, benchmark: DataFrame, *, window:
     Rows that share an id are told apart by their text's hash.
     """
     hit = find_contamination(documents, benchmark, window=window).where(F.size("hits") > 0)
-    hit = hit.select(F.col("doc_id").alias("_hit_id"), F.col("mark").alias("_hit_mark")).distinct().hint("shuffle_hash")
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_hit_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_hit_mark"))
+    hit_id, hit_mark = common.fresh(documents, "_hit_id", "_hit_mark")
+    hit = hit.select(F.col("doc_id").alias(hit_id), F.col("mark").alias(hit_mark)).distinct().hint("shuffle_hash")
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(hit_id)) & (F.xxhash64(F.col("text").cast("string")) == F.col(hit_mark))
     return documents.join(hit, same, "left_anti")

@@ -442,8 +442,8 @@ def linked_documents(documents: DataFrame, *, size: int = SIZE, num: int = NUM,
 
 def similar_components(documents: DataFrame, *, size: int = SIZE, num: int = NUM, den: int = DEN, tile_rows: int = TILE_ROWS,
                        tile_bytes: int = TILE_BYTES) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of ``linked_documents``."""
-    return linked_documents(documents, size=size, num=num, den=den, tile_rows=tile_rows, tile_bytes=tile_bytes).drop("n_links")
+    """``linked_documents``, by its earlier name."""
+    return linked_documents(documents, size=size, num=num, den=den, tile_rows=tile_rows, tile_bytes=tile_bytes)
 
 
 def one_of_each(documents: DataFrame, *, size: int = SIZE, num: int = NUM, den: int = DEN, tile_rows: int = TILE_ROWS,
@@ -456,18 +456,19 @@ def one_of_each(documents: DataFrame, *, size: int = SIZE, num: int = NUM, den:
     """
     rows, named = _named_sets(documents, size=size, num=num, den=den, tile_rows=tile_rows, tile_bytes=tile_bytes, counted=False)
     first = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "first_mark")).alias("first"))
-    first = first.select(F.col("first.doc_id").alias("_kept"), F.col("first.first_mark").alias("_mark"))
-    copies = rows.where("digest is not null").groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("n"))
-    found = first.join(copies, F.col("_kept").eqNullSafe(F.col("doc_id")) & (F.col("_mark") == F.col("mark")))
-    found = common.written(found.select("_kept", "_mark", "n"), "kept")
+    kept_id, kept_mark, of_id, of_text, whole = common.fresh(documents, "_kept", "_mark", "_id", "_of_text", "_row")
+    first = first.select(F.col("first.doc_id").alias(kept_id), F.col("first.first_mark").alias(kept_mark))
+    copies = rows.where("digest is not null").groupBy(F.col("doc_id").alias(of_id), F.col("mark").alias(of_text)).agg(F.count(F.lit(1)).alias("n"))
+    found = first.join(copies, F.col(kept_id).eqNullSafe(F.col(of_id)) & (F.col(kept_mark) == F.col(of_text)))
+    found = common.written(found.select(kept_id, kept_mark, "n"), "kept")
     text = F.col("text").cast("string")
     doc_id, mark = F.col("doc_id").cast("bigint"), F.xxhash64(text)
-    same = doc_id.eqNullSafe(F.col("_kept")) & (mark == F.col("_mark"))
+    same = doc_id.eqNullSafe(F.col(kept_id)) & (mark == F.col(kept_mark))
     worded = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
 
     def kept(condition: str) -> DataFrame:
-        return documents.where(worded).join(found.where(condition).select("_kept", "_mark").hint("shuffle_hash"), same, "left_semi")
+        return documents.where(worded).join(found.where(condition).select(kept_id, kept_mark).hint("shuffle_hash"), same, "left_semi")
 
-    order = F.min(F.struct(*[F.col(c).alias(c) for c in ("text", *[c for c in documents.columns if c != "text"])]))
-    repeated = kept("n > 1").groupBy(doc_id.alias("_id"), mark.alias("_of_text")).agg(order.alias("row")).select("row.*").select(*documents.columns)
+    order = F.min(F.struct(*[F.col(f"`{c}`").alias(c) for c in ("text", *[c for c in documents.columns if c != "text"])]))
+    repeated = kept("n > 1").groupBy(doc_id.alias(of_id), mark.alias(of_text)).agg(order.alias(whole)).select(f"{whole}.*").select(*documents.columns)
     return kept("n = 1").unionByName(repeated).unionByName(documents.where(~worded))

@@ -91,7 +91,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.similar_components(table(spark, sf_dir, "documents"))
+    return ngram_join.linked_documents(table(spark, sf_dir, "documents"))
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,9 @@ import math
 import os
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 
@@ -80,8 +81,8 @@ def shingles(text, size=3):
     return frozenset(tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1)))
 
 
-def similar(docs, num=90, den=100):
-    sets = [shingles(t) for _, t in docs]
+def similar(docs, num=90, den=100, size=3):
+    sets = [shingles(t, size) for _, t in docs]
     parent = list(range(len(docs)))
 
     def top(x):
@@ -89,6 +90,7 @@ def similar(docs, num=90, den=100):
             x = parent[x]
         return x
 
+    links = [0] * len(docs)
     for i in range(len(sets)):
         for j in range(i):
             small, large = sorted((len(sets[i]), len(sets[j])))
@@ -96,11 +98,13 @@ def similar(docs, num=90, den=100):
                 both = len(sets[i] & sets[j])
                 if den * both >= num * (len(sets[i]) + len(sets[j]) - both):
                     parent[top(i)] = top(j)
+                    links[i] += 1
+                    links[j] += 1
     least = defaultdict(list)
     for i, (doc_id, _) in enumerate(docs):
         least[top(i)].append(doc_id)
     smallest = {k: min((x for x in v if x is not None), default=None) for k, v in least.items()}
-    return [(doc_id, len(sets[i]), smallest[top(i)]) for i, (doc_id, _) in enumerate(docs)]
+    return [(doc_id, len(sets[i]), smallest[top(i)], links[i]) for i, (doc_id, _) in enumerate(docs)]
 
 
 def secrets(text):
@@ -116,15 +120,11 @@ def secrets(text):
 
 
 def top_k(rows, k=20, every=20):
-    vectors = {}
-    for vec_id, v in rows:
-        if vec_id is not None and v and all(x is not None and math.isfinite(x) for x in v):
-            v = [math.floor(64 * x) for x in v]
-            vectors[vec_id] = max(vectors.get(vec_id, v), v)
+    vectors = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, a in vectors.items():
+    for at, (q, a) in enumerate(vectors):
         if q % every == 0:
-            best = sorted(((-sum(x * y for x, y in zip(a, b, strict=False)), c) for c, b in vectors.items() if c != q))[:k]
+            best = sorted((-sum(x * y for x, y in zip(a, b, strict=False)), c) for o, (c, b) in enumerate(vectors) if o != at)[:k]
             out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(best)]
     return sorted(out)
 
@@ -145,3 +145,77 @@ def judge(url):
     fit = [(len(h + p), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
     best = max(fit, default=(0, None, None))
     return host, path, best[1], best[2]
+
+
+def runs(words, least=12):
+    """(start, length, period) of all runs, period by period."""
+    numbers = {}
+    w, n, out = np.array([numbers.setdefault(x, len(numbers)) for x in words], dtype=np.int64), len(words), []
+    for q in range(1, n // 2 + 1):
+        same = np.concatenate(([0], (w[:-q] == w[q:]).astype(np.int8), [0]))
+        begin, end = np.flatnonzero(np.diff(same) == 1), np.flatnonzero(np.diff(same) == -1)
+        for a, b in zip(begin.tolist(), end.tolist(), strict=True):
+            length = b - a + q
+            if length >= max(least, 2 * q) and not any(q % p == 0 and s <= a and s + x >= a + length for s, x, p in out):
+                out.append((a, length, q))
+    return sorted((s, x, p) for s, x, p in out)
+
+
+def periodic(doc_id, text):
+    """The row of op11 for one document."""
+    words = SPACED.findall(text or "")
+    n = len(words)
+    if doc_id is not None and n and zlib.crc32(str(doc_id).encode()) % 10 == 0:
+        g = zlib.crc32(str(doc_id).encode()) // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i if i < a else a + (i - a) % p] for i in range(n)]
+    found = runs(words)
+    best = min(((-x, s, p) for s, x, p in found), default=None)
+    longest = (None,) * 4 if best is None else (best[1], -best[0], best[2], 1000 * -best[0] // best[2])
+    kept = [w for i, w in enumerate(words) if not any(s + p <= i < s + x for s, x, p in found)]
+    return (doc_id, len(found), *longest, sha("".join(f"{s},{x},{p}\n" for s, x, p in found)), sha(" ".join(kept)))
+
+
+def collocations(docs, least=30, top=2000, longest=4):
+    """The rows of op13: every phrase counted, every longer one looked into."""
+    n, f = Counter(), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0a-\x0d]", (text or "").translate(ASCII)):
+            w = re.findall("[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            f.update((lang, tuple(w[i : i + m])) for m in range(1, longest + 1) for i in range(len(w) - m + 1))
+    f = {k: v for k, v in f.items() if v >= least}
+    inside, left, right = Counter(), Counter(), Counter()
+    for (lang, w), v in f.items():
+        for m in range(2, len(w)):
+            for i in range(len(w) - m + 1):
+                inside[lang, w[i : i + m]] = max(v, inside[lang, w[i : i + m]])
+        left[lang, w[1:]] += 1
+        right[lang, w[:-1]] += 1
+    rows = defaultdict(list)
+    for (lang, w), a in f.items():
+        if len(w) > 1 and 100 * inside[lang, w] < 80 * a:
+            score, _, x, r = min((2000000 * a // (f[lang, w[:k]] + f[lang, w[k:]]), k, f[lang, w[:k]], f[lang, w[k:]]) for k in range(1, len(w)))
+            rows[lang].append((-score, -a, " ".join(w).encode(), x, r, left[lang, w], right[lang, w]))
+    return [(lang, i + 1, g.decode(), -a, x, r, n[lang], -s, nl, nr) for lang, own in rows.items() for i, (s, a, g, x, r, nl, nr) in enumerate(sorted(own)[:top])]
+
+
+def statistics(text):
+    """The statistics of op12 by plain Python."""
+    text = text or ""
+    w = [x for x in re.split("[ \t\n\x0b\f\r]+", text) if x]
+    lines = [x for x in text.split("\n") if x.strip(" ")]
+    letters, visible = sum(c.isalpha() for c in text), sum(map(len, w))
+
+    def share(a, b):
+        return a / max(b, 1)
+
+    return {
+        "chars": len(text), "words": len(w), "word_length": share(visible, len(w)), "longest_word": max(map(len, w), default=0),
+        "short_words": share(sum(len(x) <= 3 for x in w), len(w)), "capitals": share(sum(c.isupper() for c in text), letters), "letters": share(letters, visible),
+        "digits": share(sum(c.isnumeric() for c in text), visible), "distinct_words": share(len(set(w)), len(w)),
+        "repeated_words": share(sum(a == b for a, b in zip(w[:-1], w[1:], strict=True)), len(w)), "ends": share(sum(c in ".!?" for c in text), len(w)),
+        "distinct_lines": share(len(set(lines)), len(lines)), "line_words": share(len(w), len(lines)),
+    }

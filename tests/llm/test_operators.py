@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from feedlens.llm import bpe, decontaminate, graph, langid, licenses, ngram_join, secrets, sharding, topk, urlfilter, warc
+from feedlens.llm import bpe, decontaminate, graph, langid, licenses, ngram_join, phrases, quality, runs, secrets, sharding, topk, urlfilter, warc
 from feedlens.llm.queries import tokenizer_path
 
 from . import brute
@@ -142,7 +142,7 @@ def test_one_of_each_keeps_whole_rows(spark):
     rows, _ = _odd_documents()
     docs = docs_frame(spark, rows)
     kept = ngram_join.one_of_each(docs).collect()
-    want = {c for _, _, c in brute.similar([r[:2] for r in rows]) if c is not None}
+    want = {c for _, _, c, _ in brute.similar([r[:2] for r in rows]) if c is not None}
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted(want)
     assert set(kept) <= set(docs.collect())
 
@@ -282,6 +282,204 @@ def test_every_language_is_learned(spark):
     assert [got[k] for k in range(71)] == model["languages"]
 
 
+def test_near_duplicates_stage_takes_five_words_and_four_fifths(spark, tmp_path):
+    """Copies between the two rules go: 2 words of 100 edited are 0.81 on sets of five words, and 0.885 on sets of three."""
+    words = [f"w{i}" for i in range(100)]
+    near = [*words[:25], "edit", *words[26:70], "other", *words[71:]]
+    far = [f"x{i}" if i % 9 == 0 else w for i, w in enumerate(words)]
+    rows = [(1, " ".join(words), "en"), (2, " ".join(near), "en"), (3, " ".join(far), "en")]
+    assert 80 <= 100 * len(brute.shingles(rows[0][1], 5) & brute.shingles(rows[1][1], 5)) / len(brute.shingles(rows[0][1], 5) | brute.shingles(rows[1][1], 5))
+    assert 90 > 100 * len(brute.shingles(rows[0][1]) & brute.shingles(rows[1][1])) / len(brute.shingles(rows[0][1]) | brute.shingles(rows[1][1]))
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs_frame(spark, rows), str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
+def test_pipeline_keeps_columns_whose_names_it_uses_itself(spark, tmp_path):
+    """Extra columns pass through every filtering stage with their values, whatever they are called."""
+    rows, items = _odd_documents()
+    rows = [r for r in rows if r[1] is None or len(r[1]) < 20000]
+    extra = ["score", "lang_pred", "_kept", "_mark", "_hit_id", "_hit_mark", "_id", "_of_text", "_row", "n", "digest", "spans", "label", "row", "_lang", "_score", "mark"]
+    pa = __import__("pyarrow")
+    table = brute.documents(rows).select(["doc_id", "text", "lang", "source", "n_chars"])
+    for k, name in enumerate(extra):
+        table = table.append_column(name, pa.array([f"{name}-{i}-{k}" for i in range(len(rows))]))
+    folder = brute.make_tables(str(tmp_path), documents=table, benchmark=pa.table({"item_id": [i for i, _ in items], "text": [t for _, t in items]}))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    before = {r["score"]: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        assert docs.columns == table.column_names, name
+        for r in docs.collect():
+            assert all(r[c] == before[r["score"]][c] for c in ("doc_id", "lang", *extra)), name
+    assert docs.count() > 20
+
+
+def test_rows_of_one_record_are_dealt_over_slots(spark):
+    """A third of all rows are one record: shards stay level, and so do slots."""
+    rows = [(i, "x" * (i % 120)) for i in range(6000)] + [(7, "y" * 100)] * 3000
+    got = sharding.shard(docs_frame(spark, rows), shards=24)[0].collect()
+    totals = {}
+    for r in got:
+        totals[r["shard"]] = totals.get(r["shard"], 0) + r["size"]
+    assert len(got) == 9000 and max(totals.values()) - min(totals.values()) <= 128
+    slots = {}
+    for r in got:
+        slots[r.vslot] = slots.get(r.vslot, 0) + r["size"]
+    assert max(slots.values()) < 20 * sum(slots.values()) / 4096
+    own = {}
+    for r in got:
+        own.setdefault(r["shard"], []).append(r.slot)
+    assert all(sorted(x) == list(range(len(x))) for x in own.values())
+
+
+def test_rows_that_repeat_an_id_are_all_candidates_and_queries(spark):
+    r = random.Random(5)
+    rows = [(i % 40, [r.uniform(-1, 1) for _ in range(5)]) for i in range(200)] + [(20, [0.5] * 5)] * 100
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    for block_rows, query_rows in ((8192, 4096), (40, 30)):
+        got = topk.top_k(frame, k=4, every=20, block_rows=block_rows, query_rows=query_rows)
+        same([tuple(x) for x in got.collect()], brute.top_k(rows, 4, 20))
+
+
+def test_the_language_sample_is_bounded_by_rows(spark):
+    words = ["apa", "bob", "cec", "dud"]
+    rows = [(1, "the same text again", "en")] * 5000 + [(2, f"{words[i % 4]} text {i} of one id", "en") for i in range(500)]
+    rows += [(i, f"mot {words[i % 4]} {i}", "fr") for i in range(10, 400)]
+    docs = docs_frame(spark, rows).withColumn("mark", F.xxhash64("text"))
+    chosen = langid._sample(docs, 200).collect()
+    assert {x: sum(r["lang"] == x for r in chosen) for x in ("en", "fr")} == {"en": 200, "fr": 200}
+    assert len({(r["lang"], r["doc_id"], r["mark"]) for r in chosen}) == 400
+    model = langid.fit(docs_frame(spark, rows), per_language=50, landmarks=8)
+    assert model["languages"] == ["en", "fr"]
+
+
+@pytest.mark.parametrize("symbols, planted", [(1, 0), (2, 0), (3, 1), (40, 1)])
+def test_runs_of_random_sequences(symbols, planted):
+    r = random.Random(symbols)
+    texts = []
+    for _ in range(150):
+        w = [b"%d" % r.randrange(symbols) for _ in range(r.randrange(90))]
+        if planted and len(w) > 4:
+            a, p = r.randrange(len(w) - 2), r.randrange(1, 12)
+            w = [w[i] if i < a + p else w[a + (i - a) % p] for i in range(len(w))]
+        texts.append(w)
+    for least in (4, 12):
+        for words, found in zip(texts, runs.text_runs(texts, least), strict=True):
+            assert sorted(map(tuple, found.tolist())) == brute.runs(words, least)
+
+
+def test_common_extensions_by_tree():
+    r = random.Random(1)
+    s = [r.randint(1, 3) for _ in range(400)]
+    minima, place, rank = runs.SuffixTree(s, 3).tour()
+    assert rank[:400].argsort().tolist() == sorted(range(400), key=lambda i: s[i:])
+    a, b = np.array([r.randrange(400) for _ in range(900)]), np.array([r.randrange(400) for _ in range(900)])
+    a, b = a[a != b], b[a != b]
+    want = []
+    for i, j in zip(a.tolist(), b.tolist(), strict=True):
+        k = 0
+        while i + k < 400 and j + k < 400 and s[i + k] == s[j + k]:
+            k += 1
+        want.append(k)
+    assert minima(np.minimum(place[a], place[b]), np.maximum(place[a], place[b])).tolist() == want
+    opposite = runs.SuffixTree(s, 3).ranks(opposite=True)
+    assert opposite[:400].argsort().tolist() == sorted(range(400), key=lambda i: [-x for x in s[i:]])
+
+
+def test_collapsed_text_keeps_first_periods(spark):
+    rows = [(1, "a b " * 8 + "end"), (2, "intro " + "x y z " * 5), (3, None), (4, " \t "), (None, "q " * 12)]
+    got = {r.doc_id: r for r in runs.find_runs(docs_frame(spark, rows)).collect()}
+    assert (got[1].collapsed, got[2].collapsed, got[3].collapsed, got[None].collapsed) == ("a b end", "intro x y z", "", "q")
+    assert [tuple(x) for x in got[2].runs] == [(1, 15, 3)] and got[4].runs == [] and got[3].n_words == 0
+
+
+@pytest.mark.parametrize("shard_words", [1 << 20, 700, 40])
+def test_phrases_over_shards(spark, shard_words):
+    """Many shards and few give the same sums, also where a text is cut between its pieces."""
+    rows, _ = _odd_documents()
+    rows = [r for r in rows if r[1] is None or len(r[1]) < 20000] + [(1, "one piece without end " * 60 + ". more, more; more! a b. " * 40, "en")]
+    got = phrases.collocations(docs_frame(spark, rows), min_count=12, top=50, shard_words=shard_words)
+    same([tuple(r) for r in got.collect()], brute.collocations([(r[2], r[1]) for r in rows], least=12, top=50))
+
+
+def test_phrases_of_other_lengths(spark):
+    rows = [(i, "a b c d e f. a b c x e f", "en") for i in range(40)]
+    for longest in (2, 3, 6):
+        got = phrases.collocations(docs_frame(spark, rows), longest=longest)
+        same([tuple(r) for r in got.collect()], brute.collocations([(r[2], r[1]) for r in rows], longest=longest))
+
+
+def test_transform_steps_give_the_intervals():
+    r = random.Random(2)
+    s = np.array([r.randrange(5) for _ in range(500)] + [0], np.int32)
+    index = phrases.Index(phrases._packed(phrases.transform(s, 4)), len(s))
+    back = phrases.Index(phrases._packed(phrases.transform(s[::-1], 4)), len(s))
+    counts = np.bincount(s)
+    lo = np.cumsum(counts) - counts
+    # From words to the left, then to the right: every interval has as many rows as the text has places.
+    p, c, here, n, there = index.extend(lo[1:], counts[1:], lo[1:], np.array([False, True, True, True, True]), False)
+    grams = [(int(y), int(x) + 1) for x, y in zip(p, c, strict=True)]
+    text = s.tolist()
+    assert all(k == sum(tuple(text[i : i + 2]) == g for i in range(len(text) - 1)) for g, k in zip(grams, n, strict=True))
+    p2, c2, _, n2, _ = back.extend(there, n, here, np.array([False, True, True, True, True]), True)
+    for x, y, k in zip(p2.tolist(), c2.tolist(), n2.tolist(), strict=True):
+        g = (*grams[x], y)
+        assert k == sum(tuple(text[i : i + 3]) == g for i in range(len(text) - 2))
+
+
+def test_statistics_of_texts(spark):
+    rows, _ = _odd_documents()
+    rows = [r for r in rows if r[1] is None or not set(r[1]) & set("\u0085\u0130\u0341\u017f\u1e30\x1c")]
+    rows += [(900, "SHOUT!! shout $$$ a a a b b 12", "en"), (901, "x\n\nx\n \ny | z |", "en")]
+    stats = quality.statistics(docs_frame(spark, rows).withColumn("chars", F.lit("an input column of that name")))
+    got = {}
+    for r in stats.collect():
+        got.setdefault(r.doc_id, []).append(r)
+    for i, text, *_ in rows:
+        want = brute.statistics(text)
+        assert any(all(abs(r[k] - v) < 1e-9 for k, v in want.items()) for r in got[i]), (i, text and text[:50])
+
+
+def test_rules_are_compiled_into_columns(spark):
+    inf = float("inf")
+    model = quality.Model(((quality.Rule((("capitals", 0.5, inf), ("words", -inf, 10.0))), -2.0), (quality.Rule((("words", 2.0, inf),)), 0.75)), 0.25)
+    rows = [(0.6, 3.0), (0.6, 11.0), (0.5, 10.0), (0.9, 2.0), (0.0, 0.0)]
+    got = spark.createDataFrame(rows, "capitals double, words double").select(model.column().alias("s")).collect()
+    want = [1 / (1 + np.exp(-(0.25 - 2.0 * (c > 0.5 and w <= 10) + 0.75 * (w > 2)))) for c, w in rows]
+    assert np.allclose([r.s for r in got], want)
+
+
+def test_lasso_weights_are_optimal():
+    """At the optimum the slope of every kept weight is the penalty, of every other at most that."""
+    r = np.random.default_rng(3)
+    x = r.integers(0, 2, (400, 12)).astype(float)
+    y = (r.random(400) < 1 / (1 + np.exp(-(2 * x[:, 0] - 3 * x[:, 1] + 0.5)))).astype(float)
+    w = r.integers(1, 5, 400).astype(float)
+    weights, intercept = quality.lasso_logistic(x, y, w, 0.02, passes=20000)
+    slope = x.T @ (w / w.sum() * (1 / (1 + np.exp(-(x @ weights + intercept))) - y))
+    assert 0 < np.count_nonzero(weights) < 12
+    assert np.allclose(slope[weights != 0], -0.02 * np.sign(weights[weights != 0]), atol=1e-4) and (np.abs(slope) <= 0.02 + 1e-4).all()
+
+
+def test_quality_with_little_to_learn_from(spark):
+    docs = docs_frame(spark, [(i, "A" * (i % 7) + " b" * i, "en") for i in range(60)])
+    stats = quality.statistics(docs)
+    assert quality.fit(stats.withColumn("label", F.lit(1))).constant == 1.0
+    assert quality.fit(stats.withColumn("label", F.lit(3))).constant == 0.5
+    assert quality.fit(stats.where("false").withColumn("label", F.lit(0))).constant == 0.5
+    same_rows = stats.select("doc_id", *(F.lit(1.0).alias(c) for c in quality.STATISTICS)).withColumn("label", (F.col("doc_id") % 3 == 0).cast("int"))
+    assert abs(quality.fit(same_rows).constant - 1 / 3) < 1e-9
+
+
+def test_the_quality_sample_is_bounded_by_rows(spark):
+    """One id of very many rows, alike or not, stays within the bound; weights keep the share of each label."""
+    stats = spark.range(9000).select(F.lit(5).cast("bigint").alias("doc_id"), *(F.when(F.col("id") < 6000, 1.0).otherwise(F.col("id").cast("double")).alias(c)
+                                     for c in quality.STATISTICS), (F.col("id") % 2).cast("double").alias("label"))
+    rows, shares = quality._sample(stats, 300)
+    got = rows.collect()
+    assert len(got) < 800 and shares == {0: 0.5, 1: 0.5}
+
+
 def test_pipeline_stages(spark, tmp_path):
     rows, items = _odd_documents()
     folder = brute.make_tables(
@@ -291,8 +489,8 @@ def test_pipeline_stages(spark, tmp_path):
     got = corpus_pipeline.run(spark, folder)
     # Plain Python: drop texts without letters, keep one per group, drop the contaminated, mask the secrets, encode.
     kept = [r[:2] for r in rows if any(c.isalpha() for c in r[1] or "")]
-    groups, once = brute.similar(kept), {}
-    for (i, text), (_, _, c) in zip(kept, groups, strict=True):
+    groups, once = brute.similar(kept, 80, 100, 5), {}  # the rule of near-duplicate stages: five words, 0.8
+    for (i, text), (_, _, c, _) in zip(kept, groups, strict=True):
         if i is None or i == c:
             once.setdefault((i, text), (i, text))
     flags = brute.contamination(list(once.values()), items)

@@ -73,13 +73,15 @@ def odd(tmp_path_factory):
         benchmark=pa.table({"item_id": pa.array([i for i, _ in items], pa.int64()), "text": [t for _, t in items], "row": [0] * len(items)}),
         embeddings=pa.table({"vec_id": pa.array([i for i, _ in vectors], pa.int64()), "embedding": pa.array([v for _, v in vectors], pa.list_(pa.float32())),
                              "v": [0] * len(vectors), "rank": [0] * len(vectors)}),
+        labels=pa.table({"doc_id": pa.array([*(i for i in range(9, 50)), None, 9, 10, 9999], pa.int64()), "toxic": [0] * 45, "score": [0.5] * 45,
+                         "quality": pa.array([*(i % 2 for i in range(9, 50)), 1, 1, None, 7], pa.int32())}),
     )
 
 
 @pytest.fixture(scope="module")
 def empty(tmp_path_factory, odd):
     return brute.make_tables(
-        str(tmp_path_factory.mktemp("empty")), **{t: pq.read_table(f"{odd}/{t}.parquet").slice(0, 0) for t in ("documents", "benchmark", "embeddings", "pages")}
+        str(tmp_path_factory.mktemp("empty")), **{t: pq.read_table(f"{odd}/{t}.parquet").slice(0, 0) for t in ("documents", "benchmark", "embeddings", "pages", "labels")}
     )
 
 
@@ -166,7 +168,7 @@ def test_op7(spark, folder):
 
 
 def test_op8(spark, folder):
-    same(rows(Q.op8_ngram_join(spark, folder), "doc_id", "n_shingles", "component_id"), brute.similar(read(folder, "documents", "doc_id", "text")))
+    same(rows(Q.op8_ngram_join(spark, folder), "doc_id", "n_shingles", "component_id", "n_links"), brute.similar(read(folder, "documents", "doc_id", "text")))
 
 
 def test_op9(spark, folder):
@@ -189,12 +191,42 @@ def test_op10(spark, folder):
         assert brute.sha(",".join(":".join(s) for s in spans if s[0] != "entropy")) == r.base_sha256
 
 
+def test_op11(spark, folder):
+    columns = ("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+    got = rows(Q.op11_periodic_runs(spark, folder), *columns)
+    same(got, [brute.periodic(*x) for x in read(folder, "documents", "doc_id", "text")])
+    assert sum(r[1] > 0 for r in got) > 5
+
+
+def test_op12(spark, folder):
+    got = Q.op12_quality_classifier(spark, folder).collect()
+    same([(r.doc_id, r.held_out) for r in got], [(i, i is not None and zlib.crc32(str(i).encode()) % 4 == 2) for i, in read(folder, "documents", "doc_id")])
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got)
+
+
+def test_op12_held_out_rows_are_told_apart(spark):
+    folder = "/root/testdata/sf0.01"
+    quality = dict(read(folder, "labels", "doc_id", "quality"))
+    got = [(r.score, quality[r.doc_id]) for r in Q.op12_quality_classifier(spark, folder).collect() if r.held_out and r.doc_id in quality]
+    good, bad = [s for s, q in got if q == 1], [s for s, q in got if q == 0]
+    assert len(good) > 30 and len(bad) > 10
+    assert sum((a > b) + 0.5 * (a == b) for a in good for b in bad) / len(good) / len(bad) > 0.95
+    assert sum((s >= 0.7) == bool(q) for s, q in got) / len(got) > 0.95
+
+
+def test_op13(spark, folder):
+    got = Q.op13_phrase_collocations(spark, folder)
+    want = brute.collocations(read(folder, "documents", "lang", "text"))
+    same(rows(got, "lang", "rank", "phrase", "a", "l", "r", "n", "score", "n_left", "n_right"), want)
+    assert len(want) > 3
+
+
 @pytest.mark.parametrize("name", [n for n in Q.queries()])
 def test_empty_tables(spark, empty, name):
     assert Q.queries()[name](spark, empty).collect() == []
 
 
-@pytest.mark.parametrize("name", ["op3_warc_derivatives", "op4_decontamination", "op6_top_k", "op8_ngram_join", "op9_url_filter"])
+@pytest.mark.parametrize("name", ["op3_warc_derivatives", "op4_decontamination", "op6_top_k", "op8_ngram_join", "op9_url_filter", "op13_phrase_collocations"])
 @pytest.mark.parametrize("sf", ["odd", os.environ.get("FEEDLENS_ORACLE_SF", "/root/testdata/sf0.01")])
 def test_oracle(spark, odd, name, sf):
     import duckdb
