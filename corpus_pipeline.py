@@ -5,7 +5,7 @@ all but the last return the columns of ``documents``. ``run`` writes each
 stage's result to the shared folder and reads it back.
 
 1. language ID drops what it rejects: documents that are ``und`` (null, or no letter).
-2. n-gram join keeps one row of each group of linked texts: the first by doc_id
+2. n-gram join (5 words, 0.8) keeps one row of each group of linked texts: the first by doc_id
    (null last), then by the hash of its text; rows without words stay.
 3. decontamination drops every document with a word in a benchmark window.
 4. secret scans replace each secret in the text and set ``n_chars`` anew.
@@ -20,20 +20,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.llm import bpe, decontaminate, langid, ngram_join, secrets
-from feedlens.llm.common import table, written
+from feedlens.llm.common import fresh, table, written
 from feedlens.llm.queries import held_out, tokenizer_path
 
 # The stages encode by a tokenizer and join by row groups: no SQL states them.
 ORACLE_SQL = None
 
+# Near duplicates: five words a shingle, a Jaccard similarity of 0.8 or more.
+SHINGLE_WORDS, SIMILAR = 5, 80
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.select("doc_id", "text", "lang").where(~held_out()))
-    return langid.predict(docs, model).where(F.col("lang_pred") != langid.NONE).select(*docs.columns)
+    lang, score = fresh(docs, "lang_pred", "score")
+    return langid.predict(docs, model, names=(lang, score)).where(F.col(lang) != langid.NONE).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, size=SHINGLE_WORDS, num=SIMILAR, den=100)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
