@@ -4,7 +4,7 @@ A document is the set of its distinct word shingles, as sorted 64-bit hashes.
 Two documents link at Jaccard similarity ``num/den`` or more.
 
 Candidates. Sets that link have sizes in one band or two neighbouring ones, and differ in at
-most ``smaller * (den - num) / num`` elements. The hash space is cut into more
+most ``2 * larger * (den - num) / (den + num)`` elements. The hash space is cut into more
 parts than that, so sets that link agree on a whole part: a row per part
 (band, part, hash of its content) makes them meet, and sets that merely share
 a frequent shingle or passage rarely do. Sorted by that key, each row points
@@ -35,6 +35,7 @@ of the input are not looked at.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -138,26 +139,29 @@ class Bands:
         band = own
         # Bands whose sets may be the larger side of a link with this one.
         while band < len(self.low) - 1 and (band == own or self.num * self.low[band] <= self.den * n):
-            differ = (self.low[band + 1] - 1) * (self.den - self.num) // self.num
+            # Of two sets no larger than the band's largest that link: the elements in one of them only.
+            differ = 2 * (self.low[band + 1] - 1) * (self.den - self.num) // (self.den + self.num)
             if differ:
-                out += self._parts(a, band, differ + 2)
+                out += self._parts(a, band, differ)
             band += 1
         return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
     @staticmethod
-    def _parts(a: np.ndarray, band: int, parts: int) -> list[np.ndarray]:
-        """One key per part that has elements.
+    def _parts(a: np.ndarray, band: int, differ: int) -> list[np.ndarray]:
+        """One key per part that has elements; all sets of a band are cut into the same parts.
 
-        ``parts`` is two more than the sets may differ by, so two parts or more
-        agree; one of them may be empty on both sides. Sets with two empty parts
-        or more also meet by single elements.
+        Each of the ``differ`` elements changes one part. A set with more parts that
+        have elements than that keeps one of them, whole, in every set it links with. There are some
+        parts more than ``differ``, as some are empty; the few sets with too many
+        empty ones also meet by single elements.
         """
+        parts = differ + differ // 4 + math.isqrt(4 * differ) + 2
         edge = np.searchsorted((a >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1))
         mixed = mix(a + _salt(band, 50))
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed)))
         full = np.flatnonzero(edge[1:] > edge[:-1])
         out = [mix((total[edge[full + 1]] - total[edge[full]]) ^ (full.astype(np.uint64) * _STEP[51] + _salt(band, 52)))]
-        if parts - len(full) > 1:
+        if len(full) <= differ:
             out.append(mix(mixed * _STEP[53]))
         return out
 
