@@ -11,9 +11,11 @@ extended together, and each extension comes with its count.
 
 Counts are summed across shards one length at a time: phrases of fewer than
 ``min_count`` places in all shards together are not extended, and an extension is only counted
-where the phrase at its other end is frequent as well, as no other one can be. The rows of a phrase, at
-most one a shard, meet once: their sum is taken there, and those of frequent phrases go back to
-their shards, so nothing is broadcast by this code. The shards themselves are stored in buckets
+where the phrase at its other end is frequent as well, as no other one can be. Phrases are dealt
+into parts by their hash, as many as there are words for, and a shard sends each part the
+phrases and counts it has there as one compressed block. A part sums them and sends
+every shard one bit a phrase: whether it is frequent. A shard finds its phrases again, in the same order, by
+the same steps, so neither intervals nor phrases travel back. The shards themselves are stored in buckets
 and do not move. Lengths alternate between right and left extension.
 
 A phrase is scored by its weakest cut, floor(``SCALE`` * a / (l + r)) in exact decimals.
@@ -34,14 +36,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 (pa.compute in tasks)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import scratch_path
 from . import common
+from .ngram_join import mix
 
 SHARD_WORDS = 1 << 20
+PART_WORDS = 1 << 21
 LONGEST = 4
 MIN_COUNT = 30
 KEEP_PERCENT = 80
@@ -54,7 +59,8 @@ _ENDS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d", b"\n" * 10)
 _END = b"."
 
 SHARD_SCHEMA = "shard bigint, lang string, n_words bigint, words array<string>, counts array<bigint>, size bigint, forward binary, backward binary"
-STEP_COLUMNS = ("shard", "lo", "other", "n")  # and the phrase, one column a word: the fewest bytes for what most rows are, met once
+BLOCK_SCHEMA = "part bigint, shard bigint, size bigint, block binary"
+SUM_SCHEMA = "shard bigint, part bigint, bits binary, ids array<bigint>, a bigint"
 
 
 def words_and_ends(text: bytes) -> list[bytes]:
@@ -71,21 +77,21 @@ def transform(numbers: np.ndarray, depth: int) -> np.ndarray:
     return numbers[np.argsort(rank, kind="stable") - 1]
 
 
-def _packed(values: np.ndarray) -> bytes:
+def _packed(values: np.ndarray, width: int = 4) -> bytes:
     """Numbers byte by byte (all low bytes first), compressed: half of what they take number by number."""
-    return pa.compress(np.ascontiguousarray(values.astype("<i4").view(np.uint8).reshape(-1, 4).T), codec="zstd", asbytes=True)
+    return pa.compress(np.ascontiguousarray(values.astype(f"<i{width}").view(np.uint8).reshape(-1, width).T), codec="zstd", asbytes=True)
 
 
-def _unpacked(blob: bytes, size: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(blob, size * 4, codec="zstd", asbytes=True), np.uint8).reshape(4, size)
-    return np.ascontiguousarray(planes.T).view("<i4").ravel().astype(np.int32)
+def _unpacked(blob: bytes, size: int, width: int = 4) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(blob, size * width, codec="zstd", asbytes=True), np.uint8).reshape(width, size)
+    return np.ascontiguousarray(planes.T).view(f"<i{width}").ravel()
 
 
 class Index:
     """One transform: symbols by row, and the row that a backward step leads to."""
 
     def __init__(self, blob: bytes, size: int):
-        self.symbols = _unpacked(blob, size)
+        self.symbols = _unpacked(blob, size).astype(np.int32)
         self.step = np.empty(size, np.int64)
         self.step[np.argsort(self.symbols, kind="stable")] = np.arange(size)
 
@@ -186,62 +192,125 @@ def shards(documents: DataFrame, *, depth: int = LONGEST, shard_words: int = SHA
     return rows.mapInArrow(run, SHARD_SCHEMA)
 
 
-def _words(length: int) -> list[str]:
-    return [f"w{i + 1}" for i in range(length)]
+def _parts_of(phrases: np.ndarray, parts: int) -> np.ndarray:
+    """The part of every phrase (a row of word ids)."""
+    number = np.zeros(len(phrases), np.uint64)
+    for word in phrases.T:
+        number = mix(number + word.astype(np.uint64))
+    return (number % np.uint64(parts)).astype(np.int64)
 
 
-def _extended(index: DataFrame, words: DataFrame, phrases: DataFrame | None, *, length: int) -> DataFrame:
-    """``shard, lo, other, n, w1, w2 ...``: each shard's phrases of ``length`` words, extended from its frequent ones of one word less.
+def grown(shard: dict, lo: np.ndarray, ids: np.ndarray, marks: dict[tuple[int, int], np.ndarray], *, length: int, parts: int):
+    """(phrases, counts, parts) of a shard's phrases of ``length`` words, in the order of their parts.
 
-    ``words`` (shard, lo, ids) are a shard's frequent words, ``lo`` their number there; ``phrases`` are rows of the last step.
+    ``lo`` and ``ids`` are the shard's frequent words, by their number there and in all.
+    ``marks`` says by (length, part) which of the shorter phrases, in the same order, are frequent.
     """
-    right = length % 2 == 0
-    names = [*STEP_COLUMNS, *_words(length)]
-
-    def run(shard: pa.Table, given: pa.Table) -> pa.Table:
-        if not shard.num_rows or not given.num_rows:
-            return pa.table([pa.array([], pa.int64())] * len(names), names=names)
-        number, size = shard.column("shard")[0].as_py(), shard.column("size")[0].as_py()
-        index = Index(shard.column("transform")[0].as_py(), size)
-        lists = given.column("ids").combine_chunks()
-        flat, at = lists.values.to_numpy(), lists.offsets.to_numpy()[:-1]
-        lo, other, n = (given.column(c).to_numpy() for c in ("lo", "other", "n"))
-        is_word = n == 0  # word rows carry the number of the word in place of an interval
-        counts = np.bincount(index.symbols)
-        identity = np.full(len(counts), -1, np.int64)
-        identity[lo[is_word]] = flat[at[is_word]]
-        if length == 2:
-            symbol = np.sort(lo[is_word])
-            ids, n = identity[symbol][:, None], counts[symbol]
-            lo = other = (np.cumsum(counts) - counts)[symbol]
-        else:
-            own = np.flatnonzero(~is_word)
-            ids = flat[at[own][:, None] + np.arange(length - 1)[None, :]]
-            lo, other, n = lo[own], other[own], n[own]
-        here, there = (other, lo) if right else (lo, other)
-        phrase, symbol, here, n, there = index.extend(here, n, there, identity >= 0, both_ends=length > 2)
+    # A right extension reads the transform of the reversal, a left one that of the sequence.
+    index = {right: Index(shard["backward" if right else "forward"], shard["size"]) for right in ((True, False) if length > 2 else (True,))}
+    places = np.bincount(index[True].symbols)
+    identity = np.full(len(places), -1, np.int64)
+    identity[lo] = ids
+    symbol = lo[np.argsort(ids)]
+    phrases, n = identity[symbol][:, None], places[symbol]
+    low = other = (np.cumsum(places) - places)[symbol]
+    for k in range(2, length + 1):
+        right = k % 2 == 0
+        here, there = (other, low) if right else (low, other)
+        phrase, symbol, here, n, there = index[right].extend(here, n, there, identity >= 0, both_ends=k > 2)
+        low, other = (there, here) if right else (here, there)
         word = identity[symbol][:, None]
-        ids = np.hstack([ids[phrase], word] if right else [word, ids[phrase]])
-        lo, other = (there, here) if right else (here, there)
-        return pa.table([pa.array(c) for c in (np.full(len(ids), number), lo, other, n, *ids.T)], names=names)
+        phrases = np.hstack([phrases[phrase], word] if right else [word, phrases[phrase]])
+        part = _parts_of(phrases, parts)
+        order = np.argsort(part, kind="stable")
+        if k < length:
+            frequent = np.zeros(len(order), bool)
+            for p, at, size in zip(*(x.tolist() for x in np.unique(part[order], return_index=True, return_counts=True)), strict=True):
+                if (k, p) in marks:
+                    frequent[order[at : at + size]] = np.unpackbits(marks[k, p], count=size)
+            phrases, n, low, other = (x[frequent] for x in (phrases, n, low, other))
+    return phrases[order], n[order], part[order]
+
 
-    given = words.select("shard", "lo", F.lit(0).cast("bigint").alias("other"), F.lit(0).cast("bigint").alias("n"), "ids")
-    if phrases is not None:
-        given = given.unionByName(phrases.select(*STEP_COLUMNS, F.array(*_words(length - 1)).alias("ids")))
-    blob = index.select("shard", "size", F.col("backward" if right else "forward").alias("transform"))
-    return blob.groupBy("shard").cogroup(given.groupBy("shard")).applyInArrow(run, ", ".join(f"{c} bigint" for c in names))
+def _blocks(index: DataFrame, words: DataFrame, marks: DataFrame | None, *, length: int, parts: int) -> DataFrame:
+    """``part, shard, size, block``: each shard's phrases of ``length`` words with their counts there, one block a part."""
+
+    def run(shard: pa.Table, given: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        if shard.num_rows and given.num_rows:
+            of_words = given.filter(pa.compute.is_valid(given.column("id")))
+            of_marks = given.filter(pa.compute.is_null(given.column("id"))).select(["length", "part", "bits"])
+            bits = {(r["length"], r["part"]): np.frombuffer(r["bits"], np.uint8) for r in of_marks.to_pylist()}
+            lo, ids = (of_words.column(c).to_numpy() for c in ("lo", "id"))
+            own = shard.to_pylist()[0]
+            phrases, n, part = grown(own, lo, ids, bits, length=length, parts=parts)
+            rows = np.hstack([phrases, n[:, None]])
+            for p, at, size in zip(*(x.tolist() for x in np.unique(part, return_index=True, return_counts=True)), strict=True):
+                out.append((p, own["shard"], size, _packed(rows[at : at + size].T.ravel(), 8)))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        columns = zip(*out, strict=True) if out else ([], [], [], [])
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["part", "shard", "size", "block"])
+
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("length", "int"), ("part", "bigint"), ("bits", "binary"))]
+    given = words.select("shard", "lo", "id", *nothing)
+    if marks is not None:
+        no_word = [F.lit(None).cast("bigint").alias(c) for c in ("lo", "id")]
+        given = given.unionByName(marks.select("shard", *no_word, "length", "part", "bits"))
+    read = index.select("shard", "size", "backward", *(["forward"] if length > 2 else []))
+    return read.groupBy("shard").cogroup(given.groupBy("shard")).applyInArrow(run, BLOCK_SCHEMA)
+
+
+def same_rows(columns: list[np.ndarray]) -> np.ndarray:
+    """Numbers from 0 upward that rows share if, and only if, they are equal."""
+    number = np.zeros(len(columns[0]), np.int64)
+    for column in columns:
+        found, value = np.unique(column, return_inverse=True)
+        number = np.unique(number * len(found) + value, return_inverse=True)[1]
+    return number
+
+
+def _summed(blocks: DataFrame, *, length: int, min_count: int, marked: bool) -> DataFrame:
+    """The frequent phrases (``ids, a``) and, where ``marked``, rows ``shard, part, bits``: one bit a phrase of that shard's block."""
+
+    def run(part: pa.Table) -> pa.Table:
+        sizes = part.column("size").to_numpy()
+        rows = np.hstack([
+            _unpacked(block, size * (length + 1), 8).reshape(length + 1, size)
+            for block, size in zip(part.column("block").to_pylist(), sizes.tolist(), strict=True)
+        ])
+        number = same_rows(list(rows[:-1]))
+        first = np.unique(number, return_index=True)[1]
+        a = np.zeros(len(first), np.int64)
+        np.add.at(a, number, rows[-1])
+        frequent = a >= min_count
+        shards_, parts_, bits = [], [], []
+        if marked:
+            ends = np.cumsum(sizes)
+            for shard, lo, hi in zip(part.column("shard").to_pylist(), (ends - sizes).tolist(), ends.tolist(), strict=True):
+                own = frequent[number[lo:hi]]
+                if own.any():
+                    shards_.append(shard)
+                    parts_.append(part.column("part")[0].as_py())
+                    bits.append(np.packbits(own).tobytes())
+        ids, a = rows[:-1, first[frequent]].T, a[frequent]
+        none, empty = [None] * len(a), [None] * len(bits)
+        lists = pa.array([*ids.tolist(), *empty], pa.list_(pa.int64()))
+        return pa.table([pa.array([*none, *shards_], pa.int64()), pa.array([*none, *parts_], pa.int64()), pa.array([*none, *bits], pa.binary()),
+                         lists, pa.array([*a.tolist(), *empty], pa.int64())], names=["shard", "part", "bits", "ids", "a"])
+
+    return blocks.groupBy("part").applyInArrow(run, SUM_SCHEMA)
 
 
 def _frequent(rows: DataFrame, keys: list[str], min_count: int) -> DataFrame:
-    """``rows`` of frequent phrases, with their number of places ``a`` in all shards; a phrase has at most one row a shard."""
+    """``rows`` of frequent words, with their number of places ``a`` in all shards; a word has at most one row a shard."""
     return rows.withColumn("a", F.sum("n").over(Window.partitionBy(*keys))).where(F.col("a") >= min_count)
 
 
 def frequent_phrases(documents: DataFrame, *, longest: int = LONGEST, min_count: int = MIN_COUNT,
-                     shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+                     shard_words: int = SHARD_WORDS, part_words: int = PART_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(``lang, n``: words of each language; ``id, lang, word``: frequent words; ``ids, a``: frequent phrases of 1 to ``longest`` words)."""
-    if longest < 2 or min_count < 1:
-        raise ValueError("need longest >= 2 and min_count >= 1")
+    if longest < 2 or min_count < 1 or part_words < 1:
+        raise ValueError("need longest >= 2, min_count >= 1 and part_words >= 1")
     spark = documents.sparkSession
     # Buckets by shard: the transforms are written once and read where they are, at every length.
     name, buckets = f"fm_shards_{uuid.uuid4().hex}", 4 * spark.sparkContext.defaultParallelism
@@ -255,17 +324,16 @@ def frequent_phrases(documents: DataFrame, *, longest: int = LONGEST, min_count:
         own = common.written(_frequent(own, ["lang", "word"], min_count), "shard-words")
         totals = own.groupBy("lang", "word").agg(F.max("a").alias("a"))
         totals = common.written(totals.select(F.monotonically_increasing_id().alias("id"), "lang", "word", "a"), "frequent-words")
-        words = own.join(totals.select("lang", "word", "id"), ["lang", "word"]).select("shard", "lo", F.array("id").alias("ids"))
-        words = common.written(words, "shard-word-ids")
-        found, phrases = [totals.select(F.array("id").alias("ids"), "a")], None
+        words = common.written(own.join(totals.select("lang", "word", "id"), ["lang", "word"]).select("shard", "lo", "id"), "shard-word-ids")
+        held = index.agg(F.sum("n_words")).first()[0] or 0
+        parts = -(-held // part_words) or 1
+        found, marks = [totals.select(F.array("id").alias("ids"), "a")], None
         for length in range(2, longest + 1):
-            rows, keys = _extended(index, words, phrases, length=length), _words(length)
-            if length < longest:
-                phrases = common.written(_frequent(rows, keys, min_count), f"phrases-{length}")
-                frequent = phrases.groupBy(*keys).agg(F.max("a").alias("a"))
-            else:
-                frequent = rows.groupBy(*keys).agg(F.sum("n").alias("a")).where(F.col("a") >= min_count)
-            found.append(common.written(frequent.select(F.array(*keys).alias("ids"), "a"), f"frequent-{length}"))
+            blocks = _blocks(index, words, marks, length=length, parts=parts)
+            sums = common.written(_summed(blocks, length=length, min_count=min_count, marked=length < longest), f"phrases-{length}")
+            found.append(sums.where("shard is null").select("ids", "a"))
+            more = sums.where("shard is not null").select("shard", F.lit(length).alias("length"), "part", "bits")
+            marks = more if marks is None else marks.unionByName(more)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     every = found[0]
@@ -275,14 +343,14 @@ def frequent_phrases(documents: DataFrame, *, longest: int = LONGEST, min_count:
 
 
 def collocations(documents: DataFrame, *, longest: int = LONGEST, min_count: int = MIN_COUNT, keep_percent: int = KEEP_PERCENT, top: int = TOP,
-                 scale: int = SCALE, shard_words: int = SHARD_WORDS) -> DataFrame:
+                 scale: int = SCALE, shard_words: int = SHARD_WORDS, part_words: int = PART_WORDS) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score, n_left, n_right``: the ``top`` phrases of every language.
 
     By score, then count, both descending, then the bytes of the phrase; ``l`` and
     ``r`` are the counts at the weakest cut, the first one at a tie. ``n_left`` and
     ``n_right`` are the numbers of frequent extensions by one word (0 for the longest phrases).
     """
-    sizes, words, every = frequent_phrases(documents, longest=longest, min_count=min_count, shard_words=shard_words)
+    sizes, words, every = frequent_phrases(documents, longest=longest, min_count=min_count, shard_words=shard_words, part_words=part_words)
     size = F.size("ids")
     candidates = every.where(size > 1)
     # Each phrase as an extension of the two phrases of one word less inside it.

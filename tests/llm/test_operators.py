@@ -402,6 +402,26 @@ def test_phrases_over_shards(spark, shard_words):
     same([tuple(r) for r in got.collect()], brute.collocations([(r[2], r[1]) for r in rows], least=12, top=50))
 
 
+def test_phrases_dealt_into_many_parts(spark):
+    """Sums and marks by part and length are those of one part, for empty parts as well."""
+    r = random.Random(13)
+    rows = [(i, " ".join(r.choice("abcdefg") for _ in range(60)) + ", x y z w. ", ("en", None)[i % 5 == 0]) for i in range(60)]
+    want = brute.collocations([(d[2], d[1]) for d in rows], longest=5, least=15)
+    for part_words in (40, 700):
+        got = phrases.collocations(docs_frame(spark, rows), longest=5, min_count=15, shard_words=500, part_words=part_words)
+        same([tuple(x) for x in got.collect()], want)
+
+
+def test_same_rows_numbers_equal_rows_only():
+    r = np.random.default_rng(3)
+    columns = [r.integers(0, 4, 300) << 40, r.integers(0, 3, 300), r.integers(0, 5, 300) << 33]
+    number = phrases.same_rows(columns)
+    seen = {}
+    for row, k in zip(zip(*(c.tolist() for c in columns), strict=True), number.tolist(), strict=True):
+        assert seen.setdefault(row, k) == k
+    assert len(set(seen.values())) == len(seen) == number.max() + 1
+
+
 def test_phrases_of_other_lengths(spark):
     rows = [(i, "a b c d e f. a b c x e f", "en") for i in range(40)]
     for longest in (2, 3, 6):
