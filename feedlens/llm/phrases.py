@@ -321,10 +321,12 @@ def frequent_phrases(documents: DataFrame, *, longest: int = LONGEST, min_count:
         sizes = common.written(index.groupBy("lang").agg(F.sum("n_words").alias("n")), "language-words")
         own = index.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("k", "w"))
         own = own.select("shard", "lang", F.col("w.words").alias("word"), (F.col("k") + 1).cast("bigint").alias("lo"), F.col("w.counts").alias("n"))
-        own = common.written(_frequent(own, ["lang", "word"], min_count), "shard-words")
-        totals = own.groupBy("lang", "word").agg(F.max("a").alias("a"))
-        totals = common.written(totals.select(F.monotonically_increasing_id().alias("id"), "lang", "word", "a"), "frequent-words")
-        words = common.written(own.join(totals.select("lang", "word", "id"), ["lang", "word"]).select("shard", "lo", "id"), "shard-word-ids")
+        # A word's id is the place of its first row in its partition, which the order within the word does not change.
+        own = _frequent(own, ["lang", "word"], min_count).withColumn("row", F.monotonically_increasing_id())
+        own = own.withColumn("id", F.min("row").over(Window.partitionBy("lang", "word")))
+        own = common.written(own.select("shard", "lang", "word", "lo", "a", "id"), "shard-words")
+        totals = common.written(own.groupBy("id", "lang", "word").agg(F.max("a").alias("a")), "frequent-words")
+        words = own.select("shard", "lo", "id")
         held = index.agg(F.sum("n_words")).first()[0] or 0
         parts = -(-held // part_words) or 1
         found, marks = [totals.select(F.array("id").alias("ids"), "a")], None
