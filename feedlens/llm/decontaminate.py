@@ -8,7 +8,10 @@ terms of the test items are kept; positions are those in the whole text.
 global term counts rank the terms of every phrase, the list of its rarest
 term gives the possible places, and the lists of the other terms, shifted by
 their offsets, are intersected in order of rarity until none is left or all
-agree.
+agree. A proximity match is a smallest stretch of words, its first and last
+at most ``span`` apart, that holds every term of a phrase in any order and
+number; it too is entered from the rarest term, whose places are kept only
+while each next term has a place within ``span``.
 
 The index is divided by document, not by term: a frequent term or passage
 meets no single task, and nothing is shuffled but one count per term and task.
@@ -38,6 +41,7 @@ from . import common
 
 WINDOW = 10
 BLOCK_TERMS = 500_000
+SPAN = 15  # words between the first and the last of a proximity match, at most
 PAIRS = 1 << 20  # possible places of phrases looked at together in one document
 
 INDEX_SCHEMA = "row bigint, doc_id bigint, mark bigint, n_words bigint, terms array<int>, counts array<int>, positions array<int>"
@@ -141,6 +145,13 @@ class Searcher:
         for i, p in enumerate(phrases):
             by = np.argsort(counts[p], kind="stable")
             self.order[i, : len(p)], self.terms[i, : len(p)] = by, p[by]
+        self.distinct = np.zeros((len(phrases), width), np.int32)  # the same terms, each once
+        for i, row in enumerate(self.terms.tolist()):
+            once = [t for t in dict.fromkeys(row) if t]
+            self.distinct[i, : len(once)] = once
+        self.distinct = self.distinct[:, : max(1, int((self.distinct > 0).sum(1).max()))]
+        self.here = np.zeros(len(counts), bool)
+        self.here[0] = True
         self.by_rarest = np.argsort(self.terms[:, 0], kind="stable")
         self.rarest = self.terms[self.by_rarest, 0]
 
@@ -172,26 +183,67 @@ class Searcher:
                 parts.append((p, s))
         return np.concatenate([p for p, _ in parts]), np.concatenate([s for _, s in parts])
 
-    def near(self, terms: np.ndarray, counts: np.ndarray, positions: np.ndarray, span: int) -> list[tuple[int, int]]:
-        """(phrase, position of the rarest term) where every term of the phrase lies within ``span`` words of it."""
-        ends, out = np.cumsum(counts), []
-        place = {t: positions[e - c : e] for t, c, e in zip(terms.tolist(), counts.tolist(), ends.tolist(), strict=True)}
-        for p in range(len(self.terms)):
-            wanted = [t for t in dict.fromkeys(self.terms[p].tolist()) if t]
-            if not all(t in place for t in wanted):
-                continue
-            at = place[wanted[0]]
-            for t in wanted[1:]:
-                other = place[t]
-                k = np.searchsorted(other, at)
-                left = np.abs(at - other[np.maximum(k - 1, 0)])
-                right = np.abs(at - other[np.minimum(k, len(other) - 1)])
-                at = at[np.minimum(left, right) <= span]
-            out += [(p, x) for x in at.tolist()]
-        return out
-
-
-MATCH_SCHEMA = "row bigint, doc_id bigint, mark bigint, n_words bigint, hits array<struct<start:bigint,`end`:bigint>>, items array<string>"
+    def near(self, n_words: int, terms: np.ndarray, counts: np.ndarray, positions: np.ndarray, span: int) -> tuple[np.ndarray, ...]:
+        """(phrase, start, end) of every smallest stretch, ends at most ``span`` words apart, with all terms of a phrase."""
+        low, high = np.searchsorted(self.rarest, terms, "left"), np.searchsorted(self.rarest, terms, "right")
+        has = np.flatnonzero(high > low)
+        empty = (np.zeros(0, np.int64),) * 3
+        if not len(has):
+            return empty
+        phrase = self.by_rarest[np.concatenate([np.arange(low[t], high[t]) for t in has.tolist()])]
+        self.here[terms] = True
+        for k in range(1, self.distinct.shape[1]):  # phrases whose terms are all in the document
+            phrase = phrase[self.here[self.distinct[phrase, k]]]
+        self.here[terms] = False
+        if not len(phrase):
+            return empty
+        # All lists as one sorted array: list number times (n_words + 1), plus position.
+        size, ends = n_words + 1, np.cumsum(counts, dtype=np.int64)
+        keys = np.repeat(np.arange(len(terms)), counts) * size + positions
+        found = [empty]
+        times = counts[np.searchsorted(terms, self.distinct[phrase, 0])].astype(np.int64)
+        limit = max(1, PAIRS // (span + 2))
+        group = np.cumsum(times) // limit  # phrases of at most ``limit`` places together, or one phrase
+        cuts = np.flatnonzero(np.diff(group, prepend=-1))
+        for i, j in zip(cuts.tolist(), [*cuts.tolist()[1:], len(phrase)], strict=True):
+            some, many = phrase[i:j], times[i:j]
+            first = np.searchsorted(terms, self.distinct[some, 0])
+            p = np.repeat(some, many)
+            x = positions[np.repeat(ends[first] - counts[first] - np.cumsum(many) + many, many) + np.arange(len(p))].astype(np.int64)
+            for k in range(1, self.distinct.shape[1]):
+                if not len(p):
+                    break
+                after, before = self._beside(terms, counts, ends, keys, size, self.distinct[p, k], x)
+                close = (self.distinct[p, k] == 0) | (after - x <= span) | (x - before <= span)
+                p, x = p[close], x[close]
+            for a in range(0, len(p), limit):
+                found.append(self._stretches(terms, counts, ends, keys, size, p[a : a + limit], x[a : a + limit], span))
+        p, start, end = (np.concatenate(c) for c in zip(*found, strict=True))
+        _, once = np.unique(p * size + start, return_index=True)  # a start has one end
+        return p[once], start[once], end[once]
+
+    @staticmethod
+    def _beside(terms, counts, ends, keys, size, wanted, x) -> tuple[np.ndarray, np.ndarray]:
+        """The first position of each wanted term from ``x`` on, and the last before ``x``; far off where there is none."""
+        t = np.minimum(np.searchsorted(terms, wanted), len(terms) - 1)
+        j = np.clip(np.searchsorted(keys, t * size + x), ends[t] - counts[t], ends[t])
+        after = np.where(j < ends[t], keys[np.minimum(j, len(keys) - 1)] - t * size, 4 * size)
+        return after, np.where(j > ends[t] - counts[t], keys[np.maximum(j - 1, 0)] - t * size, -4 * size)
+
+    def _stretches(self, terms, counts, ends, keys, size, p, x, span) -> tuple[np.ndarray, ...]:
+        start = x[:, None] + np.arange(-span, 2)  # every start that reaches x, and one more
+        last = start.copy()
+        for k in range(self.distinct.shape[1]):
+            wanted = np.broadcast_to(self.distinct[p, k][:, None], start.shape)
+            after, _ = self._beside(terms, counts, ends, keys, size, wanted, np.maximum(start, 0))
+            last = np.where(wanted == 0, last, np.maximum(last, after))
+        least = (start[:, :-1] >= 0) & (last[:, :-1] - start[:, :-1] <= span) & (last[:, 1:] > last[:, :-1])
+        at, k = np.nonzero(least)
+        return p[at], start[at, k], last[at, k] + 1
+
+
+MATCH_SCHEMA = "row bigint, doc_id bigint, mark bigint, n_words bigint,"\
+    " hits array<struct<start:bigint,`end`:bigint>>, items array<string>, near array<struct<start:bigint,`end`:bigint>>, near_items array<string>"
 _HITS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
@@ -213,51 +265,72 @@ def merged(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-def phrase_matches(index: DataFrame, phrases: Phrases, counts: np.ndarray) -> DataFrame:
-    """One row per document of the index: merged spans of words inside any phrase, and the items with a phrase there."""
+def phrase_matches(index: DataFrame, phrases: Phrases, counts: np.ndarray, *, span: int | None = None) -> DataFrame:
+    """One row per document of the index: merged spans of words inside any phrase, and the items with a phrase there.
+
+    ``near`` and ``near_items`` are the same of proximity matches within ``span``; empty without a ``span``.
+    """
     sent = index.sparkSession.sparkContext.broadcast((phrases.terms, phrases.items, counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searcher, held = Searcher(sent.value[0], sent.value[2]), sent.value[1]
+
+        def spans(start, end):
+            return [{"start": a, "end": b} for a, b in merged(start, end)]
+
+        def holders(p):
+            return sorted({x for k in np.unique(p).tolist() for x in held[k]})
+
         for batch in batches:
-            hits, items = [], []
+            hits, items, near, near_items = [], [], [], []
             for n, terms, times, positions in _postings(batch):
                 p, s = searcher.exact(n, terms, times, positions)
-                hits.append([{"start": a, "end": b} for a, b in merged(s, s + searcher.lengths[p])])
-                items.append(sorted({x for k in np.unique(p).tolist() for x in held[k]}))
+                hits.append(spans(s, s + searcher.lengths[p]))
+                items.append(holders(p))
+                p, s, e = ((), (), ()) if span is None else searcher.near(n, terms, times, positions, span)
+                near.append(spans(s, e) if len(p) else [])
+                near_items.append(holders(p) if len(p) else [])
+            strings = pa.list_(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.array(hits, _HITS), pa.array(items, pa.list_(pa.string()))],
-                names=["row", "doc_id", "mark", "n_words", "hits", "items"],
+                [*batch.columns[:4], pa.array(hits, _HITS), pa.array(items, strings), pa.array(near, _HITS), pa.array(near_items, strings)],
+                names=["row", "doc_id", "mark", "n_words", "hits", "items", "near", "near_items"],
             )
 
     return index.mapInArrow(run, MATCH_SCHEMA)
 
 
-def proximity_matches(index: DataFrame, phrases: Phrases, counts: np.ndarray, *, span: int) -> DataFrame:
-    """``row, doc_id, phrase, position``: places where all terms of a phrase lie within ``span`` words of its rarest."""
+def proximity_matches(index: DataFrame, phrases: Phrases, counts: np.ndarray, *, span: int = SPAN) -> DataFrame:
+    """``row, doc_id, phrase, start, end``: every smallest stretch of words, its ends at most ``span`` apart, with all terms of a phrase."""
     sent = index.sparkSession.sparkContext.broadcast((phrases.terms, counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searcher = Searcher(*sent.value)
         for batch in batches:
             rows, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            found = [(rows[r], ids[r], p, x) for r, (_, *lists) in enumerate(_postings(batch)) for p, x in searcher.near(*lists, span)]
-            columns = list(zip(*found, strict=True)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["row", "doc_id", "phrase", "position"])
+            for r, (n, *lists) in enumerate(_postings(batch)):
+                p, s, e = searcher.near(n, *lists, span)
+                if len(p):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([rows[r]] * len(p), pa.int64()), pa.array([ids[r]] * len(p), pa.int64()), *(pa.array(c, pa.int64()) for c in (p, s, e))],
+                        names=["row", "doc_id", "phrase", "start", "end"],
+                    )
 
-    return index.mapInArrow(run, "row bigint, doc_id bigint, phrase bigint, position bigint")
+    return index.mapInArrow(run, "row bigint, doc_id bigint, phrase bigint, start bigint, `end` bigint")
 
 
 NO_HITS = "cast(array() as array<struct<start:bigint,`end`:bigint>>)"
 NO_ITEMS = "cast(array() as array<string>)"
+FOUND = {"hits": NO_HITS, "items": NO_ITEMS, "near": NO_HITS, "near_items": NO_ITEMS}  # columns of matches, and their value where there is none
 
 
-def find_contamination(documents: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block_terms: int = BLOCK_TERMS) -> DataFrame:
-    """One row per document: ``doc_id, mark, n_words, hits, items`` over all items of ``benchmark`` (item_id, text).
+def find_contamination(documents: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, span: int | None = SPAN, block_terms: int = BLOCK_TERMS) -> DataFrame:
+    """One row per document: ``doc_id, mark, n_words, hits, items, near, near_items`` over all items of ``benchmark`` (item_id, text).
 
     ``hits`` are disjoint spans of words inside any occurrence of a window,
     ``items`` the sorted ids of the items with an occurring window, ``mark`` the
-    xxhash64 of the text. With one block of items no rows are shuffled; with
+    xxhash64 of the text. ``near`` and ``near_items`` are the words and items of
+    proximity matches of the windows within ``span`` (none is searched, and both
+    are empty, where it is null). With one block of items no rows are shuffled; with
     more, each block's hits are written before the next block goes out, and
     join the documents' numbers by row.
     """
@@ -270,22 +343,20 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, *, window: in
         phrases = make_phrases(block, window)
         index = build_index(rows, phrases)
         if not block:
-            return index.select("doc_id", "mark", "n_words", F.expr(NO_HITS).alias("hits"), F.expr(NO_ITEMS).alias("items"))
-        matches = phrase_matches(index, phrases, term_counts(index, len(phrases.number)))
+            return index.select("doc_id", "mark", "n_words", *(F.expr(none).alias(c) for c, none in FOUND.items()))
+        matches = phrase_matches(index, phrases, term_counts(index, len(phrases.number)), span=span)
         if every is None and following is None:
             return matches.drop("row")
         every = index.select("row", "doc_id", "mark", "n_words") if every is None else every
         # Written here, so that the terms and phrases of one block at a time are held.
         path = path or common.scratch_path(rows.sparkSession, "block-matches")
-        hit = matches.where(F.size("hits") > 0).select("row", "hits", "items")
+        hit = matches.where((F.size("hits") > 0) | (F.size("near") > 0)).select("row", *FOUND)
         hit.write.mode("append").parquet(path)
         block, following = following, next(blocks, None)
-    found = rows.sparkSession.read.schema(hit.schema).parquet(path).groupBy("row").agg(
-        F.flatten(F.collect_list("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
-    )
-    return every.join(found.withColumn("hits", merge_spans("hits")), "row", "left").select(
-        "doc_id", "mark", "n_words", F.coalesce("hits", F.expr(NO_HITS)).alias("hits"), F.coalesce("items", F.expr(NO_ITEMS)).alias("items")
-    )
+    found = rows.sparkSession.read.schema(hit.schema).parquet(path).groupBy("row").agg(*(F.flatten(F.collect_list(c)).alias(c) for c in FOUND))
+    whole = [merge_spans(c) if none == NO_HITS else F.array_sort(F.array_distinct(c)) for c, none in FOUND.items()]
+    found = found.select("row", *(x.alias(c) for c, x in zip(FOUND, whole, strict=True)))
+    return every.join(found, "row", "left").select("doc_id", "mark", "n_words", *(F.coalesce(c, F.expr(none)).alias(c) for c, none in FOUND.items()))
 
 
 def merge_spans(column: str):
@@ -303,7 +374,7 @@ def without_contaminated(documents: DataFrame, benchmark: DataFrame, *, window:
 
     Rows that share an id are told apart by their text's hash.
     """
-    hit = find_contamination(documents, benchmark, window=window).where(F.size("hits") > 0)
+    hit = find_contamination(documents, benchmark, window=window, span=None).where(F.size("hits") > 0)
     hit_id, hit_mark = common.fresh(documents, "_hit_id", "_hit_mark")
     hit = hit.select(F.col("doc_id").alias(hit_id), F.col("mark").alias(hit_mark)).distinct().hint("shuffle_hash")
     same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(hit_id)) & (F.xxhash64(F.col("text").cast("string")) == F.col(hit_mark))

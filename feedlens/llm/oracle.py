@@ -8,6 +8,7 @@ that SQL), op10 (no positions of matches in that SQL), and the pipeline, which e
 from __future__ import annotations
 
 from . import warc
+from .decontaminate import SPAN
 from .urlfilter import LOWER, REPEATS, RULES, UPPER
 
 _WORDS = rf"regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -28,10 +29,33 @@ hit AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i +
 items AS (
   SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY r
+),
+g AS (SELECT row_number() OVER () AS p, g FROM (SELECT DISTINCT g FROM windows)),
+terms AS (SELECT p, term, count(*) OVER (PARTITION BY p) AS m FROM (SELECT DISTINCT p, unnest(string_split(g, ' ')) AS term FROM g)),
+tokens AS (SELECT r, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS i FROM d),
+whole AS (
+  SELECT r, p FROM (SELECT DISTINCT r, term FROM tokens) JOIN terms USING (term) GROUP BY r, p HAVING count(*) = any_value(m)
+),
+term_places AS (SELECT whole.r, whole.p, term, m, i FROM whole JOIN terms USING (p) JOIN tokens USING (r, term)),
+-- From every place of a term, the first place of each term of the phrase within the span.
+nexts AS (
+  SELECT a.r, a.p, a.m, a.i, b.term, min(b.i) AS e FROM term_places a JOIN term_places b ON a.r = b.r AND a.p = b.p AND b.i BETWEEN a.i AND a.i + {SPAN}
+  GROUP BY a.r, a.p, a.m, a.i, b.term
+),
+stretches AS (SELECT r, p, i, max(e) AS e FROM nexts GROUP BY r, p, m, i HAVING count(*) = m),
+near AS (SELECT r, p, max(i) AS i, e FROM stretches GROUP BY r, p, e),
+near_words AS (SELECT r, count(*) AS n_near_words FROM (SELECT DISTINCT r, unnest(range(i, e + 1)) AS at FROM near) GROUP BY r),
+near_items AS (
+  SELECT r, count(*) AS n_near, string_agg(item, ',' ORDER BY item) AS near
+  FROM (
+    SELECT DISTINCT n.r, CAST(x.item_id AS VARCHAR) AS item
+    FROM (SELECT DISTINCT r, p FROM near) n JOIN g USING (p) JOIN windows x USING (g) WHERE x.item_id IS NOT NULL
+  ) GROUP BY r
 )
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+  CAST(coalesce(n_near_words, 0) AS BIGINT) AS n_near_words, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, sha256(coalesce(near, '')) AS near_sha256
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r) LEFT JOIN near_words USING (r) LEFT JOIN near_items USING (r)
 """
 
 OP6 = """

@@ -60,10 +60,18 @@ def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda acc, x: acc + x["end"] - x["start"])
+
+    def covered(spans: str) -> Column:
+        return F.aggregate(spans, F.lit(0).cast("bigint"), lambda acc, x: acc + x["end"] - x["start"])
+
+    def ids(items: str) -> Column:
+        return _sha(F.array_join(F.array_sort(items), ","))
+
+    n_hit = covered("hits")
     return rows.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
-        _sha(F.array_join(F.array_sort("items"), ",")).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+        ids("items").alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+        covered("near").alias("n_near_words"), F.size("near_items").cast("bigint").alias("n_near"), ids("near_items").alias("near_sha256"),
     )
 
 

@@ -74,6 +74,33 @@ def contamination(docs, items):
     return out
 
 
+def near(w, phrase, span):
+    """(start, end) of every stretch of ``w``, ends at most ``span`` apart, that holds all words of ``phrase`` and no smaller such stretch."""
+    wanted = set(phrase)
+    holds = {(s, e) for s in range(len(w)) for e in range(s, min(s + span, len(w) - 1) + 1) if wanted <= set(w[s : e + 1])}
+    return {(s, e + 1) for s, e in holds if (s + 1, e) not in holds and (s, e - 1) not in holds}
+
+
+def proximity(docs, items, span):
+    """Per document: words in a stretch near any window, number and digest of the items with one."""
+    windows = defaultdict(set)
+    for item, text in items:
+        w = words(text)
+        for i in range(max(1, len(w) - 9) if w else 0):
+            windows[tuple(w[i : i + 10])].add(item)
+    out = []
+    for doc_id, text in docs:
+        w, hit, held = words(text), set(), set()
+        there = set(w)
+        for g, holders in windows.items():
+            if there >= set(g) and (found := near(w, g, span)):
+                hit.update(*(range(s, e) for s, e in found))
+                held |= holders
+        held = sorted(str(x) for x in held if x is not None)
+        out.append((doc_id, len(hit), len(held), sha(",".join(held))))
+    return out
+
+
 def shingles(text, size=3):
     w = words(text, SPACED)
     if not w:

@@ -43,7 +43,7 @@ def test_items_in_blocks_give_the_same_result(spark):
     rows, items = _odd_documents()
     docs = docs_frame(spark, rows)
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
-    one, many = (decontaminate.find_contamination(docs, benchmark, block_terms=n).select("doc_id", "n_words", "hits", "items") for n in (10**6, 30))
+    one, many = (decontaminate.find_contamination(docs, benchmark, block_terms=n).select("doc_id", "n_words", "hits", "items", "near", "near_items") for n in (10**6, 30))
     assert sorted(map(repr, one.collect())) == sorted(map(repr, many.collect()))
     kept = decontaminate.without_contaminated(docs, benchmark)
     hit = [r[5] for r in brute.contamination([r[:2] for r in rows], items)]
@@ -72,6 +72,22 @@ def test_proximity(spark):
     assert near == {1: set(), 2: {1}, 5: {1, 2}}
 
 
+@pytest.mark.parametrize("pairs", [1, 100, 1 << 20])
+def test_proximity_gives_every_smallest_stretch(monkeypatch, pairs):
+    monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+    r = random.Random(5)
+    for case in range(60):
+        phrases = list({tuple(r.choices(range(1, 9), k=r.randint(1, 5))) for _ in range(6)})
+        words = np.array(r.choices(range(1, 10), [9, 5, *[1] * 7], k=r.randint(1, 60)))
+        terms, counts = np.unique(words, return_counts=True)
+        positions = np.argsort(words, kind="stable").astype(np.int32)
+        searcher = decontaminate.Searcher([np.array(p, np.int32) for p in phrases], np.array([r.randint(1, 9) for _ in range(10)]))
+        for span in (0, 3, 12):
+            found = searcher.near(len(words), terms.astype(np.int32), counts.astype(np.int32), positions, span)
+            want = {(k, s, e) for k, p in enumerate(phrases) for s, e in brute.near(words.tolist(), p, span)}
+            assert sorted(zip(*(x.tolist() for x in found), strict=True)) == sorted(want), (case, span)
+
+
 @settings(max_examples=150, deadline=None, derandomize=True)
 @given(st.text(alphabet=st.one_of(st.sampled_from(list("ab'sS .,\t\n!<|>1İΣſ́  \x1c漢é")), st.characters(exclude_categories=["Cs"])), max_size=120))
 def test_chunks_and_words_give_the_tokenizer_ids(text):

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
+from feedlens.llm import decontaminate
 from feedlens.llm import queries as Q
 
 from . import brute
@@ -138,7 +139,11 @@ def test_op2(spark, folder):
 
 def test_op4(spark, folder):
     got = rows(Q.op4_decontamination(spark, folder), "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
-    same(got, brute.contamination(read(folder, "documents", "doc_id", "text"), read(folder, "benchmark", "item_id", "text")))
+    docs, items = read(folder, "documents", "doc_id", "text"), read(folder, "benchmark", "item_id", "text")
+    same(got, brute.contamination(docs, items))
+    near = rows(Q.op4_decontamination(spark, folder), "doc_id", "n_near_words", "n_near", "near_sha256")
+    same(near, brute.proximity(docs, items, decontaminate.SPAN))
+    assert any(n for _, _, n, _ in near)
 
 
 def test_op5(spark, folder):
