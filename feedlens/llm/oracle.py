@@ -161,10 +161,32 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def _replaced(text: str, rules) -> str:
+    for pattern, put in rules:
+        text = f"regexp_replace({text}, {_quoted(pattern)}, {_quoted(put)}, 'g')"
+    return text
+
+
+def _resolved(text: str) -> str:
+    """``text`` with its character references resolved."""
+    named = "MAP {" + ", ".join(f"{_quoted(k)}: {_quoted(v)}" for k, v in warc.NAMED.items()) + "}"
+    numbered = "MAP {" + ", ".join(f"{k}: {_quoted(v)}" for k, v in warc.NUMBERED.items()) + "}"
+
+    def code(pattern: str, prefix: str) -> str:
+        digits = f"regexp_extract(p, '{pattern}', 1)"
+        return f"CASE WHEN {digits} = '' THEN NULL WHEN length({digits}) > {warc.MOST_DIGITS} THEN 0 ELSE CAST('{prefix}' || {digits} AS INTEGER) END"
+
+    number = f"coalesce({code('^#0*([0-9]+);', '')}, {code('^#[xX]0*([0-9a-fA-F]+);', '0x')})"
+    char = (
+        f"CASE WHEN {number} = 0 OR {number} BETWEEN 55296 AND 57343 OR {number} > 1114111 THEN chr(65533)"
+        f" ELSE coalesce({numbered}[{number}], chr({number})) END"
+    )
+    found = f"CASE WHEN p[1] = '#' THEN CASE WHEN {number} IS NOT NULL THEN {char} END ELSE {named}[regexp_extract(p, '^([a-zA-Z][a-zA-Z0-9]*);', 1)] END"
+    pieces = f"string_split({text}, '&')"
+    return f"({pieces}[1] || array_to_string([coalesce({found} || substring(p, strpos(p, ';') + 1), '&' || p) FOR p IN {pieces}[2:]], ''))"
+
+
 def _op3() -> str:
-    plain = "payload"
-    for pattern, put in warc.MARKUP:
-        plain = f"regexp_replace({plain}, {_quoted(pattern)}, {_quoted(put)}, 'g')"
     urn = "'<urn:uuid:' || {h}[1:8] || '-' || {h}[9:12] || '-' || {h}[13:16] || '-' || {h}[17:20] || '-' || {h}[21:32] || '>'"
     end = "chr(13) || chr(10)"
     gone = "'[' || chr(13) || chr(10) || ']'"
@@ -174,14 +196,18 @@ WITH source AS (
     md5('response|' || coalesce(CAST(page_id AS VARCHAR), '') || '|' || coalesce(url, '') || '|' || md5(coalesce(html, ''))) AS h
   FROM pages
 ),
-base AS (SELECT page_id, target_uri, payload, {urn.format(h='h')} AS refers_to, 'sha256:' || sha256(payload) AS source_digest FROM source),
+base AS (
+  SELECT page_id, target_uri, payload, {urn.format(h='h')} AS refers_to, 'sha256:' || sha256(payload) AS source_digest,
+    {_replaced('payload', warc.MARKUP)} AS unmarked, regexp_extract(payload, {_quoted(warc.TITLE)}, 1) AS title
+  FROM source
+),
 derived AS (
-  SELECT page_id, target_uri, refers_to, source_digest, 'conversion' AS warc_type, 'text/plain; charset=utf-8' AS content_type, {plain} AS block FROM base
+  SELECT page_id, target_uri, refers_to, source_digest, 'conversion' AS warc_type, 'text/plain; charset=utf-8' AS content_type, {_replaced(_resolved('unmarked'), warc.BLANKS)} AS block FROM base
   UNION ALL
   SELECT page_id, target_uri, refers_to, source_digest, 'metadata', 'application/warc-fields',
-    'title: ' || trim(regexp_replace(regexp_extract(payload, {_quoted(warc.TITLE)}, 1), '[ \\t\\r\\n\\f]+', ' ', 'g')) || {end} || 'language: '
+    'title: ' || trim(regexp_replace({_resolved('title')}, '[ \\t\\r\\n\\f]+', ' ', 'g')) || {end} || 'language: '
     || regexp_replace(regexp_extract(payload, {_quoted(warc.LANGUAGE)}, 1), {gone}, '', 'g') || {end} || 'source-digest: ' || source_digest || {end}
-    || coalesce(array_to_string(['outlink: ' || regexp_replace(x, {gone}, '', 'g') || {end}
+    || coalesce(array_to_string(['outlink: ' || regexp_replace({_resolved('x')}, {gone}, '', 'g') || {end}
          FOR x IN regexp_extract_all(payload, {_quoted(warc.LINK)}, 1)], ''), '')
   FROM base
 ),

@@ -7,6 +7,14 @@ and carry digests of their own blocks beside the source's payload
 digest. Record ids are name-based: the same response gives the same ids, so a
 retried task writes the same records.
 
+Text extraction: comments, scripts and styles go; block elements end a line,
+table cells are set apart by a blank, other tags leave nothing; then character
+references are resolved once (named ones of HTML 4 and ``apos``, decimal and
+hexadecimal numbers), so ``&amp;lt;`` becomes ``&lt;``. Numbers 128 to 159 mean
+Windows-1252, zero, surrogates and numbers past U+10FFFF give U+FFFD, a
+no-break space is a blank; unknown names and references without a semicolon
+stay as they are. Titles and outlinks are resolved alike.
+
 Everything is one pass of built-in functions over the responses, no shuffle.
 
 Defined cases: null html is an empty payload (empty text, no title); a null
@@ -17,29 +25,38 @@ are not looked at.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DATE = "1970-01-01T00:00:00Z"
 PAYLOAD_TYPE = "text/html; charset=utf-8"
 
+
+def _tags(names: str) -> str:
+    """A pattern of the start and end tags of ``names``, in either case."""
+    either = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in name) for name in names.split())
+    return rf"</?({either})([ \t\r\n/][^>]*)?>"
+
+
+# Character references by name, and the numbers that do not mean their own code point.
+NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'", "nbsp": " "}
+NUMBERED = {n: c for n in range(128, 160) if (c := bytes([n]).decode("cp1252", "ignore"))} | {160: " "}
+MOST_DIGITS = 7  # of a number, leading zeros aside; no code point has more
+
 # Markup rules, in order: (pattern, replacement). Classes instead of flags, so
 # that every regular-expression library reads them alike.
 MARKUP = (
     (r"<!--(?s:.*?)-->", ""),
     (r"<[sS][cC][rR][iI][pP][tT][^>]*>(?s:.*?)</[sS][cC][rR][iI][pP][tT][^>]*>", ""),
     (r"<[sS][tT][yY][lL][eE][^>]*>(?s:.*?)</[sS][tT][yY][lL][eE][^>]*>", ""),
-    (r"</?([pP]|[dD][iI][vV]|[bB][rR]|[lL][iI]|[uU][lL]|[oO][lL]|[tT][rR]|[hH][1-6]|[tT][iI][tT][lL][eE]|[aA][rR][tT][iI][cC][lL][eE]"
-     r"|[nN][aA][vV]|[fF][oO][oO][tT][eE][rR]|[hH][eE][aA][dD]|[bB][oO][dD][yY])([ \t\r\n/][^>]*)?>", "\n"),
+    (_tags("p div br li ul ol dl dt dd tr table caption thead tbody tfoot h1 h2 h3 h4 h5 h6 title article section header footer main aside nav"
+           " head body address blockquote pre figure figcaption form fieldset option hr details summary"), "\n"),
+    (_tags("td th"), " "),
     (r"<[/!a-zA-Z][^>]*>", ""),
-    (r"&nbsp;", " "),
-    (r"&middot;", "·"),
-    (r"&copy;", "©"),
-    (r"&quot;", '"'),
-    (r"&#39;", "'"),
-    (r"&lt;", "<"),
-    (r"&gt;", ">"),
-    (r"&amp;", "&"),
+)
+BLANKS = (
     (r"[ \t\r\f]+", " "),
     (r" ?\n[ \n]*", "\n"),
     (r"\A[ \n]+", ""),
@@ -50,10 +67,37 @@ LANGUAGE = r"<[hH][tT][mM][lL][^>]* lang=\"([^\"]*)\""
 LINK = r"<[aA] [^>]*href=\"([^\"]*)\""
 
 
+def _replaced(text: Column, rules) -> Column:
+    for pattern, put in rules:
+        text = F.regexp_replace(text, F.lit(pattern), F.lit(put.replace("\\", "\\\\").replace("$", "\\$")))
+    return text
+
+
+def _map(values: dict) -> Column:
+    return F.create_map(*(F.lit(x) for pair in values.items() for x in pair))
+
+
+def resolved(text: Column) -> Column:
+    """``text`` with its character references resolved, each once."""
+    def number(digits: Column, value: Column) -> Column:
+        return F.when(F.length(digits) > MOST_DIGITS, 0).otherwise(value.cast("bigint"))
+
+    def piece(p: Column) -> Column:  # what follows one ampersand
+        decimal, hexadecimal = (F.regexp_extract(p, x, 1) for x in ("^#0*([0-9]+);", "^#[xX]0*([0-9a-fA-F]+);"))
+        code = F.when(decimal != "", number(decimal, decimal)).when(hexadecimal != "", number(hexadecimal, F.conv(hexadecimal, 16, 10)))
+        none = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        by_number = F.when(none, "\ufffd").otherwise(F.coalesce(F.try_element_at(_map(NUMBERED), code.cast("int")), char))
+        by_name = F.try_element_at(_map(NAMED), F.regexp_extract(p, "^([a-zA-Z][a-zA-Z0-9]*);", 1))
+        found = F.when(p.startswith("#"), F.when(code.isNotNull(), by_number)).otherwise(by_name)
+        return F.coalesce(F.concat(found, F.substring(p, F.instr(p, ";") + 1, F.length(p))), F.concat(F.lit("&"), p))
+
+    pieces = F.split(text, "&", -1)
+    return F.concat(pieces[0], F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), piece), ""))
+
+
 def plain_text(html: Column) -> Column:
-    for pattern, put in MARKUP:
-        html = F.regexp_replace(html, F.lit(pattern), F.lit(put.replace("\\", "\\\\").replace("$", "\\$")))
-    return html
+    return _replaced(resolved(_replaced(html, MARKUP)), BLANKS)
 
 
 def _urn(name: Column) -> Column:
@@ -80,8 +124,8 @@ def derivatives(source: DataFrame) -> DataFrame:
     source_digest, block_digest, content_length, block``."""
     base = source.select("page_id", F.col("record_id").alias("refers_to"), "target_uri", "date", F.col("headers").alias("source_headers"), "payload")
     base = base.withColumn("source_digest", _digest(F.col("payload")))
-    title = F.trim(F.regexp_replace(F.regexp_extract("payload", TITLE, 1), "[ \t\r\n\f]+", " "))
-    links = F.transform(F.regexp_extract_all("payload", F.lit(LINK), F.lit(1)), lambda x: F.concat(F.lit("outlink: "), F.regexp_replace(x, "[\r\n]", ""), F.lit("\r\n")))
+    title = F.trim(F.regexp_replace(resolved(F.regexp_extract("payload", TITLE, 1)), "[ \t\r\n\f]+", " "))
+    links = F.transform(F.regexp_extract_all("payload", F.lit(LINK), F.lit(1)), lambda x: F.concat(F.lit("outlink: "), F.regexp_replace(resolved(x), "[\r\n]", ""), F.lit("\r\n")))
     fields = F.concat(
         F.lit("title: "), title, F.lit("\r\nlanguage: "), F.regexp_replace(F.regexp_extract("payload", LANGUAGE, 1), "[\r\n]", ""),
         F.lit("\r\nsource-digest: "), F.col("source_digest"), F.lit("\r\n"), F.array_join(links, ""),

@@ -8,6 +8,7 @@ import os
 import re
 import zlib
 from collections import Counter, defaultdict
+from html.entities import name2codepoint
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +75,22 @@ def contamination(docs, items):
     return out
 
 
+def resolved(text):
+    """Character references of HTML resolved, as the WARC operator defines them."""
+    def one(m):
+        x = m[1]
+        if x[0] != "#":
+            return {"nbsp": " ", "apos": "'"}.get(x) or (chr(name2codepoint[x]) if x in name2codepoint else m[0])
+        n = int(x[2:], 16) if x[1] in "xX" else int(x[1:])
+        if n == 160:
+            return " "
+        if n == 0 or n > 0x10FFFF or 0xD800 <= n < 0xE000:
+            return "\ufffd"
+        return (bytes([n]).decode("cp1252", "ignore") if 128 <= n < 160 else "") or chr(n)
+
+    return re.sub("&(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);", one, text)
+
+
 def near(w, phrase, span):
     """(start, end) of every stretch of ``w``, ends at most ``span`` apart, that holds all words of ``phrase`` and no smaller such stretch."""
     wanted = set(phrase)

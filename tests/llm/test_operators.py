@@ -278,6 +278,32 @@ def test_warc_records(spark):
     assert sum("WARC-Target-URI: http://h/p\r\n" in t for t in text) == 2
 
 
+REFERENCES = ("caf&eacute; &#8217;x&#8217; &#x41; &mdash; &#X1f642; &#128578; &#150; &#129; &#0; &#xD800; &#1114112; &#99999999999999999999; &#000000000065; &amp;lt;"
+              " &lt &bogus; & &; &#; &#x; &#xg; &#12a; &nbsp;&#160;; &Aacute;&aacute; &apos; a&b&c; &&amp;&").split(" ")
+
+
+def test_references_cells_and_blocks(spark):
+    r = random.Random(8)
+    texts = [*REFERENCES, " ".join(REFERENCES), "", "plain", *("".join(r.choices(["&", "#", "x", "4", "1", ";", "amp", "lt", "é", "🙂"], k=12)) for _ in range(200))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", warc.resolved(F.col("t")).alias("t")).collect()
+    assert [x.t for x in sorted(rows)] == [brute.resolved(t) for t in texts]
+    html = ("<html><title>A &amp; B&#33;</title><table><tr><td>a</td><td>b</td></tr><TR><TH>c<th>d</table><dl><dt>t<dd>d</dl><tdx>e</tdx>f"
+            "<section>s</section><pre>p</pre>&lt;b&gt;</html><a href=\"/q?x=1&amp;y=2\">")
+    out = {x.warc_type: x.block for x in warc.derivatives(warc.responses(spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string"))).collect()}
+    assert out["conversion"] == "A & B!\na b\nc d\nt\nd\nef\ns\np\n<b>"
+    assert out["metadata"].startswith("title: A & B!\r\n") and "outlink: /q?x=1&y=2\r\n" in out["metadata"]
+
+
+def test_references_in_sql_as_in_spark(tmp_path):
+    import duckdb
+
+    from feedlens.llm import oracle
+
+    texts = [*REFERENCES, " ".join(REFERENCES), "", "&"]
+    got = duckdb.execute(f"SELECT {oracle._resolved('t')} FROM (SELECT unnest(?) AS t)", [texts]).fetchall()
+    assert [x for x, in got] == [brute.resolved(t) for t in texts]
+
+
 def test_nothing_to_learn_from(spark):
     docs = docs_frame(spark, [(1, "some words", None), (None, "more", "en")])
     model = langid.fit(docs)
