@@ -202,7 +202,7 @@ base AS (
   FROM source
 ),
 derived AS (
-  SELECT page_id, target_uri, refers_to, source_digest, 'conversion' AS warc_type, 'text/plain; charset=utf-8' AS content_type, {_replaced(_resolved('unmarked'), warc.BLANKS)} AS block FROM base
+  SELECT page_id, target_uri, refers_to, source_digest, 'conversion' AS warc_type, 'text/plain; charset=utf-8' AS content_type, trim({_replaced(_resolved('unmarked'), warc.BLANKS)}, ' ' || chr(10)) AS block FROM base
   UNION ALL
   SELECT page_id, target_uri, refers_to, source_digest, 'metadata', 'application/warc-fields',
     'title: ' || trim(regexp_replace({_resolved('title')}, '[ \\t\\r\\n\\f]+', ' ', 'g')) || {end} || 'language: '

@@ -26,6 +26,7 @@ are not looked at.
 from __future__ import annotations
 
 from html.entities import name2codepoint
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,13 +36,18 @@ PAYLOAD_TYPE = "text/html; charset=utf-8"
 
 
 def _tags(names: str) -> str:
-    """A pattern of the start and end tags of ``names``, in either case."""
-    either = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in name) for name in names.split())
+    """A pattern of the start and end tags of ``names``, in either case; names of one first letter stand together."""
+    def letters(name: str) -> str:
+        return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in name)
+
+    groups = groupby(sorted(names.split()), key=lambda name: name[0])
+    either = "|".join(f"{letters(first)}({'|'.join(letters(name[1:]) for name in some)})" for first, some in groups)
     return rf"</?({either})([ \t\r\n/][^>]*)?>"
 
 
-# Character references by name, and the numbers that do not mean their own code point.
-NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'", "nbsp": " "}
+# Character references by name, the most frequent first, and the numbers that do not mean their own code point.
+NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " "}
+NAMED |= {name: chr(code) for name, code in name2codepoint.items() if name not in NAMED}
 NUMBERED = {n: c for n in range(128, 160) if (c := bytes([n]).decode("cp1252", "ignore"))} | {160: " "}
 MOST_DIGITS = 7  # of a number, leading zeros aside; no code point has more
 
@@ -56,12 +62,9 @@ MARKUP = (
     (_tags("td th"), " "),
     (r"<[/!a-zA-Z][^>]*>", ""),
 )
-BLANKS = (
-    (r"[ \t\r\f]+", " "),
-    (r" ?\n[ \n]*", "\n"),
-    (r"\A[ \n]+", ""),
-    (r"[ \n]+\z", ""),
-)
+# Runs of blanks become one (a single space is left alone), then line ends lose the blanks and empty lines around them.
+BLANKS = ((r" [ \t\r\f]+|[\t\r\f][ \t\r\f]*", " "), (r" ?\n[ \n]*", "\n"))
+ENDS = " \n"  # taken off both ends of a text
 TITLE = r"<[tT][iI][tT][lL][eE][^>]*>([^<]*)</"
 LANGUAGE = r"<[hH][tT][mM][lL][^>]* lang=\"([^\"]*)\""
 LINK = r"<[aA] [^>]*href=\"([^\"]*)\""
@@ -82,22 +85,24 @@ def resolved(text: Column) -> Column:
     def number(digits: Column, value: Column) -> Column:
         return F.when(F.length(digits) > MOST_DIGITS, 0).otherwise(value.cast("bigint"))
 
+    named = _map({f"{name};": char for name, char in NAMED.items()})
+
     def piece(p: Column) -> Column:  # what follows one ampersand
         decimal, hexadecimal = (F.regexp_extract(p, x, 1) for x in ("^#0*([0-9]+);", "^#[xX]0*([0-9a-fA-F]+);"))
         code = F.when(decimal != "", number(decimal, decimal)).when(hexadecimal != "", number(hexadecimal, F.conv(hexadecimal, 16, 10)))
         none = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
         char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
         by_number = F.when(none, "\ufffd").otherwise(F.coalesce(F.try_element_at(_map(NUMBERED), code.cast("int")), char))
-        by_name = F.try_element_at(_map(NAMED), F.regexp_extract(p, "^([a-zA-Z][a-zA-Z0-9]*);", 1))
+        by_name = F.try_element_at(named, F.substring(p, F.lit(1), F.instr(p, ";")))
         found = F.when(p.startswith("#"), F.when(code.isNotNull(), by_number)).otherwise(by_name)
         return F.coalesce(F.concat(found, F.substring(p, F.instr(p, ";") + 1, F.length(p))), F.concat(F.lit("&"), p))
 
-    pieces = F.split(text, "&", -1)
-    return F.concat(pieces[0], F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), piece), ""))
+    # One reference to ``text``: whatever computes it runs once.
+    return F.array_join(F.transform(F.split(text, "&", -1), lambda p, i: F.when(i == 0, p).otherwise(piece(p))), "")
 
 
 def plain_text(html: Column) -> Column:
-    return _replaced(resolved(_replaced(html, MARKUP)), BLANKS)
+    return F.btrim(_replaced(resolved(_replaced(html, MARKUP)), BLANKS), F.lit(ENDS))
 
 
 def _urn(name: Column) -> Column:
