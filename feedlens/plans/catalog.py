@@ -60,6 +60,10 @@ from . import sql as SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Feed files: fast compression, and the rows of one file.
+GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+FILE_RECORDS = 1_000_000
+
 _QUERIES: dict[str, Query] = {}
 _ORACLE: dict[str, str] = {}
 
@@ -155,19 +159,31 @@ def _id_tag_counts(spark, sf_dir, keep_trailing_empty=True):
 
 
 def write_region_feeds(spark, sf_dir) -> list[str]:
-    """The feed as one CSV directory per region (single scan, partitioned write), in the format of ``write_csv``."""
+    """The feed as one CSV directory per region (single scan, partitioned write), in the format of ``write_csv``.
+
+    Compressed, in files of at most ``FILE_RECORDS`` rows, as a compressed file is read by one task. Every
+    task holds the files of all regions open: rows are not sorted by region, which would spill large tasks.
+    """
     root = scratch_path(spark, "feeds")
-    (
-        testbed.feed_with_region(spark, sf_dir)
-        .write.mode("overwrite")
-        .partitionBy("region")
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(root)
-    )
+    rows = testbed.feed_with_region(spark, sf_dir)
+    writers = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(writers)
+    spark.conf.set(writers, str(len(testbed.REGIONS) + 1))  # at the number itself Spark begins to sort
+    try:
+        (
+            rows.write.mode("overwrite")
+            .partitionBy("region")
+            .option("header", True)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .options(**GZIP)
+            .option("maxRecordsPerFile", FILE_RECORDS)
+            .csv(root)
+        )
+    finally:
+        spark.conf.set(writers, before)
     return [f"{root}/region={r}" for r in testbed.REGIONS]
 
 
@@ -201,7 +217,7 @@ def q_scan_csv_header(spark, sf_dir):
     """Names from each feed's header: one region's files hold the columns in another order."""
     first, *others = write_region_feeds(spark, sf_dir)
     turned = scratch_path(spark, "feed-turned")
-    sinks.write_csv(S.read_feed(spark, first).select(*reversed(FEED_COLUMNS)), turned)
+    sinks.write_csv(S.read_feed(spark, first).select(*reversed(FEED_COLUMNS)), turned, file_records=FILE_RECORDS, options=GZIP)
     return union_feeds([S.read_named_feed(spark, p) for p in (*others, turned)])
 
 

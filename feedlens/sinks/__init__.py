@@ -16,6 +16,8 @@ def write_csv(
     header: bool = True,
     single_file: bool = False,
     sep: str = ",",
+    file_records: int = 0,
+    options: dict[str, str] | None = None,
 ) -> None:
     """Write CSV with RFC 4180 quoting (``escape='"'``), readable by ``read_feed``.
 
@@ -25,7 +27,9 @@ def write_csv(
     would pull the stage that computes the result (e.g. the final top-k
     stage) into that one task as well, while the repartition keeps that
     stage parallel and shuffles only the finished rows.
-    ``mode='errorifexists'`` fails when the path exists.
+    ``mode='errorifexists'`` fails when the path exists. ``file_records`` bounds the
+    rows of a file (0: no bound), as one task reads a compressed file. ``options`` are further
+    options of the writer, such as ``compression``.
     """
     out = df.repartition(1) if single_file else df
     (
@@ -36,6 +40,8 @@ def write_csv(
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("maxRecordsPerFile", file_records)
+        .options(**(options or {}))
         .csv(path)
     )
 

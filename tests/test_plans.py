@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import contextlib
+import datetime as dt
 import io
+import os
 import re
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from feedlens.operators import attach_name, first_per_key
 from feedlens.plans import catalog
+from feedlens.schema import FEED_COLUMNS
 from feedlens.sources import testbed
 
 from .conftest import SF_SMALL
@@ -198,3 +203,34 @@ def test_broadcast_bound_counts_bytes(spark):
 def test_cache_reuse_releases_its_cache(spark):
     catalog.queries()["cache_reuse"](spark, SF_SMALL).collect()
     assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def _feed_tables(tmp_dir, rows: int = 60) -> str:
+    """``lineitem`` and ``part`` of ``rows`` line items, suppliers of every region among them."""
+    rng = range(rows)
+    lineitem = {"l_orderkey": [i // 3 for i in rng], "l_partkey": [i % 4 for i in rng], "l_suppkey": list(rng), "l_linenumber": [1 + i % 7 for i in rng],
+                **{c: [float(i % 5) for i in rng] for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")},
+                "l_returnflag": ["N"] * rows, "l_linestatus": ["O"] * rows, "l_shipdate": [dt.datetime(2020, 1, 1 + i % 28) for i in rng]}
+    lineitem["l_linenumber"] = pa.array(lineitem["l_linenumber"], pa.int32())
+    part = {"p_partkey": [0, 1, 2, 3], "p_name": ["a, b", 'c "d"', None, ""], "p_brand": ["B#1"] * 4, "p_type": ["t"] * 4}
+    for name, columns in (("lineitem", lineitem), ("part", part)):
+        pq.write_table(pa.table(columns), os.path.join(tmp_dir, f"{name}.parquet"))
+    return tmp_dir
+
+
+def test_region_feeds_are_compressed_files_of_bounded_size(spark, tmp_dir, monkeypatch):
+    sf = _feed_tables(tmp_dir)
+    monkeypatch.setattr(catalog, "FILE_RECORDS", 6)
+    writers = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(writers)
+    folders = catalog.write_region_feeds(spark, sf)
+    assert spark.conf.get(writers) == before
+    for folder in folders:
+        names = [n for n in os.listdir(folder) if n.startswith("part-")]
+        assert len(names) >= 4 and all(n.endswith(".csv.gz") for n in names)  # 20 rows a region
+    key = lambda row: tuple((x is not None, x) for x in row)
+    want = sorted((tuple(r) for r in testbed.feed(spark, sf).collect()), key=key)
+    for name in ("scan_csv_header", "scan_multi_path"):
+        got = catalog.queries()[name](spark, sf)
+        assert sorted((tuple(r) for r in got.select(*FEED_COLUMNS).collect()), key=key) == want
+        assert all(f.endswith(".csv.gz") for f in got.inputFiles())
