@@ -81,20 +81,26 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
 
 
-def feed_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole feed (all regions) plus a ``region`` column."""
+def feed_with_region(spark: SparkSession, sf_dir: str, *, shuffled: bool = False) -> DataFrame:
+    """The whole feed (all regions) plus a ``region`` column.
+
+    ``shuffled`` joins the parts by a shuffle even where they could be broadcast: the wide feed rows then
+    come in tasks of the size of a shuffle partition, not of a scan of the narrow line items.
+    """
     li = table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
     # Per-part values are built on the part side, once per part instead of once per line item.
     part = table(spark, sf_dir, "part").selectExpr(
         "p_partkey", "p_name", "p_type", "concat(replace(p_name, ' ', '|'), '|', p_brand) AS p_tags"
     )
+    if shuffled:
+        part = part.hint("shuffle_hash")
     j = li.join(part, li.l_partkey == part.p_partkey, "inner")
     return j.selectExpr(*[f"{expr} AS {name}" for name, expr in FEED_EXPRESSIONS.items()])
 
 
-def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole feed (the union of all regions) with the sixteen feed columns."""
-    return feed_with_region(spark, sf_dir).select(*FEED_COLUMNS)
+def feed(spark: SparkSession, sf_dir: str, *, shuffled: bool = False) -> DataFrame:
+    """The whole feed (the union of all regions) with the sixteen feed columns; ``shuffled`` as in ``feed_with_region``."""
+    return feed_with_region(spark, sf_dir, shuffled=shuffled).select(*FEED_COLUMNS)
 
 
 def feeds_by_region(spark: SparkSession, sf_dir: str) -> list[DataFrame]:

@@ -234,3 +234,9 @@ def test_region_feeds_are_compressed_files_of_bounded_size(spark, tmp_dir, monke
         got = catalog.queries()[name](spark, sf)
         assert sorted((tuple(r) for r in got.select(*FEED_COLUMNS).collect()), key=key) == want
         assert all(f.endswith(".csv.gz") for f in got.inputFiles())
+
+
+def test_first_per_key_of_the_feed_takes_shuffled_rows(spark, tmp_dir):
+    df = catalog.queries()["first_per_key"](spark, _feed_tables(tmp_dir))
+    assert "BroadcastHashJoin" not in plan_of(df)  # wide rows would come in tasks of a whole scan of narrow ones
+    assert df.count() == 20
