@@ -15,8 +15,8 @@ where the phrase at its other end is frequent as well, as no other one can be. P
 into parts by their hash, as many as there are words for, and a shard sends each part the
 phrases and counts it has there as one compressed block. A part sums them and sends
 every shard one bit a phrase: whether it is frequent. A shard finds its phrases again, in the same order, by
-the same steps, so neither intervals nor phrases travel back. The shards themselves are stored in buckets
-and do not move. Lengths alternate between right and left extension.
+the same steps, so neither intervals nor phrases travel back. The shards themselves and their frequent words
+are stored in buckets and do not move. Lengths alternate between right and left extension.
 
 A phrase is scored by its weakest cut, floor(``SCALE`` * a / (l + r)) in exact decimals.
 It is dropped where an extension by one word keeps ``keep_percent`` per cent of its places;
@@ -232,17 +232,31 @@ def grown(shard: dict, lo: np.ndarray, ids: np.ndarray, marks: dict[tuple[int, i
     return phrases[order], n[order], part[order]
 
 
+def _words_of_shards(own: DataFrame) -> DataFrame:
+    """``shard, n_own, own_lo, own_ids``: the frequent words of each shard (at least one), by their number there and in all, packed."""
+
+    def run(shard: pa.Table) -> pa.Table:
+        lo, ids = (shard.column(c).to_numpy() for c in ("lo", "id"))
+        order = np.argsort(lo)
+        packed = [_packed(np.diff(lo[order], prepend=0), 8), _packed(ids[order], 8)]
+        return pa.table([shard.column("shard").slice(0, 1), pa.array([len(lo)], pa.int64()), *(pa.array([x], pa.binary()) for x in packed)],
+                        names=["shard", "n_own", "own_lo", "own_ids"])
+
+    return own.select("shard", "lo", "id").groupBy("shard").applyInArrow(run, "shard bigint, n_own bigint, own_lo binary, own_ids binary")
+
+
 def _blocks(index: DataFrame, words: DataFrame, marks: DataFrame | None, *, length: int, parts: int) -> DataFrame:
-    """``part, shard, size, block``: each shard's phrases of ``length`` words with their counts there, one block a part."""
+    """``part, shard, size, block``: each shard's phrases of ``length`` words with their counts there, one block a part.
 
-    def run(shard: pa.Table, given: pa.Table) -> pa.Table:
+    ``index`` and ``words`` are in buckets by shard: of what a shard is given only the marks move.
+    """
+
+    def run(shard: pa.Table, given: pa.Table | None = None) -> pa.Table:
         out: list[tuple] = []
-        if shard.num_rows and given.num_rows:
-            of_words = given.filter(pa.compute.is_valid(given.column("id")))
-            of_marks = given.filter(pa.compute.is_null(given.column("id"))).select(["length", "part", "bits"])
-            bits = {(r["length"], r["part"]): np.frombuffer(r["bits"], np.uint8) for r in of_marks.to_pylist()}
-            lo, ids = (of_words.column(c).to_numpy() for c in ("lo", "id"))
+        if shard.num_rows:
+            bits = {(r["length"], r["part"]): np.frombuffer(r["bits"], np.uint8) for r in given.to_pylist()} if given is not None else {}
             own = shard.to_pylist()[0]
+            lo, ids = np.cumsum(_unpacked(own["own_lo"], own["n_own"], 8)), _unpacked(own["own_ids"], own["n_own"], 8)
             phrases, n, part = grown(own, lo, ids, bits, length=length, parts=parts)
             rows = np.hstack([phrases, n[:, None]])
             for p, at, size in zip(*(x.tolist() for x in np.unique(part, return_index=True, return_counts=True)), strict=True):
@@ -251,13 +265,11 @@ def _blocks(index: DataFrame, words: DataFrame, marks: DataFrame | None, *, leng
         columns = zip(*out, strict=True) if out else ([], [], [], [])
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["part", "shard", "size", "block"])
 
-    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("length", "int"), ("part", "bigint"), ("bits", "binary"))]
-    given = words.select("shard", "lo", "id", *nothing)
-    if marks is not None:
-        no_word = [F.lit(None).cast("bigint").alias(c) for c in ("lo", "id")]
-        given = given.unionByName(marks.select("shard", *no_word, "length", "part", "bits"))
-    read = index.select("shard", "size", "backward", *(["forward"] if length > 2 else []))
-    return read.groupBy("shard").cogroup(given.groupBy("shard")).applyInArrow(run, BLOCK_SCHEMA)
+    read = index.select("shard", "size", "backward", *(["forward"] if length > 2 else [])).join(words.hint("merge"), "shard")
+    if marks is None:
+        return read.groupBy("shard").applyInArrow(lambda shard: run(shard), BLOCK_SCHEMA)
+    given = marks.select("shard", "length", "part", "bits")
+    return read.groupBy("shard").cogroup(given.groupBy("shard")).applyInArrow(lambda shard, given: run(shard, given), BLOCK_SCHEMA)
 
 
 def same_rows(columns: list[np.ndarray]) -> np.ndarray:
@@ -314,8 +326,12 @@ def frequent_phrases(documents: DataFrame, *, longest: int = LONGEST, min_count:
     spark = documents.sparkSession
     # Buckets by shard: the transforms are written once and read where they are, at every length.
     name, buckets = f"fm_shards_{uuid.uuid4().hex}", 4 * spark.sparkContext.defaultParallelism
-    shards(documents, depth=longest, shard_words=shard_words).write.format("parquet").option("path", scratch_path(spark, "fm-shards")).bucketBy(
-        buckets, "shard").saveAsTable(name)
+    of_words = f"fm_words_{uuid.uuid4().hex}"
+
+    def in_buckets(rows: DataFrame, table: str, label: str) -> None:
+        rows.write.format("parquet").option("path", scratch_path(spark, label)).bucketBy(buckets, "shard").saveAsTable(table)
+
+    in_buckets(shards(documents, depth=longest, shard_words=shard_words), name, "fm-shards")
     try:
         index = spark.table(name)
         sizes = common.written(index.groupBy("lang").agg(F.sum("n_words").alias("n")), "language-words")
@@ -324,9 +340,12 @@ def frequent_phrases(documents: DataFrame, *, longest: int = LONGEST, min_count:
         # A word's id is the place of its first row in its partition, which the order within the word does not change.
         own = _frequent(own, ["lang", "word"], min_count).withColumn("row", F.monotonically_increasing_id())
         own = own.withColumn("id", F.min("row").over(Window.partitionBy("lang", "word")))
-        own = common.written(own.select("shard", "lang", "word", "lo", "a", "id"), "shard-words")
-        totals = common.written(own.groupBy("id", "lang", "word").agg(F.max("a").alias("a")), "frequent-words")
-        words = own.select("shard", "lo", "id")
+        # A word is spelled in its first row only.
+        spelled = [F.when(F.col("row") == F.col("id"), F.col(c)).alias(c) for c in ("lang", "word", "a")]
+        own = common.written(own.select("shard", "lo", "id", *spelled), "shard-words")
+        totals = common.written(own.where("word is not null").select("id", "lang", "word", "a"), "frequent-words")
+        in_buckets(_words_of_shards(own), of_words, "fm-words")
+        words = spark.table(of_words)
         held = index.agg(F.sum("n_words")).first()[0] or 0
         parts = -(-held // part_words) or 1
         found, marks = [totals.select(F.array("id").alias("ids"), "a")], None
@@ -337,7 +356,8 @@ def frequent_phrases(documents: DataFrame, *, longest: int = LONGEST, min_count:
             more = sums.where("shard is not null").select("shard", F.lit(length).alias("length"), "part", "bits")
             marks = more if marks is None else marks.unionByName(more)
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for table in (name, of_words):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)

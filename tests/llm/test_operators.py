@@ -454,6 +454,24 @@ def test_phrases_dealt_into_many_parts(spark):
         same([tuple(x) for x in got.collect()], want)
 
 
+def test_frequent_words_of_shards_do_not_move(spark, monkeypatch, capsys):
+    """Of what a shard is given at a length only the marks of shorter phrases are shuffled."""
+    exchanges, blocks = {}, phrases._blocks
+
+    def seen(*args, length, **more):
+        out = blocks(*args, length=length, **more)
+        capsys.readouterr()
+        out.explain()
+        exchanges[length] = capsys.readouterr().out.count("Exchange hashpartitioning(shard")
+        return out
+
+    monkeypatch.setattr(phrases, "_blocks", seen)
+    rows = [(i, "a b c d e f. a b c x e f", "en") for i in range(40)]
+    got = phrases.collocations(docs_frame(spark, rows), longest=3)
+    assert exchanges == {2: 0, 3: 1}
+    same([tuple(r) for r in got.collect()], brute.collocations([(r[2], r[1]) for r in rows], longest=3))
+
+
 def test_same_rows_numbers_equal_rows_only():
     r = np.random.default_rng(3)
     columns = [r.integers(0, 4, 300) << 40, r.integers(0, 3, 300), r.integers(0, 5, 300) << 33]
