@@ -1,15 +1,15 @@
-"""Operator 8, n-gram Jaccard join: size-banded tiles with bitmap signatures.
+"""Operator 8, n-gram Jaccard join: rare-first prefixes, then size-banded tiles with bitmap signatures.
 
 A document is the set of its distinct word shingles, as sorted 64-bit hashes.
 Two documents link at Jaccard similarity ``num/den`` or more.
 
-Candidates. Sets that link have sizes in one band or two neighbouring ones, and differ in at
-most ``2 * larger * (den - num) / (den + num)`` elements. The hash space is cut into more
-parts than that, so sets that link agree on a whole part: a row per part
-(band, part, hash of its content) makes them meet, and sets that merely share
-a frequent shingle or passage rarely do. Sorted by that key, each row points
-to the first of its run: rows of a key are streamed, never gathered, and give
-one pair each. The components of these pairs hold every link.
+Candidates. Sets that link share most of their elements, so in any one order of all elements each holds
+a shared one early (prefix filter). It is used twice. By hash: of ``n`` elements the smallest ``Threshold.reach(n)``
+go out as keys, and sets that link share several. By rarity: keys in one set only
+are dropped, and of a set's others those in the most sets, but for as many as it takes to
+share one. A passage that is in many texts is thus not what makes them meet, unless a text is made of little
+else. Sorted by key, each row points to the first of its run: rows of a key are
+streamed, never gathered, and give one pair each. The components of these pairs hold every link.
 
 Tiles. A component of up to ``TILE_ROWS`` sets is one tile. A larger one is
 dealt into size bands (ratio den/num, so that links stay within a band or its neighbour) and
@@ -40,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common, graph, streams
@@ -50,6 +50,10 @@ NUM, DEN = 90, 100
 TILE_ROWS = 512
 TILE_BYTES = 16 << 20
 DENSE_ROWS, DENSE_ELEMENTS = 16, 8192
+# Keys are ordered by the sets they are in, up to so many; above that all count as equally frequent.
+KEY_SETS = 64
+# Bits of the map of members that texts are looked up in before they travel.
+MEMBER_BITS = 1 << 22
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -117,53 +121,36 @@ def shingle_sets(raw: np.ndarray, off: np.ndarray, size: int = SIZE) -> Iterator
             yield grams[:0]
 
 
-class Bands:
-    """Size bands and the parts of each: exact candidates for one threshold."""
+class Threshold:
+    """Jaccard similarity ``num/den`` or more: which overlaps link, and where sets that link must share elements."""
 
     def __init__(self, num: int, den: int):
         if not 0 < num <= den:
             raise ValueError("need 0 < num <= den")
         self.num, self.den = num, den
-        low = [1]
-        while low[-1] < 1 << 40:
-            low.append(max(low[-1] + 1, low[-1] * 3 // 2))
-        self.low = low
-
-    def keys(self, a: np.ndarray) -> np.ndarray:
-        """Keys of the set ``a``; sets that link share one, unless they are equal."""
-        n = len(a)
-        if not n or self.num == self.den:
-            return np.zeros(0, np.uint64)
-        own = int(np.searchsorted(self.low, n, "right")) - 1
-        out = []
-        band = own
-        # Bands whose sets may be the larger side of a link with this one.
-        while band < len(self.low) - 1 and (band == own or self.num * self.low[band] <= self.den * n):
-            # Of two sets no larger than the band's largest that link: the elements in one of them only.
-            differ = 2 * (self.low[band + 1] - 1) * (self.den - self.num) // (self.den + self.num)
-            if differ:
-                out += self._parts(a, band, differ)
-            band += 1
-        return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
-
-    @staticmethod
-    def _parts(a: np.ndarray, band: int, differ: int) -> list[np.ndarray]:
-        """One key per part that has elements; all sets of a band are cut into the same parts.
-
-        Each of the ``differ`` elements changes one part. A set with more parts that
-        have elements than that keeps one of them, whole, in every set it links with. There are some
-        parts more than ``differ``, as some are empty; the few sets with too many
-        empty ones also meet by single elements.
+
+    def least(self, n: int) -> int:
+        """Elements that a set of ``n`` shares with each set it links with; also the size of the smallest such set."""
+        return -(-self.num * n // self.den)
+
+    def agree(self, n: int) -> int:
+        """Elements that the ``reach`` smallest of two linked sets have in common at least, if ``n`` is the smaller size."""
+        return min(self.least(n), 1 + n * (self.den - self.num) // self.den)
+
+    def reach(self, n: int) -> int:
+        """How many of the smallest of ``n`` elements are keys; none where only equal sets can link.
+
+        At most ``n - least(n)`` of them are not shared, wherever they lie, and
+        ``agree`` more make that many shared ones certain: the first shared elements of two
+        linked sets are the same, and lie that early in both.
         """
-        parts = differ + differ // 4 + math.isqrt(4 * differ) + 2
-        edge = np.searchsorted((a >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1))
-        mixed = mix(a + _salt(band, 50))
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed)))
-        full = np.flatnonzero(edge[1:] > edge[:-1])
-        out = [mix((total[edge[full + 1]] - total[edge[full]]) ^ (full.astype(np.uint64) * _STEP[51] + _salt(band, 52)))]
-        if len(full) <= differ:
-            out.append(mix(mixed * _STEP[53]))
-        return out
+        return n - self.least(n) + self.agree(n) if n * (self.den - self.num) >= self.num else 0
+
+    def spare(self, n: str) -> Column:
+        """Of the keys of a set of ``n`` (a column) so many may be left out at the end of an order that holds for all sets."""
+        least = f"(({n} * {self.num} + {self.den - 1}) div {self.den})"
+        smallest = f"(({least} * {self.num} + {self.den - 1}) div {self.den})"
+        return F.expr(f"cast(least({smallest}, 1 + {least} * {self.den - self.num} div {self.den}) - 1 as int)")
 
     def links(self, overlap, x, y):
         """Whether sets of sizes ``x`` and ``y`` with that overlap link."""
@@ -230,7 +217,7 @@ class Overlaps:
         return out
 
 
-def tile_links(sets: list[np.ndarray], side: np.ndarray, bands: Bands, *, across: bool, copies: np.ndarray | None = None) -> tuple[list[tuple[int, int]], np.ndarray]:
+def tile_links(sets: list[np.ndarray], side: np.ndarray, rule: Threshold, *, across: bool, copies: np.ndarray | None = None) -> tuple[list[tuple[int, int]], np.ndarray]:
     """Links that connect what linked sets connect, and the rows that each set links with; ``across``: pairs of two sides only.
 
     ``copies`` is the number of rows of each set; without it sets already
@@ -244,7 +231,7 @@ def tile_links(sets: list[np.ndarray], side: np.ndarray, bands: Bands, *, across
     dense = many is not None and many.all is not None
     bits = bitmaps([sets[k] for k in order]) if len(sets) > 2 and not dense else None
     # Sets no larger than the size rule allows, as order is by size.
-    upto = np.searchsorted(sizes * bands.num, sizes * bands.den, "right")
+    upto = np.searchsorted(sizes * rule.num, sizes * rule.den, "right")
     out, counts = [], np.zeros(len(sets), np.int64)
     for i in range(len(sets)):
         others = np.arange(i + 1, upto[i])
@@ -256,16 +243,16 @@ def tile_links(sets: list[np.ndarray], side: np.ndarray, bands: Bands, *, across
             miss_i = np.bitwise_count(bits[i] & ~bits[others]).sum(1, dtype=np.int64)
             miss_o = np.bitwise_count(bits[others] & ~bits[i]).sum(1, dtype=np.int64)
             bound = np.minimum(sizes[i] - miss_i, sizes[others] - miss_o)
-            others = others[bands.links(bound, sizes[i], sizes[others])]
+            others = others[rule.links(bound, sizes[i], sizes[others])]
         if copies is not None and len(others):
-            others = others[bands.links(many.of(i, others), sizes[i], sizes[others])]
+            others = others[rule.links(many.of(i, others), sizes[i], sizes[others])]
             counts[order[i]] += copies[order[others]].sum()
             counts[order[others]] += copies[order[i]]
         a = sets[order[i]]
         for j in others[label[others] != label[i]].tolist():
             if label[j] != label[i]:
                 b = sets[order[j]]
-                if copies is not None or bands.links(overlap(a, b), len(a), len(b)):
+                if copies is not None or rule.links(overlap(a, b), len(a), len(b)):
                     label[label == label[j]] = label[i]
                     out.append((int(order[i]), int(order[j])))
     return out, counts
@@ -281,48 +268,74 @@ def _texts(documents: DataFrame, *more) -> DataFrame:
     return documents.select(*more, F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
 
 
-def features(documents: DataFrame, *, size: int, bands: Bands) -> DataFrame:
-    """``node, doc_id, mark, n, digest, keys``, written: one row per document; ``keys`` where a task meets its set first."""
+def features(documents: DataFrame, *, size: int) -> DataFrame:
+    """``node, doc_id, mark, n, digest``, written: one row per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
         for batch in batches:
             raw, off = common.utf8(batch.column(3))
             for i, j in common.slices(off):
-                n, digests, keys = [], [], []
-                for a in shingle_sets(raw, off[i : j + 1], size):
-                    d = set_digest(a) if len(a) else None
-                    first = d is not None and d not in seen
-                    if first:
-                        seen.add(d)
-                    n.append(len(a))
-                    digests.append(d)
-                    keys.append(bands.keys(a).view(np.int64) if first else None)
+                sets = list(shingle_sets(raw, off[i : j + 1], size))
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(i, j - i) for c in range(3)), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                     pa.array(keys, pa.list_(pa.int64()))], names=["node", "doc_id", "mark", "n", "digest", "keys"],
+                    [*(batch.column(c).slice(i, j - i) for c in range(3)), pa.array(map(len, sets), pa.int64()),
+                     pa.array([set_digest(a) if len(a) else None for a in sets], pa.binary())], names=["node", "doc_id", "mark", "n", "digest"],
                 )
 
     rows = _texts(documents, F.monotonically_increasing_id().alias("node"))
-    return common.written(rows.mapInArrow(run, "node bigint, doc_id bigint, mark bigint, n bigint, digest binary, keys array<bigint>"), "shingle-keys")
+    return common.written(rows.mapInArrow(run, "node bigint, doc_id bigint, mark bigint, n bigint, digest binary"), "features")
+
+
+def key_rows(documents: DataFrame, *, size: int, rule: Threshold) -> DataFrame:
+    """``key, set``: the keys of every set, from each task that meets it; ``set`` is the start of its digest, alike in all tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            raw, off = common.utf8(batch.column(0))
+            for i, j in common.slices(off):
+                keys, names = [], []
+                for a in shingle_sets(raw, off[i : j + 1], size):
+                    reach = rule.reach(len(a)) if len(a) else 0
+                    d = set_digest(a) if reach else None
+                    if d and d not in seen:
+                        seen.add(d)
+                        keys.append(a[:reach])
+                        names.append(np.full(reach, int.from_bytes(d[:8], "big", signed=True), np.int64))
+                if keys:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(names))], names=["key", "set"])
+
+    return documents.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "key bigint, set bigint")
 
 
-def candidate_pairs(feature_rows: DataFrame) -> DataFrame:
-    """``a, b``: nodes that share a key with the first node of that key."""
+def shared_keys(keys: DataFrame) -> DataFrame:
+    """``key, set, frequency`` of the ``keys`` (key, set) that are in two sets or more; ``frequency`` grows with their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, name, frequency in streams.repeated(batches, KEY_SETS):
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(name), pa.array(frequency)], names=["key", "set", "frequency"])
+
+    return keys.repartition("key").sortWithinPartitions("key", "set").mapInArrow(run, "key bigint, set bigint, frequency int")
+
+
+def candidate_pairs(documents: DataFrame, sets: DataFrame, *, size: int, rule: Threshold) -> DataFrame:
+    """``a, b``: sets (by the start of the digest, ``set`` in ``sets``) that share a key with the first set of that key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for value, first in streams.first_of_run(batches):
             yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(first)], names=["a", "b"])
 
-    keys = feature_rows.where("keys is not null").select(F.explode("keys").alias("key"), "node")
-    return keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "a bigint, b bigint").distinct()
+    shared = shared_keys(key_rows(documents, size=size, rule=rule))
+    of_set = shared.groupBy("set").agg(F.sort_array(F.collect_list(F.struct("frequency", "key"))).alias("keys"))
+    of_set = of_set.join(sets.select("set", rule.spare("n").alias("spare")), "set").where(F.size("keys") > F.col("spare"))
+    keys = of_set.select(F.explode(F.slice("keys", F.lit(1), F.size("keys") - F.col("spare"))).alias("k"), "set").select("k.key", "set")
+    return keys.repartition("key").sortWithinPartitions("key", "set").mapInArrow(run, "a bigint, b bigint")
 
 
-def _tiles(members: DataFrame, bands: Bands, rows: int, size_bytes: int) -> DataFrame:
+def _tiles(members: DataFrame, rule: Threshold, rows: int, size_bytes: int) -> DataFrame:
     """``members`` (component, node, n, doc_id, mark, digest, copies) with ``pairs``: the pairs of tiles each is compared in, and its side."""
-    ratio = bands.den / bands.num
+    ratio = rule.den / rule.num
     # Bands of ratio den/num: sets that link are in one band or in neighbouring ones.
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(ratio + 1e-9))).cast("int") if bands.num < bands.den else F.lit(0)
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(ratio + 1e-9))).cast("int") if rule.num < rule.den else F.lit(0)
     whole = members.groupBy("component").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
     banded = members.join(whole, "component").withColumn(
         "band", F.when((F.col("c") <= rows) & (F.col("s") * 8 <= size_bytes), F.lit(-1)).otherwise(band)
@@ -346,15 +359,23 @@ def _tiles(members: DataFrame, bands: Bands, rows: int, size_bytes: int) -> Data
     return dealt.select("component", "node", "doc_id", "mark", "digest", "copies", pairs.alias("pairs"))
 
 
-def verified_links(documents: DataFrame, members: DataFrame, *, size: int, bands: Bands, tile_rows: int, tile_bytes: int, counted: bool) -> DataFrame:
+def _of_members(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """``texts`` (doc_id, mark, ...) without most rows that are no member's, by a map of fixed size; no member's row is lost."""
+    bit = F.pmod(F.xxhash64("doc_id", "mark"), F.lit(MEMBER_BITS))
+    marked = members.select(bit.alias("bit")).groupBy(F.expr("bit div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
+    looked_up = texts.withColumn("bit", bit).withColumn("word", F.expr("bit div 64")).join(F.broadcast(marked), "word")
+    return looked_up.where("shiftright(bits, cast(bit % 64 as int)) & 1L = 1L").select(*texts.columns)
+
+
+def verified_links(documents: DataFrame, members: DataFrame, *, size: int, rule: Threshold, tile_rows: int, tile_bytes: int, counted: bool) -> DataFrame:
     """``a, b, n``: links (as nodes) found by comparing the tiles of ``members`` (component, node, n, doc_id, mark, digest, copies).
 
     ``n`` is null. Where ``counted``, rows without ``b`` hold the number of
     rows ``n`` that ``a`` links with in one pair of tiles.
     """
 
-    tiles = _tiles(members, bands, tile_rows, tile_bytes).hint("shuffle_hash")  # the hash side; texts are not sorted
-    text = _texts(documents).withColumnsRenamed({"doc_id": "id", "mark": "of_text"})
+    tiles = _tiles(members, rule, tile_rows, tile_bytes).hint("shuffle_hash")  # the hash side; texts are not sorted
+    text = _of_members(_texts(documents), members).withColumnsRenamed({"doc_id": "id", "mark": "of_text"})
     keys = ["component", "low", "x", "high", "y"]
     own = text.join(tiles, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("of_text") == F.col("mark"))).select("component", "node", "digest", "copies", "text", "pairs")
 
@@ -387,7 +408,7 @@ def verified_links(documents: DataFrame, members: DataFrame, *, size: int, bands
                 ids, of_tile, weights = list(own), np.array([s for s, _, _ in own.values()]), np.array([c for _, c, _ in own.values()])
                 # A tile of two may be empty, so the key says whether it is one or two.
                 across = any(run.column(x)[0] != run.column(y)[0] for x, y in (("low", "high"), ("x", "y")))
-                links, counts = tile_links([a for *_, a in own.values()], of_tile, bands, across=across, copies=weights if counted else None)
+                links, counts = tile_links([a for *_, a in own.values()], of_tile, rule, across=across, copies=weights if counted else None)
                 yield from ((ids[i], ids[j], None) for i, j in links)
                 yield from ((ids[i], None, int(counts[i])) for i in np.flatnonzero(counts).tolist())
 
@@ -405,24 +426,21 @@ def _named_sets(documents: DataFrame, *, size: int, num: int, den: int, tile_row
     ``doc_id`` and ``first_mark`` are those of the set's first row: by doc_id (null last), then mark.
     ``n_links``: the other rows that a row of the set links with, if ``counted``.
     """
-    bands = Bands(num, den)
-    rows = features(documents, size=size, bands=bands)
-    # One node per set: the smallest of its emitters.
+    rule = Threshold(num, den)
+    rows = features(documents, size=size)
+    # One node per set: the smallest of its rows.
     sets = common.written(rows.where("digest is not null").groupBy("digest").agg(
         F.count(F.lit(1)).alias("copies"),
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("first"),
-        F.min(F.when(F.col("keys").isNotNull(), F.struct("node", F.col("doc_id").alias("doc_id"), "mark", "n"))).alias("e"),
+        F.min(F.struct("node", "doc_id", "mark", "n")).alias("e"),
     ).select("digest", "copies", F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias("first_mark"),
-             F.col("e.node").alias("node"), F.col("e.doc_id").alias("node_doc_id"), F.col("e.mark").alias("mark"), F.col("e.n").alias("n")), "sets")
-    other = rows.where("keys is not null").select("digest", F.col("node").alias("from")).join(sets.select("digest", "node"), "digest").where(F.col("from") != F.col("node"))
-    other = common.written(other.select("from", F.col("node").alias("to")), "set-nodes")
-    pairs = candidate_pairs(rows)
-    for end in ("a", "b"):
-        pairs = pairs.join(other, F.col(end) == F.col("from"), "left").withColumn(end, F.coalesce("to", end)).drop("from", "to")
-    candidates = common.written(graph.components(pairs.where("a <> b")), "candidates")
-    members = candidates.join(sets, "node").select("component", "node", "n", F.col("node_doc_id").alias("doc_id"), "mark", "digest", "copies")
+             F.col("e.node").alias("node"), F.col("e.doc_id").alias("node_doc_id"), F.col("e.mark").alias("mark"), F.col("e.n").alias("n"),
+             F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("bigint").alias("set")), "sets")
+    candidates = common.written(graph.components(candidate_pairs(documents, sets, size=size, rule=rule)), "candidates")
+    members = candidates.withColumnRenamed("node", "set").join(sets, "set").select(
+        "component", "node", "n", F.col("node_doc_id").alias("doc_id"), "mark", "digest", "copies")
     members = common.written(members, "members")
-    links = verified_links(documents, members, size=size, bands=bands, tile_rows=tile_rows, tile_bytes=tile_bytes, counted=counted)
+    links = verified_links(documents, members, size=size, rule=rule, tile_rows=tile_rows, tile_bytes=tile_bytes, counted=counted)
     labels = graph.components(links.where("b is not null").select("a", "b"))
     linked = links.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("linked"))
     named = sets.join(labels, "node", "left").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -5,13 +5,14 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from feedlens.llm import bpe, decontaminate, graph, langid, licenses, ngram_join, phrases, quality, runs, secrets, sharding, topk, urlfilter, warc
+from feedlens.llm import bpe, decontaminate, graph, langid, licenses, ngram_join, phrases, quality, runs, secrets, sharding, streams, topk, urlfilter, warc
 from feedlens.llm.queries import tokenizer_path
 
 from . import brute
@@ -154,6 +155,56 @@ def test_every_link_is_counted(spark, tile_rows):
     same([(r.doc_id, r.n_shingles, r.n_links) for r in got.collect()], want)
 
 
+def test_shared_passages_make_no_candidates(spark, monkeypatch):
+    """Texts that only share a passage are not compared; near copies that hold it are."""
+    passage = " ".join(f"shared{i}" for i in range(60))
+    own = [[f"own{k}-{i}" for i in range(200)] for k in range(40)]
+    rows = [(k, f"{' '.join(w[:k])} {passage} {' '.join(w[k:])}") for k, w in enumerate(own)]
+    rows.append((40, rows[7][1].replace("own7-150", "edit")))
+    compared, links = [], ngram_join.verified_links
+
+    def seen(documents, members, **more):
+        compared.extend(r.doc_id for r in members.collect())
+        return links(documents, members, **more)
+
+    monkeypatch.setattr(ngram_join, "verified_links", seen)
+    kept = ngram_join.one_of_each(docs_frame(spark, rows), size=5, num=80, den=100)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(40))
+    assert sorted(compared) == [7, 40]
+
+
+def test_linked_sets_share_a_key():
+    """Wherever shared elements lie, by hash or by frequency, linked sets keep one key in common."""
+    r = random.Random(3)
+    for _ in range(4000):
+        num, den = r.choice([(80, 100), (90, 100), (60, 100), (1, 2), (30, 100)])
+        rule = ngram_join.Threshold(num, den)
+        common, x, y = r.randint(1, 60), r.randint(0, 20), r.randint(0, 20)
+        if not x + y or not rule.links(common, common + x, common + y):
+            continue
+        ids = list(range(common + x + y))
+        if r.random() < 0.5:
+            r.shuffle(ids)
+        one, other, shared = ids[:x], ids[x : x + y], set(ids[x + y :])
+        late = r.random() < 0.7
+        kept = []
+        for a in (sorted(shared.union(one)), sorted(shared.union(other))):
+            keys = sorted(a[: rule.reach(len(a))], key=lambda e: (late and e in shared, e * 7919 % 101))
+            kept.append(set(keys[: len(keys) - rule.agree(rule.least(len(a))) + 1]))
+        assert kept[0] & kept[1]
+
+
+@pytest.mark.parametrize("most, batch", [(4, 3), (4, 1), (64, 1000)])
+def test_repeated_keys(most, batch):
+    r = random.Random(most)
+    rows = sorted((k, r.randint(-9, 9)) for k in range(-20, 20) for _ in range(r.choice([1, 1, 2, 3, 9, 30])))
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[i : i + batch])], names=["key", "set"]) for i in range(0, len(rows), batch)]
+    got = [x for arrays in streams.repeated(iter(batches), most) for x in zip(*(a.tolist() for a in arrays), strict=True)]
+    size = {k: len({v for o, v in rows if o == k}) for k, _ in rows}
+    want = [(k, v, most.bit_length() if size[k] > most else size[k].bit_length() - 1) for k, v in sorted(set(rows)) if size[k] > 1]
+    assert got == want
+
+
 def test_one_of_each_keeps_whole_rows(spark):
     rows, _ = _odd_documents()
     docs = docs_frame(spark, rows)
